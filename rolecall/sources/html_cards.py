@@ -1,0 +1,127 @@
+"""Small page helper for executors: parse one HTML page, read fields of its cards.
+
+Standard library only. Selectors are the CSS subset the card profiles use: tag,
+``.class``, ``[attr]``, ``[attr=v]``, ``[attr*=v]``, descendants, and commas.
+"""
+
+import re
+from html.parser import HTMLParser
+
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_SELF_CLOSING = {"p", "li", "option", "tr", "td", "th"}  # a new one ends an open one
+_PART = re.compile(r"^([\w-]+)|\.([\w-]+)|\[([\w-]+)(?:(\*?=)['\"]?([^'\"\]]*)['\"]?)?\]")
+
+
+class _Node:
+    def __init__(self, tag, attrs, parent):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.children = []
+
+
+class _Tree(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.open = _Node("", {}, None)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _SELF_CLOSING and self.open.tag == tag:
+            self.open = self.open.parent
+        node = _Node(tag, {k: v or "" for k, v in attrs}, self.open)
+        self.open.children.append(node)
+        if tag not in _VOID:
+            self.open = node
+
+    def handle_endtag(self, tag):
+        node = self.open
+        while node is not None and node.tag != tag:
+            node = node.parent
+        if node is not None and node.parent is not None:
+            self.open = node.parent
+
+    def handle_data(self, data):
+        self.open.children.append(data)
+
+
+def _walk(node):
+    stack = [c for c in reversed(node.children) if not isinstance(c, str)]
+    while stack:
+        found = stack.pop()
+        yield found
+        stack.extend(c for c in reversed(found.children) if not isinstance(c, str))
+
+
+def _text(node):
+    parts, stack = [], [node]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, str):
+            parts.append(item)
+        elif item.tag not in ("script", "style"):
+            stack.extend(reversed(item.children))
+    return " ".join("".join(parts).split())
+
+
+def compile_selector(css):
+    """A selector text to a list of chains, each a list of compound tests."""
+    return [[_PART.findall(compound) for compound in chain.split()] for chain in css.split(",")]
+
+
+def _fits(node, compound):
+    for tag, cls, attr, operator, value in compound:
+        if tag and node.tag != tag:
+            return False
+        if cls and cls not in node.attrs.get("class", "").split():
+            return False
+        if attr:
+            actual = node.attrs.get(attr)
+            if actual is None or (operator == "=" and actual != value) or (operator == "*=" and value not in actual):
+                return False
+    return True
+
+
+def _matches(node, chain):
+    if not _fits(node, chain[-1]):
+        return False
+    above, wanted = node.parent, len(chain) - 2
+    while wanted >= 0 and above is not None:
+        if _fits(above, chain[wanted]):
+            wanted -= 1
+        above = above.parent
+    return wanted < 0
+
+
+def select(node, selector):
+    for found in _walk(node):
+        if any(_matches(found, chain) for chain in selector):
+            yield found
+
+
+def _first(card, readings):
+    """First non-empty reading; '' when an element is there but empty; None without any."""
+    seen = None
+    for selector, attribute in readings:
+        found = next(select(card, selector), None)
+        if found is not None:
+            seen = found.attrs.get(attribute, "").strip() if attribute else _text(found)
+            if seen:
+                return seen
+    return seen
+
+
+def read_cards(html, card_selectors, single, multiple):
+    """Fields of every card. The first card selector that matches is used.
+    ``single``: name to readings; ``multiple``: name to selector, all texts."""
+    tree = _Tree()
+    tree.feed(html or "")
+    tree.close()
+    for selector in card_selectors:
+        cards = list(select(tree.root, selector))
+        if cards:
+            break
+    return [
+        {
+            **{name: _first(card, readings) for name, readings in single.items()},
+            **{name: [_text(n) for n in select(card, selector)] for name, selector in multiple.items()},
+        }
+        for card in cards
+    ]
