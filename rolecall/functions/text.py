@@ -40,7 +40,8 @@ def _combining_class() -> str:
                 ranges[-1][1] = code
             else:
                 ranges.append([code, code])
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+    # \\p{M} first: a table lookup that spares nearly every character the ranges
+    return "[\\p{M}&&[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]]"
 
 
 _FOLD_FROM, _FOLD_TO = _fold_tables()

@@ -5,6 +5,7 @@ rules runs in one pass over the data.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -173,14 +174,18 @@ def expected_sources(df: DataFrame, expected, source: str = "source") -> DataFra
     return counted.select(source, rows.alias("row_count"), (rows > 0).alias("present"))
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """One-row frames with different columns side by side in one row."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def row_reconciliation(before: DataFrame, after: DataFrame, distinct_keys=None) -> DataFrame:
     """Rows (or distinct non-NULL keys) on both sides and whether they agree.
     To be asked before publishing, not after."""
     counted = F.count_distinct(*distinct_keys) if distinct_keys else F.count(F.lit(1))
-    left = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    right = after.agg(counted.alias("rows_after"))
-    # one row each side
-    return left.crossJoin(right).withColumn("matches", F.col("rows_before") == F.col("rows_after"))
+    both = one_row(before.agg(F.count(F.lit(1)).alias("rows_before")), after.agg(counted.alias("rows_after")))
+    return both.withColumn("matches", F.col("rows_before") == F.col("rows_after"))
 
 
 def removed_rows(raw: DataFrame, kept: DataFrame) -> DataFrame:

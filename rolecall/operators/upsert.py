@@ -63,7 +63,8 @@ def insert_only(target: DataFrame, source: DataFrame, keys: list[str], null_safe
 
     The target's keys are first cut down to those the source has (a semi join
     that broadcasts a small source), then made distinct, so neither a large
-    target nor a hot target key is shuffled into the final anti join.
+    target nor a hot target key is shuffled into the final anti join. Rows with a
+    NULL key match nothing and bypass it.
     """
     if null_safe_keys:
         held = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
@@ -71,8 +72,8 @@ def insert_only(target: DataFrame, source: DataFrame, keys: list[str], null_safe
         matched = held.join(wanted, _same_key("_t_", "_s_", keys), "left_semi").distinct()
         return source.join(matched, _same_key("", "_t_", keys), "left_anti").select(*target.columns)
     matched = target.select(*keys).join(source.select(*keys).distinct(), keys, "left_semi").distinct()
-    unmatched = source.join(matched, keys, "left_anti")
-    return unmatched.select(*target.columns)
+    unmatched = source.filter(~_any_null(keys)).join(matched, keys, "left_anti").select(*target.columns)
+    return unmatched.unionByName(source.filter(_any_null(keys)).select(*target.columns))
 
 
 def insert_only_merge(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

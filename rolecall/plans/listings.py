@@ -7,6 +7,8 @@ spelling of a location, and the salary shapes that the dialects treat apart.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rolecall.sources.readers import parquet_scan
+
 LISTING_FIELDS = """
   CASE WHEN l_linenumber % 2 = 0 THEN 'itviec' ELSE 'topcv' END AS source,
   CASE l_orderkey % 5 WHEN 0 THEN 'data-engineer' WHEN 1 THEN 'big-data'
@@ -61,5 +63,5 @@ def listings_sql(batches: bool = False, braces: bool = False) -> str:
 
 
 def listings(spark: SparkSession, sf_dir: str, batches: bool = False) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part", "supplier")}
+    tables = {t: parquet_scan(spark, f"{sf_dir}/{t}.parquet", spread=t == "lineitem") for t in ("lineitem", "part", "supplier")}
     return spark.sql(listings_sql(batches, braces=True), **tables)

@@ -180,6 +180,9 @@ def _skills(whole_words: bool = False) -> tuple[str, str]:
     return ("skills", f"SELECT * FROM (VALUES {rows}) v(needle, skill, pattern)")
 
 
+SEARCHED = ("searched", f"SELECT url, {search('title', 'tags')} AS st, count(*) AS k FROM listings GROUP BY 1, 2")
+
+
 def skill_mart(source: str = "ready") -> str:
     return (
         "SELECT skill, source, location_std, report_date, count(DISTINCT url) AS job_count "
@@ -576,10 +579,8 @@ ORACLE = {
     "title_clean": ctes(RAW, ("texts", "SELECT title AS text FROM listings UNION ALL SELECT text FROM documents"),
                         ("cleaned", f"SELECT trim(regexp_replace(coalesce(text, ''), '{_BLANK}+', ' ', 'g'), ' ') AS cleaned FROM texts")) +
                    "SELECT md5(cleaned) AS cleaned_md5, CAST(length(cleaned) AS INTEGER) AS chars, count(*) AS n FROM cleaned GROUP BY 1, 2",
-    "skill_match": ctes(RAW, _skills()) + f"SELECT skill, url, count(*) AS n FROM (SELECT url, {search('title', 'tags')} AS st FROM listings) "
-                                          "JOIN skills ON contains(st, needle) GROUP BY skill, url",
-    "skill_match_words": ctes(RAW, _skills()) + f"SELECT skill, url, count(*) AS n FROM (SELECT url, {search('title', 'tags')} AS st FROM listings) "
-                                                "JOIN skills ON regexp_matches(st, pattern) GROUP BY skill, url",
+    "skill_match": ctes(RAW, _skills(), SEARCHED) + "SELECT skill, url, CAST(sum(k) AS BIGINT) AS n FROM searched JOIN skills ON contains(st, needle) GROUP BY skill, url",
+    "skill_match_words": ctes(RAW, _skills(), SEARCHED) + "SELECT skill, url, CAST(sum(k) AS BIGINT) AS n FROM searched JOIN skills ON regexp_matches(st, pattern) GROUP BY skill, url",
     "tags_decode_top6": ctes(RAW, ("mixed", "SELECT tags FROM listings UNION ALL SELECT concat_ws(', ', keyword, title, ' ', location, work_type, "
                                             "posted, company, source) FROM listings")) + (
         "SELECT tags, array_to_string(list_slice(CASE WHEN tags LIKE '[%' THEN CAST(json_extract_string(tags, '$[*]') AS VARCHAR[]) "

@@ -35,7 +35,8 @@ def query(function):
 # ---- inputs ---------------------------------------------------------------
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    # long texts and pages are what per-row work is spent on
+    return readers.parquet_scan(spark, f"{sf}/{name}.parquet", spread=name in ("documents", "pages"))
 
 
 def dated(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +176,8 @@ def _card_pages(spark, sf):
     second_site = F.concat(
         F.lit('<html><body><div class="job-item-search-result"></div><div class="job-item-search-result x">'
               '<h3 class="title"><a href="'), F.coalesce("url", F.lit("")), F.lit('?ta_source=l" title="'),
-        escaped(F.col("title"), True), F.lit('">other</a></h3><a class="company"><span class="company-name">'), company,
+        escaped(F.col("title"), True), F.lit('">'),
+        F.when(F.col("title").isNull(), "").otherwise("other"), F.lit('</a></h3><a class="company"><span class="company-name">'), company,
         F.lit("</span></a>"), pay_label, F.lit('<label class="address"><span class="city-text">'), spot,
         F.lit('</span></label><div class="tag">'), tag_list('<a class="item-tag">', "</a>"),
         F.lit('</div><label class="address mobile-hidden label-update">'), F.col("posted"),
@@ -1150,7 +1152,7 @@ def incremental_silver(spark, sf):
 def incremental_silver_run(spark, base):
     from rolecall.streaming import incremental
 
-    return incremental.incremental_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/progress", multi_line=False)
+    return incremental.incremental_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/progress", multi_line=False, buckets=4)
 
 
 @query

@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rolecall.operators.quality import one_row
+
 
 def latest_rows(df: DataFrame, date: str = "report_date") -> DataFrame:
     """Rows of the latest date, through a scalar subquery (one row, broadcast)."""
@@ -44,8 +46,7 @@ def alert_gate(alerts: DataFrame, summary: DataFrame, report_date: str) -> DataF
     day = F.col("report_date") == F.to_date(F.lit(report_date))
     counted = alerts.filter(day).agg(F.count(F.lit(1)).alias("alert_count"))
     totals = summary.filter(day).agg(F.coalesce(F.sum("total_jobs"), F.lit(0)).alias("total_jobs"))
-    # one row each side
-    return counted.crossJoin(totals).withColumn(
+    return one_row(counted, totals).withColumn(
         "branch", F.when(F.col("alert_count") > 0, "notify").otherwise("skip")
     )
 

@@ -15,6 +15,7 @@ _PART = re.compile(r"^([\w-]+)|\.([\w-]+)|\[([\w-]+)(?:(\*?=)['\"]?([^'\"\]]*)['
 class _Node:
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.classes = set(attrs["class"].split()) if "class" in attrs else set()
         self.children = []
 
 
@@ -62,20 +63,25 @@ def _text(node):
 
 
 def compile_selector(css):
-    """A selector text to a list of chains, each a list of compound tests."""
-    return [[_PART.findall(compound) for compound in chain.split()] for chain in css.split(",")]
+    """A selector text to a list of chains, each a list of (tag, classes, attribute
+    tests) that reads from the outermost element to the wanted one."""
+    return [[_compound(text) for text in chain.split()] for chain in css.split(",")]
+
+
+def _compound(text):
+    parts = _PART.findall(text)
+    tag = next((p[0] for p in parts if p[0]), None)
+    return tag, {p[1] for p in parts if p[1]}, [p[2:] for p in parts if p[2]]
 
 
 def _fits(node, compound):
-    for tag, cls, attr, operator, value in compound:
-        if tag and node.tag != tag:
-            return False
-        if cls and cls not in node.attrs.get("class", "").split():
+    tag, classes, attributes = compound
+    if (tag and node.tag != tag) or not classes <= node.classes:
+        return False
+    for name, operator, value in attributes:
+        actual = node.attrs.get(name)
+        if actual is None or (operator == "=" and actual != value) or (operator == "*=" and value not in actual):
             return False
-        if attr:
-            actual = node.attrs.get(attr)
-            if actual is None or (operator == "=" and actual != value) or (operator == "*=" and value not in actual):
-                return False
     return True
 
 
@@ -90,19 +96,21 @@ def _matches(node, chain):
     return wanted < 0
 
 
-def select(node, selector):
-    for found in _walk(node):
-        if any(_matches(found, chain) for chain in selector):
-            yield found
+def _select(nodes, selector):
+    """Those of ``nodes`` that a selector matches, in document order."""
+    if len(selector) == 1:
+        chain = selector[0]
+        return (n for n in nodes if _matches(n, chain))
+    return (n for n in nodes if any(_matches(n, chain) for chain in selector))
 
 
-def _first(card, readings):
+def _first(nodes, readings):
     """First non-empty reading; '' when an element is there but empty; None without any."""
     seen = None
     for selector, attribute in readings:
-        found = next(select(card, selector), None)
+        found = next(_select(nodes, selector), None)
         if found is not None:
-            seen = found.attrs.get(attribute, "").strip() if attribute else _text(found)
+            seen = found.attrs.get(attribute, "") if attribute else _text(found)
             if seen:
                 return seen
     return seen
@@ -114,14 +122,14 @@ def read_cards(html, card_selectors, single, multiple):
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
+    everything = list(_walk(tree.root))
+    records = []
     for selector in card_selectors:
-        cards = list(select(tree.root, selector))
-        if cards:
+        for card in _select(everything, selector):
+            nodes = list(_walk(card))
+            record = {name: _first(nodes, readings) for name, readings in single.items()}
+            record.update({name: [_text(n) for n in _select(nodes, css)] for name, css in multiple.items()})
+            records.append(record)
+        if records:
             break
-    return [
-        {
-            **{name: _first(card, readings) for name, readings in single.items()},
-            **{name: [_text(n) for n in select(card, selector)] for name, selector in multiple.items()},
-        }
-        for card in cards
-    ]
+    return records

@@ -19,14 +19,15 @@ def quarantine(df: DataFrame, path: str, partition_by=("source",)) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace_batches(df: DataFrame, path: str, partition_by=("source", "batch_date")) -> None:
+def replace_batches(df: DataFrame, path: str, partition_by=("source", "batch_date"), rebalance: bool = True) -> None:
     """Replace exactly the partitions that ``df`` holds; others stay untouched.
 
     Rows are rebalanced by partition first: few files per partition, and one that
-    holds most rows is split over many tasks instead of written by one.
+    holds most rows is split over many tasks instead of written by one. Spare that
+    shuffle with ``rebalance=False`` where ``df`` holds only a few partitions.
     """
     (
-        df.hint("rebalance", *partition_by)
+        (df.hint("rebalance", *partition_by) if rebalance else df)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path)
     )
@@ -141,19 +142,22 @@ def batch_envelopes(
     listings each; ``total`` counts the listings of the envelope.
 
     A batch of any size is spread over as many envelopes as it needs. Records are
-    assigned by content hash, and equal records by their copy number, so neither
-    a big batch nor a mass of copies ends up in one row, and a retried task
-    assigns every record as before.
+    assigned by content hash, and equal records by input partition and copy number,
+    so neither a big batch nor a mass of copies ends up in one row or one task, and
+    a retried task assigns every record as before.
     """
     batch = list(batch)
     fields = [c for c in df.columns if c not in batch]
-    copies = df.groupBy(*batch, *fields).agg(F.count(F.lit(1)).alias("_copies"))
+    # copies are counted within their input partition, which bounds each count
+    copies = df.withColumn("_part", F.spark_partition_id()).groupBy(*batch, *fields, "_part").agg(
+        F.count(F.lit(1)).alias("_copies")
+    )
     sizes = df.groupBy(*batch).agg(F.ceil(F.count(F.lit(1)) / F.lit(target_records)).alias("_chunks")).withColumnsRenamed(
         {c: f"_b_{c}" for c in batch}
     )
     on = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in batch]
     each = copies.join(sizes, on).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-    chunk = F.pmod(F.xxhash64("_copy", *fields), F.col("_chunks"))
+    chunk = F.pmod(F.xxhash64("_part", "_copy", *fields), F.col("_chunks"))
     return (
         each.withColumn("_chunk", chunk)
         .groupBy(*batch, "_chunk")

@@ -1,6 +1,6 @@
 """New raw files into a Silver table, resumable and idempotent by key."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolecall.operators.filters import clean_rows
 from rolecall.operators.schema import flatten_envelope
@@ -11,12 +11,14 @@ from rolecall.sources.sinks import upsert_into
 
 def incremental_silver(
     spark: SparkSession, raw_path: str, silver_path: str, checkpoint: str,
-    schema: str = RAW_SCHEMA, multi_line: bool = True, max_files: int | None = None,
+    schema: str = RAW_SCHEMA, multi_line: bool = True, max_files: int | None = None, buckets: int = 64,
 ):
     """Process all raw files that have landed since the last run, then stop.
 
     Each micro-batch is validated, normalised, deduplicated and upserted by
-    (source, url); a replayed batch gives the same table. Returns the finished query.
+    (source, url); a replayed batch gives the same table. The table is partitioned
+    by source and by a hash bucket of the url, so a micro-batch rewrites only the
+    buckets its urls fall in. Returns the finished query.
     """
     reader = spark.readStream.schema(schema).option("multiLine", multi_line).option("recursiveFileLookup", True)
     if max_files is not None:
@@ -24,7 +26,9 @@ def incremental_silver(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         silver = cloud_silver(clean_rows(flatten_envelope(batch)))
-        upsert_into(silver, silver_path, ["source", "url"], ["source"])
+        bucketed = silver.withColumn("url_bucket", F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int"))
+        # a function of the url, the bucket is part of the key
+        upsert_into(bucketed, silver_path, ["source", "url", "url_bucket"], ["source", "url_bucket"])
 
     query = (
         reader.json(raw_path).writeStream.foreachBatch(apply)
