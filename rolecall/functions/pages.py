@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from .text import BLANK, strip_blank
+from .text import BLANK, contains_any, strip_blank
 
 # Texts that tell why a page shows no listings, lower case.
 BLOCK_MARKERS = (
@@ -21,17 +21,14 @@ def page_outcome(
     status: Column, url: Column, title: Column, body: Column, cards: Column, links: Column
 ) -> Column:
     """Why a page did or did not show listings; the first rule that holds wins."""
-    def has(text: Column, markers) -> Column:
-        return text.rlike("|".join(markers))
-
     text = F.lower(F.concat_ws("\n", F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))))
     return (
         F.when(cards > 0, "jobs_visible")
-        .when(has(text, BLOCK_MARKERS), "cloudflare_block")
+        .when(contains_any(text, BLOCK_MARKERS), "cloudflare_block")
         .when(status == 429, "rate_limited")
         .when(status == 403, "access_denied")
-        .when(has(text, CHALLENGE_MARKERS), "anti_bot_challenge")
-        .when(has(F.lower(F.coalesce(url, F.lit(""))), LOGIN_MARKERS), "login_redirect")
+        .when(contains_any(text, CHALLENGE_MARKERS), "anti_bot_challenge")
+        .when(contains_any(F.lower(F.coalesce(url, F.lit(""))), LOGIN_MARKERS), "login_redirect")
         .when(links > 0, "selector_drift")
         .otherwise("empty_unknown")
     )

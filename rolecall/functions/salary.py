@@ -13,7 +13,7 @@ import unicodedata
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import ascii_fold, strip_blank
+from .text import ascii_fold, contains_any, strip_blank
 
 # Number shapes of the posted dialect.
 POSTED_NUMBER = r"(\d{1,3}(?:[.,]\d{3})*(?:\.\d+)?|\d+(?:\.\d+)?)"
@@ -37,10 +37,6 @@ _DIGIT_FROM = "".join(_DIGITS)
 _DIGIT_TO = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 
-def _any(text: Column, phrases) -> Column:
-    return text.rlike("|".join(phrases))
-
-
 # ---- posted dialect -------------------------------------------------------
 
 def posted_text(salary: Column) -> Column:
@@ -49,14 +45,14 @@ def posted_text(salary: Column) -> Column:
 
 def posted_currency(text: Column) -> Column:
     """USD when the text shows ``usd`` or ``$``, else VND. Takes posted_text."""
-    return F.when(text.rlike(r"usd|\$"), "USD").otherwise("VND")
+    return F.when(contains_any(text, ("usd", "$")), "USD").otherwise("VND")
 
 
 def posted_multiplier(text: Column, currency: Column) -> Column:
     return (
         F.when(currency == "USD", 1.0)
-        .when(text.rlike(f"triệu|tr{_END}|million"), 1_000_000.0)
-        .when(text.rlike(f"nghìn|k{_END}|thousand"), 1_000.0)
+        .when(contains_any(text, ("triệu", "million")) | text.rlike(f"tr{_END}"), 1_000_000.0)
+        .when(contains_any(text, ("nghìn", "thousand")) | text.rlike(f"k{_END}"), 1_000.0)
         .otherwise(1.0)
     )
 
@@ -112,7 +108,7 @@ def number_token(token: Column) -> Column:
 def folded_currency(raw: Column, folded: Column) -> Column:
     return (
         F.when(raw.contains("$") | folded.contains("usd"), "USD")
-        .when(_any(folded, VND_MARKS), "VND")
+        .when(contains_any(folded, VND_MARKS), "VND")
         .otherwise("UNKNOWN")
     )
 
@@ -132,7 +128,7 @@ def _folded_salary(df: DataFrame, salary: str) -> DataFrame:
     numbers = F.filter(F.transform(tokens, number_token), lambda v: v.isNotNull())
     return (
         df.withColumn("_s", ascii_fold(F.col(salary)))
-        .withColumn("_shown", (s != "") & ~_any(s, NEGOTIABLE))
+        .withColumn("_shown", (s != "") & ~contains_any(s, NEGOTIABLE))
         .withColumn(
             "currency",
             F.when(F.col("_shown"), folded_currency(F.coalesce(F.col(salary), F.lit("")), s))
@@ -141,8 +137,8 @@ def _folded_salary(df: DataFrame, salary: str) -> DataFrame:
         .withColumns({
             "_m": folded_multiplier(s, F.col("currency")),
             "_n": F.when(F.col("_shown"), numbers),
-            "_upper": _any(s, UPPER_BOUND),
-            "_lower": _any(s, LOWER_BOUND),
+            "_upper": contains_any(s, UPPER_BOUND),
+            "_lower": contains_any(s, LOWER_BOUND),
         })
         .withColumns({"_first": first * F.col("_m"), "_second": second * F.col("_m")})
         .withColumns({

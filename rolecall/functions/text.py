@@ -1,23 +1,29 @@
 """Text folding and cleaning as Column expressions."""
 
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
-# Fixed value: every character Python's str.strip and its \s treat as blank.
-# Java's \s alone knows only the ASCII ones.
+# Fixed value: every character that Python's str.strip and its \s treat as blank,
+# as a regex class and as plain text. Java's \s alone knows only the ASCII ones.
 BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+BLANK_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # Letters the compatibility decomposition leaves whole but folding must map.
 _FIXED_FOLDS = {"Đ": "D", "đ": "d"}
 
 
 def _fold_tables() -> tuple[str, str]:
-    """Single-character folds, derived from the Unicode tables: every character
-    of the Latin, general punctuation and full-width blocks whose decomposition
-    minus its combining marks is exactly one other character."""
+    """Arguments of ``translate``, derived from the Unicode tables.
+
+    Mapped: every character of the Latin, general punctuation and full-width blocks
+    whose decomposition minus its combining marks is exactly one other character.
+    Dropped, having no counterpart in the second text: all characters with a
+    combining class (not all marks: Thai and Devanagari vowel signs have none).
+    """
     blocks = [(0xA0, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x3000, 0x3000), (0xFF01, 0xFF5E)]
     src, dst = "", ""
     for first, last in blocks:
@@ -27,30 +33,20 @@ def _fold_tables() -> tuple[str, str]:
             plain = _FIXED_FOLDS.get(char, plain)
             if len(plain) == 1 and plain != char:
                 src, dst = src + char, dst + plain
-    return src, dst
-
-
-def _combining_class() -> str:
-    """Regex class of all characters with a non-zero combining class, as ranges.
-    (\\p{M} is wider: it would also drop, e.g., Thai and Devanagari vowel signs.)"""
-    ranges: list[list[int]] = []
-    for code in range(0x300, 0x1F000):
-        if unicodedata.combining(chr(code)):
-            if ranges and ranges[-1][1] == code - 1:
-                ranges[-1][1] = code
-            else:
-                ranges.append([code, code])
-    # \\p{M} first: a table lookup that spares nearly every character the ranges
-    return "[\\p{M}&&[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]]"
+    return src + "".join(chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c))), dst
 
 
 _FOLD_FROM, _FOLD_TO = _fold_tables()
-_COMBINING = _combining_class()
 
 
 def strip_blank(text: Column) -> Column:
     """Cut blanks of any kind from both ends (``trim`` cuts only U+0020)."""
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANK_CHARACTERS))
+
+
+def contains_any(text: Column, phrases) -> Column:
+    """Any of the phrases occurs (plain searches beat one alternation pattern)."""
+    return reduce(lambda a, b: a | b, [text.contains(p) for p in phrases])
 
 
 def ascii_fold(text: Column, compat: bool = False) -> Column:
@@ -63,8 +59,7 @@ def ascii_fold(text: Column, compat: bool = False) -> Column:
     text = F.coalesce(text.cast(StringType()), F.lit(""))
     if compat:
         return _nfkd_fold()(text)
-    plain = F.regexp_replace(F.translate(text, _FOLD_FROM, _FOLD_TO), _COMBINING, "")
-    return strip_blank(F.lower(plain))
+    return strip_blank(F.lower(F.translate(text, _FOLD_FROM, _FOLD_TO)))
 
 
 def _nfkd_fold():

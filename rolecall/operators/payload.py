@@ -3,6 +3,8 @@
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rolecall.functions.text import contains_any
+
 MAX_PAYLOAD_BYTES = 100 * 1024 * 1024
 
 # Fragments that a payload's object keys must not contain.
@@ -93,15 +95,20 @@ def canonical_json(json: Column) -> Column:
     return F.to_json(strict_variant(json))
 
 
-def sensitive_keys(json: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
-    """All object keys, at any depth, that contain a sensitive fragment (case and
-    ``-``/``_`` ignored). Text values are never judged."""
+def object_keys(json: Column) -> Column:
+    """All object keys of a JSON text, at any depth, in canonical order."""
     tokens = F.regexp_extract_all(canonical_json(json), F.lit(_STRING_TOKEN), F.lit(0))
-    keys = F.transform(
-        F.filter(tokens, lambda t: t.endswith(":")),
-        lambda t: F.regexp_replace(t, r'^"|"\s*:$', ""),
-    )
-    return F.filter(keys, lambda k: F.replace(F.lower(k), F.lit("-"), F.lit("_")).rlike("|".join(fragments)))
+    return F.transform(F.filter(tokens, lambda t: t.endswith(":")), lambda t: F.regexp_replace(t, r'^"|"\s*:$', ""))
+
+
+def is_sensitive(key: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
+    """The key contains a sensitive fragment (case and ``-``/``_`` ignored)."""
+    return contains_any(F.replace(F.lower(key), F.lit("-"), F.lit("_")), fragments)
+
+
+def sensitive_keys(json: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
+    """The sensitive ones of all object keys. Text values are never judged."""
+    return F.filter(object_keys(json), lambda k: is_sensitive(k, fragments))
 
 
 def sensitive_key_scan(df: DataFrame, json: str, fragments=SENSITIVE_KEY_FRAGMENTS, with_path: bool = False) -> DataFrame:
@@ -139,9 +146,12 @@ def _first_path(fragments):
     return first_path
 
 
-def nested_key_schema(df: DataFrame, json: str) -> DataFrame:
-    """One row: the merged schema of all records, every nested key included."""
-    return df.agg(F.schema_of_variant_agg(F.try_parse_json(json)).alias("schema"))
+def key_inventory(df: DataFrame, json: str, fragments=SENSITIVE_KEY_FRAGMENTS) -> DataFrame:
+    """Every key of a data set: how many records hold it and whether it is
+    sensitive. Counted before the shuffle, which carries distinct keys only."""
+    keys = df.select(F.explode(F.array_distinct(object_keys(F.col(json)))).alias("key"))
+    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("records"))
+    return counted.withColumn("sensitive", is_sensitive(F.col("key"), fragments))
 
 
 def batch_checksum(df: DataFrame, json: str, batch: list[str]) -> DataFrame:

@@ -688,6 +688,10 @@ ORACLE = {
         "CASE event_type WHEN 'error' THEN '$.meta[1].Session-Token' ELSE '$.Authorization' END AS key_path "
         "FROM events WHERE event_type IN ('error', 'click')"
     ),
+    "payload_key_inventory": ctes(("held", "SELECT unnest(CASE event_type WHEN 'error' THEN ['meta', 'Session-Token', 'inner', 'k'] "
+                                          "WHEN 'purchase' THEN ['note', 'p', 'k'] WHEN 'click' THEN ['Authorization', 'a', 'cookie', 'p', 'k'] "
+                                          "ELSE ['k'] END) AS key FROM events")) +
+                             "SELECT key, count(*) AS records, key IN ('Session-Token', 'Authorization', 'cookie') AS sensitive FROM held GROUP BY key",
     "canonical_checksum": ctes(*BATCH_SUMS) + "SELECT event_type, day, record_count, checksum FROM incoming",
     "batch_date_valid": ctes(*DATES) + r"SELECT o_orderkey, value, coalesce(regexp_full_match(value, '\d{4}-\d{2}-\d{2}') "
                                        "AND TRY_CAST(value AS DATE) IS NOT NULL, false) AS valid FROM dates",

@@ -36,7 +36,8 @@ def query(function):
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     # long texts and pages are what per-row work is spent on
-    return readers.parquet_scan(spark, f"{sf}/{name}.parquet", spread=name in ("documents", "pages"))
+    spread_by = {"documents": ("doc_id",), "pages": ("page_id",)}.get(name, ())
+    return readers.parquet_scan(spark, f"{sf}/{name}.parquet", spread_by)
 
 
 def dated(spark: SparkSession, sf: str) -> DataFrame:
@@ -1089,6 +1090,11 @@ def sensitive_key_scan(spark, sf):
     return hits.select("event_id", F.array_join("sensitive_keys", ",").alias("keys"), "key_path")
 
 
+@query
+def payload_key_inventory(spark, sf):
+    return payload.key_inventory(event_payloads(spark, sf), "payload")
+
+
 @query
 def canonical_checksum(spark, sf):
     return _checksums(spark, sf)[0]

@@ -29,15 +29,16 @@ def with_file_lineage(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("ingested_at"))
 
 
-def parquet_scan(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
-    """A Parquet scan. ``spread`` is for costly work on each row: a table that fills
-    fewer tasks than there are cores is first dealt out to all of them. A table with
-    enough splits is left as it is, so no large one is ever shuffled for this."""
+def parquet_scan(spark: SparkSession, path: str, spread_by: tuple = ()) -> DataFrame:
+    """A Parquet scan. ``spread_by`` (a key of many values) is for costly work on each
+    row: a table that fills fewer tasks than there are cores is first dealt out to
+    all of them. A table with enough splits is left as it is, so no large one is
+    ever shuffled for this."""
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
     # a bare scan, so asking for its splits plans it but runs nothing
-    if spread and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    if spread_by and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *spread_by)
     return df
 
 
