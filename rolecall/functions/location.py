@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .compute import add_once
 from .text import ascii_fold, contains_any
 
 # "hn" as a word of its own. A boundary written out: \b differs between Java
@@ -57,4 +58,5 @@ def location_std(text: Column, dialect: str = "folded") -> Column:
 
 def with_location(df: DataFrame, location: str = "location", dialect: str = "folded", out: str = "location_std") -> DataFrame:
     """As ``location_std``, with the comparable text computed once per row."""
-    return df.withColumn("_l", _comparable(F.col(location), dialect)).withColumn(out, _label(F.col("_l"), dialect)).drop("_l")
+    texts = df.withColumn("_l", _comparable(F.col(location), dialect))
+    return add_once(texts, {out: _label(F.col("_l"), dialect)}).drop("_l")

@@ -13,6 +13,7 @@ import unicodedata
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .compute import add_once
 from .text import ascii_fold, contains_any, strip_blank
 
 # Number shapes of the posted dialect.
@@ -68,22 +69,22 @@ def _posted_salary(df: DataFrame, salary: str) -> DataFrame:
     # several times is evaluated once per row.
     is_upper = F.col("_s").contains("up to")
     first = F.col("_v1") * F.col("_m")
-    return (
+    steps = (
         df.withColumn("_s", posted_text(F.col(salary)))
-        .withColumn("currency", posted_currency(F.col("_s")))
+        .withColumn("_c", posted_currency(F.col("_s")))
         .withColumns({
-            "_m": posted_multiplier(F.col("_s"), F.col("currency")),
+            "_m": posted_multiplier(F.col("_s"), F.col("_c")),
             "_v1": posted_number(F.col("_s")),
             "_v2": posted_number(F.col("_s"), POSTED_NUMBER_AFTER_DASH),
         })
-        .withColumns({
-            "min_salary": F.when(~is_upper, first),
-            "max_salary": F.when(is_upper, first)
-            .when(F.col("_v2") > 0, F.col("_v2") * F.col("_m"))
-            .when(F.col("_v2").isNull(), first),
-        })
-        .drop("_s", "_m", "_v1", "_v2")
     )
+    return add_once(steps, {
+        "currency": F.col("_c"),
+        "min_salary": F.when(~is_upper, first),
+        "max_salary": F.when(is_upper, first)
+        .when(F.col("_v2") > 0, F.col("_v2") * F.col("_m"))
+        .when(F.col("_v2").isNull(), first),
+    }).drop("_s", "_c", "_m", "_v1", "_v2")
 
 
 # ---- folded dialect -------------------------------------------------------
@@ -126,31 +127,31 @@ def _folded_salary(df: DataFrame, salary: str) -> DataFrame:
     s, first, second = F.col("_s"), F.get("_n", F.lit(0)), F.get("_n", F.lit(1))
     tokens = F.regexp_extract_all(s, F.lit(r"\p{Nd}+(?:[,.]\p{Nd}+)*"), F.lit(0))
     numbers = F.filter(F.transform(tokens, number_token), lambda v: v.isNotNull())
-    return (
+    steps = (
         df.withColumn("_s", ascii_fold(F.col(salary)))
         .withColumn("_shown", (s != "") & ~contains_any(s, NEGOTIABLE))
         .withColumn(
-            "currency",
+            "_c",
             F.when(F.col("_shown"), folded_currency(F.coalesce(F.col(salary), F.lit("")), s))
             .otherwise("UNKNOWN"),
         )
         .withColumns({
-            "_m": folded_multiplier(s, F.col("currency")),
+            "_m": folded_multiplier(s, F.col("_c")),
             "_n": F.when(F.col("_shown"), numbers),
             "_upper": contains_any(s, UPPER_BOUND),
             "_lower": contains_any(s, LOWER_BOUND),
         })
         .withColumns({"_first": first * F.col("_m"), "_second": second * F.col("_m")})
-        .withColumns({
-            "min_salary": F.when(F.col("_upper"), F.lit(None))
-            .when(F.col("_lower"), F.col("_first"))
-            .otherwise(F.least("_first", F.coalesce("_second", "_first"))),
-            "max_salary": F.when(F.col("_upper"), F.col("_first"))
-            .when(F.col("_lower"), F.lit(None))
-            .otherwise(F.greatest("_first", F.coalesce("_second", "_first"))),
-        })
-        .drop("_s", "_shown", "_m", "_n", "_upper", "_lower", "_first", "_second")
     )
+    return add_once(steps, {
+        "currency": F.col("_c"),
+        "min_salary": F.when(F.col("_upper"), F.lit(None))
+        .when(F.col("_lower"), F.col("_first"))
+        .otherwise(F.least("_first", F.coalesce("_second", "_first"))),
+        "max_salary": F.when(F.col("_upper"), F.col("_first"))
+        .when(F.col("_lower"), F.lit(None))
+        .otherwise(F.greatest("_first", F.coalesce("_second", "_first"))),
+    }).drop("_s", "_shown", "_c", "_m", "_n", "_upper", "_lower", "_first", "_second")
 
 
 # ---- entry points ---------------------------------------------------------

@@ -3,6 +3,7 @@
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rolecall.functions.compute import add_once
 from rolecall.functions.text import contains_any
 
 MAX_PAYLOAD_BYTES = 100 * 1024 * 1024
@@ -114,7 +115,8 @@ def sensitive_keys(json: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
 def sensitive_key_scan(df: DataFrame, json: str, fragments=SENSITIVE_KEY_FRAGMENTS, with_path: bool = False) -> DataFrame:
     """Rows with a sensitive key, with those keys in ``sensitive_keys``.
     ``with_path`` adds where the first one sits; only the hits pay for that."""
-    hits = df.withColumn("sensitive_keys", sensitive_keys(F.col(json), fragments)).filter(F.size("sensitive_keys") > 0)
+    scanned = add_once(df, {"sensitive_keys": sensitive_keys(F.col(json), fragments)})
+    hits = scanned.filter(F.size("sensitive_keys") > 0)
     return hits.withColumn("key_path", _first_path(fragments)(F.col(json))) if with_path else hits
 
 

@@ -630,8 +630,13 @@ def dedupe_latest_order(spark, sf):
 
 # ---- top-k and sets -------------------------------------------------------
 
+def stored_days(spark, sf):
+    """Listings of all batches as a stored table, which serving queries read."""
+    return sinks.stage(marts.prepare(many_days(spark, sf), REPORT_DATE).withColumn("report_date", F.to_date("batch_date")), "days")
+
+
 def serving_jobs(spark, sf):
-    return marts.source_jobs(many_days(spark, sf), "itviec")
+    return marts.source_jobs(stored_days(spark, sf), "itviec")
 
 
 @query
@@ -641,19 +646,20 @@ def latest_listings(spark, sf):
 
 @query
 def listings_by_keyword(spark, sf):
-    wanted = serving.listings_by_keyword(serving_jobs(spark, sf), "big-data", 7).withColumn("mode", F.lit("keyword"))
-    anything = serving.listings_by_keyword(serving_jobs(spark, sf), None, 7).withColumn("mode", F.lit("any"))
+    rows = serving_jobs(spark, sf)
+    wanted = serving.listings_by_keyword(rows, "big-data", 7).withColumn("mode", F.lit("keyword"))
+    anything = serving.listings_by_keyword(rows, None, 7).withColumn("mode", F.lit("any"))
     return wanted.unionByName(anything)
 
 
 @query
 def top_salary_alerts(spark, sf):
-    return serving.top_salary_alerts(marts.daily_alerts(marts.high_salary_alerts(many_days(spark, sf))))
+    return serving.top_salary_alerts(marts.daily_alerts(marts.high_salary_alerts(stored_days(spark, sf))))
 
 
 @query
 def source_ranking(spark, sf):
-    return serving.source_ranking(marts.source_stats(many_days(spark, sf)))
+    return serving.source_ranking(marts.source_stats(stored_days(spark, sf)))
 
 
 @query
@@ -663,7 +669,7 @@ def market_report(spark, sf):
 
 @query
 def alert_gate(spark, sf):
-    days = many_days(spark, sf)
+    days = stored_days(spark, sf)
     return serving.alert_gate(marts.daily_alerts(marts.high_salary_alerts(days)), marts.market_summary(days), BATCH)
 
 

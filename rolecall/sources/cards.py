@@ -4,7 +4,10 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from rolecall.functions.pages import WORK_TYPES, canonical_url, salary_placeholder
+from rolecall.functions.compute import add_once
+from rolecall.functions.pages import (
+    WORK_TYPES, body_text, canonical_url, page_outcome, page_title, pattern_count, salary_placeholder,
+)
 from rolecall.functions.text import BLANK, ordered_unique_tags, strip_blank
 
 from . import html_cards
@@ -109,8 +112,6 @@ def classify_pages(
     df: DataFrame, card_pattern: str, link_pattern: str, html: str = "html", url: str = "url", status: str | None = None
 ) -> DataFrame:
     """Adds card and link counts and the outcome of each page, from its HTML."""
-    from rolecall.functions.pages import body_text, page_outcome, page_title, pattern_count
-
     page = F.col(html)
     counted = df.withColumns({
         "card_count": pattern_count(page, card_pattern),
@@ -120,4 +121,4 @@ def classify_pages(
     })
     code = F.col(status) if status else F.lit(200)
     outcome = page_outcome(code, F.col(url), F.col("page_title"), F.col("_body"), F.col("card_count"), F.col("link_count"))
-    return counted.withColumn("outcome", outcome).drop("_body")
+    return add_once(counted, {"outcome": outcome}).drop("_body")

@@ -82,3 +82,12 @@ def test_range_and_alert_flags(spark):
     out = df.select(salary.salary_range_valid(low, high), F.coalesce(salary.is_high_salary(low, F.col("currency")), F.lit(False))).collect()
     assert [r[0] for r in out] == [True, False, False, True, True, True, True, True]
     assert [r[1] for r in out] == [False, False, False, False, True, True, False, False]
+
+
+def test_a_filter_on_parsed_columns_does_not_parse_again(spark, tmp_path):
+    spark.createDataFrame([("1 - 2 USD",)], "salary string").write.parquet(f"{tmp_path}/s")
+    stored = spark.read.parquet(f"{tmp_path}/s")
+    for dialect, extractions in (("posted", 2), ("folded", 1)):
+        parsed = salary.with_salary(stored, "salary", dialect)
+        hits = parsed.filter(salary.is_high_salary(F.col("min_salary"), F.col("currency")))
+        assert hits._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == extractions
