@@ -4,6 +4,7 @@ The ``*_silver`` functions build plans; the ``run_*`` functions also check and
 write. Checks come before the write they guard.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from rolecall.operators.dedupe import keep_best_listing
@@ -12,7 +13,7 @@ from rolecall.operators.quality import (
     QualityError, bronze_suite, require_columns, require_rows, require_sources, rule_aggregates, rule_results,
 )
 from rolecall.operators.schema import flatten_envelope, normalise_listings
-from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, raw_json_scan
+from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, raw_json_scan, spread
 from rolecall.sources.sinks import append_partitioned, publish_nonempty, quarantine, replace_batches, replace_mart, stage, upsert_into
 
 from . import marts
@@ -55,23 +56,33 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, quarantine_
 def run_local_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> bool:
     """All of Bronze to the Silver table, upserted by url; a listing's source, and
     with it its partition, stays as first seen."""
-    silver = local_silver(spark.read.parquet(bronze_path))
+    silver = local_silver(spread(spark.read.parquet(bronze_path)))
     return upsert_into(silver, silver_path, ["url"], ["source"], keep_columns=["source"])
 
 
+def _load_batch(spark: SparkSession, path: str, batch_date: str, empty_code: str) -> DataFrame:
+    """One batch, which must be there and hold rows."""
+    try:
+        batch = batch_partition_scan(spark, path, batch_date)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise QualityError(f"{empty_code}: batch_date={batch_date}") from None
+        raise
+    return require_rows(batch, f"{empty_code}: batch_date={batch_date}")
+
+
 def run_cloud_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, batch_date: str, sources, require_all_sources: bool = True
 ) -> dict[str, int]:
     """One batch of Bronze to Silver partitions; returns rows in, out and removed."""
-    bronze = batch_partition_scan(spark, bronze_path, batch_date)
+    bronze = _load_batch(spark, bronze_path, batch_date, "SILVER_EMPTY_INPUT")
     require_columns(bronze, SILVER_REQUIRED, "SILVER_REQUIRED_COLUMNS_MISSING")
-    require_rows(bronze, "SILVER_EMPTY_INPUT")
     require_sources(bronze, sources, require_all_sources, "SILVER_SOURCE_MISSING")
-    seen = Observation("bronze_rows")
-    counted = bronze.filter(F.col("source").isin(*sources)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    silver = stage(cloud_silver(counted, batch_date), "silver")
+    wanted = bronze.filter(F.col("source").isin(*sources))
+    silver = stage(cloud_silver(spread(wanted), batch_date), "silver")
     require_sources(silver, sources, require_all_sources, "SILVER_SOURCE_EMPTY_AFTER_TRANSFORM")
-    rows_in, rows_out = seen.get["rows"], silver.count()
+    # both counts come from the files' footers
+    rows_in, rows_out = wanted.count(), silver.count()
     replace_batches(silver, silver_path)
     written = batch_partition_scan(spark, silver_path, batch_date, sources).count()
     if written != rows_out:
@@ -91,9 +102,8 @@ def cloud_marts(silver: DataFrame, batch_date: str) -> dict[str, DataFrame]:
 def run_cloud_gold(spark: SparkSession, silver_path: str, gold_path: str, batch_date: str, sources) -> dict[str, DataFrame]:
     """One batch of Silver to its three marts. The distinct jobs must equal the
     Silver rows; that is asked before anything is published."""
-    silver = batch_partition_scan(spark, silver_path, batch_date)
+    silver = _load_batch(spark, silver_path, batch_date, "GOLD_EMPTY_INPUT")
     require_columns(silver, GOLD_REQUIRED, "GOLD_REQUIRED_COLUMNS_MISSING")
-    require_rows(silver, "GOLD_EMPTY_INPUT")
     require_sources(silver, sources, True, "GOLD_SOURCE_MISSING")
     totals = silver.agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("source", "url").alias("jobs")

@@ -1090,6 +1090,24 @@ def payload_record_verdicts(spark, sf):
     return broken.select("event_id", payload.record_verdict(F.col("payload")).alias("verdict"))
 
 
+@query
+def payload_file_contract(spark, sf):
+    """Each event's properties as a whole payload file, good or broken by event type."""
+    kind, props = F.col("event_type"), F.col("props")
+    content = (
+        F.when(kind == "error", F.concat(F.lit("["), props, F.lit(", {}]")))
+        .when(kind == "click", props)
+        .when(kind == "purchase", F.concat(F.lit("["), props))
+        .when(kind == "view", F.concat(F.lit("["), props, F.lit(', {"a": [{"Pass-word": 1, "COOKIES": 2}]}]')))
+        .otherwise(F.concat(F.lit("["), props, F.lit(", "), props, F.lit("]")))
+    )
+    files = table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("path"), F.octet_length(content).cast("bigint").alias("length"),
+        content.cast("binary").alias("content"),
+    )
+    return payload.payload_file_verdict(files)
+
+
 @query
 def sensitive_key_scan(spark, sf):
     hits = payload.sensitive_key_scan(event_payloads(spark, sf), "payload", with_path=True)

@@ -29,17 +29,20 @@ def with_file_lineage(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("ingested_at"))
 
 
+def spread(scan: DataFrame, *by: str) -> DataFrame:
+    """For costly work on each row: a bare scan that fills fewer tasks than there are
+    cores is first dealt out to all of them, by a key of many values or else row by
+    row. A scan with enough splits is left as it is, so no large table is ever
+    shuffled for this."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    # asking a bare scan for its splits plans it but runs nothing
+    return scan.repartition(cores, *by) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def parquet_scan(spark: SparkSession, path: str, spread_by: tuple = ()) -> DataFrame:
-    """A Parquet scan. ``spread_by`` (a key of many values) is for costly work on each
-    row: a table that fills fewer tasks than there are cores is first dealt out to
-    all of them. A table with enough splits is left as it is, so no large one is
-    ever shuffled for this."""
+    """A Parquet scan, spread by a key when one is given (see ``spread``)."""
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    # a bare scan, so asking for its splits plans it but runs nothing
-    if spread_by and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *spread_by)
-    return df
+    return spread(df, *spread_by) if spread_by else df
 
 
 def batch_partition_scan(

@@ -1,5 +1,6 @@
 """Writers that are safe to rerun, plus plain appends."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolecall.operators.quality import require_rows
@@ -55,9 +56,10 @@ def create_table_like(df: DataFrame, table: str, partition_by: str | None = None
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
     try:
-        return bool(spark.read.format("parquet").load(path).columns)
-    except Exception as error:
-        if getattr(error, "getCondition", lambda: None)() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        spark.read.schema("probe int").parquet(path)  # looks the path up, reads nothing
+        return True
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 

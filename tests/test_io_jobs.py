@@ -97,6 +97,8 @@ def test_cloud_gates(spark, tmp_path):
     with pytest.raises(QualityError, match="GOLD_INPUT_TOTAL_MISMATCH"):
         jobs.run_cloud_gold(spark, f"{tmp_path}/doubled", f"{tmp_path}/gold", BATCH, ("itviec",))
     assert not (tmp_path / "gold").exists()  # asked before publishing
+    with pytest.raises(QualityError, match="SILVER_EMPTY_INPUT: batch_date=2020-01-01"):
+        jobs.run_cloud_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", "2020-01-01", ("itviec",))
     with pytest.raises(QualityError, match="MISSING: title"):
         sinks.replace_batches(rows.drop("title"), f"{tmp_path}/untitled")
         jobs.run_cloud_silver(spark, f"{tmp_path}/untitled", f"{tmp_path}/silver", BATCH, ("itviec",))
