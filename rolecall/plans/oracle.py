@@ -520,7 +520,7 @@ ORACLE = {
             for c in ("source", "keyword", "title", "url", "company", "location", "work_type", "salary", "tags", "posted", "batch_date")
         ) + ") AS rn FROM listings) WHERE rn = 1"
     ),
-    "dedupe_latest_order": "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "
+    "dedupe_dearest_order": "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "
                            "ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS rn FROM orders) WHERE rn = 1",
     # top-k and sets
     "latest_listings": ctes(*SERVING_JOBS) + top("jobs", "report_date DESC NULLS LAST, url ASC NULLS FIRST", JOBS_COLUMNS, 5),

@@ -621,7 +621,7 @@ def dedupe_first_seen(spark, sf):
 
 
 @query
-def dedupe_latest_order(spark, sf):
+def dedupe_dearest_order(spark, sf):
     """The generic form on another table: each customer's dearest order."""
     return dedupe.keep_first(table(spark, sf, "orders"), ["o_custkey"], [F.col("o_totalprice").desc_nulls_last()]).select(
         "o_custkey", "o_orderkey", "o_totalprice"

@@ -77,10 +77,9 @@ def read_page_cards(df: DataFrame, profile: dict, html: str = "html", keep=("pag
         blank = {"work_types": [], "tags": []}
         return pages.map(lambda page: [{**blank, **card} for card in read_cards(page, cards, single, multiple)])
 
-    kept = [F.col(c).alias(c if c.startswith("page_") else f"page_{c}") for c in keep]
-    return df.select(*kept, F.explode(page_cards(F.col(html))).alias("_card")).select(
-        *[k for k in (c if c.startswith("page_") else f"page_{c}" for c in keep)], "_card.*"
-    )
+    names = {c: c if c.startswith("page_") else f"page_{c}" for c in keep}
+    kept = [F.col(c).alias(name) for c, name in names.items()]
+    return df.select(*kept, F.explode(page_cards(F.col(html))).alias("_card")).select(*names.values(), "_card.*")
 
 
 def html_listing_extract(

@@ -229,3 +229,22 @@ def test_shared_dir_follows_the_session(spark):
     assert one != two
     if base:
         assert one.startswith(base)
+
+
+def test_only_small_scans_are_spread(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(100).repartition(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    assert readers.spread(one).rdd.getNumPartitions() == cores
+    enough = spark.range(0, 100, numPartitions=cores)
+    assert readers.spread(enough) is enough
+
+
+def test_a_small_staged_source_does_not_shuffle_the_target(spark, tmp_path):
+    from rolecall.operators.upsert import upsert
+
+    ddl = "k string, v int"
+    spark.createDataFrame([("a", 1)], ddl).write.parquet(f"{tmp_path}/target")
+    source = sinks.stage(spark.createDataFrame([("a", 2)], ddl))
+    plan = upsert(spark.read.parquet(f"{tmp_path}/target"), source, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
