@@ -17,11 +17,13 @@ LOGIN_MARKERS = ("dang-nhap", "/login")
 WORK_TYPES = ("At office", "Remote", "Hybrid", "At Office")
 
 
-def page_outcome(
-    status: Column, url: Column, title: Column, body: Column, cards: Column, links: Column
-) -> Column:
-    """Why a page did or did not show listings; the first rule that holds wins."""
-    text = F.lower(F.concat_ws("\n", F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))))
+def shown_text(title: Column, body: Column) -> Column:
+    """What the outcome rules search: title and body in lower case."""
+    return F.lower(F.concat_ws("\n", F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))))
+
+
+def outcome_of_text(status: Column, url: Column, text: Column, cards: Column, links: Column) -> Column:
+    """As ``page_outcome``, over a column of ``shown_text``, which every rule reads."""
     return (
         F.when(cards > 0, "jobs_visible")
         .when(contains_any(text, BLOCK_MARKERS), "cloudflare_block")
@@ -34,6 +36,13 @@ def page_outcome(
     )
 
 
+def page_outcome(
+    status: Column, url: Column, title: Column, body: Column, cards: Column, links: Column
+) -> Column:
+    """Why a page did or did not show listings; the first rule that holds wins."""
+    return outcome_of_text(status, url, shown_text(title, body), cards, links)
+
+
 def parse_outcome(records: Column, cards: Column, outcome: Column) -> Column:
     """NULL when records were parsed, else the failure class of the page."""
     return F.when(records > 0, F.lit(None)).when(cards > 0, "parser_drift").otherwise(outcome)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rolecall.functions.compute import add_once
 from rolecall.functions.pages import (
-    WORK_TYPES, body_text, canonical_url, page_outcome, page_title, pattern_count, salary_placeholder,
+    WORK_TYPES, body_text, canonical_url, outcome_of_text, page_title, pattern_count, salary_placeholder, shown_text,
 )
 from rolecall.functions.text import BLANK, ordered_unique_tags, strip_blank
 
@@ -116,8 +116,7 @@ def classify_pages(
         "card_count": pattern_count(page, card_pattern),
         "link_count": pattern_count(page, link_pattern),
         "page_title": page_title(page),
-        "_body": body_text(page),
-    })
+    }).withColumn("_text", shown_text(F.col("page_title"), body_text(page)))
     code = F.col(status) if status else F.lit(200)
-    outcome = page_outcome(code, F.col(url), F.col("page_title"), F.col("_body"), F.col("card_count"), F.col("link_count"))
-    return add_once(counted, {"outcome": outcome}).drop("_body")
+    outcome = outcome_of_text(code, F.col(url), F.col("_text"), F.col("card_count"), F.col("link_count"))
+    return add_once(counted, {"outcome": outcome}).drop("_text")
