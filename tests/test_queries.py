@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rolecall.plans import oracle, registry
 
 TABLES = os.environ.get("ROLECALL_TEST_TABLES", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,7 @@ def normal(value):
 
 def test_queries_and_sql_pair_up():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="test tables are not here")
