@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.llm import quality_rules, sharding
+from rolecall.llm import ngram_join, quality_rules, secret_scan, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,3 +33,20 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_chars"
     )
+
+
+@query
+def op2_ngram_jaccard(spark, sf_dir):
+    return ngram_join.ngram_components(documents(spark, sf_dir))
+
+
+@query
+def op8_secret_scan(spark, sf_dir):
+    base = [r.kind for r in secret_scan.BASE]
+    told = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    scanned = documents(spark, sf_dir).select("doc_id", secret_scan.secret_spans(spark, F.col("text")).alias("found"))
+    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in base]
+    of_base = F.filter("found", lambda s: s["kind"].isin(*base))
+    return scanned.select("doc_id", *counts, F.sha2(told(of_base), 256).alias("base_sha256"), told(F.col("found")).alias("spans"))
