@@ -47,6 +47,7 @@ def op8_secret_scan(spark, sf_dir):
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
     scanned = documents(spark, sf_dir).select("doc_id", secret_scan.secret_spans(spark, F.col("text")).alias("found"))
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in base]
+    number = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
+    counts = [number(kind).alias(f"n_{kind}") for kind in base]
     of_base = F.filter("found", lambda s: s["kind"].isin(*base))
     return scanned.select("doc_id", *counts, F.sha2(told(of_base), 256).alias("base_sha256"), told(F.col("found")).alias("spans"))
