@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.llm import ngram_join, quality_rules, secret_scan, sharding
+from rolecall.llm import decontaminate, ngram_join, quality_rules, secret_scan, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,3 +51,11 @@ def op8_secret_scan(spark, sf_dir):
     counts = [number(kind).alias(f"n_{kind}") for kind in base]
     of_base = F.filter("found", lambda s: s["kind"].isin(*base))
     return scanned.select("doc_id", *counts, F.sha2(told(of_base), 256).alias("base_sha256"), told(F.col("found")).alias("spans"))
+
+
+@query
+def op3_benchmark_leaks(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    hits = decontaminate.benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = docs.select("doc_id", F.explode(hits).alias("hit"))
+    return found.select("doc_id", "hit.item_id", F.round("hit.score", 6).alias("score"), "hit.question", "hit.answer", "hit.first_word", "hit.last_word")
