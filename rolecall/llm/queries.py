@@ -2,9 +2,12 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.llm import decontaminate, ngram_join, quality_rules, secret_scan, sharding
+from rolecall.llm import decontaminate, ngram_join, packing, quality_rules, secret_scan, sharding, token_store
+from rolecall.sources.sinks import stage
+from rolecall.storage import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,3 +62,21 @@ def op3_benchmark_leaks(spark, sf_dir):
     hits = decontaminate.benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     found = docs.select("doc_id", F.explode(hits).alias("hit"))
     return found.select("doc_id", "hit.item_id", F.round("hit.score", 6).alias("score"), "hit.question", "hit.answer", "hit.first_word", "hit.last_word")
+
+
+#: Its place is a parameter of the operators; every executor has the library's files.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op5_packing(spark, sf_dir):
+    pieces = packing.token_pieces(documents(spark, sf_dir), TOKENIZER)
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack_pieces(stage(digests, "pieces"))
+
+
+@query
+def op9_token_store(spark, sf_dir):
+    path = shared_dir(spark, "tokens")
+    token_store.write_tokens(documents(spark, sf_dir), path, TOKENIZER)
+    return token_store.read_tokens(spark, path)

@@ -74,11 +74,15 @@ class Words:
     first: np.ndarray  # index of the first word of each text, and at the end the number of words
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Words:
+def find_words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE, cut: np.ndarray | None = None) -> Words:
+    """The words of each text; ``cut`` marks bytes inside words that begin another word."""
     inside = ~space[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
+    if cut is not None:
+        begins |= cut
+        ends[:-1] |= cut[1:]
     full = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[full] = inside[full]
     last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
