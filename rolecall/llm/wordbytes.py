@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes handled at once; longer runs of bytes are handled in several steps.
-STEP_BYTES = 1 << 22
+STEP_BYTES = 1 << 20
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
