@@ -2,20 +2,22 @@
 
 How the search is spread. A set's rarest shingles (fewer than it may miss in a partner)
 are its short lists: two sets that link share one of them. The sets of each such list
-meet in a block with the list's smallest set; lists with the same smallest set share a
-block. A linked pair is thus found in some block, and inside a block DivideSkip finds
-every link that joins two groups not yet joined. Nothing lists pairs.
+that are of like size meet in a block with the least of them; lists with the same least
+set share a block. A linked pair is thus found in some block, and inside a block
+DivideSkip finds every link that joins two groups not yet joined. Nothing lists pairs.
 """
 
 import heapq
+import math
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from rolecall.llm import sketches, wordbytes
+from rolecall.llm import batches, sketches, wordbytes
 from rolecall.llm.components import components
 from rolecall.sources.sinks import stage
 
@@ -126,36 +128,16 @@ def links_of_block(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int,
         waiting = [q for q in outside if root(q) != root(largest)]
 
 
-def _runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of rows with equal keys; the batches are sorted by them."""
-    held: list[pa.RecordBatch] = []
-    key = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = [np.asarray(batch[k]) for k in keys]
-        change = np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1
-        for a, b in zip([0, *change], [*change, batch.num_rows], strict=True):
-            now = tuple(v[a] for v in values)
-            if now != key and held:
-                yield pa.Table.from_batches(held)
-                held = []
-            key = now
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _search(blocks: DataFrame, percent: int) -> DataFrame:
+def _search(blocks: DataFrame, width: int, percent: int, lower: bool) -> DataFrame:
     """Links within each block (lead, part), and for a lead with several parts the sets
     that are not connected with it there (b is null)."""
 
-    def search(batches):
-        for table in _runs(batches, ["lead", "part"]):
-            ids = np.asarray(table["node"])
-            ids, at = np.unique(ids, return_index=True)
-            column = table["tokens"].combine_chunks()
-            sets = [np.asarray(column[int(i)].values, np.int64).view(np.uint64) for i in at]
+    def search(arrow):
+        loosen = zstandard.ZstdDecompressor()
+        for table in batches.runs(arrow, ["lead", "part"]):
+            ids, at = np.unique(np.asarray(table["node"]), return_index=True)
+            texts = table["packed"].take(pa.array(at)).to_pylist()
+            sets = list(document_sets(pa.array([loosen.decompress(t).decode() for t in texts], pa.large_string()), width, lower))
             lead, several = table["lead"][0].as_py(), table["parts"][0].as_py() > 1
             links = list(links_of_block(sets, percent))
             a, b = [int(ids[x]) for x, _ in links], [int(ids[y]) for _, y in links]
@@ -167,8 +149,7 @@ def _search(blocks: DataFrame, percent: int) -> DataFrame:
                     near |= more
                 far = [int(x) for x in ids if int(x) not in near]
                 a, b = a + far, b + [None] * len(far)
-            part = table["part"][0].as_py()
-            n = len(a)
+            n, part = len(a), table["part"][0].as_py()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lead] * n, pa.int64()), pa.array([part] * n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                 ["lead", "part", "a", "b"],
@@ -182,7 +163,7 @@ def ngram_components(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85,
     lower: bool = True, block_tokens: int = 1_000_000,
 ) -> DataFrame:
-    """(id, n_shingles, component_id) for every row of ``df``.
+    """(id, n_shingles, component_id, text_hash) for every row of ``df``.
 
     Rows link when their sets of ``width``-word shingles have a Jaccard similarity of
     ``percent`` / 100 or more; ``component_id`` is the smallest id reachable by links.
@@ -195,7 +176,7 @@ def ngram_components(
     what is not connected with the lead in its part is then searched against all parts.
     """
     spark = df.sparkSession
-    docs = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
+    docs = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
 
     def count(batch, array):
         data, offsets = wordbytes.utf8(batch["text"])
@@ -210,9 +191,9 @@ def ngram_components(
     counts = sketches.add_up(docs.select("text"), count, SKETCH, np.int64)
     level = spark.sparkContext.broadcast(np.minimum(255, np.round(4 * np.log2(counts + 1))).astype(np.uint8))
 
-    def describe(batches):
+    def describe(arrow):
         seen: set[int] = set()
-        for batch in batches:
+        for batch in arrow:
             sizes, names, rare = [], [], []
             for there, tokens in zip(batch["id"].is_valid().to_pylist(), document_sets(batch["text"], width, lower), strict=True):
                 sizes.append(len(tokens))
@@ -228,32 +209,35 @@ def ngram_components(
             ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
             values = np.concatenate(rare).view(np.int64) if rare else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(ends, values)],
-                ["id", "n", "node", "rare"],
+                [batch["id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(ends, values)],
+                ["id", "text_hash", "n", "node", "rare"],
             )
 
-    sets = stage(docs.mapInArrow(describe, "id bigint, n bigint, node bigint, rare array<bigint>"), "sets")
+    sets = stage(docs.mapInArrow(describe, "id bigint, text_hash bigint, n bigint, node bigint, rare array<bigint>"), "sets")
     named = sets.where("id is not null and n > 0")
-    entries = named.select("node", F.explode("rare").alias("token"))
+    entries = named.select("node", "n", F.explode("rare").alias("token"))
+    lists = lambda rows, *key: rows.groupBy(*key).agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
+    common = stage(entries.join(lists(entries, "token").select("token"), "token"), "common")
+    # linked sets are of one size band or of two neighbours: a list is split into pairs of bands
+    band = F.floor(F.log("n") / (-1.000001 * math.log(percent / 100)))
+    banded = common.select("token", "node", F.explode(F.array(band, band + 1)).alias("band"))
+    leads = lists(banded, "token", "band").select("token", "band", "lead")
     # leads differ from token to token but are few in a group of near copies
-    common = entries.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
-    members = stage(entries.join(common.select("token", "lead"), "token").select("lead", "node").distinct(), "members")
+    members = stage(banded.join(leads, ["token", "band"]).select("lead", "node").distinct(), "members")
 
     nodes = members.select("node").distinct()
     chosen = stage(named.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")), "chosen")
     wanted = sketches.may_be_in(spark, sketches.id_filter(chosen, "id"), "id")
 
-    def tokens_of(batches):
-        for batch in batches:
-            found = list(document_sets(batch["text"], width, lower))
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            values = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(t) for t in found], pa.int64()), pa.ListArray.from_arrays(ends, values)], ["node", "tokens"],
-            )
+    def packed(arrow):
+        squeeze = zstandard.ZstdCompressor()
+        for batch in arrow:
+            names = [set_id(t) for t in document_sets(batch["text"], width, lower)]
+            texts = [squeeze.compress((t or "").encode()) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(texts, pa.binary())], ["node", "packed"])
 
     # the filter lets a few other rows pass: other sets join nothing, and a copy of a set is dropped in its block
-    tokens = stage(docs.where(wanted).mapInArrow(tokens_of, "node bigint, tokens array<bigint>"), "tokens")
+    texts = docs.where(wanted).mapInArrow(packed, "node bigint, packed binary")
 
     sizes = members.join(named.select("node", "n").distinct(), "node").groupBy("lead").agg(
         (F.lit(1) + F.floor(F.sum("n") / block_tokens)).alias("parts")
@@ -262,21 +246,20 @@ def ngram_components(
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     own = placed.where("node <> lead").select("lead", part.alias("part"), "parts", "node")
     leads = sizes.select("lead", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "parts", F.col("lead").alias("node"))
-    blocks = own.unionByName(leads)
-    found = stage(_search(blocks.join(tokens, "node"), percent), "found")
-
-    far = stage(found.where("b is null").select("lead", "part", F.col("a").alias("node")), "far")
-    groups = far.groupBy("lead").agg((F.lit(1) + F.floor(F.count(F.lit(1)) / 1000)).alias("groups"))
-    far = far.join(groups, "lead").join(sizes, "lead").withColumn("group", F.pmod(F.xxhash64("node", F.lit(7)), F.col("groups")))
-    tile = F.col("part") * F.col("groups") + F.col("group")
-    across = far.select("lead", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "group", "groups", "node")
-    standing = own.join(groups, "lead").select(
-        "lead", "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1)).alias("group"), "groups", "node"
-    )
-    tiles = across.unionByName(standing).select("lead", tile.alias("part"), F.lit(1).cast("bigint").alias("parts"), "node")
-    more = _search(tiles.join(tokens, "node"), percent)
-
-    links = found.where("b is not null").select("a", "b").unionByName(more.select("a", "b"))
+    search = lambda blocks: _search(blocks.join(texts, "node"), width, percent, lower)
+    found = stage(search(own.unionByName(leads)), "found")
+    links = found.where("b is not null").select("a", "b")
+
+    far = found.where("b is null").select("lead", "part", F.col("a").alias("node"))
+    if not far.isEmpty():
+        groups = far.groupBy("lead").agg((F.lit(1) + F.floor(F.count(F.lit(1)) / 1000)).alias("groups"))
+        far = far.join(groups, "lead").join(sizes, "lead").withColumn("group", F.pmod(F.xxhash64("node", F.lit(7)), F.col("groups")))
+        number = lambda of: F.sequence(F.lit(0).cast("bigint"), F.col(of) - 1)
+        across = far.select("lead", F.explode(number("parts")).alias("part"), "group", "groups", "node")
+        standing = own.join(groups, "lead").select("lead", "part", F.explode(number("groups")).alias("group"), "groups", "node")
+        tile = (F.col("part") * F.col("groups") + F.col("group")).alias("part")
+        tiles = across.unionByName(standing).select("lead", tile, F.lit(1).cast("bigint").alias("parts"), "node")
+        links = links.unionByName(search(tiles).select("a", "b"))
     roots = components(links).withColumnsRenamed({"node": "_node", "root": "_root"})
     smallest = named.groupBy("node").agg(F.min("id").alias("least"))
     classes = smallest.join(roots, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("_root", "node"))
@@ -284,5 +267,22 @@ def ngram_components(
     labels = classes.select("node", "root").join(least, "root").select(F.col("node").alias("_node"), "component_id")
     alone = F.when(F.col("n") == 0, F.col("id"))
     return sets.join(labels, (sets["node"] == labels["_node"]) & (sets["n"] > 0) & sets["id"].isNotNull(), "left").select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", alone).alias("component_id")
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", alone).alias("component_id"), "text_hash"
     )
+
+
+def one_of_each(df: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``df`` with one row of each group of linked rows: the one with the smallest id (of
+    rows that repeat it, one). Rows without shingles or with a null id stay, but of equal
+    rows with one id one stays. Only rows whose id is among those to drop are shuffled."""
+    groups = stage(ngram_components(df, id_column, text, **options), "groups").where(f"{id_column} is not null")
+    linked = groups.where("n_shingles > 0")
+    first = linked.where(F.col(id_column) == F.col("component_id")).groupBy(id_column).agg(F.min("text_hash").alias("text_hash"))
+    dropped = stage(linked.select(id_column, "text_hash").join(first, [id_column, "text_hash"], "left_anti").distinct(), "dropped")
+    again = groups.groupBy(id_column, "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bitmap = sketches.id_filter(dropped.select(id_column).unionByName(again.select(id_column)), id_column)
+    suspect = F.coalesce(sketches.may_be_in(df.sparkSession, bitmap, id_column), F.lit(False))
+    marked = df.withColumn("_text_hash", F.xxhash64(text))
+    gone = dropped.withColumnsRenamed({id_column: "_id", "text_hash": "_hash"})
+    checked = marked.where(suspect).join(gone, (F.col(id_column) == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_anti")
+    return marked.where(~suspect).unionByName(checked.dropDuplicates([id_column, "_text_hash"])).drop("_text_hash")

@@ -41,3 +41,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, kept
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * kept_chars >= word_chars AS kept
 FROM counts"""
+
+_TEMPLATES = ", ".join(f"('{label}', '{body}')" for label, body in (
+    ("all-rights-reserved", "All rights reserved"),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("apache-2.0", "You may not use this file except in compliance with the License"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("cc-by", "Licensed under CC BY 4.0"),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("mit", "Released under the MIT License"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+))
+
+ORACLE["op10_license_scan"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w,
+    string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS lines
+  FROM documents
+), word_places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), places AS (
+  SELECT doc_id, i - 1 AS place, CASE
+    WHEN w[i:i + 3] = ['gnu', 'general', 'public', 'license'] THEN 'gpl' WHEN w[i:i + 1] = ['apache', 'license'] THEN 'apache'
+    WHEN w[i:i + 1] = ['cc', 'by'] THEN 'cc-by' WHEN w[i:i + 1] = ['mit', 'license'] THEN 'mit' END AS label
+  FROM word_places
+), base AS (
+  SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS z FROM places WHERE label IS NOT NULL GROUP BY doc_id
+), templates AS (
+  SELECT row_number() OVER () AS t, label, list_distinct(regexp_extract_all(lower(body), '[a-z0-9]+')) AS words
+  FROM (VALUES {_TEMPLATES}) AS v(label, body)
+), template_words AS (
+  SELECT t, label, len(words) AS size, unnest(words) AS word FROM templates
+), line_words AS (
+  SELECT DISTINCT doc_id, line, unnest(regexp_extract_all(x, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS line, unnest(lines) AS x FROM d)
+), matches AS (
+  SELECT doc_id, label, count(*) / max(size) AS containment
+  FROM line_words JOIN template_words USING (word) GROUP BY doc_id, line, t, label HAVING count(*) >= 0.8 * max(size)
+), labels AS (
+  SELECT doc_id, string_agg(label, ',' ORDER BY label) FILTER (base) AS base_labels FROM (
+    SELECT DISTINCT doc_id, label, true AS base FROM places WHERE label IS NOT NULL) GROUP BY doc_id
+), all_labels AS (
+  SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (
+    SELECT doc_id, label FROM places WHERE label IS NOT NULL UNION SELECT doc_id, label FROM matches) GROUP BY doc_id
+), scores AS (SELECT doc_id, max(containment) AS score FROM matches GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN all_labels USING (doc_id) LEFT JOIN scores USING (doc_id)"""

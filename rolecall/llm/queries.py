@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.llm import decontaminate, ngram_join, packing, quality_rules, secret_scan, sharding, token_store
+from rolecall.llm import decontaminate, language_id, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, substring_dedup, token_store
 from rolecall.sources.sinks import stage
 from rolecall.storage import shared_dir
 
@@ -80,3 +80,27 @@ def op9_token_store(spark, sf_dir):
     path = shared_dir(spark, "tokens")
     token_store.write_tokens(documents(spark, sf_dir), path, TOKENIZER)
     return token_store.read_tokens(spark, path)
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"))
+    model = language_id.train(docs.where("not held_out"), PIECES)
+    guess = docs.select("doc_id", "held_out", language_id.predict(docs, model).alias("guess"))
+    return guess.select("doc_id", "held_out", F.col("guess.lang").alias("lang_pred"), F.round("guess.score", 6).alias("score"))
+
+
+@query
+def op10_license_scan(spark, sf_dir):
+    found = license_scan.license_scan(documents(spark, sf_dir))
+    listed = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return found.withColumns(listed | {"score": F.round("score", 6)})
+
+
+@query
+def op1_substring_dedup(spark, sf_dir):
+    return substring_dedup.repeated_units(documents(spark, sf_dir)).withColumnRenamed("kept_id", "kept_doc_id")
