@@ -9,6 +9,7 @@ time; a Python worker scores a word once and finds it by a 64-bit hash from then
 
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ STRANGE = 1e-6
 _START = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BREAK = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
+_PRIME = 0x9E3779B97F4A7C15
 
 
 class Vocabulary:
@@ -37,15 +38,12 @@ class Vocabulary:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
         kept = {p.lower() for p in pieces if p.strip(_START).isalpha() or p == _START}
-        self.pieces = sorted(p for p in kept if _START not in p[1:] and len(p) <= LONGEST)
-        self.longest = max(map(len, self.pieces))
+        self.pieces = sorted((p for p in kept if _START not in p[1:] and len(p) <= LONGEST), key=lambda p: (len(p), p))
+        self.longest = len(self.pieces[-1])
         self.table = WordTable(bits=int(2 * len(self.pieces) + 2).bit_length())
-        for length in range(1, self.longest + 1):
-            at = [i for i, p in enumerate(self.pieces) if len(p) == length]
-            if at:
-                hashes = _hash(_codes([self.pieces[i] for i in at]))[:, 0, length]
-                for i, h in zip(at, hashes, strict=True):
-                    self.table.add(np.array([h], np.uint64), i)
+        for length, group in groupby(self.pieces, key=len):
+            group = list(group)
+            self.table.add(_hash(_codes(group))[:, 0, length], self.table.size)
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -56,10 +54,9 @@ def _codes(words: list[str]) -> np.ndarray:
 def _hash(codes: np.ndarray) -> np.ndarray:
     """[word, start, end] -> hash of the letters from start to end; not 0."""
     n, length = codes.shape
-    powers = np.cumprod(np.concatenate([[1], np.full(length, _PRIME, np.uint64)]).astype(np.uint64))
-    back = np.cumprod(np.concatenate([[1], np.full(length, pow(int(_PRIME), -1, 1 << 64), np.uint64)]).astype(np.uint64))
+    powers, back = wordbytes.powers(_PRIME, length)
     sums = np.zeros((n, length + 1), np.uint64)
-    np.cumsum(wordbytes.mix(codes.astype(np.uint64) + _PRIME) * powers[:-1], axis=1, out=sums[:, 1:])
+    np.cumsum(wordbytes.mix(codes.astype(np.uint64) + np.uint64(_PRIME)) * powers[:-1], axis=1, out=sums[:, 1:])
     return np.maximum(wordbytes.mix((sums[:, None, :] - sums[:, :, None]) * back[None, :, None]), np.uint64(1))
 
 
@@ -194,7 +191,7 @@ class Model:
 
 def train(
     df: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang", key: str = "doc_id",
-    sample_docs: int = 2000, rounds: int = 3, smooth: float = 0.1,
+    sample_docs: int = 500, rounds: int = 2, smooth: float = 0.1,
 ) -> Model:
     """Piece probabilities of every non-null language of ``df``.
 

@@ -59,8 +59,7 @@ def text_units(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 
 def _digest(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, base: int) -> np.ndarray:
     """Hash of the words a..b in order."""
-    up = np.cumprod(np.concatenate([[1], np.full(len(hashes), base, np.uint64)]).astype(np.uint64))
-    down = np.cumprod(np.concatenate([[1], np.full(len(hashes), pow(base, -1, 1 << 64), np.uint64)]).astype(np.uint64))
+    up, down = wordbytes.powers(base, len(hashes))
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(wordbytes.mix(hashes ^ np.uint64(base)) * up[:-1], out=sums[1:])
     return wordbytes.mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))

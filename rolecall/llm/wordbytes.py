@@ -16,7 +16,6 @@ STEP_BYTES = 1 << 20
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 1 << 64)
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -39,13 +38,20 @@ _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers["up"]) < n:
-        for name, base in (("up", _BASE), ("down", _UNBASE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps)
+        _powers["up"], _powers["down"] = powers(_BASE, n)
     return _powers["up"], _powers["down"]
 
 
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**k and its inverse modulo 2**64, for k up to ``n``; the base is odd."""
+    out = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        steps = np.full(n + 1, b, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps))
+    return out[0], out[1]
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the offsets of its rows; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
