@@ -13,20 +13,24 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     many links is no bottleneck, and every round is written to the shared folder.
     """
     both = links.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a is not null and b is not null")
-    edges = stage(both.where("a <> b").distinct(), "links")
-    roots = stage(both.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "roots")
+    both = stage(both.distinct(), "links")
+    # as many tasks as the links fill; shuffles still deal by the session's setting
+    tasks = 1 + both.count() // 500_000
+    kept = lambda df, name: stage(df.coalesce(tasks), name)
+    edges = kept(both.where("a <> b"), "links")
+    roots = kept(both.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "roots")
     while not edges.isEmpty():
         ways = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("w"))
-        parents = stage(
+        parents = kept(
             ways.groupBy(F.col("w.a").alias("child")).agg(F.least(F.min("w.b"), F.col("child")).alias("parent")), "parents"
         )
         # two steps up a chain of parents
         upper = parents.select(F.col("child").alias("parent"), F.col("parent").alias("upper"))
-        parents = stage(parents.join(upper, "parent").select("child", F.col("upper").alias("parent")), "parents")
+        parents = kept(parents.join(upper, "parent").select("child", F.col("upper").alias("parent")), "parents")
         up = lambda df, column: (
             df.join(parents.withColumnsRenamed({"child": column, "parent": "_up"}), column, "left")
             .withColumn(column, F.coalesce("_up", column)).drop("_up")
         )
-        roots = stage(up(roots, "root"), "roots")
-        edges = stage(up(up(edges, "a"), "b").where("a <> b").distinct(), "links")
+        roots = kept(up(roots, "root"), "roots")
+        edges = kept(up(up(edges, "a"), "b").where("a <> b").distinct(), "links")
     return roots

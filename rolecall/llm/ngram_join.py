@@ -21,7 +21,11 @@ from rolecall.llm import batches, sketches, wordbytes
 from rolecall.llm.components import components
 from rolecall.sources.sinks import stage
 
-SKETCH = 1 << 20
+#: Counters that shingles share to be ordered by frequency. More of them tell rare shingles
+#: apart better; the result is the same with any number.
+SKETCH = 1 << 22
+#: Lists that may be longer than this are met by a join that can split them.
+LONG_LIST = 50_000
 
 
 def document_sets(column, width: int, lower: bool) -> Iterator[np.ndarray]:
@@ -42,6 +46,10 @@ def set_id(tokens: np.ndarray) -> int:
     return int(wordbytes.mix(np.array([total ^ np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
 
 
+def _level(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(255, np.round(4 * np.log2(counts.astype(float) + 1))).astype(np.uint8)
+
+
 def _least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
@@ -128,6 +136,67 @@ def links_of_block(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int,
         waiting = [q for q in outside if root(q) != root(largest)]
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64))
+
+
+def _band(percent: int) -> float:
+    """Linked sets are of one size band or of two neighbours, floor(ln(size) / this)."""
+    return -1.000001 * math.log(percent / 100)
+
+
+def _meet(named: DataFrame, percent: int) -> DataFrame:
+    """(lead, node) of every set in a short list with another set of like size. A list is
+    split into pairs of neighbouring bands; the least set of each leads it. The sketch
+    counts no shingle too low, so no list here is longer than LONG_LIST."""
+
+    def meet(arrow):
+        held = [np.zeros(0, np.int64)] * 3
+        for batch in _and_none(arrow):
+            if batch is not None:
+                held = [np.concatenate([h, np.asarray(batch[c])]) for h, c in zip(held, ("token", "node", "n"), strict=True)]
+            token, node, n = held
+            # the last list may go on in the next batch
+            whole = len(token) if batch is None else int(np.searchsorted(token, token[-1])) if len(token) else 0
+            held = [x[whole:] for x in held]
+            token, node, n = token[:whole], node[:whole], n[:whole]
+            same = token[1:] == token[:-1]
+            shared = np.zeros(len(token), bool)
+            shared[1:] |= same
+            shared[:-1] |= same
+            token, node, band = token[shared], node[shared], np.floor(np.log(n[shared]) / _band(percent)).astype(np.int64)
+            token, node, band = np.tile(token, 2), np.tile(node, 2), np.concatenate([band, band + 1])
+            order = np.lexsort([node, band, token])
+            token, node, band = token[order], node[order], band[order]
+            first = np.ones(len(token), bool)
+            first[1:] = (token[1:] != token[:-1]) | (band[1:] != band[:-1])
+            group = np.cumsum(first) - 1
+            begins = np.flatnonzero(first)
+            ends = np.append(begins[1:], len(token)) - 1
+            several = (node[begins] != node[ends])[group] if len(begins) else first
+            found = np.unique(np.stack([node[begins][group][several], node[several]], axis=1), axis=0) if several.any() else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["lead", "node"])
+
+    entries = named.select("node", "n", F.explode("rare").alias("token"))
+    return entries.repartition("token").sortWithinPartitions("token").mapInArrow(meet, "lead bigint, node bigint")
+
+
+def _and_none(items):
+    yield from items
+    yield None
+
+
+def _meet_long(named: DataFrame, percent: int) -> DataFrame:
+    """The same for shingles that may be in very many sets: minima are taken map-side,
+    and a join, which can be split within one shingle, takes them back to the sets."""
+    lists = lambda rows, *key: rows.groupBy(*key).agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
+    band = F.floor(F.log("n") / _band(percent))
+    entries = named.select("node", "n", F.explode("long").alias("token"))
+    banded = entries.select("token", "node", F.explode(F.array(band, band + 1)).alias("band"))
+    return banded.join(lists(banded, "token", "band"), ["token", "band"]).select("lead", "node")
+
+
 def _search(blocks: DataFrame, width: int, percent: int, lower: bool) -> DataFrame:
     """Links within each block (lead, part), and for a lead with several parts the sets
     that are not connected with it there (b is null)."""
@@ -163,12 +232,13 @@ def ngram_components(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85,
     lower: bool = True, block_tokens: int = 1_000_000,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, text_hash) for every row of ``df``.
+    """(id, n_shingles, component_id, text_hash, group_id) for every row of ``df``.
 
     Rows link when their sets of ``width``-word shingles have a Jaccard similarity of
     ``percent`` / 100 or more; ``component_id`` is the smallest id reachable by links.
     Exact up to 64-bit hashes of words, shingles and sets; equal sets are one set from
-    the start, so copies meet nobody twice. Null, empty and blank texts have no shingles
+    the start, so copies meet nobody twice. ``group_id`` tells groups of linked rows apart
+    even where ids repeat, and is null where nothing can link. Null, empty and blank texts have no shingles
     and are linked with nothing; a row with a null id is linked with nothing and gets a
     null component. Rows that repeat an id each get a row.
 
@@ -185,45 +255,44 @@ def ngram_components(
             part = wordbytes.LOWER[part] if lower else part
             words = wordbytes.find_words(part, offsets[first : last + 1] - offsets[first])
             hashes, _ = wordbytes.shingles(wordbytes.hash_words(part, words), words, width)
-            array += np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(array.dtype)
+            np.add.at(array, (hashes & np.uint64(SKETCH - 1)).astype(np.int64), 1)
 
     # how common a shingle is, by a counter that it shares with others: any order serves, rare first is fast
     counts = sketches.add_up(docs.select("text"), count, SKETCH, np.int64)
-    level = spark.sparkContext.broadcast(np.minimum(255, np.round(4 * np.log2(counts + 1))).astype(np.uint8))
+    level = spark.sparkContext.broadcast(_level(counts))
+    hot = int(_level(np.array([LONG_LIST]))[0])
 
     def describe(arrow):
         seen: set[int] = set()
         for batch in arrow:
-            sizes, names, rare = [], [], []
+            sizes, names, rare, long = [], [], [], []
             for there, tokens in zip(batch["id"].is_valid().to_pylist(), document_sets(batch["text"], width, lower), strict=True):
                 sizes.append(len(tokens))
                 names.append(set_id(tokens))
                 if not len(tokens) or not there or names[-1] in seen:  # for a copy in this task, they are there already
                     rare.append(tokens[:0])
+                    long.append(tokens[:0])
                     continue
-                order = (level.value[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
-                rare.append(tokens[np.argsort(order, kind="stable")[: len(tokens) - _least_overlap(len(tokens), percent) + 1]])
+                of = level.value[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)]
+                order = np.argsort((of.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8)), kind="stable")
+                order = order[: len(tokens) - _least_overlap(len(tokens), percent) + 1]
+                rare.append(tokens[order[of[order] < hot]])
+                long.append(tokens[order[of[order] >= hot]])
                 seen.add(names[-1])
                 if len(seen) > 1_000_000:
                     seen.clear()
-            ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
-            values = np.concatenate(rare).view(np.int64) if rare else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.ListArray.from_arrays(ends, values)],
-                ["id", "text_hash", "n", "node", "rare"],
+                [batch["id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), _lists(rare), _lists(long)],
+                ["id", "text_hash", "n", "node", "rare", "long"],
             )
 
-    sets = stage(docs.mapInArrow(describe, "id bigint, text_hash bigint, n bigint, node bigint, rare array<bigint>"), "sets")
+    sets = stage(docs.mapInArrow(describe, "id bigint, text_hash bigint, n bigint, node bigint, rare array<bigint>, long array<bigint>"), "sets")
     named = sets.where("id is not null and n > 0")
-    entries = named.select("node", "n", F.explode("rare").alias("token"))
-    lists = lambda rows, *key: rows.groupBy(*key).agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
-    common = stage(entries.join(lists(entries, "token").select("token"), "token"), "common")
-    # linked sets are of one size band or of two neighbours: a list is split into pairs of bands
-    band = F.floor(F.log("n") / (-1.000001 * math.log(percent / 100)))
-    banded = common.select("token", "node", F.explode(F.array(band, band + 1)).alias("band"))
-    leads = lists(banded, "token", "band").select("token", "band", "lead")
+    pairs = _meet(named, percent)
+    if not named.where("size(long) > 0").isEmpty():
+        pairs = pairs.unionByName(_meet_long(named, percent))
     # leads differ from token to token but are few in a group of near copies
-    members = stage(banded.join(leads, ["token", "band"]).select("lead", "node").distinct(), "members")
+    members = stage(pairs.distinct(), "members")
 
     nodes = members.select("node").distinct()
     chosen = stage(named.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")), "chosen")
@@ -264,10 +333,11 @@ def ngram_components(
     smallest = named.groupBy("node").agg(F.min("id").alias("least"))
     classes = smallest.join(roots, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("_root", "node"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = classes.select("node", "root").join(least, "root").select(F.col("node").alias("_node"), "component_id")
+    labels = classes.select("node", "root").join(least, "root").select(F.col("node").alias("_node"), "root", "component_id")
     alone = F.when(F.col("n") == 0, F.col("id"))
     return sets.join(labels, (sets["node"] == labels["_node"]) & (sets["n"] > 0) & sets["id"].isNotNull(), "left").select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", alone).alias("component_id"), "text_hash"
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", alone).alias("component_id"), "text_hash",
+        F.col("root").alias("group_id"),
     )
 
 
@@ -277,8 +347,12 @@ def one_of_each(df: DataFrame, id_column: str = "doc_id", text: str = "text", **
     rows with one id one stays. Only rows whose id is among those to drop are shuffled."""
     groups = stage(ngram_components(df, id_column, text, **options), "groups").where(f"{id_column} is not null")
     linked = groups.where("n_shingles > 0")
-    first = linked.where(F.col(id_column) == F.col("component_id")).groupBy(id_column).agg(F.min("text_hash").alias("text_hash"))
-    dropped = stage(linked.select(id_column, "text_hash").join(first, [id_column, "text_hash"], "left_anti").distinct(), "dropped")
+    first = linked.where(F.col(id_column) == F.col("component_id")).groupBy("group_id").agg(F.min("text_hash").alias("text_hash"))
+    keys = ["group_id", "text_hash"]
+    apart = linked.select(id_column, *keys, (F.col(id_column) != F.col("component_id")).alias("_later"))
+    later = apart.where("_later").select(id_column, "text_hash")
+    other = apart.where("not _later").join(first.select(*keys), keys, "left_anti").select(id_column, "text_hash")
+    dropped = stage(later.unionByName(other).distinct(), "dropped")
     again = groups.groupBy(id_column, "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bitmap = sketches.id_filter(dropped.select(id_column).unionByName(again.select(id_column)), id_column)
     suspect = F.coalesce(sketches.may_be_in(df.sparkSession, bitmap, id_column), F.lit(False))

@@ -40,7 +40,7 @@ def op7_quality_rules(spark, sf_dir):
 
 @query
 def op2_ngram_jaccard(spark, sf_dir):
-    return ngram_join.ngram_components(documents(spark, sf_dir))
+    return ngram_join.ngram_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 @query

@@ -5,17 +5,18 @@ from collections.abc import Callable, Iterable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_SLOT = 4096  # bytes of an array in a row
+_SLOT = 1 << 18  # bytes of an array in a row, before compression
 
 
 def add_up(df: DataFrame, fill: Callable, size: int, dtype=np.int32, either: bool = False) -> np.ndarray:
     """Sum (or with ``either`` the bitwise or) of one array of ``size`` entries per task.
 
-    ``fill(batch, array)`` enters an Arrow batch. Tasks send their arrays in slots of
-    4 KB, slots without entries not at all; a slot's arrays are added up as they come.
-    The driver gets the one array, whose size does not depend on the rows.
+    ``fill(batch, array)`` enters an Arrow batch. Tasks send their arrays compressed, in
+    slots; a slot's arrays are added up as they come. The driver gets the one array,
+    whose size does not depend on the rows.
     """
     dtype, join = np.dtype(dtype), np.bitwise_or if either else np.add
     width = _SLOT // dtype.itemsize
@@ -26,26 +27,27 @@ def add_up(df: DataFrame, fill: Callable, size: int, dtype=np.int32, either: boo
             fill(batch, array)
         slots = array.reshape(-1, width)
         used = np.flatnonzero(slots.any(axis=1))
-        for part in np.array_split(used, max(1, len(used) // 1000)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array([slots[i].tobytes() for i in part], pa.binary())], ["slot", "entries"]
-            )
+        squeeze = zstandard.ZstdCompressor(level=1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), pa.array([squeeze.compress(slots[i].tobytes()) for i in used], pa.binary())], ["slot", "entries"]
+        )
 
     def total(batches: Iterable[pa.RecordBatch]):
         sums: dict[int, np.ndarray] = {}
+        loosen, squeeze = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for slot, entries in zip(batch["slot"].to_pylist(), batch["entries"].to_pylist(), strict=True):
-                entries = np.frombuffer(entries, dtype)
+            for slot, entries in zip(batch["slot"].to_pylist(), batch["entries"], strict=True):
+                entries = np.frombuffer(loosen.decompress(entries.as_py()), dtype)
                 sums[slot] = join(sums[slot], entries) if slot in sums else entries
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["slot", "entries"]
+            [pa.array(list(sums), pa.int32()), pa.array([squeeze.compress(x.tobytes()) for x in sums.values()], pa.binary())], ["slot", "entries"]
         )
 
     schema = "slot int, entries binary"
     sums = df.mapInArrow(enter, schema).repartition("slot").mapInArrow(total, schema)
-    out = np.zeros(-(-size // width) * width, dtype)
-    for row in sums.toLocalIterator():
-        out[row["slot"] * width : (row["slot"] + 1) * width] = np.frombuffer(row["entries"], dtype)
+    out, loosen = np.zeros(-(-size // width) * width, dtype), zstandard.ZstdDecompressor()
+    for row in sums.collect():  # at most size / width rows
+        out[row["slot"] * width : (row["slot"] + 1) * width] = np.frombuffer(loosen.decompress(bytes(row["entries"])), dtype)
     return out[:size]
 
 

@@ -73,6 +73,21 @@ def test_blocks_in_parts(docs_of):
     assert found(ngram_join.ngram_components(docs_of(rows), block_tokens=600)) == brute_force(rows)
 
 
+def test_long_lists_by_join(docs_of, monkeypatch):
+    """Lists that may be long are met by a join, with the same result."""
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
+    rows = corpus(4, groups=5)
+    assert found(ngram_join.ngram_components(docs_of(rows))) == brute_force(rows)
+
+
+def test_one_of_each(docs_of):
+    rows = [(5, "a b c d e"), (5, "a b c d e"), (3, "A b c d e"), (3, "x y z q w"), (None, "a b c d e"), (7, None), (8, ""), (9, "x y z q w v")]
+    kept = ngram_join.one_of_each(docs_of(rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(
+        [(3, "A b c d e"), (3, "x y z q w"), (None, "a b c d e"), (7, None), (8, ""), (9, "x y z q w v")], key=repr
+    )
+
+
 def test_edge_rows(docs_of):
     rows = [(None, "a b c d e"), (5, "a b c d e"), (5, "a b c d e"), (3, "A B  C d e"), (9, None), (9, ""), (None, None), (1, "x")]
     assert found(ngram_join.ngram_components(docs_of(rows))) == brute_force(rows)
