@@ -17,7 +17,7 @@ from .compute import add_once
 from .text import ascii_fold, contains_any, strip_blank
 
 # Number shapes of the posted dialect.
-POSTED_NUMBER = r"(\d{1,3}(?:[.,]\d{3})*(?:\.\d+)?|\d+(?:\.\d+)?)"
+POSTED_NUMBER = r"(\d{1,3}(?:[.,]\d{3})*+(?:\.\d+)?|\d+(?:\.\d+)?)"
 POSTED_NUMBER_AFTER_DASH = r"-\s*" + POSTED_NUMBER
 
 # A word boundary written out: \b differs between Java releases beside accents.
@@ -125,7 +125,7 @@ def folded_multiplier(folded: Column, currency: Column) -> Column:
 
 def _folded_salary(df: DataFrame, salary: str) -> DataFrame:
     s, first, second = F.col("_s"), F.get("_n", F.lit(0)), F.get("_n", F.lit(1))
-    tokens = F.regexp_extract_all(s, F.lit(r"\p{Nd}+(?:[,.]\p{Nd}+)*"), F.lit(0))
+    tokens = F.regexp_extract_all(s, F.lit(r"\p{Nd}++(?:[,.]\p{Nd}++)*+"), F.lit(0))
     numbers = F.filter(F.transform(tokens, number_token), lambda v: v.isNotNull())
     steps = (
         df.withColumn("_s", ascii_fold(F.col(salary)))

@@ -16,27 +16,39 @@ BLANK_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _FIXED_FOLDS = {"Đ": "D", "đ": "d"}
 
 
-def _fold_tables() -> tuple[str, str]:
-    """Arguments of ``translate``, derived from the Unicode tables.
-
-    Mapped: every character of the Latin, general punctuation and full-width blocks
-    whose decomposition minus its combining marks is exactly one other character.
-    Dropped, having no counterpart in the second text: all characters with a
-    combining class (not all marks: Thai and Devanagari vowel signs have none).
+def _fold_tables() -> tuple[str, str, str]:
+    """Arguments of ``translate``, derived from the Unicode tables, and a class of the rest.
+
+    Mapped: every character whose decomposition minus its combining marks is exactly one
+    other character. Dropped, having no counterpart in the second text: all characters
+    with a combining class (not all marks: Thai and Devanagari vowel signs have none).
+    The rest, which become several characters (ligatures, fractions, Hangul), is a list
+    of ranges for a regex.
     """
-    blocks = [(0xA0, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x3000, 0x3000), (0xFF01, 0xFF5E)]
-    src, dst = "", ""
-    for first, last in blocks:
-        for code in range(first, last + 1):
-            char = chr(code)
-            plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-            plain = _FIXED_FOLDS.get(char, plain)
-            if len(plain) == 1 and plain != char:
-                src, dst = src + char, dst + plain
-    return src + "".join(chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c))), dst
-
-
-_FOLD_FROM, _FOLD_TO = _fold_tables()
+    src, dst, gone, rest = [], [], [], []
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code < 0xE000:
+            continue
+        char = chr(code)
+        if unicodedata.combining(char):
+            gone.append(char)
+            continue
+        plain = unicodedata.normalize("NFKD", char)
+        if plain == char and char not in _FIXED_FOLDS:
+            continue
+        plain = _FIXED_FOLDS.get(char, "".join(c for c in plain if not unicodedata.combining(c)))
+        if len(plain) == 1:
+            src.append(char)
+            dst.append(plain)
+        elif rest and rest[-1][1] == code - 1:
+            rest[-1][1] = code
+        else:
+            rest.append([code, code])
+    ranges = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in rest)
+    return "".join(src + gone), "".join(dst), f"[{ranges}]"
+
+
+_FOLD_FROM, _FOLD_TO, _EXPANDS = _fold_tables()
 
 
 def strip_blank(text: Column) -> Column:
@@ -49,17 +61,20 @@ def contains_any(text: Column, phrases) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(p) for p in phrases])
 
 
-def ascii_fold(text: Column, compat: bool = False) -> Column:
+def ascii_fold(text: Column, compat: bool = False, expand: bool = True) -> Column:
     """Accent-free lower-case text; NULL becomes ''.
 
-    The default stays in the JVM and is exact for Latin text, composed or
-    decomposed. ``compat=True`` also expands ligatures, fractions and every other
-    script's compatibility forms, through an Arrow UDF.
+    Every script's accents go and compatibility forms are resolved. Characters with one
+    counterpart are translated in the JVM; only texts with one that becomes several
+    (ligatures, fractions, Hangul) go through an Arrow UDF, the others pass it as NULL.
+    ``compat=True`` sends every text there, for comparison. ``expand=False`` leaves
+    such characters as they are and needs no Python.
     """
     text = F.coalesce(text.cast(StringType()), F.lit(""))
     if compat:
         return _nfkd_fold()(text)
-    return strip_blank(F.lower(F.translate(text, _FOLD_FROM, _FOLD_TO)))
+    folded = strip_blank(F.lower(F.translate(text, _FOLD_FROM, _FOLD_TO)))
+    return F.coalesce(_nfkd_fold()(F.when(text.rlike(_EXPANDS), text)), folded) if expand else folded
 
 
 def _nfkd_fold():
@@ -76,7 +91,7 @@ def _nfkd_fold():
             decomposed = u.normalize("NFKD", value.translate(table))
             return "".join(c for c in decomposed if not u.combining(c)).lower().strip()
 
-        return values.map(fold)
+        return values.map(fold, na_action="ignore")
 
     return nfkd_fold
 

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rolecall.functions.compute import add_once
 from rolecall.functions.text import contains_any
 
-MAX_PAYLOAD_BYTES = 100 * 1024 * 1024
-
 # Fragments that a payload's object keys must not contain.
 SENSITIVE_KEY_FRAGMENTS = ("authorization", "cookie", "password", "secret_access_key", "session_token")
 
 # Every string token of a JSON text, with the colon that marks it as a key.
 # Consuming all strings keeps the scan from starting inside a value.
-_STRING_TOKEN = r'"(?:[^"\\]|\\.)*"(?:\s*:)?'
+# Possessive: a repeated group that may give characters back recurses once for each.
+_STRING_TOKEN = r'"(?:[^"\\]++|\\.)*+"(?:\s*+:)?'
 
 
 def strict_variant(json: Column) -> Column:
@@ -52,19 +51,17 @@ def payload_contract(df: DataFrame, json: str, batch: list[str]) -> DataFrame:
         )
         .withColumn(
             "verdict",
-            F.when(F.col("payload_bytes") > MAX_PAYLOAD_BYTES, "too_large")
-            .when(F.col("bad_records") > 0, "bad_record")
-            .otherwise("ok"),
+            F.when(F.col("bad_records") > 0, "bad_record").otherwise("ok"),
         )
     )
 
 
-def payload_file_verdict(files: DataFrame) -> DataFrame:
+def payload_file_verdict(files: DataFrame, max_bytes: int = 100 * 1024 * 1024) -> DataFrame:
     """Verdict per whole payload file (``path``, ``length``, ``content``): a UTF-8
-    JSON array, not empty, of non-empty objects, within the size limit, without
-    sensitive keys. Oversized files are judged by length alone, never parsed."""
-    # the length limit bounds what one row may hold
-    within = F.col("length") <= MAX_PAYLOAD_BYTES
+    JSON array, not empty, of non-empty objects, of at most ``max_bytes``, without
+    sensitive keys. Larger files are judged by length alone, never parsed: the limit
+    of one file bounds what one row may hold. With the SHA-256 of every file."""
+    within = F.col("length") <= max_bytes
     raw = F.col("content").cast("string")
     text = F.when(within & F.is_valid_utf8(raw), F.regexp_replace(raw, r"^\ufeff", ""))
     parsed = files.withColumn("_text", text).withColumns({
@@ -77,6 +74,7 @@ def payload_file_verdict(files: DataFrame) -> DataFrame:
     return parsed.select(
         "path", "length",
         F.col("_length").alias("record_count"),
+        F.sha2("content", 256).alias("content_hash"),
         F.when(F.col("length") <= 0, "empty_file")
         .when(~within, "too_large")
         .when(F.col("_text").isNull(), "not_utf8")
@@ -97,9 +95,13 @@ def canonical_json(json: Column) -> Column:
 
 
 def object_keys(json: Column) -> Column:
-    """All object keys of a JSON text, at any depth, in canonical order."""
-    tokens = F.regexp_extract_all(canonical_json(json), F.lit(_STRING_TOKEN), F.lit(0))
-    return F.transform(F.filter(tokens, lambda t: t.endswith(":")), lambda t: F.regexp_replace(t, r'^"|"\s*:$', ""))
+    """All object keys of a JSON text, at any depth and however often named, in the
+    text's order, with escapes read. The text is scanned, not parsed, so text that is
+    only nearly JSON is searched as well; NULL text is not judged."""
+    tokens = F.regexp_extract_all(json, F.lit(_STRING_TOKEN), F.lit(0))
+    raw = F.transform(F.filter(tokens, lambda t: t.endswith(":")), lambda t: F.regexp_replace(t, r"\s*+:$", ""))
+    plain = lambda t: F.get(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>"), F.lit(0))
+    return F.transform(raw, lambda t: F.coalesce(F.when(t.contains("\\"), plain(t)), F.regexp_replace(t, '^"|"$', "")))
 
 
 def is_sensitive(key: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
@@ -114,7 +116,8 @@ def sensitive_keys(json: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
 
 def sensitive_key_scan(df: DataFrame, json: str, fragments=SENSITIVE_KEY_FRAGMENTS, with_path: bool = False) -> DataFrame:
     """Rows with a sensitive key, with those keys in ``sensitive_keys``.
-    ``with_path`` adds where the first one sits; only the hits pay for that."""
+    ``with_path`` adds where the first one sits, NULL in text that is not JSON; only
+    the hits pay for that."""
     scanned = add_once(df, {"sensitive_keys": sensitive_keys(F.col(json), fragments)})
     hits = scanned.filter(F.size("sensitive_keys") > 0)
     return hits.withColumn("key_path", _first_path(fragments)(F.col(json))) if with_path else hits
@@ -129,13 +132,17 @@ def _first_path(fragments):
         import json
 
         def locate(text):
-            pending = [("$", None, json.loads(text))]
+            try:
+                # pairs, not dicts: an object may name a key twice
+                pending = [("$", None, json.loads(text, object_pairs_hook=lambda pairs: (pairs,)))]
+            except ValueError:
+                return None
             while pending:
                 path, key, value = pending.pop()
                 if key is not None and any(w in key.casefold().replace("-", "_") for w in wanted):
                     return path
-                if isinstance(value, dict):
-                    below = [(f"{path}.{k}", k, v) for k, v in value.items()]
+                if isinstance(value, tuple):
+                    below = [(f"{path}.{k}", k, v) for k, v in value[0]]
                 elif isinstance(value, list):
                     below = [(f"{path}[{n}]", None, v) for n, v in enumerate(value)]
                 else:
@@ -161,9 +168,13 @@ def batch_checksum(df: DataFrame, json: str, batch: list[str]) -> DataFrame:
 
     Each record's canonical text is hashed; four 60-bit lanes of the hash are
     summed, which combines map-side, so no task ever holds a batch. Copies count.
-    Records that are not JSON are hashed as they stand.
+    Records that are not JSON are hashed as they stand, and records with numbers that
+    parsing may round also as they stand.
     """
-    text = F.coalesce(canonical_json(F.col(json)), F.col(json), F.lit("null"))
+    raw, same = F.col(json), canonical_json(F.col(json))
+    # numbers beyond a double's range or precision are not told apart by the canonical text
+    lossy = raw.rlike(r"[0-9]{16}|[eE][+-]?[0-9]{3}")
+    text = F.coalesce(F.when(lossy, F.concat(same, F.lit("\n"), raw)).otherwise(same), raw, F.lit("null"))
     hashed = df.select(*batch, F.sha2(text, 256).alias("_h"))
     lanes = [
         F.sum(F.conv(F.substring("_h", 1 + 15 * i, 15), 16, 10).cast("decimal(28,0)")).cast("string").alias(f"_l{i}")

@@ -28,8 +28,9 @@ def upsert(
     Keys compare with ``=``, so NULL keys never match unless ``null_safe_keys``.
     Two source rows for one target row raise an error when the plan runs, as in
     MERGE. The target is joined as the outer side: a small source is broadcast by
-    its measured size, and a hot key of the target can be split by AQE. Target
-    rows with a NULL key bypass the join (their scan is a pushed-down IS NULL).
+    its measured size, and a hot key of the target (NULL too, which matches nothing)
+    can be split by AQE. The target is scanned whole once, and its keys once more for
+    the rows to add.
     """
     keys = list(keys)
     columns = target.columns
@@ -41,11 +42,10 @@ def upsert(
         {k: f"_s_{k}" for k in keys}
     )
     if null_safe_keys:
-        held, on = target, _same_key("", "_s_", keys)
+        on = _same_key("", "_s_", keys)
     else:
-        held = target.filter(~_any_null(keys))
         on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in keys])
-    joined = held.join(per_key, on, "left_outer")
+    joined = target.join(per_key, on, "left_outer")
 
     duplicate = F.raise_error(F.lit("MERGE_DUPLICATE_SOURCE_KEY")).cast("boolean")
     checked = joined.filter(F.when(F.col("_n") > 1, duplicate).otherwise(F.lit(True)))
@@ -53,8 +53,6 @@ def upsert(
         F.when(F.col("_n").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
         for c in columns
     ])
-    if not null_safe_keys:
-        merged = merged.unionByName(target.filter(_any_null(keys)))
     return merged.unionByName(insert_only(target, source, keys, null_safe_keys))
 
 

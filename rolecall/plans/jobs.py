@@ -13,8 +13,10 @@ from rolecall.operators.quality import (
     QualityError, bronze_suite, require_columns, require_rows, require_sources, rule_aggregates, rule_results,
 )
 from rolecall.operators.schema import flatten_envelope, normalise_listings
-from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, raw_json_scan, spread
-from rolecall.sources.sinks import append_partitioned, publish_nonempty, quarantine, replace_batches, replace_mart, stage, upsert_into
+from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, raw_json_scan
+from rolecall.sources.sinks import append_partitioned, publish_nonempty, quarantine, replace_batches, replace_mart, stage, table_at, upsert_into
+
+from rolecall.storage import drop_dir, shared_dir
 
 from . import marts
 
@@ -39,27 +41,36 @@ def cloud_silver(bronze: DataFrame, batch_date: str | None = None, tie_breakers=
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, quarantine_path: str, crawled_date: str, **read) -> DataFrame:
     """Raw JSON to validated Bronze and quarantine; returns the rule results.
 
-    The rules are observed while the clean rows are written, so they cost no pass
+    The rules are observed while the judged rows are stored, so they cost no pass
     of their own.
     """
-    rows = with_reject_reasons(flatten_envelope(raw_json_scan(spark, raw_path, **read)))
-    clean = F.size("reject_reasons") == 0
     rules, seen = bronze_suite(), Observation("bronze_rules")
-    observed = rows.observe(seen, *rule_aggregates(rules))
-    append_partitioned(observed.filter(clean).drop("reject_reasons"), bronze_path, crawled_date=crawled_date)
+    raw = flatten_envelope(raw_json_scan(spark, raw_path, **read))
+    # raw JSON is read and judged once; both outputs come from the stored rows
+    path = shared_dir(spark, "bronze")
+    with_reject_reasons(raw).observe(seen, *rule_aggregates(rules)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    clean = F.size("reject_reasons") == 0
+    append_partitioned(rows.filter(clean).drop("reject_reasons"), bronze_path, crawled_date=crawled_date)
     quarantine(rows.filter(~clean), quarantine_path)
+    drop_dir(spark, path)
     counts = seen.get
     ddl = ", ".join(f"{name} bigint" for name in counts)
     return rule_results(spark.createDataFrame([tuple(counts.values())], ddl), rules)
 
 
-def run_local_silver(spark: SparkSession, bronze_path: str, silver_path: str) -> bool:
+def run_local_silver(spark: SparkSession, bronze_path: str, silver_path: str, processed_at=None) -> bool:
     """All of Bronze to the Silver table, upserted by url; a listing's source, and
-    with it its partition, stays as first seen."""
-    silver = local_silver(spread(spark.read.parquet(bronze_path)))
+    with it its partition, stays as first seen. ``processed_at`` stamps the rows."""
+    silver = stamped(local_silver(spark.read.parquet(bronze_path)), "processed_at", processed_at)
     return upsert_into(silver, silver_path, ["url"], ["source"], keep_columns=["source"])
 
 
+def stamped(df: DataFrame, column: str, time) -> DataFrame:
+    """Adds a time that the caller gives (a timestamp or its text); None adds nothing."""
+    return df if time is None else df.withColumn(column, F.lit(time).cast("timestamp"))
+
+
 def _load_batch(spark: SparkSession, path: str, batch_date: str, empty_code: str) -> DataFrame:
     """One batch, which must be there and hold rows."""
     try:
@@ -72,45 +83,60 @@ def _load_batch(spark: SparkSession, path: str, batch_date: str, empty_code: str
 
 
 def run_cloud_silver(
-    spark: SparkSession, bronze_path: str, silver_path: str, batch_date: str, sources, require_all_sources: bool = True
+    spark: SparkSession, bronze_path: str, silver_path: str, batch_date: str, sources, require_all_sources: bool = True,
+    processed_at=None,
 ) -> dict[str, int]:
-    """One batch of Bronze to Silver partitions; returns rows in, out and removed."""
+    """One batch of Bronze to Silver partitions; returns rows in, out and removed.
+    The stored result of the checks is published as it lies: no second shuffle."""
     bronze = _load_batch(spark, bronze_path, batch_date, "SILVER_EMPTY_INPUT")
     require_columns(bronze, SILVER_REQUIRED, "SILVER_REQUIRED_COLUMNS_MISSING")
     require_sources(bronze, sources, require_all_sources, "SILVER_SOURCE_MISSING")
     wanted = bronze.filter(F.col("source").isin(*sources))
-    silver = stage(cloud_silver(spread(wanted), batch_date), "silver")
+    path = shared_dir(spark, "silver")
+    built = stamped(cloud_silver(wanted, batch_date), "processed_at", processed_at)
+    built.write.parquet(path)
+    silver = spark.read.schema(built.schema).parquet(path)
     require_sources(silver, sources, require_all_sources, "SILVER_SOURCE_EMPTY_AFTER_TRANSFORM")
     # both counts come from the files' footers
     rows_in, rows_out = wanted.count(), silver.count()
-    replace_batches(silver, silver_path)
-    written = batch_partition_scan(spark, silver_path, batch_date, sources).count()
+    replace_batches(silver, silver_path, rebalance=False)
+    drop_dir(spark, path)
+    written = batch_partition_scan(spark, silver_path, batch_date, sources, schema=built.schema).count()
     if written != rows_out:
         raise QualityError(f"SILVER_ROW_COUNT_MISMATCH: transformed={rows_out} written={written}")
     return {"rows_in": rows_in, "rows_out": rows_out, "rows_removed": rows_in - rows_out}
 
 
-def cloud_marts(silver: DataFrame, batch_date: str) -> dict[str, DataFrame]:
+def cloud_marts(silver: DataFrame, batch_date: str, created_at=None) -> dict[str, DataFrame]:
     prepared = marts.prepare(silver, batch_date)
     return {
-        "job_market_overview": marts.job_market_overview(prepared, ("source", "url")),
+        "job_market_overview": stamped(marts.job_market_overview(prepared, ("source", "url")), "created_at", created_at),
         "source_performance": marts.source_performance(prepared),
         "location_summary": marts.location_summary(prepared),
     }
 
 
-def run_cloud_gold(spark: SparkSession, silver_path: str, gold_path: str, batch_date: str, sources) -> dict[str, DataFrame]:
+def run_cloud_gold(
+    spark: SparkSession, silver_path: str, gold_path: str, batch_date: str, sources, created_at=None
+) -> dict[str, DataFrame]:
     """One batch of Silver to its three marts. The distinct jobs must equal the
-    Silver rows; that is asked before anything is published."""
+    Silver rows; the overview and the source mart, stored before anything is published,
+    answer that and the question for missing sources."""
     silver = _load_batch(spark, silver_path, batch_date, "GOLD_EMPTY_INPUT")
     require_columns(silver, GOLD_REQUIRED, "GOLD_REQUIRED_COLUMNS_MISSING")
-    require_sources(silver, sources, True, "GOLD_SOURCE_MISSING")
-    totals = silver.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("source", "url").alias("jobs")
-    ).first()
-    if totals["rows"] != totals["jobs"]:
-        raise QualityError(f"GOLD_INPUT_TOTAL_MISMATCH: input={totals['rows']} jobs={totals['jobs']}")
-    built = {name: stage(mart, name) for name, mart in cloud_marts(silver, batch_date).items()}
+    columns = [*GOLD_REQUIRED, *(c for c in ("batch_date",) if c in silver.columns)]
+    built = cloud_marts(silver.select(*columns), batch_date, created_at)
+    source_mart = stage(built["source_performance"], "source_performance")
+    require_sources(source_mart, sources, True, "GOLD_SOURCE_MISSING")
+    overview = marts.job_market_overview(marts.prepare(silver, batch_date), ("source", "url"), rows="silver_rows")
+    overview = stage(stamped(overview, "created_at", created_at), "job_market_overview")
+    totals = overview.select("silver_rows", "total_jobs").first()
+    if totals["silver_rows"] != totals["total_jobs"]:
+        raise QualityError(f"GOLD_INPUT_TOTAL_MISMATCH: input={totals['silver_rows']} jobs={totals['total_jobs']}")
+    built = {
+        "job_market_overview": overview.drop("silver_rows"), "source_performance": source_mart,
+        "location_summary": stage(built["location_summary"], "location_summary"),
+    }
     for name, mart in built.items():
         require_rows(mart, f"GOLD_MART_EMPTY: {name}")
     for name, mart in built.items():
@@ -119,19 +145,30 @@ def run_cloud_gold(spark: SparkSession, silver_path: str, gold_path: str, batch_
 
 
 def run_local_gold(
-    spark: SparkSession, silver_table: str, gold_path: str, report_date: str, listing_source: str, publish=None
+    spark: SparkSession, silver_table: str, gold_path: str, report_date: str, listing_source: str, publish=None,
+    database: str | None = None, created_at=None,
 ) -> dict[str, str]:
     """Silver table to eleven marts, each upserted by its keys; marts that are empty
-    are skipped. ``publish(df, name)`` may also copy each to a serving database.
-    Returns the written path per mart; nothing when Silver is missing or empty."""
+    are skipped. With ``database`` each is a catalog table of its name there, too.
+    ``publish(df, name)`` may also copy each to a serving database. ``created_at`` stamps
+    the overview and the run's record. Returns the written path per mart; nothing when
+    Silver is missing or empty. Silver's columns that the marts read are stored once."""
     silver = catalog_table_scan(spark, silver_table)
     if silver is None:
         return {}
+    path = shared_dir(spark, "gold")
     prepared = marts.prepare(silver, report_date)
+    prepared.select(*marts.READ_COLUMNS).write.parquet(path)
+    prepared = spark.read.parquet(path)
     paths = {}
-    for name, (mart, keys) in marts.gold_marts(prepared, silver, report_date, listing_source).items():
-        if upsert_into(mart, f"{gold_path}/{name}", keys, ["report_date"]):
+    for name, (mart, keys) in marts.gold_marts(prepared, prepared, report_date, listing_source).items():
+        if name in ("mart_job_market_overview", "mart_pipeline_health"):
+            mart = stamped(mart, "created_at", created_at)
+        if upsert_into(mart, f"{gold_path}/{name}", keys, ["report_date"], partitions=[(report_date,)]):
             paths[name] = f"{gold_path}/{name}"
+            if database is not None:
+                table_at(spark, f"{database}.{name}", paths[name])
+    drop_dir(spark, path)
     if publish is not None:
         # what was written is read back, so no mart is computed a second time
         day = F.col("report_date") == F.to_date(F.lit(report_date))

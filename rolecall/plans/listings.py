@@ -63,6 +63,5 @@ def listings_sql(batches: bool = False, braces: bool = False) -> str:
 
 
 def listings(spark: SparkSession, sf_dir: str, batches: bool = False) -> DataFrame:
-    tables = {t: parquet_scan(spark, f"{sf_dir}/{t}.parquet") for t in ("part", "supplier")}
-    lines = parquet_scan(spark, f"{sf_dir}/lineitem.parquet", ("l_orderkey", "l_linenumber"))
-    return spark.sql(listings_sql(batches, braces=True), lineitem=lines, **tables)
+    tables = {t: parquet_scan(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part", "supplier")}
+    return spark.sql(listings_sql(batches, braces=True), **tables)

@@ -17,7 +17,7 @@ def prepare(silver: DataFrame, report_date: str) -> DataFrame:
 
 
 def _jobs_with_salary():
-    return F.sum(F.when(F.col("has_salary"), 1).otherwise(0)).alias("jobs_with_salary")
+    return F.count_if("has_salary").alias("jobs_with_salary")
 
 
 def _salary_averages():
@@ -28,10 +28,21 @@ def _salary_averages():
     ]
 
 
-def job_market_overview(prepared: DataFrame, job_keys=("url",), approximate: bool = False) -> DataFrame:
+#: Fixed: the columns of prepared Silver that the marts read.
+READ_COLUMNS = (
+    "keyword", "title", "url", "source", "company", "location_std", "work_type", "salary_raw", "min_salary", "max_salary",
+    "currency", "tags", "posted", "report_date", "has_salary",
+)
+
+
+def job_market_overview(
+    prepared: DataFrame, job_keys=("url",), approximate: bool = False, rows: str | None = None
+) -> DataFrame:
     """One row per date. ``job_keys=("source", "url")`` counts jobs per source, with
     a pair that holds a NULL not counted. ``approximate`` trades exact distinct
-    counts (which multiply the rows before the shuffle) for sketches."""
+    counts (which multiply the rows before the shuffle) for sketches. ``rows`` names an
+    added count of all rows, for a reconciliation."""
+    counted = [F.count(F.lit(1)).alias(rows)] if rows else []
     if approximate:
         pair = F.when(~F.concat(*job_keys).isNull(), F.struct(*job_keys)) if len(job_keys) > 1 else F.col(job_keys[0])
         distinct = lambda *c: F.approx_count_distinct(pair if c == tuple(job_keys) else F.col(c[0]))
@@ -43,6 +54,7 @@ def job_market_overview(prepared: DataFrame, job_keys=("url",), approximate: boo
         distinct("source").alias("total_sources"),
         distinct("location_std").alias("total_locations"),
         _jobs_with_salary(),
+        *counted,
     )
 
 
@@ -93,8 +105,8 @@ def high_salary_alerts(prepared: DataFrame, thresholds: dict = ALERT_THRESHOLDS)
     )
 
 
-def run_health(silver: DataFrame, report_date: str, name: str = "gold_aggregation", status: str = "success") -> DataFrame:
-    """One row per run: how many Silver rows went in. No clock column."""
+def pipeline_health(silver: DataFrame, report_date: str, name: str = "gold_aggregation", status: str = "success") -> DataFrame:
+    """One row per run: how many Silver rows went in."""
     return silver.agg(F.count(F.lit(1)).alias("records_in")).select(
         F.lit(name).alias("pipeline_name"), F.lit(status).alias("status"), "records_in",
         F.to_date(F.lit(report_date)).alias("report_date"),
@@ -136,7 +148,7 @@ def gold_marts(prepared: DataFrame, silver: DataFrame, report_date: str, listing
         "mart_company_hiring_trend": (company_hiring_trend(prepared), ["company", "source", "location_std", "report_date"]),
         "mart_skill_demand": (skill_demand(prepared), ["skill", "source", "location_std", "report_date"]),
         "mart_high_salary_alerts": (alerts, ["url", "report_date"]),
-        "mart_run_health": (run_health(silver, report_date), ["pipeline_name", "report_date"]),
+        "mart_pipeline_health": (pipeline_health(silver, report_date), ["pipeline_name", "report_date"]),
         f"{listing_source}_jobs": (source_jobs(prepared, listing_source), ["url", "report_date"]),
         "market_summary": (market_summary(prepared), ["location_std", "currency", "report_date"]),
         "source_stats": (source_stats(prepared), ["source", "report_date"]),

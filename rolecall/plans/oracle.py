@@ -1,6 +1,5 @@
 """Independent SQL for the registered queries, in DuckDB's dialect."""
 
-from rolecall.functions.skills import SKILLS
 
 from .listings import listings_sql
 from .registry import BATCH, REPORT_DATE
@@ -176,7 +175,13 @@ def _skills(whole_words: bool = False) -> tuple[str, str]:
         escaped = "".join("\\" + c if c in "+.#" else c for c in s)
         return f"(^|[^a-z0-9+#.]){escaped}($|[^a-z0-9+#])"
 
-    rows = ", ".join(f"('{quoted(s)}', '{quoted(s.title())}', '{pattern(s)}')" for s in SKILLS)
+    # The skill dictionary, written out again.
+    skills = (
+        "python", "sql", "spark", "airflow", "docker", "kafka", "aws", "azure", "gcp", "java", "javascript", "typescript",
+        "react", "node", "php", "c#", ".net", "golang", "go", "devops", "linux", "power bi", "tableau", "machine learning",
+        "data engineer", "data analyst", "etl", "dbt",
+    )
+    rows = ", ".join(f"('{quoted(s)}', '{quoted(s.title())}', '{pattern(s)}')" for s in skills)
     return ("skills", f"SELECT * FROM (VALUES {rows}) v(needle, skill, pattern)")
 
 
@@ -307,7 +312,7 @@ EVENTS = [("ev", """SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day
     WHEN 'purchase' THEN '{"note": "the \\"password\\": none", "p": ' || props || '}'
     WHEN 'click' THEN '{"Authorization": "x", "a": {"cookie": 1}, "p": ' || props || '}' ELSE props END AS payload FROM events""")]
 BROKEN = [*EVENTS, ("broken", "SELECT event_id, event_type, day, CASE event_type WHEN 'error' THEN '{}' WHEN 'click' THEN '[' || props || ']' "
-                              "WHEN 'purchase' THEN substr(props, 2, 100) ELSE props END AS payload, "
+                              "WHEN 'purchase' THEN substr(props, 2) ELSE props END AS payload, "
                               "CASE event_type WHEN 'error' THEN 'empty_object' WHEN 'click' THEN 'not_object' "
                               "WHEN 'purchase' THEN 'not_json' ELSE 'ok' END AS verdict FROM ev")]
 
@@ -370,22 +375,42 @@ def _batch_silver(name: str, condition: str) -> list:
 STREAMED = [DATED, *_batch_silver("early", f"batch_date < '{BATCH}'"), *_batch_silver("late", f"batch_date >= '{BATCH}'")]
 
 
-def _gold_counts() -> str:
+# The marts' columns, and those of them that hold fractions.
+MART_COLUMNS = {
+    "mart_job_market_overview": "report_date total_jobs total_companies total_sources total_locations jobs_with_salary",
+    "mart_source_performance": "source report_date job_count company_count jobs_with_salary",
+    "mart_salary_by_location": "location_std source currency report_date job_count avg_min_salary avg_max_salary highest_salary",
+    "mart_company_hiring_trend": "company source location_std report_date job_count highest_salary",
+    "mart_skill_demand": "skill source location_std report_date job_count",
+    "mart_high_salary_alerts": "title company url source location_std salary_raw min_salary max_salary currency report_date",
+    "mart_pipeline_health": "pipeline_name status records_in report_date",
+    "itviec_jobs": "keyword title url company location work_type salary tags posted report_date",
+    "market_summary": "location_std currency report_date total_jobs avg_min_salary avg_max_salary highest_salary",
+    "source_stats": "source report_date jobs_count",
+    "daily_alerts": "title url min_salary max_salary currency source location_std report_date",
+}
+FRACTIONS = {"avg_min_salary", "avg_max_salary", "highest_salary", "min_salary", "max_salary"}
+
+
+def mart_rows(name: str, sql: str, twice: str | None = None) -> str:
+    """A mart's rows as (mart, row); ``twice`` names a key: after two upserts a row that
+    lacks it is there twice, as it never matches."""
+    text = lambda c: f"coalesce(printf('%.2f', CAST({c} AS DOUBLE)), '-')" if c in FRACTIONS else f"coalesce(CAST({c} AS VARCHAR), '-')"
+    row = " || '|' || ".join(text(c) for c in sorted(MART_COLUMNS[name].split()))
+    select = f"SELECT '{name}' AS mart, {row} AS row FROM ({sql})"
+    return union(select, f"{select} WHERE {twice} IS NULL") if twice else select
+
+
+def _gold_rows() -> str:
     tables = {
         "mart_job_market_overview": MARTS["overview"], "mart_source_performance": MARTS["sources"],
         "mart_salary_by_location": MARTS["by_location"], "mart_company_hiring_trend": MARTS["companies"],
-        "mart_skill_demand": skill_mart(), "mart_high_salary_alerts": MARTS["alerts"], "mart_run_health": MARTS["health"],
+        "mart_skill_demand": skill_mart(), "mart_high_salary_alerts": MARTS["alerts"], "mart_pipeline_health": MARTS["health"],
         "itviec_jobs": MARTS["jobs"], "market_summary": MARTS["summary"], "source_stats": MARTS["stats"],
         "daily_alerts": MARTS["daily"],
     }
-    return union(*[f"SELECT '{name}' AS mart, {_upserted(name)} AS row_count FROM ({sql})" for name, sql in tables.items()])
-
-
-def _upserted(name: str) -> str:
-    """Rows after two upserts: a row with a NULL key never matches and is added again."""
-    if name in ("mart_high_salary_alerts", "itviec_jobs", "daily_alerts"):
-        return "count(*) + count(*) FILTER (WHERE url IS NULL)"
-    return "count(*)"
+    by_url = ("mart_high_salary_alerts", "itviec_jobs", "daily_alerts")
+    return union(*[mart_rows(name, sql, "url" if name in by_url else None) for name, sql in tables.items()])
 
 
 ORACLE = {
@@ -445,8 +470,7 @@ ORACLE = {
     "insert_only_merge": ctes(*ORDER_UPDATE) + "SELECT * FROM target UNION ALL SELECT * FROM incoming i "
                                                "WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.o_orderkey = i.o_orderkey)",
     "publish_nonempty_marts": ctes(*READY) + union(
-        f"SELECT 'mart_source_performance' AS mart, count(*) AS row_count FROM ({MARTS['sources']})",
-        f"SELECT 'mart_company_hiring_trend', count(*) FROM ({MARTS['companies']})",
+        mart_rows("mart_source_performance", MARTS["sources"]), mart_rows("mart_company_hiring_trend", MARTS["companies"]),
     ),
     "batch_envelope": ctes(DATED) + "SELECT source, batch_date, count(*) AS total, count(*) AS records, "
                                     "'2026-09-30T00:00:00' AS scraped_at FROM listings GROUP BY source, batch_date",
@@ -502,7 +526,7 @@ ORACLE = {
     "mart_company_hiring_trend": ctes(*READY) + MARTS["companies"],
     "mart_skill_demand": ctes(*READY, _skills()) + skill_mart(),
     "mart_high_salary_alerts": ctes(*READY) + MARTS["alerts"],
-    "mart_run_health": ctes(*LOCAL) + MARTS["health"],
+    "mart_pipeline_health": ctes(*LOCAL) + MARTS["health"],
     "overview_cloud": ctes(*READY_CLOUD) + MARTS["overview_pairs"],
     "source_performance_cloud": ctes(*READY_CLOUD) + MARTS["sources"],
     "location_summary_cloud": ctes(*READY_CLOUD) + MARTS["locations"],
@@ -542,7 +566,8 @@ ORACLE = {
     ),
     "table_inventory": union(*[
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
+        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+                  "pages", "benchmark", "labels", "conversations")
     ]),
     "top_lineitems": top("lineitem", "l_extendedprice DESC NULLS LAST", "l_orderkey, l_linenumber, l_extendedprice", 10),
     "union_by_name": ctes(RAW) + "SELECT url, source, title FROM listings UNION ALL "
@@ -655,7 +680,7 @@ ORACLE = {
                                           "(SELECT count(*) AS a FROM listings), (SELECT count(*) AS b FROM silver)",
     # pages and payloads
     "page_outcome": ctes(*PAGES) + f"SELECT page_id, variant, card_count, link_count, page_title, {OUTCOME} AS outcome FROM full_text",
-    "parse_outcome": ctes(*LINKS, ("useful", "SELECT page_id, count(*) AS records FROM links WHERE length(title) > 6 GROUP BY page_id")) + (
+    "parse_outcome": ctes(*LINKS, ("useful", "SELECT page_id, count(*) AS records FROM links GROUP BY page_id")) + (
         "SELECT p.page_id, coalesce(records, 0) AS records, CASE WHEN coalesce(records, 0) > 0 THEN NULL "
         "WHEN contains(html, '<h1>') THEN 'parser_drift' ELSE 'other' END AS failure FROM pages p LEFT JOIN useful u ON p.page_id = u.page_id"
     ),
@@ -679,7 +704,7 @@ ORACLE = {
     ),
     "payload_contract": ctes(*BROKEN) + (
         "SELECT event_type, day, count(*) AS record_count, CAST(sum(strlen(payload)) AS BIGINT) AS payload_bytes, "
-        "count(*) FILTER (WHERE verdict <> 'ok') AS bad_records, CASE WHEN sum(strlen(payload)) > 104857600 THEN 'too_large' "
+        "count(*) FILTER (WHERE verdict <> 'ok') AS bad_records, CASE "
         "WHEN count(*) FILTER (WHERE verdict <> 'ok') > 0 THEN 'bad_record' ELSE 'ok' END AS verdict FROM broken GROUP BY event_type, day"
     ),
     "payload_record_verdicts": ctes(*BROKEN) + "SELECT event_id, verdict FROM broken",
@@ -711,9 +736,16 @@ ORACLE = {
     # streaming and whole jobs
     "incremental_silver": ctes(*STREAMED) + "SELECT * FROM late UNION ALL SELECT * FROM early e "
                                             "WHERE NOT EXISTS (SELECT 1 FROM late l WHERE l.source = e.source AND l.url = e.url)",
+    "incremental_quarantine": ctes(RAW) + (
+        "SELECT source, concat_ws(',', CASE WHEN title IS NULL THEN 'title_missing' END, CASE WHEN url IS NULL THEN 'url_missing' END, "
+        "CASE WHEN NOT regexp_matches(url, '^https?://') THEN 'url_not_http' END) AS reasons, count(*) AS n "
+        f"FROM listings WHERE NOT coalesce({CLEAN}, false) GROUP BY 1, 2"
+    ),
     "silver_local": ctes(*LOCAL) + "SELECT * FROM silver",
+    # a listing without a url never matches and is there once more after the second run
+    "silver_local_table": ctes(*LOCAL) + "SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE url IS NULL",
     "silver_cloud": ctes(*CLOUD) + f"SELECT *, '{BATCH}' AS batch_date FROM silver",
-    "gold_local": ctes(*READY, _skills()) + _gold_counts(),
+    "gold_local": ctes(*READY, _skills()) + _gold_rows(),
     "gold_cloud": ctes(*CLOUD, prepared(BATCH)) + MARTS["locations"],
     "bronze_validate": ctes(RAW) + f"SELECT CASE WHEN coalesce({CLEAN}, false) THEN 'clean' ELSE 'dirty' END AS verdict, {LISTING} FROM listings",
     "bronze_rule_results": ctes(RAW) + union(*SUITE),

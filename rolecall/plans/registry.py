@@ -23,6 +23,10 @@ from .listings import listings
 REPORT_DATE = "2026-09-30"
 BATCH = "1998-01-01"
 SOURCES = ("itviec", "topcv")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 QUERIES = {}
 
@@ -35,9 +39,7 @@ def query(function):
 # ---- inputs ---------------------------------------------------------------
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    # long texts and pages are what per-row work is spent on
-    spread_by = {"documents": ("doc_id",), "pages": ("page_id",)}.get(name, ())
-    return readers.parquet_scan(spark, f"{sf}/{name}.parquet", spread_by)
+    return readers.parquet_scan(spark, f"{sf}/{name}.parquet")
 
 
 def dated(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,11 +123,12 @@ def catalog_table_scan(spark, sf):
 
 @query
 def inline_rows(spark, sf):
-    rows_in = table(spark, sf, "lineitem").count()
-    run = readers.inline_rows(
-        spark, [("gold_aggregation", "success", rows_in)], "pipeline_name string, status string, records_in bigint"
+    """A literal run record beside a count that never leaves Spark."""
+    runs = readers.inline_rows(
+        spark, [("gold_aggregation", "success", "lineitem")], "pipeline_name string, status string, input string"
     )
-    return run.withColumn("report_date", F.to_date(F.lit(REPORT_DATE)))
+    counted = table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("records_in")).withColumn("input", F.lit("lineitem"))
+    return runs.join(counted, "input").drop("input").withColumn("report_date", F.to_date(F.lit(REPORT_DATE)))
 
 
 def _landed_and_manifest(spark, sf):
@@ -206,7 +209,7 @@ def html_listing_extract(spark, sf):
 
 @query
 def html_page_links(spark, sf):
-    found = cards.html_listing_extract(table(spark, sf, "pages"), cards.CARD_PROFILES["links"], keep=("page_id",))
+    found = cards.page_links(table(spark, sf, "pages"), keep=("page_id",)).filter(F.col("title") != "")
     return found.groupBy("page_id", "title", "url").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -317,18 +320,14 @@ def publish_nonempty_marts(spark, sf):
         "mart_high_salary_alerts": marts.high_salary_alerts(ready, {"EUR": 1}),  # no row
     }
     published = sinks.publish_nonempty(built, lambda df, name: df.write.parquet(f"{path}/mart={name}"))
-    counts = [
-        spark.read.parquet(f"{path}/mart={name}").agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(name).alias("mart"), "row_count")
-        for name in published
-    ]
-    return counts[0].unionByName(counts[1])
+    return union_all([mart_values(spark.read.parquet(f"{path}/mart={name}"), name) for name in published])
 
 
 @query
 def batch_envelope(spark, sf):
     path = shared_dir(spark, "raw")
-    sinks.write_envelopes(sinks.batch_envelopes(raw_records(spark, sf)), path, "2026-09-30T00:00:00")
+    records = raw_records(spark, sf)
+    sinks.write_envelopes(sinks.batch_envelopes(records), path, "2026-09-30T00:00:00", records)
     stored = readers.raw_json_scan(spark, path, multi_line=False, lineage=False)
     return stored.groupBy("source", "batch_date").agg(
         F.sum("total").alias("total"), F.sum(F.size("jobs")).alias("records"), F.max("scraped_at").alias("scraped_at")
@@ -563,8 +562,8 @@ def mart_high_salary_alerts(spark, sf):
 
 
 @query
-def mart_run_health(spark, sf):
-    return marts.run_health(jobs.local_silver(listings(spark, sf)), REPORT_DATE)
+def mart_pipeline_health(spark, sf):
+    return marts.pipeline_health(jobs.local_silver(listings(spark, sf)), REPORT_DATE)
 
 
 @query
@@ -676,8 +675,7 @@ def alert_gate(spark, sf):
 @query
 def table_inventory(spark, sf):
     prefix = f"inventory_{uuid.uuid4().hex}_"
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
-    for name in names:
+    for name in TABLES:
         table(spark, sf, name).createOrReplaceTempView(prefix + name)
     counted = readers.table_inventory(spark, prefix=prefix)
     return counted.withColumn("table_name", F.replace("table_name", F.lit(prefix), F.lit("")))
@@ -940,7 +938,7 @@ def gold_checks(spark, sf):
     ready = prepared(spark, sf)
     return quality.gold_checks(
         marts.job_market_overview(ready), marts.source_performance(ready), marts.high_salary_alerts(ready),
-        marts.run_health(ready, REPORT_DATE), salary.ALERT_THRESHOLDS,
+        marts.pipeline_health(ready, REPORT_DATE), salary.ALERT_THRESHOLDS,
     )
 
 
@@ -1000,9 +998,9 @@ def parse_outcome(spark, sf):
     """Records parsed from each page's list items, judged with its card count."""
     all_pages = table(spark, sf, "pages")
     judged = cards.classify_pages(all_pages, r"<h1>", r'<a href="/')
-    parsed = cards.html_listing_extract(all_pages, cards.CARD_PROFILES["links"], keep=("page_id",))
-    useful = parsed.filter(F.length("title") > 6).groupBy("page_id").agg(F.count(F.lit(1)).alias("records"))
-    both = judged.join(useful, "page_id", "left_outer").withColumn("records", F.coalesce("records", F.lit(0)))
+    parsed = cards.page_links(all_pages, keep=("page_id",))
+    counted = parsed.groupBy("page_id").agg(F.count(F.lit(1)).alias("records"))
+    both = judged.join(counted, "page_id", "left_outer").withColumn("records", F.coalesce("records", F.lit(0)))
     failure = pages.parse_outcome(F.col("records"), F.col("card_count"), F.col("outcome"))
     return both.select("page_id", "records", failure.alias("failure"))
 
@@ -1074,7 +1072,7 @@ def payload_contract(spark, sf):
     broken = event_payloads(spark, sf).withColumn(
         "payload",
         F.when(kind == "error", "{}").when(kind == "click", F.concat(F.lit("["), "props", F.lit("]")))
-        .when(kind == "purchase", F.substring("props", 2, 100)).otherwise(F.col("props")),
+        .when(kind == "purchase", F.expr("substr(props, 2)")).otherwise(F.col("props")),
     )
     return payload.payload_contract(broken, "payload", ["event_type", "day"])
 
@@ -1085,7 +1083,7 @@ def payload_record_verdicts(spark, sf):
     broken = event_payloads(spark, sf).withColumn(
         "payload",
         F.when(kind == "error", "{}").when(kind == "click", F.concat(F.lit("["), "props", F.lit("]")))
-        .when(kind == "purchase", F.substring("props", 2, 100)).otherwise(F.col("props")),
+        .when(kind == "purchase", F.expr("substr(props, 2)")).otherwise(F.col("props")),
     )
     return broken.select("event_id", payload.record_verdict(F.col("payload")).alias("verdict"))
 
@@ -1169,6 +1167,8 @@ def object_key(spark, sf):
 def incremental_silver(spark, sf):
     """Two landings and two runs; the second upserts into the first's table, a third
     finds nothing."""
+    from rolecall.streaming import incremental
+
     base = shared_dir(spark, "stream")
     rows = raw_records(spark, sf)
     early = F.col("batch_date") < BATCH
@@ -1176,13 +1176,25 @@ def incremental_silver(spark, sf):
         sinks.batch_envelopes(part).write.mode("append").json(f"{base}/raw")
         incremental_silver_run(spark, base)
     incremental_silver_run(spark, base)
-    return spark.read.parquet(f"{base}/silver").select(*schema.SILVER_COLUMNS)
+    return incremental.current_silver(spark, f"{base}/silver").select(*schema.SILVER_COLUMNS)
 
 
 def incremental_silver_run(spark, base):
     from rolecall.streaming import incremental
 
-    return incremental.incremental_silver(spark, f"{base}/raw", f"{base}/silver", f"{base}/progress", multi_line=False, buckets=4)
+    return incremental.incremental_silver(
+        spark, f"{base}/raw", f"{base}/silver", f"{base}/progress", f"{base}/quarantine", multi_line=False
+    )
+
+
+@query
+def incremental_quarantine(spark, sf):
+    """What the incremental job rejects, by reason."""
+    base = shared_dir(spark, "stream")
+    sinks.batch_envelopes(raw_records(spark, sf)).write.json(f"{base}/raw")
+    incremental_silver_run(spark, base)
+    rejected = spark.read.parquet(f"{base}/quarantine")
+    return rejected.groupBy("source", F.array_join("reject_reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -1190,6 +1202,16 @@ def silver_local(spark, sf):
     return jobs.local_silver(listings(spark, sf))
 
 
+@query
+def silver_local_table(spark, sf):
+    """The local Silver job over a stored Bronze, run twice, read back from its table."""
+    base = shared_dir(spark, "lake")
+    sinks.append_partitioned(listings(spark, sf), f"{base}/bronze")
+    for _ in range(2):
+        jobs.run_local_silver(spark, f"{base}/bronze", f"{base}/silver", processed_at="2026-09-30 01:02:03")
+    return spark.read.parquet(f"{base}/silver").select(*schema.SILVER_COLUMNS)
+
+
 def one_batch(spark, sf):
     """All listings as the Bronze of one batch."""
     return listings(spark, sf).withColumn("batch_date", F.lit(BATCH))
@@ -1205,22 +1227,34 @@ def silver_cloud(spark, sf):
 
 @query
 def gold_local(spark, sf):
-    """All eleven marts, built and upserted twice; their row counts."""
-    base, name = shared_dir(spark, "lake"), f"silver_{uuid.uuid4().hex}"
+    """All eleven marts, built and upserted twice into catalog tables; every row of them
+    as a mart name and the text of its values."""
+    base, name = shared_dir(spark, "lake"), uuid.uuid4().hex
     silver = jobs.local_silver(listings(spark, sf))
-    silver.write.option("path", f"{base}/silver").partitionBy("source").saveAsTable(name)
-    jobs.run_local_gold(spark, name, f"{base}/gold", REPORT_DATE, "itviec")
-    paths = jobs.run_local_gold(spark, name, f"{base}/gold", REPORT_DATE, "itviec")
-    counts = [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(mart).alias("mart"), "row_count")
-        for mart, path in paths.items()
-    ]
-    out = counts[0]
-    for part in counts[1:]:
+    silver.write.option("path", f"{base}/silver").partitionBy("source").saveAsTable(f"silver_{name}")
+    for _ in range(2):
+        paths = jobs.run_local_gold(
+            spark, f"silver_{name}", f"{base}/gold", REPORT_DATE, "itviec", database=f"gold_{name}", created_at="2026-09-30 01:02:03"
+        )
+    return union_all([mart_values(spark.table(f"gold_{name}.{mart}").drop("created_at"), mart) for mart in paths])
+
+
+def union_all(parts):
+    out = parts[0]
+    for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+def mart_values(mart, name):
+    """A mart's rows as (mart, row): its values as texts, by column name."""
+    texts = [
+        F.coalesce((F.format_string("%.2f", F.col(c).cast("double")) if t in ("double", "float") else F.col(c).cast("string")), F.lit("-"))
+        for c, t in sorted(mart.dtypes)
+    ]
+    return mart.select(F.lit(name).alias("mart"), F.concat_ws("|", *texts).alias("row"))
+
+
 @query
 def gold_cloud(spark, sf):
     """The cloud marts of one batch, published twice; the widest of them read back."""

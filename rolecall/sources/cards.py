@@ -45,13 +45,6 @@ CARD_PROFILES = {
         "keyword": "data",
         "work_type": "At office",
     },
-    # any page: its list items that hold a link
-    "links": {
-        "cards": ["li"],
-        "title": ["a"],
-        "url": ["a @href"],
-        "salary_missing": "",
-    },
 }
 
 _SINGLE = ("title", "url", "company", "location", "salary", "posted")
@@ -107,6 +100,15 @@ def html_listing_extract(
     )
 
 
+def page_links(df: DataFrame, html: str = "html", keep=("page_id",)) -> DataFrame:
+    """Title and url of every list item that is a plain link; a pattern is enough for
+    these, and pages stay in the JVM."""
+    item = r'(?i)<li(?:\s[^>]*+)?+>\s*+<a\s[^>]*?href="([^"]*+)"[^>]*+>([^<]*+)</a>'
+    found = df.select(*keep, F.explode(F.regexp_extract_all(html, F.lit(item), F.lit(0))).alias("_item"))
+    part = lambda n: F.regexp_extract("_item", item, n)
+    return found.select(*keep, strip_blank(part(2)).alias("title"), canonical_url(part(1)).alias("url"))
+
+
 def classify_pages(
     df: DataFrame, card_pattern: str, link_pattern: str, html: str = "html", url: str = "url", status: str | None = None
 ) -> DataFrame:

@@ -29,31 +29,23 @@ def with_file_lineage(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("ingested_at"))
 
 
-def spread(scan: DataFrame, *by: str) -> DataFrame:
-    """For costly work on each row: a bare scan that fills fewer tasks than there are
-    cores is first dealt out to all of them, by a key of many values or else row by
-    row. A scan with enough splits is left as it is, so no large table is ever
-    shuffled for this."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    # asking a bare scan for its splits plans it but runs nothing
-    return scan.repartition(cores, *by) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def parquet_scan(spark: SparkSession, path: str, spread_by: tuple = ()) -> DataFrame:
-    """A Parquet scan, spread by a key when one is given (see ``spread``)."""
-    df = spark.read.parquet(path)
-    return spread(df, *spread_by) if spread_by else df
+def parquet_scan(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet scan. How many tasks it has is set by ``spark.sql.files.maxPartitionBytes``
+    and ``spark.sql.files.minPartitionNum``."""
+    return spark.read.parquet(path)
 
 
 def batch_partition_scan(
-    spark: SparkSession, base: str, batch_date: str, sources=None, merge_schema: bool = True
+    spark: SparkSession, base: str, batch_date: str, sources=None, merge_schema: bool = False, schema=None
 ) -> DataFrame:
     """One batch of all (or the named) sources of a table whose folders are
-    ``source=…/batch_date=…``. Only that batch's folders are listed and only its
-    footers are merged, however many batches the table holds. ``batch_date`` comes
-    back as text, whatever type the folder names suggest."""
+    ``source=…/batch_date=…``. Only that batch's folders are listed, however many
+    batches the table holds. With ``schema`` no footer is read beforehand;
+    ``merge_schema`` reads all of the batch's footers, for files that differ.
+    ``batch_date`` comes back as text, whatever type the folder names suggest."""
     pattern = f"{base.rstrip('/')}/source=*/batch_date={batch_date}"
-    df = spark.read.option("basePath", base).option("mergeSchema", merge_schema).parquet(pattern)
+    reader = spark.read.option("basePath", base).option("mergeSchema", merge_schema)
+    df = (reader.schema(schema) if schema is not None else reader).parquet(pattern)
     if sources is not None:
         df = df.where(F.col("source").isin(*sources))
     return df.withColumn("batch_date", F.date_format("batch_date", "yyyy-MM-dd"))
@@ -93,8 +85,9 @@ def changed_objects(current: DataFrame, manifest: DataFrame, key: str = "path",
 
 
 def landing_summary(current: DataFrame, manifest: DataFrame, key: str = "path", content_hash: str = "content_hash") -> DataFrame:
-    """One row: objects to copy and objects skipped as unchanged."""
-    seen = manifest.select(key, content_hash, F.lit(True).alias("_seen"))
+    """One row: objects to copy and objects skipped as unchanged. A manifest may name
+    an object several times."""
+    seen = manifest.select(key, content_hash).distinct().withColumn("_seen", F.lit(True))
     joined = current.join(seen, [key, content_hash], "left_outer")
     return joined.agg(
         F.count_if(F.col("_seen").isNull()).alias("copied"), F.count_if(F.col("_seen").isNotNull()).alias("skipped")

@@ -1,18 +1,20 @@
 """Writers that are safe to rerun, plus plain appends."""
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolecall.operators.quality import require_rows
 from rolecall.operators.upsert import insert_only, upsert
-from rolecall.storage import shared_dir
+from rolecall.storage import drop_dir, shared_dir
 
 
 def append_partitioned(df: DataFrame, path: str, partition_by=("source",), crawled_date: str | None = None) -> None:
     """Append as Parquet; a rerun appends again. ``crawled_date`` stamps the rows."""
     if crawled_date is not None:
         df = df.withColumn("crawled_date", F.lit(crawled_date))
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def quarantine(df: DataFrame, path: str, partition_by=("source",)) -> None:
@@ -35,8 +37,8 @@ def replace_batches(df: DataFrame, path: str, partition_by=("source", "batch_dat
 
 
 def replace_mart(df: DataFrame, path: str, batch_date: str) -> None:
-    """Replace one batch of a mart table."""
-    replace_batches(df.withColumn("batch_date", F.lit(batch_date)), path, ("batch_date",))
+    """Replace one batch of a mart table; a mart is small and has one partition."""
+    replace_batches(df.withColumn("batch_date", F.lit(batch_date)), path, ("batch_date",), rebalance=False)
 
 
 def create_table_like(df: DataFrame, table: str, partition_by: str | None = None, location: str | None = None) -> None:
@@ -54,6 +56,15 @@ def create_table_like(df: DataFrame, table: str, partition_by: str | None = None
     writer.saveAsTable(table)
 
 
+def table_at(spark: SparkSession, table: str, path: str) -> None:
+    """A catalog table over a partitioned Parquet folder, with the folder's present partitions."""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet")
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("probe int").parquet(path)  # looks the path up, reads nothing
@@ -72,32 +83,80 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _partition_filter(columns: list[str], values: list[tuple]):
+    """A literal filter for these partitions; Spark prunes by it when it plans the scan."""
+    return reduce(
+        lambda a, b: a | b,
+        [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, row, strict=True)]) for row in values],
+    )
+
+
+def _swap_name(path: str) -> str:
+    return f"{path.rstrip('/')}._merged"
+
+
+def finish_swap(spark: SparkSession, path: str, partition_by: list[str], schema=None) -> bool:
+    """Publish merged partitions that a lost job left complete beside the table. The
+    ``_SUCCESS`` file of the merged rows is the commit marker: with it, replacing is
+    repeated until it is through; without it, the rows are no result and are dropped."""
+    merged = _swap_name(path)
+    if not _path_exists(spark, merged):
+        return False
+    whole = _path_exists(spark, f"{merged}/_SUCCESS")
+    if whole:
+        # with a schema, folder names are not guessed to be numbers or dates
+        rows = (spark.read.schema(schema) if schema is not None else spark.read).parquet(merged)
+        replace_batches(rows, path, partition_by, rebalance=False)
+    drop_dir(spark, merged)
+    return whole
+
+
 def upsert_into(
-    source: DataFrame, path: str, keys: list[str], partition_by: list[str], keep_columns: list[str] = ()
+    source: DataFrame, path: str, keys: list[str], partition_by: list[str], keep_columns: list[str] = (),
+    partitions: list[tuple] | None = None,
 ) -> bool:
     """Upsert into a partitioned Parquet table and rewrite its touched partitions.
     False when the source is empty; nothing is written then.
 
     A row must not move between partitions, so every partition column has to be a
-    key or a kept column. With all of them keys, partitions that the source does
-    not name are neither read nor written. The source is staged, since the merge
-    reads it more than once.
+    key or a kept column. ``partitions`` names the values of ``partition_by`` that the
+    source may hold (a mart has one date, a batch one batch date): the target's scan is
+    then pruned to them by a literal filter. The source is staged, since the merge reads
+    it more than once. Merged rows are written whole beside the table before they
+    replace its partitions, so a job lost in between loses nothing: the next run, or
+    ``finish_swap``, publishes them first.
     """
     stray = [c for c in partition_by if c not in keys and c not in keep_columns]
     if stray:
         raise ValueError(f"partition columns must be keys or kept columns: {stray}")
     spark = source.sparkSession
-    source = stage(source, "upsert")
-    if source.isEmpty():
-        return False
-    if not _path_exists(spark, path):
-        replace_batches(source, path, partition_by)
-        return True
-    target = spark.read.schema(source.schema).parquet(path).select(*source.columns)
-    if all(c in keys for c in partition_by):
-        touched = source.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi").select(*source.columns)
-    replace_batches(upsert(target, source, keys, keep_columns), path, partition_by)
+    staged = shared_dir(spark, "upsert")
+    source.write.parquet(staged)
+    source = spark.read.schema(source.schema).parquet(staged)
+    try:
+        finish_swap(spark, path, partition_by, source.schema)
+        if source.isEmpty():
+            return False
+        if not _path_exists(spark, path):
+            merged = source
+        else:
+            target = spark.read.schema(source.schema).parquet(path).select(*source.columns)
+            if partitions is not None:
+                if not all(c in keys for c in partition_by):
+                    raise ValueError("partitions can be named only where they are keys")
+                target = target.filter(_partition_filter(partition_by, partitions))
+                within = F.coalesce(_partition_filter(partition_by, partitions), F.lit(False))
+                source = source.filter(F.when(within, True).otherwise(F.raise_error(F.lit("UPSERT_OTHER_PARTITION")).cast("boolean")))
+            elif all(c in keys for c in partition_by):
+                # other partitions are not written again, but Spark has to look into them
+                touched = source.select(*partition_by).distinct().withColumnsRenamed({c: f"_p_{c}" for c in partition_by})
+                on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_by])
+                target = target.join(touched, on, "left_semi").select(*source.columns)
+            merged = upsert(target, source, keys, keep_columns)
+        merged.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(_swap_name(path))
+        finish_swap(spark, path, partition_by, source.schema)
+    finally:
+        drop_dir(spark, staged)
     return True
 
 
@@ -128,12 +187,17 @@ def jdbc_publish(df: DataFrame, url: str, table: str, mode: str = "overwrite", *
 
 def publish_nonempty(marts: dict[str, DataFrame], publish) -> list[str]:
     """Publish each mart that has rows through ``publish(df, name)``; an empty one
-    is skipped, so its last good copy stays. Returns the published names."""
+    is skipped, so its last good copy stays. Returns the published names. A mart is
+    computed once: into the shared folder, from where it is asked and published."""
     published = []
     for name, df in marts.items():
-        if not df.isEmpty():
-            publish(df, name)
+        path = shared_dir(df.sparkSession, name)
+        df.write.parquet(path)
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+        if not stored.isEmpty():
+            publish(stored, name)
             published.append(name)
+        drop_dir(df.sparkSession, path)
     return published
 
 
@@ -168,11 +232,11 @@ def batch_envelopes(
     )
 
 
-def write_envelopes(df: DataFrame, path: str, scraped_at: str | None = None) -> None:
+def write_envelopes(df: DataFrame, path: str, scraped_at: str | None = None, records: DataFrame | None = None) -> None:
     """Envelopes as JSON, one object per line, under one folder per batch. Empty
-    input is an error."""
-    require_rows(df, "NO_RECORDS")
+    input is an error; ``records``, from which the envelopes are built, is cheaper to ask."""
+    require_rows(df if records is None else records, "NO_RECORDS")
     stamped = df.withColumn("scraped_at", F.lit(scraped_at)) if scraped_at else df
     # the columns stay in the objects too, as the folders copy them
     folders = stamped.withColumns({"p_source": F.col("source"), "p_batch_date": F.col("batch_date")})
-    folders.write.mode("overwrite").partitionBy("p_source", "p_batch_date").json(path)
+    folders.hint("rebalance", "p_source", "p_batch_date").write.mode("overwrite").partitionBy("p_source", "p_batch_date").json(path)

@@ -1,25 +1,27 @@
 """Where jobs may write intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_base = {}
-
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder that every executor can reach.
 
-    The base is the cluster's ``spark.checkpoint.dir``. Only a local-mode session
-    without that setting (a unit test) gets a temporary folder of this machine.
+    The base is the cluster's ``spark.checkpoint.dir``. A session in one process
+    (master ``local`` or ``local[...]``) that does not set it uses a folder in its own
+    warehouse; anything else without the setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        if "dir" not in _local_base:
-            _local_base["dir"] = tempfile.mkdtemp(prefix="rolecall-")
-        base = _local_base["dir"]
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

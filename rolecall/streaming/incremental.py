@@ -1,34 +1,43 @@
 """New raw files into a Silver table, resumable and idempotent by key."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
-from rolecall.operators.filters import clean_rows
+from rolecall.operators.filters import with_reject_reasons
 from rolecall.operators.schema import flatten_envelope
 from rolecall.plans.jobs import cloud_silver
 from rolecall.sources.readers import RAW_SCHEMA
-from rolecall.sources.sinks import upsert_into
+from rolecall.sources.sinks import replace_batches
+from rolecall.storage import drop_dir, shared_dir
+
+INCREMENT = "increment"
 
 
 def incremental_silver(
-    spark: SparkSession, raw_path: str, silver_path: str, checkpoint: str,
-    schema: str = RAW_SCHEMA, multi_line: bool = True, max_files: int | None = None, buckets: int = 64,
+    spark: SparkSession, raw_path: str, silver_path: str, checkpoint: str, quarantine_path: str,
+    schema: str = RAW_SCHEMA, multi_line: bool = True, max_files: int | None = None,
 ):
     """Process all raw files that have landed since the last run, then stop.
 
-    Each micro-batch is validated, normalised, deduplicated and upserted by
-    (source, url); a replayed batch gives the same table. The table is partitioned
-    by source and by a hash bucket of the url, so a micro-batch rewrites only the
-    buckets its urls fall in. Returns the finished query.
+    Each micro-batch is validated, normalised, deduplicated by (source, url) and written
+    as one increment: a partition of its own, which a replay replaces. Nothing that is
+    stored is read or rewritten; ``current_silver`` shows the last state of every key,
+    and ``compact_silver`` folds the increments together from time to time. Rejected
+    rows go to ``quarantine_path`` with their reasons. Returns the finished query.
     """
     reader = spark.readStream.schema(schema).option("multiLine", multi_line).option("recursiveFileLookup", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        silver = cloud_silver(clean_rows(flatten_envelope(batch)))
-        bucketed = silver.withColumn("url_bucket", F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int"))
-        # a function of the url, the bucket is part of the key
-        upsert_into(bucketed, silver_path, ["source", "url", "url_bucket"], ["source", "url_bucket"])
+        path = shared_dir(spark, "increment")
+        with_reject_reasons(flatten_envelope(batch)).write.parquet(path)  # raw JSON is read once
+        judged = spark.read.parquet(path).withColumn(INCREMENT, F.lit(batch_id).cast("bigint"))
+        clean = F.size("reject_reasons") == 0
+        silver = cloud_silver(judged.filter(clean).drop("reject_reasons", INCREMENT))
+        replace_batches(silver.withColumn(INCREMENT, F.lit(batch_id).cast("bigint")), silver_path, (INCREMENT,), rebalance=False)
+        replace_batches(judged.filter(~clean), quarantine_path, (INCREMENT,), rebalance=False)
+        drop_dir(spark, path)
 
     query = (
         reader.json(raw_path).writeStream.foreachBatch(apply)
@@ -36,3 +45,27 @@ def incremental_silver(
     )
     query.awaitTermination()
     return query
+
+
+def _increments(spark: SparkSession, silver_path: str) -> DataFrame:
+    return spark.read.parquet(silver_path).withColumn(INCREMENT, F.col(INCREMENT).cast("bigint"))
+
+
+def current_silver(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The listings of every (source, url) from the last increment that holds it. The
+    rank is cut to one row before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("source", "url").orderBy(F.col(INCREMENT).desc()))
+    return _increments(spark, silver_path).withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank", INCREMENT)
+
+
+def compact_silver(spark: SparkSession, silver_path: str) -> None:
+    """Fold all increments into the last one. Safe to lose at any point: the last
+    increment holds every key before an older one goes. Not to be run beside a writer."""
+    ids = sorted(r[INCREMENT] for r in _increments(spark, silver_path).select(INCREMENT).distinct().collect())
+    path = shared_dir(spark, "compact")
+    current_silver(spark, silver_path).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn(INCREMENT, F.lit(ids[-1]).cast("bigint"))
+    replace_batches(rows, silver_path, (INCREMENT,), rebalance=False)
+    for old in ids[:-1]:
+        drop_dir(spark, f"{silver_path}/{INCREMENT}={old}")
+    drop_dir(spark, path)

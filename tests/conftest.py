@@ -8,11 +8,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    base = tmp_path_factory.mktemp("spark")
     session = (
         SparkSession.builder.master("local[8]").appName("rolecall-tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(base / "shared")).config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

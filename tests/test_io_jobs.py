@@ -9,7 +9,7 @@ from rolecall.operators.quality import QualityError
 from rolecall.plans import jobs, marts
 from rolecall.sources import readers, sinks
 from rolecall.storage import shared_dir
-from rolecall.streaming.incremental import incremental_silver
+from rolecall.streaming.incremental import compact_silver, current_silver, incremental_silver
 
 BATCH = "2026-09-30"
 
@@ -150,6 +150,66 @@ def test_upsert_touches_only_named_partitions(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/t").select("k", "d", "v").collect())) == [("a", "d1", 1), ("a", "d2", 20), ("b", "d2", 3)]
 
 
+def scans_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+
+def test_upsert_prunes_the_named_partitions(spark, tmp_path, monkeypatch):
+    ddl = "k string, d string, v int"
+    path = f"{tmp_path}/t"
+    sinks.upsert_into(spark.createDataFrame([("a", "01", 1), ("a", "02", 2)], ddl), path, ["k", "d"], ["d"])
+    plans = []
+    real = sinks.upsert
+
+    def watched(target, source, keys, keep):
+        merged = real(target, source, keys, keep)
+        plans.append(merged._jdf.queryExecution().executedPlan().toString())
+        return merged
+
+    monkeypatch.setattr(sinks, "upsert", watched)
+    news = spark.createDataFrame([("a", "02", 20), ("b", "02", 3)], ddl)
+    assert sinks.upsert_into(news, path, ["k", "d"], ["d"], partitions=[("02",)])
+    target_scans = [line for line in plans[0].splitlines() if "FileScan parquet" in line and "/t]" in line]
+    assert 1 <= len(target_scans) <= 2 and all("(d#" in x.split("PartitionFilters:")[1].split("]")[0] and "<=> 02" in x for x in target_scans)
+    read = spark.read.schema(ddl).parquet(path)
+    assert sorted(map(tuple, read.select("k", "d", "v").collect())) == [("a", "01", 1), ("a", "02", 20), ("b", "02", 3)]
+    with pytest.raises(Exception, match="UPSERT_OTHER_PARTITION"):
+        sinks.upsert_into(news, path, ["k", "d"], ["d"], partitions=[("01",)])
+
+
+def test_a_lost_commit_is_finished(spark, tmp_path, monkeypatch):
+    import shutil
+
+    ddl = "k string, d string, v int"
+    path, news = f"{tmp_path}/t", spark.createDataFrame([("a", "d1", 10), ("c", "d2", 3)], ddl)
+    sinks.upsert_into(spark.createDataFrame([("a", "d1", 1), ("b", "d1", 2), ("b", "d2", 2)], ddl), path, ["k", "d"], ["d"])
+    wanted = [("a", "d1", 10), ("b", "d1", 2), ("b", "d2", 2), ("c", "d2", 3)]
+
+    def lost(*_, **__):
+        shutil.rmtree(f"{path}/d=d1")  # the old rows are gone, the new ones not yet there
+        raise RuntimeError("job lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "replace_batches", lost)
+        with pytest.raises(RuntimeError):
+            sinks.upsert_into(news, path, ["k", "d"], ["d"])
+    assert sinks.upsert_into(news, path, ["k", "d"], ["d"])  # run again
+    assert sorted(map(tuple, spark.read.parquet(path).select("k", "d", "v").collect())) == wanted
+    assert not (tmp_path / "t._merged").exists()
+
+
+def test_gold_tables_are_in_the_catalog(spark, tmp_path):
+    silver = jobs.local_silver(bronze_rows(spark))
+    silver.write.mode("overwrite").saveAsTable("silver_of_catalog_test")
+    for day in (BATCH, "2026-10-01"):
+        jobs.run_local_gold(spark, "silver_of_catalog_test", f"{tmp_path}/gold", day, "itviec", database="gold_test", created_at="2026-09-30 01:02:03")
+    rows = spark.sql("SELECT report_date, records_in, created_at FROM gold_test.mart_pipeline_health ORDER BY report_date").collect()
+    assert [r.records_in for r in rows] == [20, 20] and str(rows[0].created_at) == "2026-09-30 01:02:03"
+    names = {r.table_name for r in readers.table_inventory(spark, "gold_test").collect()}
+    assert {"mart_pipeline_health", "mart_job_market_overview", "daily_alerts"} <= names
+    spark.sql("DROP TABLE silver_of_catalog_test")
+
+
 def test_insert_only_into(spark, tmp_path):
     ddl = "k string, d string"
     for _ in range(2):
@@ -208,7 +268,7 @@ def test_incremental_job_resumes_and_upserts(spark, tmp_path, rows_of):
         write_json(tmp_path / "raw", name, {"source": source, "batch_date": BATCH, "total": len(jobs_list), "jobs": jobs_list})
 
     def run():
-        query = incremental_silver(spark, f"{tmp_path}/raw", f"{tmp_path}/silver", f"{tmp_path}/progress", max_files=1, buckets=4)
+        query = incremental_silver(spark, f"{tmp_path}/raw", f"{tmp_path}/silver", f"{tmp_path}/progress", f"{tmp_path}/rejected", max_files=1)
         return sum(p["numInputRows"] for p in query.recentProgress)
 
     land("a.json", [listing("A", "https://a.test/1"), listing("A2", "https://a.test/2")])
@@ -217,10 +277,23 @@ def test_incremental_job_resumes_and_upserts(spark, tmp_path, rows_of):
     land("c.json", [listing("C", "https://a.test/1")], "topcv")
     run()
     assert run() == 0
-    stored = spark.read.parquet(f"{tmp_path}/silver").select("source", "url", "title", "max_salary")
-    assert rows_of(stored) == [
+    wanted = [
         ("itviec", "https://a.test/1", "A again", 60e6), ("itviec", "https://a.test/2", "A2", 35e6), ("topcv", "https://a.test/1", "C", 35e6),
     ]
+    stored = lambda: rows_of(current_silver(spark, f"{tmp_path}/silver").select("source", "url", "title", "max_salary"))
+    assert stored() == wanted
+    rejected = spark.read.parquet(f"{tmp_path}/rejected").collect()
+    assert [(r.url, r.reject_reasons) for r in rejected] == [("https://a.test/9", ["title_missing"])]
+    # later increments leave the files of earlier ones alone
+    first = {p: p.stat().st_mtime_ns for p in (tmp_path / "silver" / "increment=0").iterdir()}
+    land("d.json", [listing("D", "https://a.test/4")])
+    run()
+    assert first == {p: p.stat().st_mtime_ns for p in (tmp_path / "silver" / "increment=0").iterdir()}
+    before = stored()
+    for _ in range(2):
+        compact_silver(spark, f"{tmp_path}/silver")
+        assert stored() == before
+    assert [p.name for p in (tmp_path / "silver").glob("increment=*")] == ["increment=3"]
 
 
 def test_shared_dir_follows_the_session(spark):
@@ -231,15 +304,6 @@ def test_shared_dir_follows_the_session(spark):
         assert one.startswith(base)
 
 
-def test_only_small_scans_are_spread(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(100).repartition(1).write.parquet(f"{tmp_path}/one")
-    one = spark.read.parquet(f"{tmp_path}/one")
-    assert readers.spread(one).rdd.getNumPartitions() == cores
-    enough = spark.range(0, 100, numPartitions=cores)
-    assert readers.spread(enough) is enough
-
-
 def test_a_small_staged_source_does_not_shuffle_the_target(spark, tmp_path):
     from rolecall.operators.upsert import upsert
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rolecall.functions import batch
 from rolecall.operators import payload
+from rolecall.functions.salary import with_salary
 
 
 def test_batch_dates(spark):
@@ -63,8 +64,8 @@ def test_file_verdicts(spark):
 
 
 def test_oversized_file_is_not_parsed(spark):
-    df = spark.createDataFrame([("p", payload.MAX_PAYLOAD_BYTES + 1, bytearray(b"[1]"))], "path string, length bigint, content binary")
-    assert payload.payload_file_verdict(df).first().verdict == "too_large"
+    df = spark.createDataFrame([("p", 101, bytearray(b"[1]"))], "path string, length bigint, content binary")
+    assert payload.payload_file_verdict(df, max_bytes=100).first().verdict == "too_large"
 
 
 def test_key_scan_and_path(spark):
@@ -104,3 +105,36 @@ def test_decisions(spark):
 
     assert decide() == {"new": "UPLOADED", "same": "SKIPPED_IDENTICAL", "other": "CONFLICT"}
     assert decide(allow_new_version=True) == {"new": "UPLOADED", "same": "SKIPPED_IDENTICAL", "other": "UPLOADED"}
+
+
+def test_repeated_escaped_and_broken_keys_are_seen(spark):
+    texts = [
+        '{"password":1,"password":2}', '{"password":1,"a":1,"a":2}', r'{"pass\u0077ord": 1}', 'not json {"Cookie" : 1', '{"a": "password: x"}',
+        '[{"b": {"Session-Token": 1}}]', None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, json string")
+    hits = {r.i: (r.sensitive_keys, r.key_path) for r in payload.sensitive_key_scan(df, "json", with_path=True).collect()}
+    assert set(hits) == {0, 1, 2, 3, 5}
+    assert hits[0] == (["password", "password"], "$.password") and hits[2] == (["password"], "$.password")
+    assert hits[3] == (["Cookie"], None) and hits[5][1] == "$[0].b.Session-Token"
+
+
+def test_long_values_in_a_stored_table(spark, tmp_path):
+    """Repeated groups must not recurse: 100,000 characters, read back from files."""
+    long = "x\\\"y" * 25_000
+    rows = [(json.dumps({"note": long, "password": 1}), "1," * 50_000 + "2 USD"), (long, long)]
+    spark.createDataFrame(rows, "json string, salary string").write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert [r.sensitive_keys for r in payload.sensitive_key_scan(stored, "json").collect()] == [["password"]]
+    assert payload.key_inventory(stored, "json").count() == 2
+    files = stored.select(F.lit("p").alias("path"), F.length("json").cast("bigint").alias("length"), F.col("json").cast("binary").alias("content"))
+    assert {r.verdict for r in payload.payload_file_verdict(files).collect()} == {"not_array", "invalid_json"}
+    for dialect in ("posted", "folded"):
+        assert with_salary(stored, "salary", dialect).count() == 2
+        with_salary(stored, "salary", dialect).write.format("noop").mode("overwrite").save()
+
+
+def test_numbers_out_of_range_differ(spark):
+    sums = [payload.batch_checksum(spark.createDataFrame([("b", j)], "b string, j string"), "j", ["b"]).first().checksum
+            for j in ('{"a": 1e400}', '{"a": 2e400}', '{"a": "Infinity"}', '{"a":1}', '{ "a": 1 }')]
+    assert len(set(sums)) == 4 and sums[3] == sums[4]
