@@ -10,7 +10,7 @@ DivideSkip finds every link that joins two groups not yet joined. Nothing lists
 import heapq
 import math
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +54,11 @@ def _least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def divide_skip(query: int, lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
-    """(set, shared tokens) of every set but ``query`` in ``least`` or more of the sorted lists.
+def divide_skip(
+    query: int, lists: list[list[int]], least: int, known: Callable[[int], bool] = lambda _: False
+) -> Iterator[tuple[int, int]]:
+    """(set, shared tokens) of every set but ``query`` in ``least`` or more of the sorted
+    lists; sets that are ``known`` already when their turn comes are not looked up.
 
     The longest lists are set aside; the short ones are merged by a heap, and what they
     hold often enough is looked up in the long ones by binary search.
@@ -69,7 +72,7 @@ def divide_skip(query: int, lists: list[list[int]], least: int) -> Iterator[tupl
         if one == current:
             seen += 1
             continue
-        if current != query and seen >= needed:
+        if seen >= needed and current != query and not known(current):
             left, count = len(long), seen
             for members in long:
                 if count + left < least:
@@ -124,7 +127,8 @@ def links_of_block(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int,
             least = _least_overlap(len(sets[q]), percent)
             if len(mine) < least:
                 continue
-            for other, same in divide_skip(q, [members(int(t)) for t in mine], least):
+            joined = lambda other, q=q: root(other) == root(q)
+            for other, same in divide_skip(q, [members(int(t)) for t in mine], least, joined):
                 if 100 * same >= percent * (len(sets[q]) + len(sets[other]) - same) and root(q) != root(other):
                     yield q, other
                     x, y = sorted((root(q), root(other)), key=lambda r: size[r])
@@ -230,7 +234,7 @@ def _search(blocks: DataFrame, width: int, percent: int, lower: bool) -> DataFra
 
 def ngram_components(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85,
-    lower: bool = True, block_tokens: int = 1_000_000,
+    lower: bool = True, block_tokens: int = 500_000,
 ) -> DataFrame:
     """(id, n_shingles, component_id, text_hash, group_id) for every row of ``df``.
 
