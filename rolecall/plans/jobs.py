@@ -13,8 +13,8 @@ from rolecall.operators.quality import (
     QualityError, bronze_suite, require_columns, require_rows, require_sources, rule_aggregates, rule_results,
 )
 from rolecall.operators.schema import flatten_envelope, normalise_listings
-from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, raw_json_scan
-from rolecall.sources.sinks import append_partitioned, publish_nonempty, quarantine, replace_batches, replace_mart, stage, table_at, upsert_into
+from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, changed_objects, landing_summary, raw_json_scan
+from rolecall.sources.sinks import append_partitioned, path_exists, publish_nonempty, quarantine, replace_batches, replace_mart, stage, table_at, upsert_into
 
 from rolecall.storage import drop_dir, shared_dir
 
@@ -59,6 +59,34 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, quarantine_
     return rule_results(spark.createDataFrame([tuple(counts.values())], ddl), rules)
 
 
+def run_landing(spark: SparkSession, landing_path: str, store_path: str, manifest_path: str, suffix: str = ".json") -> DataFrame:
+    """Copy the landed files that are new or changed into the store and note them in the
+    manifest; returns one row: copied, skipped and failed.
+
+    The store keeps one row per version of a file (path, length, content_hash, content),
+    since Spark writes tables, not named objects. Stored content is hashed again; a file
+    whose hash differs counts as failed, is not noted, and is copied by the next run. A
+    job lost before the manifest is written copies its files again; readers of the store
+    take each (path, content_hash) once.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing_path)
+    found = files.filter(F.lower("path").endswith(suffix)).select("path", "length", F.sha2("content", 256).alias("content_hash"), "content")
+    known = spark.read.schema("path string, content_hash string").parquet(manifest_path) if path_exists(spark, manifest_path) else None
+    seen = spark.createDataFrame([], "path string, content_hash string") if known is None else known
+    summary = landing_summary(found.select("path", "content_hash"), seen)
+    run = shared_dir(spark, "landing")
+    changed_objects(found, seen).write.parquet(run)
+    copied = spark.read.parquet(run)
+    copied.write.mode("append").parquet(store_path)
+    good = copied.filter(F.sha2("content", 256) == F.col("content_hash"))
+    counts = summary.first()
+    written = good.select("path", "content_hash")
+    landed = written.count()
+    written.write.mode("append").parquet(manifest_path)
+    drop_dir(spark, run)
+    return spark.createDataFrame([(landed, counts["skipped"], counts["copied"] - landed)], "copied bigint, skipped bigint, failed bigint")
+
+
 def run_local_silver(spark: SparkSession, bronze_path: str, silver_path: str, processed_at=None) -> bool:
     """All of Bronze to the Silver table, upserted by url; a listing's source, and
     with it its partition, stays as first seen. ``processed_at`` stamps the rows."""

@@ -741,6 +741,11 @@ ORACLE = {
         "CASE WHEN NOT regexp_matches(url, '^https?://') THEN 'url_not_http' END) AS reasons, count(*) AS n "
         f"FROM listings WHERE NOT coalesce({CLEAN}, false) GROUP BY 1, 2"
     ),
+    "landing_job": (
+        "WITH days AS (SELECT count(DISTINCT CAST(ts AS DATE)) AS n, count(DISTINCT CAST(ts AS DATE)) FILTER (WHERE ts < '2024-01-15') AS early FROM events) "
+        "SELECT 1 AS run, early AS copied, 0 AS skipped, 0 AS failed, NULL AS stored FROM days "
+        "UNION ALL SELECT 2, n - early, early, 0, NULL FROM days UNION ALL SELECT 3, 0, n, 0, n FROM days"
+    ),
     "silver_local": ctes(*LOCAL) + "SELECT * FROM silver",
     # a listing without a url never matches and is there once more after the second run
     "silver_local_table": ctes(*LOCAL) + "SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE url IS NULL",

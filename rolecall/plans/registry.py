@@ -22,6 +22,7 @@ from .listings import listings
 
 REPORT_DATE = "2026-09-30"
 BATCH = "1998-01-01"
+EVENT_CUT = "2024-01-15"
 SOURCES = ("itviec", "topcv")
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -1197,6 +1198,22 @@ def incremental_quarantine(spark, sf):
     return rejected.groupBy("source", F.array_join("reject_reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def landing_job(spark, sf):
+    """Three runs of the landing job over a folder with one file per day of events."""
+    base = shared_dir(spark, "landing")
+    events = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    days = F.col("day") < EVENT_CUT
+    runs = []
+    for part in (events.filter(days), events.filter(~days), events.limit(0)):
+        # one task, and so one file, per day
+        part.select("day", "event_id", "props").repartition("day").write.mode("append").partitionBy("day").json(f"{base}/landing")
+        runs.append(jobs.run_landing(spark, f"{base}/landing", f"{base}/store", f"{base}/manifest"))
+    numbered = [run.withColumn("run", F.lit(n + 1)) for n, run in enumerate(runs)]
+    stored = spark.read.parquet(f"{base}/store").agg(F.count_distinct("path").alias("stored"))
+    return union_all(numbered).join(stored.withColumn("run", F.lit(3)), "run", "left")
+
+
 @query
 def silver_local(spark, sf):
     return jobs.local_silver(listings(spark, sf))
