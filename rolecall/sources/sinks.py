@@ -65,7 +65,7 @@ def table_at(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("probe int").parquet(path)  # looks the path up, reads nothing
         return True
@@ -100,9 +100,9 @@ def finish_swap(spark: SparkSession, path: str, partition_by: list[str], schema=
     ``_SUCCESS`` file of the merged rows is the commit marker: with it, replacing is
     repeated until it is through; without it, the rows are no result and are dropped."""
     merged = _swap_name(path)
-    if not _path_exists(spark, merged):
+    if not path_exists(spark, merged):
         return False
-    whole = _path_exists(spark, f"{merged}/_SUCCESS")
+    whole = path_exists(spark, f"{merged}/_SUCCESS")
     if whole:
         # with a schema, folder names are not guessed to be numbers or dates
         rows = (spark.read.schema(schema) if schema is not None else spark.read).parquet(merged)
@@ -137,7 +137,7 @@ def upsert_into(
         finish_swap(spark, path, partition_by, source.schema)
         if source.isEmpty():
             return False
-        if not _path_exists(spark, path):
+        if not path_exists(spark, path):
             merged = source
         else:
             target = spark.read.schema(source.schema).parquet(path).select(*source.columns)
@@ -163,7 +163,7 @@ def upsert_into(
 def insert_only_into(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
     """Append the source rows whose key the table does not hold yet."""
     spark = source.sparkSession
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         append_partitioned(source, path, partition_by)
         return
     target = spark.read.schema(source.schema).parquet(path).select(*source.columns)
