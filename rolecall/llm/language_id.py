@@ -269,13 +269,13 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> Column:
     @F.arrow_udf("struct<lang:string,score:double>")
     def guess(texts: pa.Array) -> pa.Array:
         model = shared.value
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(_vocabulary(model.vocabulary), model.p)
-        logs, lettered = _scorers[key].texts(texts)
         if not model.languages:
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
         else:
+            if key not in _scorers:
+                _scorers.clear()
+                _scorers[key] = Scorer(_vocabulary(model.vocabulary), model.p)
+            logs, lettered = _scorers[key].texts(texts)
             best = logs.argmax(axis=1)
             shares = 1 / np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -700)).sum(axis=1)
             names = [model.languages[b] if some else "und" for b, some in zip(best.tolist(), lettered.tolist(), strict=True)]
