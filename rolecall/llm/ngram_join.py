@@ -300,17 +300,18 @@ def ngram_components(
 
     nodes = members.select("node").distinct()
     chosen = stage(named.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")), "chosen")
-    wanted = sketches.may_be_in(spark, sketches.id_filter(chosen, "id"), "id")
+    wanted = spark.sparkContext.broadcast(sketches.id_filter(chosen, "id"))
 
     def packed(arrow):
         squeeze = zstandard.ZstdCompressor()
         for batch in arrow:
+            batch = batch.filter(pa.array(sketches.holds(wanted.value, batch["id"])))
             names = [set_id(t) for t in document_sets(batch["text"], width, lower)]
             texts = [squeeze.compress((t or "").encode()) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(texts, pa.binary())], ["node", "packed"])
 
     # the filter lets a few other rows pass: other sets join nothing, and a copy of a set is dropped in its block
-    texts = docs.where(wanted).mapInArrow(packed, "node bigint, packed binary")
+    texts = docs.select("id", "text").mapInArrow(packed, "node bigint, packed binary")
 
     sizes = members.join(named.select("node", "n").distinct(), "node").groupBy("lead").agg(
         (F.lit(1) + F.floor(F.sum("n") / block_tokens)).alias("parts")

@@ -3,7 +3,6 @@
 from collections.abc import Callable, Iterable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -70,9 +69,11 @@ def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [hashed >> np.uint64(64 - bits), (hashed & np.uint64((1 << 32) - 1)) >> np.uint64(32 - bits)]
 
 
-def holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def holds(bitmap: np.ndarray, ids) -> np.ndarray:
+    """Whether the filter may hold each id of an Arrow array; a null is in none."""
     bits = int(len(bitmap) * 8).bit_length() - 1
-    known = np.ones(len(keys), bool)
+    known = np.asarray(ids.is_valid())
+    keys = np.asarray(ids.fill_null(0), np.int64)
     for place in _places(keys, bits):
         known &= (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
     return known
@@ -82,9 +83,8 @@ def may_be_in(spark: SparkSession, bitmap: np.ndarray, id_column: str) -> Column
     """True for every id of the filter and for few others; a null id is in none."""
     shared = spark.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def check(ids: pd.Series) -> pd.Series:
-        there = ids.notna().to_numpy()
-        return pd.Series(there & holds(shared.value, ids.fillna(0).to_numpy().astype(np.int64)))
+    @F.arrow_udf("boolean")
+    def check(ids: pa.Array) -> pa.Array:
+        return pa.array(holds(shared.value, ids))
 
     return check(F.col(id_column))

@@ -19,7 +19,7 @@ _PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 class WordTable:
     """Hashes to entry numbers: open addressing, all steps on whole arrays."""
 
-    def __init__(self, bits: int = 22):
+    def __init__(self, bits: int = 21):
         self.mask = np.uint64((1 << bits) - 1)
         self.keys = np.zeros(1 << bits, np.uint64)
         self.values = np.zeros(1 << bits, np.int32)
