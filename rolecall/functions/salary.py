@@ -95,15 +95,27 @@ def number_token(token: Column) -> Column:
     Both kinds: commas are thousands. One kind repeated: thousands. One single
     separator: thousands when it splits <=3 digits from exactly 3, else decimal.
     """
-    token = F.translate(strip_blank(token), _DIGIT_FROM, _DIGIT_TO)
-    plain = (
+    plain = _plain_number(_plain_digits(token))
+    return F.when(plain.rlike(_PLAIN_NUMBER), plain.try_cast("double"))
+
+
+# Fixed value: what counts as a number once the separators are judged.
+_PLAIN_NUMBER = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
+
+
+def _plain_digits(token: Column) -> Column:
+    return F.translate(strip_blank(token), _DIGIT_FROM, _DIGIT_TO)
+
+
+def _plain_number(token: Column) -> Column:
+    """The token with a point as its only separator, if it is a number."""
+    return (
         F.when(token.contains(",") & token.contains("."), F.replace(token, F.lit(","), F.lit("")))
         .when(token.rlike(r"[,].*[,]"), F.replace(token, F.lit(","), F.lit("")))
         .when(token.rlike(r"[.].*[.]"), F.replace(token, F.lit("."), F.lit("")))
         .when(token.rlike(r"^[^,.]{0,3}[,.][^,.]{3}$"), F.regexp_replace(token, "[,.]", ""))
         .otherwise(F.replace(token, F.lit(","), F.lit(".")))
     )
-    return F.when(plain.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), plain.try_cast("double"))
 
 
 def folded_currency(raw: Column, folded: Column) -> Column:
@@ -126,7 +138,10 @@ def folded_multiplier(folded: Column, currency: Column) -> Column:
 def _folded_salary(df: DataFrame, salary: str) -> DataFrame:
     s, first, second = F.col("_s"), F.get("_n", F.lit(0)), F.get("_n", F.lit(1))
     tokens = F.regexp_extract_all(s, F.lit(r"\p{Nd}++(?:[,.]\p{Nd}++)*+"), F.lit(0))
-    numbers = F.filter(F.transform(tokens, number_token), lambda v: v.isNotNull())
+    # each step's text is built once; only the two numbers that are read are cast
+    plain = F.transform(F.transform(tokens, _plain_digits), _plain_number)
+    first_two = F.slice(F.filter(plain, lambda p: p.rlike(_PLAIN_NUMBER)), 1, 2)
+    numbers = F.transform(first_two, lambda p: p.try_cast("double"))
     steps = (
         df.withColumn("_s", ascii_fold(F.col(salary)))
         .withColumn("_shown", (s != "") & ~contains_any(s, NEGOTIABLE))

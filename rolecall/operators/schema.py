@@ -60,8 +60,9 @@ def tags_to_json(df: DataFrame, tags: str = "tags") -> DataFrame:
     return df
 
 
-def silver_projection(df: DataFrame, trim_keys: bool = False) -> DataFrame:
-    """The Silver column list in order; ``trim_keys`` cuts blanks of title and url."""
+def silver_projection(df: DataFrame, trim_keys: bool = False, processed_at=None) -> DataFrame:
+    """The Silver column list in order; ``trim_keys`` cuts blanks of title and url, and
+    ``processed_at`` (a timestamp or its text) adds that column."""
     def column(name: str):
         if name == "salary_raw":
             return F.col("salary").alias("salary_raw")
@@ -69,7 +70,8 @@ def silver_projection(df: DataFrame, trim_keys: bool = False) -> DataFrame:
             return F.trim(name).alias(name)
         return F.col(name)
 
-    return df.select(*[column(c) for c in SILVER_COLUMNS])
+    stamp = [] if processed_at is None else [F.lit(processed_at).cast("timestamp").alias("processed_at")]
+    return df.select(*[column(c) for c in SILVER_COLUMNS], *stamp)
 
 
 def batch_stamp(df: DataFrame, batch_date: str, clock: str | None = None) -> DataFrame:

@@ -709,12 +709,13 @@ ORACLE = {
     ),
     "payload_record_verdicts": ctes(*BROKEN) + "SELECT event_id, verdict FROM broken",
     "payload_file_contract": (
-        "SELECT CAST(event_id AS VARCHAR) AS path, strlen(CASE event_type WHEN 'error' THEN '[' || props || ', {}]' WHEN 'click' THEN props "
-        "WHEN 'purchase' THEN '[' || props WHEN 'view' THEN '[' || props || ', {\"a\": [{\"Pass-word\": 1, \"COOKIES\": 2}]}]' "
-        "ELSE '[' || props || ', ' || props || ']' END) AS length, "
+        "WITH files AS (SELECT CAST(event_id AS VARCHAR) AS path, event_type, CASE event_type WHEN 'error' THEN '[' || props || ', {}]' "
+        "WHEN 'click' THEN props WHEN 'purchase' THEN '[' || props WHEN 'view' THEN '[' || props || ', {\"a\": [{\"Pass-word\": 1, \"COOKIES\": 2}]}]' "
+        "ELSE '[' || props || ', ' || props || ']' END AS content FROM events) "
+        "SELECT path, strlen(content) AS length, sha256(content) AS content_hash, "
         "CASE WHEN event_type NOT IN ('click', 'purchase') THEN 2 END AS record_count, "
         "CASE event_type WHEN 'error' THEN 'bad_record' WHEN 'click' THEN 'not_array' WHEN 'purchase' THEN 'invalid_json' "
-        "WHEN 'view' THEN 'sensitive_key' ELSE 'ok' END AS verdict FROM events"
+        "WHEN 'view' THEN 'sensitive_key' ELSE 'ok' END AS verdict FROM files"
     ),
     "sensitive_key_scan": (
         "SELECT event_id, CASE event_type WHEN 'error' THEN 'Session-Token' ELSE 'Authorization,cookie' END AS keys, "
