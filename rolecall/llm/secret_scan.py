@@ -13,6 +13,7 @@ from re import _constants as sre, _parser as parser
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolecall.llm import wordbytes
@@ -317,8 +318,9 @@ def redact_secrets(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
         found = shared.value.spans(texts)
-        if not any(found):
-            return texts
-        return pa.array([_redacted(t.as_py(), s, mark) if s else t.as_py() for t, s in zip(texts, found, strict=True)], pa.string())
+        changed = [i for i, spans in enumerate(found) if spans]
+        # the other texts of the batch stay Arrow memory
+        new = pa.array([_redacted(texts[i].as_py(), found[i], mark) for i in changed], texts.type)
+        return pc.replace_with_mask(texts, pa.array([bool(spans) for spans in found], pa.bool_()), new)
 
     return df.withColumn(text, clean(F.col(text)))
