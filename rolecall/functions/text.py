@@ -16,36 +16,36 @@ BLANK_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _FIXED_FOLDS = {"Đ": "D", "đ": "d"}
 
 
+# Blocks folded in the JVM: Latin with its marks, Latin additional, punctuation.
+_FOLD_BLOCKS = ((0x80, 0x36F), (0x1E00, 0x1EFF), (0x2000, 0x206F))
+
+
 def _fold_tables() -> tuple[str, str, str]:
-    """Arguments of ``translate``, derived from the Unicode tables, and a class of the rest.
+    """Arguments of ``translate`` for the blocks above, derived from the Unicode tables,
+    and a regex class of all characters that need more than that.
 
     Mapped: every character whose decomposition minus its combining marks is exactly one
-    other character. Dropped, having no counterpart in the second text: all characters
-    with a combining class (not all marks: Thai and Devanagari vowel signs have none).
-    The rest, which become several characters (ligatures, fractions, Hangul), is a list
-    of ranges for a regex.
+    other character. Dropped, having no counterpart in the second text: characters with a
+    combining class. The class holds characters that become several (ligatures,
+    fractions) and everything beyond the blocks, in few ranges, so it is cheap to search.
     """
-    src, dst, gone, rest = [], [], [], []
-    for code in range(0x80, 0x110000):
-        if 0xD800 <= code < 0xE000:
-            continue
+    src, dst, gone, more = [], [], [], []
+    for code in (c for first, last in _FOLD_BLOCKS for c in range(first, last + 1)):
         char = chr(code)
         if unicodedata.combining(char):
             gone.append(char)
             continue
-        plain = unicodedata.normalize("NFKD", char)
-        if plain == char and char not in _FIXED_FOLDS:
-            continue
-        plain = _FIXED_FOLDS.get(char, "".join(c for c in plain if not unicodedata.combining(c)))
-        if len(plain) == 1:
+        plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        plain = _FIXED_FOLDS.get(char, plain)
+        if len(plain) != 1:
+            more.append(f"\\x{{{code:X}}}")
+        elif plain != char:
             src.append(char)
             dst.append(plain)
-        elif rest and rest[-1][1] == code - 1:
-            rest[-1][1] = code
-        else:
-            rest.append([code, code])
-    ranges = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in rest)
-    return "".join(src + gone), "".join(dst), f"[{ranges}]"
+    ends = [last + 1 for _, last in _FOLD_BLOCKS]
+    begins = [first - 1 for first, _ in _FOLD_BLOCKS[1:]] + [0x10FFFF]
+    beyond = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(ends, begins, strict=True))
+    return "".join(src + gone), "".join(dst), f"[{''.join(more)}{beyond}]"
 
 
 _FOLD_FROM, _FOLD_TO, _EXPANDS = _fold_tables()
@@ -64,9 +64,9 @@ def contains_any(text: Column, phrases) -> Column:
 def ascii_fold(text: Column, compat: bool = False, expand: bool = True) -> Column:
     """Accent-free lower-case text; NULL becomes ''.
 
-    Every script's accents go and compatibility forms are resolved. Characters with one
-    counterpart are translated in the JVM; only texts with one that becomes several
-    (ligatures, fractions, Hangul) go through an Arrow UDF, the others pass it as NULL.
+    Every script's accents go and compatibility forms are resolved. Latin texts are
+    translated in the JVM; only texts with other scripts or with characters that become
+    several (ligatures, fractions) go through an Arrow UDF, the others pass it as NULL.
     ``compat=True`` sends every text there, for comparison. ``expand=False`` leaves
     such characters as they are and needs no Python.
     """
