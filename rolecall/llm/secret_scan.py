@@ -5,6 +5,7 @@ Thompson construction, subset construction over byte classes, minimisation. Text
 cut at bytes that no rule contains, which bring every state back to the start, and the
 pieces run through the transition array side by side. Where a rule's signal ends, its
 whole pattern decides on the bytes around up to the next byte foreign to the rule.
+A private key's span goes on over its body to its last line.
 """
 
 import re
@@ -26,6 +27,7 @@ class Rule:
     pattern: bytes  # the leftmost matches that do not overlap are its candidates
     group: int = 0  # a candidate counts when this group has ...
     least: int = 0  # ... this many bytes
+    body: bool = False  # a match is the first line of a key; the span goes on to the key's end
 
 
 def _either_case(word: str) -> str:
@@ -42,13 +44,34 @@ BASE = (
 )
 RULES = (
     *BASE,
-    Rule("private", rb"-----BEGIN\x20[A-Z]", rb"-----BEGIN\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----"),
+    Rule("private", rb"-----BEGIN\x20[A-Z]", rb"-----BEGIN\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----", body=True),
     Rule("github", rb"gh[pousr]_[A-Za-z0-9]{4}", rb"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", rb"xox[abprs]-[A-Za-z0-9-]{4}", rb"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
     Rule("google", rb"AIza[A-Za-z0-9_-]{4}", rb"AIza[A-Za-z0-9_-]+", 0, 39),
     Rule("jwt", rb"eyJ[A-Za-z0-9_-]{4}", rb"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 
+# The first or last line of any PEM block.
+_EDGE = re.compile(rb"-----(BEGIN|END) ([A-Z0-9 ]+)-----")
+# A key without a last line: its own headers, long runs of base64, then what is left of a last run. Line
+# ends may be escaped, as in JSON, and lines quoted, as in mails and code.
+_GAP = rb"(?:[ \t\r\n>#*|\"',;]|\\+[nrt])*"
+_RUN = rb"(?:[A-Za-z0-9+/=]|\\+/)"
+_CUT_OFF = re.compile(
+    rb"(?:%(gap)s(?:Proc-Type|DEK-Info):[^\r\n\\]*)*"
+    rb"(?:(?:%(gap)s%(run)s{16,})+(?:%(gap)s%(run)s*=(?!%(run)s)|[ \t]*(?:[\r\n]|\\+[nr])%(gap)s%(run)s+(?=[ \t]*(?:[\r\n\\\"',;]|\Z)))?)?"
+    % {b"gap": _GAP, b"run": _RUN}
+)
+
+
+def _key_end(text: memoryview, at: int) -> int:
+    """Where the key ends whose first line ends at ``at``: behind its last line if that is the next
+    edge of a block, else behind its base64."""
+    edge = _EDGE.search(text, at)
+    if edge and edge[1] == b"END" and edge[2].endswith(b"PRIVATE KEY"):
+        return edge.end()
+    return _CUT_OFF.match(text, at, edge.start() if edge else len(text)).end()
+
 
 class _Nfa:
     """Thompson's construction over the parse tree of a byte regex."""
@@ -249,7 +272,10 @@ class Scanner:
                     for match in patterns[k].finditer(part[begin:done].tobytes()):
                         a, b = match.span(rule.group)
                         if b - a >= rule.least:
-                            out[first + row].append((begin + match.start() - int(of[row]), k, begin + match.end() - int(of[row])))
+                            end = begin + match.end() - int(of[row])
+                            if rule.body:
+                                end = _key_end(memoryview(part[of[row] : of[row + 1]]), end)
+                            out[first + row].append((begin + match.start() - int(of[row]), k, end))
             for row in range(first, last):
                 if out[row]:
                     text = data[offsets[row] : offsets[row + 1]]
