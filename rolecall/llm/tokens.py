@@ -17,17 +17,22 @@ _PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
 
 class WordTable:
-    """Hashes to entry numbers: open addressing, all steps on whole arrays."""
+    """Hashes to entry numbers: open addressing, all steps on whole arrays. A table that is
+    full should be cleared between steps; one step may add any number of hashes."""
 
     def __init__(self, bits: int = 21):
-        self.mask = np.uint64((1 << bits) - 1)
-        self.keys = np.zeros(1 << bits, np.uint64)
-        self.values = np.zeros(1 << bits, np.int32)
+        self.limit = 1 << bits >> 1
         self.size = 0
+        self._make(1 << bits)
+
+    def _make(self, slots: int) -> None:
+        self.mask = np.uint64(slots - 1)
+        self.keys = np.zeros(slots, np.uint64)
+        self.values = np.zeros(slots, np.int32)
 
     @property
     def full(self) -> bool:
-        return self.size * 2 > len(self.keys)
+        return self.size > self.limit
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The entry of each hash (not 0), or -1."""
@@ -45,8 +50,12 @@ class WordTable:
     def add(self, hashes: np.ndarray, first: int) -> None:
         """New distinct hashes, with entries ``first``, ``first`` + 1, ..."""
         entries = np.arange(first, first + len(hashes), dtype=np.int32)
-        slot = hashes & self.mask
         self.size += len(hashes)
+        if self.size * 4 > len(self.keys) * 3:  # a step with very many new words
+            held = self.keys != 0
+            hashes, entries = np.concatenate([self.keys[held], hashes]), np.concatenate([self.values[held], entries])
+            self._make(1 << (2 * self.size - 1).bit_length())
+        slot = hashes & self.mask
         while len(hashes):
             free = self.keys[slot] == 0
             places, winner = np.unique(slot[free], return_index=True)

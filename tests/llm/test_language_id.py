@@ -63,6 +63,18 @@ def test_texts_are_sums_of_words(vocabulary):
         assert not logs[[1, 2, 3]].any()
 
 
+def test_one_text_with_more_words_than_slots(vocabulary):
+    p = np.random.default_rng(3).random((len(vocabulary.pieces), 2))
+    p /= p.sum(axis=0)
+    few, many = language_id.Scorer(vocabulary, p), language_id.Scorer(vocabulary, p)
+    few.bits = 4
+    few._clear()
+    letters = "abcdefgh"
+    text = " ".join(a + b + c for a in letters for b in letters for c in letters)
+    for t in (text, "the", text):
+        np.testing.assert_allclose(few.texts(pa.array([t]))[0], many.texts(pa.array([t]))[0], rtol=1e-5)
+
+
 def test_held_out_accuracy(spark):
     rows = queries.QUERIES["op4_language_id"](spark, "/root/testdata/sf0.001").collect()
     docs = {r["doc_id"]: r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}

@@ -51,6 +51,26 @@ def test_word_table():
     assert table.find(keys + np.uint64(1)).tolist() == [-1] * len(keys)
 
 
+def test_word_table_grows():
+    table, rng = tokens.WordTable(bits=4), np.random.default_rng(0)
+    keys = np.unique(rng.integers(1, 1 << 62, 5000).astype(np.uint64))
+    table.add(keys[:7], 0)
+    assert not table.full
+    table.add(keys[7:3000], 7)
+    table.add(keys[3000:], 3000)
+    assert table.full and table.find(keys).tolist() == list(range(len(keys)))
+    assert table.find(keys + np.uint64(1 << 62)).tolist() == [-1] * len(keys)
+
+
+def test_one_text_with_more_words_than_slots(plain, monkeypatch):
+    small = tokens.WordTable
+    monkeypatch.setattr(tokens, "WordTable", lambda: small(bits=6))
+    encoder = tokens.Encoder(TOKENIZER)
+    texts = [" ".join(f"w{i}x{k}" for i in range(3000)) for k in range(2)] + ["w1x1 w2x1"]
+    for text in [*texts, texts[0]]:
+        assert [ids.tolist() for _, ids, _ in encoder.encode(pa.array([text]))] == [plain(text)]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_pack_is_whole_and_improves(seed):
     rng = np.random.default_rng(seed)
