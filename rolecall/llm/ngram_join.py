@@ -303,15 +303,22 @@ def ngram_components(
     wanted = spark.sparkContext.broadcast(sketches.id_filter(chosen, "id"))
 
     def packed(arrow):
-        squeeze = zstandard.ZstdCompressor()
+        squeeze, seen = zstandard.ZstdCompressor(), set()
         for batch in arrow:
             batch = batch.filter(pa.array(sketches.holds(wanted.value, batch["id"])))
-            names = [set_id(t) for t in document_sets(batch["text"], width, lower)]
-            texts = [squeeze.compress((t or "").encode()) for t in batch["text"].to_pylist()]
+            names, texts = [], []
+            for name, row in zip(map(set_id, document_sets(batch["text"], width, lower)), batch["text"], strict=True):
+                if name in seen:  # a copy of a set: many rows may repeat an id or pass by chance
+                    continue
+                seen.add(name)
+                names.append(name)
+                texts.append(squeeze.compress((row.as_py() or "").encode()))
+            if len(seen) > 1_000_000:
+                seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(texts, pa.binary())], ["node", "packed"])
 
-    # the filter lets a few other rows pass: other sets join nothing, and a copy of a set is dropped in its block
-    texts = docs.select("id", "text").mapInArrow(packed, "node bigint, packed binary")
+    # the filter lets other rows pass: other sets join nothing, and of equal sets one text meets the blocks
+    texts = docs.select("id", "text").mapInArrow(packed, "node bigint, packed binary").dropDuplicates(["node"])
 
     sizes = members.join(named.select("node", "n").distinct(), "node").groupBy("lead").agg(
         (F.lit(1) + F.floor(F.sum("n") / block_tokens)).alias("parts")

@@ -80,6 +80,17 @@ def test_long_lists_by_join(docs_of, monkeypatch):
     assert found(ngram_join.ngram_components(docs_of(rows))) == brute_force(rows)
 
 
+def test_one_text_of_each_set_meets_a_block(docs_of, monkeypatch):
+    """Rows that repeat a chosen id, and copies under other ids, bring their set's text once."""
+    rng = random.Random(6)
+    base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
+    rows = [(5, base)] * 60 + [(k, base) for k in range(10, 20)] + [(7, f"{base} end"), (7, f"{base} end"), (9, "start " + base)]
+    search, met = ngram_join._search, []
+    monkeypatch.setattr(ngram_join, "_search", lambda blocks, *a: met.extend(tuple(r) for r in blocks.select("lead", "part", "node").collect()) or search(blocks, *a))
+    assert found(ngram_join.ngram_components(docs_of(rows).repartition(3))) == brute_force(rows)
+    assert met and len(met) == len(set(met))
+
+
 def test_one_of_each(docs_of):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (3, "A b c d e"), (3, "x y z q w"), (None, "a b c d e"), (7, None), (8, ""), (9, "x y z q w v")]
     kept = ngram_join.one_of_each(docs_of(rows)).select("doc_id", "text").collect()
