@@ -23,8 +23,8 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return ngram_join.one_of_each(docs).select(*COLUMNS)
+    """One document of each group of near copies stays: 0.8 of the five-word shingles."""
+    return ngram_join.one_of_each(docs, width=5, percent=80).select(*COLUMNS)
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

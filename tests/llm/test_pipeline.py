@@ -129,6 +129,14 @@ def test_empty_tables(spark, docs_of, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_near_copies_of_five_words_and_four_fifths(spark, docs_of):
+    """A text with a fifth more words behind it is a near copy (J = 96 / 116); with half more it is not."""
+    words = [f"w{i}" for i in range(150)]
+    rows = [(1, " ".join(words[:100])), (2, " ".join(words[:120])), (3, " ".join(words))]
+    kept = corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted({c for _, _, c in components_of(rows, 5, 80)}) == [1, 3]
+
+
 def test_names_and_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "ngram_jaccard_join", "benchmark_decontamination", "secret_scan", "best_fit_packing"
