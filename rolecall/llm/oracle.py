@@ -93,3 +93,64 @@ WITH d AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN all_labels USING (doc_id) LEFT JOIN scores USING (doc_id)"""
+
+
+def _vector_codes(parts=8, entries=16, rounds=6):
+    """Every round as two tables: the codes by the last codebook, and the next codebook."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""codes{n} AS MATERIALIZED (
+  SELECT r, p, min(d * {entries} + e) AS k FROM (
+    SELECT r, p, e, sum((x - c) * (x - c)) AS d FROM places JOIN book{n} USING (p, j) GROUP BY r, p, e) GROUP BY r, p
+)""")
+        if n < rounds:
+            steps.append(f"""book{n + 1} AS MATERIALIZED (
+  SELECT p, e, j, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, c) AS c FROM book{n} LEFT JOIN (
+    SELECT p, (k % {entries})::BIGINT AS e, j, sum(x) AS s, count(*) AS n FROM places JOIN codes{n} USING (r, p) GROUP BY ALL
+  ) USING (p, e, j)
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor({4096} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), places AS MATERIALIZED (
+  SELECT r, (i // size)::BIGINT AS p, (i % size)::BIGINT AS j, x FROM (
+    SELECT r, len(v) // {parts} AS size, unnest(range(len(v))) AS i, unnest(v) AS x FROM kept)
+), book0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, j, x AS c FROM places WHERE r <= {entries}
+), {", ".join(steps)}, coded AS (
+  SELECT r, string_agg(printf('%02x', (k % {entries})::INTEGER), '' ORDER BY p) AS code, sum(k // {entries})::BIGINT AS error
+  FROM codes{rounds} GROUP BY r
+), errors AS (
+  SELECT vec_id, label, code, error FROM coded JOIN kept USING (r)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, j)) FROM book{rounds}) AS codebooks_sha256
+FROM errors"""
+
+
+ORACLE["op11_vector_codes"] = _vector_codes()
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLE["op12_ranked_search"] = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS terms FROM documents
+), sizes AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0
+), tfs AS (
+  SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM docs) GROUP BY ALL
+), dfs AS (
+  SELECT term, count(*) AS df FROM tfs GROUP BY term
+), asked AS (
+  SELECT DISTINCT q, item_id, term FROM (SELECT q, item_id, unnest(terms) AS term FROM (
+    SELECT row_number() OVER () AS q, item_id, {_TERMS} AS terms FROM benchmark))
+), scored AS (
+  SELECT q, item_id, d, doc_id, sum(
+    floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))
+  )::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN dfs USING (term) CROSS JOIN sizes GROUP BY q, item_id, d, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10"""

@@ -5,7 +5,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rolecall.llm import decontaminate, language_id, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding, substring_dedup, token_store
+from rolecall.llm import (
+    decontaminate, language_id, lexical_search, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding,
+    substring_dedup, token_store, url_rules, vector_codes,
+)
 from rolecall.sources.sinks import stage
 from rolecall.storage import shared_dir
 
@@ -104,3 +107,18 @@ def op10_license_scan(spark, sf_dir):
 @query
 def op1_substring_dedup(spark, sf_dir):
     return substring_dedup.repeated_units(documents(spark, sf_dir)).withColumnRenamed("kept_id", "kept_doc_id")
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    return lexical_search.ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op13_url_rules(spark, sf_dir):
+    return url_rules.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
