@@ -1,9 +1,9 @@
 """Text folding and cleaning as Column expressions."""
 
+import sys
 import unicodedata
-from functools import reduce
+from functools import lru_cache, reduce
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
@@ -15,40 +15,44 @@ BLANK_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # Letters the compatibility decomposition leaves whole but folding must map.
 _FIXED_FOLDS = {"Đ": "D", "đ": "d"}
 
+# Hangul syllables become two or three letters by arithmetic (Unicode, chapter 3.12).
+_HANGUL, _VOWELS, _FINALS = 0xAC00, 21, 28
+_LEADING = [chr(0x1100 + i) for i in range(19)]
+_VOWEL = [chr(0x1161 + i) for i in range(_VOWELS)]
+_FINAL = [""] + [chr(0x11A8 + i) for i in range(_FINALS - 1)]
 
-# Blocks folded in the JVM: Latin with its marks, Latin additional, punctuation.
-_FOLD_BLOCKS = ((0x80, 0x36F), (0x1E00, 0x1EFF), (0x2000, 0x206F))
 
-
-def _fold_tables() -> tuple[str, str, str]:
-    """Arguments of ``translate`` for the blocks above, derived from the Unicode tables,
-    and a regex class of all characters that need more than that.
+@lru_cache(1)
+def _fold_tables() -> tuple[str, str, dict[str, str], str]:
+    """Derived from the Unicode tables: arguments of ``translate``, the characters that
+    become several with what they become, and a regex class of these and of Hangul.
 
     Mapped: every character whose decomposition minus its combining marks is exactly one
-    other character. Dropped, having no counterpart in the second text: characters with a
-    combining class. The class holds characters that become several (ligatures,
-    fractions) and everything beyond the blocks, in few ranges, so it is cheap to search.
+    other character. Dropped, having no counterpart in the second text: characters of
+    which nothing remains.
     """
-    src, dst, gone, more = [], [], [], []
-    for code in (c for first, last in _FOLD_BLOCKS for c in range(first, last + 1)):
+    src, dst, gone, several = [], [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
-        if unicodedata.combining(char):
-            gone.append(char)
+        if unicodedata.category(char) in ("Cs", "Cn", "Co") or _HANGUL <= code <= 0xD7A3:
             continue
         plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
         plain = _FIXED_FOLDS.get(char, plain)
-        if len(plain) != 1:
-            more.append(f"\\x{{{code:X}}}")
+        if not plain:
+            gone.append(char)
+        elif len(plain) > 1:
+            several[char] = plain
         elif plain != char:
             src.append(char)
             dst.append(plain)
-    ends = [last + 1 for _, last in _FOLD_BLOCKS]
-    begins = [first - 1 for first, _ in _FOLD_BLOCKS[1:]] + [0x10FFFF]
-    beyond = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(ends, begins, strict=True))
-    return "".join(src + gone), "".join(dst), f"[{''.join(more)}{beyond}]"
-
-
-_FOLD_FROM, _FOLD_TO, _EXPANDS = _fold_tables()
+    ranges: list[list[int]] = [[_HANGUL, 0xD7A3]]
+    for code in map(ord, several):
+        if ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    expands = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+    return "".join(src + gone), "".join(dst), several, f"[{expands}]"
 
 
 def strip_blank(text: Column) -> Column:
@@ -64,36 +68,38 @@ def contains_any(text: Column, phrases) -> Column:
 def ascii_fold(text: Column, compat: bool = False, expand: bool = True) -> Column:
     """Accent-free lower-case text; NULL becomes ''.
 
-    Every script's accents go and compatibility forms are resolved. Latin texts are
-    translated in the JVM; only texts with other scripts or with characters that become
-    several (ligatures, fractions) go through an Arrow UDF, the others pass it as NULL.
-    ``compat=True`` sends every text there, for comparison. ``expand=False`` leaves
-    such characters as they are and needs no Python.
+    Every script's accents go and compatibility forms are resolved. Characters that become
+    one other are translated; texts that hold one which becomes several (ligatures,
+    fractions, Hangul syllables) have it replaced character by character, in the JVM like
+    the rest. ``expand=False`` leaves such characters as they are; ``compat=True`` asks
+    for them whatever ``expand`` says.
     """
+    from_, to, several, expands = _fold_tables()
     text = F.coalesce(text.cast(StringType()), F.lit(""))
-    if compat:
-        return _nfkd_fold()(text)
-    folded = strip_blank(F.lower(F.translate(text, _FOLD_FROM, _FOLD_TO)))
-    return F.coalesce(_nfkd_fold()(F.when(text.rlike(_EXPANDS), text)), folded) if expand else folded
-
-
-def _nfkd_fold():
-    folds = dict(_FIXED_FOLDS)
-
-    # Nested, so that executors receive it by value and need no package install.
-    @F.pandas_udf(StringType())
-    def nfkd_fold(values: pd.Series) -> pd.Series:
-        import unicodedata as u
-
-        table = str.maketrans(folds)
-
-        def fold(value):
-            decomposed = u.normalize("NFKD", value.translate(table))
-            return "".join(c for c in decomposed if not u.combining(c)).lower().strip()
-
-        return values.map(fold, na_action="ignore")
-
-    return nfkd_fold
+    if expand or compat:
+        text = F.when(text.rlike(expands), _expanded(text, several, expands)).otherwise(text)
+    return strip_blank(F.lower(F.translate(text, from_, to)))
+
+
+def _expanded(text: Column, several: dict[str, str], expands: str) -> Column:
+    """The text with each character of the class written out. What a character becomes
+    stands in an array by its number: of Hangul letters, or among the class's others."""
+    strings = lambda values: F.split(F.lit("\n".join(values)), "\n")
+    ordered = sorted(several)
+    known, meaning = F.lit("".join(ordered)), strings([several[c] for c in ordered])
+
+    def written(char: Column) -> Column:
+        place = F.ascii(char) - _HANGUL
+        syllable = F.concat(
+            F.get(strings(_LEADING), F.floor(place / (_VOWELS * _FINALS)).cast("int")),
+            F.get(strings(_VOWEL), F.floor(place / _FINALS).cast("int") % _VOWELS),
+            F.get(strings(_FINAL), place % _FINALS),
+        )
+        hangul = (place >= 0) & (place < 19 * _VOWELS * _FINALS)
+        other = F.get(meaning, F.instr(known, char) - 1)
+        return F.when(~char.rlike(expands), char).when(hangul, syllable).otherwise(other)
+
+    return F.array_join(F.transform(F.split(text, ""), written), "")
 
 
 def clean_title(text: Column) -> Column:

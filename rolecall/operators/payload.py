@@ -1,6 +1,5 @@
 """Contracts, key scans and checksums of raw JSON payloads."""
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rolecall.functions.compute import add_once
@@ -15,27 +14,41 @@ SENSITIVE_KEY_FRAGMENTS = ("authorization", "cookie", "password", "secret_access
 _STRING_TOKEN = r'"(?:[^"\\]++|\\.)*+"(?:\s*+:)?'
 
 
-def strict_variant(json: Column) -> Column:
-    """The JSON text as a variant, NULL unless the whole text is one JSON value.
+def _followed(json: Column) -> tuple[Column, Column]:
+    """The text as the first element of an array, followed by a mark, and the mark. The
+    parser alone stops after the first value and ignores what follows; here the mark is
+    the second element only if the text is one value, as no text holds its own digest."""
+    mark = F.md5(json)
+    return F.concat(F.lit("["), json, F.lit(',"'), mark, F.lit('"]')), mark
 
-    The parser alone stops after the first value and ignores what follows; text
-    with a rest cannot stay valid both inside an array and inside an object.
-    """
-    alone = F.json_array_length(F.concat(F.lit("["), json, F.lit("]"))) == 1
-    inside = F.json_object_keys(F.concat(F.lit('{"v":'), json, F.lit("}"))).isNotNull()
-    return F.when(alone & inside, F.try_parse_json(json))
+
+def _parsed(json: Column, read) -> Column:
+    """``read(record, whole)`` of a text parsed once: ``record(type)`` is the value as that
+    type, NULL where it is none; ``whole`` is whether the text is one JSON value."""
+    followed, mark = _followed(json)
+    once = F.array(F.struct(F.try_parse_json(followed).alias("both"), mark.alias("mark")))
+
+    def judged(x):
+        whole = F.coalesce(F.try_variant_get(x["both"], "$[1]", "string") == x["mark"], F.lit(False))
+        return read(lambda kind: F.try_variant_get(x["both"], "$[0]", kind), whole)
+
+    return F.get(F.transform(once, judged), F.lit(0))
+
+
+def strict_variant(json: Column) -> Column:
+    """The JSON text as a variant, NULL unless the whole text is one JSON value."""
+    return _parsed(json, lambda record, whole: F.when(whole, record("variant")))
 
 
 def record_verdict(json: Column) -> Column:
-    """'ok', 'not_json', 'not_object' or 'empty_object' for one JSON record. An
-    object that names a key twice is not accepted as JSON."""
-    keys = F.json_object_keys(json)
-    return (
-        F.when(strict_variant(json).isNull(), "not_json")
-        .when(keys.isNull(), "not_object")
-        .when(F.size(keys) == 0, "empty_object")
+    """'ok', 'not_json', 'not_object' or 'empty_object' for one JSON record, from one
+    parse. An object that names a key twice is not accepted as JSON."""
+    return _parsed(json, lambda record, whole: (
+        F.when(~whole, "not_json")
+        .when(record("map<string,variant>").isNull(), "not_object")
+        .when(F.size(record("map<string,variant>")) == 0, "empty_object")
         .otherwise("ok")
-    )
+    ))
 
 
 def payload_contract(df: DataFrame, json: str, batch: list[str]) -> DataFrame:
@@ -94,14 +107,19 @@ def canonical_json(json: Column) -> Column:
     return F.to_json(strict_variant(json))
 
 
+def _string(token: Column) -> Column:
+    """What a string token of a JSON text says, escapes read."""
+    plain = F.get(F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>"), F.lit(0))
+    return F.coalesce(F.when(token.contains("\\"), plain), F.regexp_replace(token, '^"|"$', ""))
+
+
 def object_keys(json: Column) -> Column:
     """All object keys of a JSON text, at any depth and however often named, in the
     text's order, with escapes read. The text is scanned, not parsed, so text that is
     only nearly JSON is searched as well; NULL text is not judged."""
     tokens = F.regexp_extract_all(json, F.lit(_STRING_TOKEN), F.lit(0))
     raw = F.transform(F.filter(tokens, lambda t: t.endswith(":")), lambda t: F.regexp_replace(t, r"\s*+:$", ""))
-    plain = lambda t: F.get(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>"), F.lit(0))
-    return F.transform(raw, lambda t: F.coalesce(F.when(t.contains("\\"), plain(t)), F.regexp_replace(t, '^"|"$', "")))
+    return F.transform(raw, _string)
 
 
 def is_sensitive(key: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
@@ -120,39 +138,48 @@ def sensitive_key_scan(df: DataFrame, json: str, fragments=SENSITIVE_KEY_FRAGMEN
     the hits pay for that."""
     scanned = add_once(df, {"sensitive_keys": sensitive_keys(F.col(json), fragments)})
     hits = scanned.filter(F.size("sensitive_keys") > 0)
-    return hits.withColumn("key_path", _first_path(fragments)(F.col(json))) if with_path else hits
-
-
-def _first_path(fragments):
-    wanted = tuple(fragments)
-
-    # Nested, so that executors receive it by value and need no package install.
-    @F.pandas_udf("string")
-    def first_path(texts: pd.Series) -> pd.Series:
-        import json
-
-        def locate(text):
-            try:
-                # pairs, not dicts: an object may name a key twice
-                pending = [("$", None, json.loads(text, object_pairs_hook=lambda pairs: (pairs,)))]
-            except ValueError:
-                return None
-            while pending:
-                path, key, value = pending.pop()
-                if key is not None and any(w in key.casefold().replace("-", "_") for w in wanted):
-                    return path
-                if isinstance(value, tuple):
-                    below = [(f"{path}.{k}", k, v) for k, v in value[0]]
-                elif isinstance(value, list):
-                    below = [(f"{path}[{n}]", None, v) for n, v in enumerate(value)]
-                else:
-                    below = []
-                pending += below[::-1]
-            return None
-
-        return texts.map(locate)
-
-    return first_path
+    return add_once(hits, {"key_path": first_sensitive_path(F.col(json), fragments)}) if with_path else hits
+
+
+# Strings and the signs that nest them; numbers and words say nothing about places.
+_STEP = r'"(?:[^"\\]++|\\.)*+"|[{}\[\],:]'
+
+
+def first_sensitive_path(json: Column, fragments=SENSITIVE_KEY_FRAGMENTS) -> Column:
+    """Where the first sensitive key of a JSON text stands, as in ``$.a[1].key``; NULL
+    without one and in text that is not one JSON value. Repeated keys count.
+
+    The text's strings and signs are folded in order: ``open`` holds the path of every
+    open object or array and the place within an array (-1: an object), ``at`` the path
+    of the value that comes next.
+    """
+    nothing = F.array().cast("array<struct<path:string,n:int>>")
+    start = F.struct(nothing.alias("open"), F.lit("$").alias("at"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("found"))
+
+    def step(state, token):
+        open_, at, key = state["open"], state["at"], state["key"]
+        top = F.element_at(open_, -1)
+        rest = F.slice(open_, 1, F.greatest(F.size(open_) - 1, F.lit(0)))
+        inside = lambda n: F.array(F.struct(at.alias("path"), F.lit(n).alias("n")))
+        then = lambda o=open_, a=at, k=key, f=state["found"]: F.struct(o.alias("open"), a.alias("at"), k.alias("key"), f.alias("found"))
+        place = lambda path, n: F.concat(path, F.lit("["), n.cast("string"), F.lit("]"))
+        next_ = F.struct(top["path"].alias("path"), (top["n"] + 1).alias("n"))
+        named = F.concat(top["path"], F.lit("."), key)
+        return (
+            F.when(state["found"].isNotNull(), state)
+            .when(token == "{", then(o=F.concat(open_, inside(-1))))
+            .when(token == "[", then(o=F.concat(open_, inside(0)), a=place(at, F.lit(0))))
+            .when(token.isin("}", "]"), then(o=rest))
+            .when((token == ",") & (top["n"] >= 0), then(o=F.concat(rest, F.array(next_)), a=place(top["path"], top["n"] + 1)))
+            .when(token == ":", then(a=named, f=F.when(is_sensitive(key, fragments), named)))
+            .when(token.startswith('"'), then(k=_string(token)))
+            .otherwise(state)
+        )
+
+    followed, mark = _followed(json)
+    is_json = F.get(F.from_json(followed, "array<string>"), F.lit(1)) == mark
+    tokens = F.regexp_extract_all(json, F.lit(_STEP), F.lit(0))
+    return F.when(is_json, F.aggregate(tokens, start, step, lambda state: state["found"]))
 
 
 def key_inventory(df: DataFrame, json: str, fragments=SENSITIVE_KEY_FRAGMENTS) -> DataFrame:

@@ -60,9 +60,10 @@ def tags_to_json(df: DataFrame, tags: str = "tags") -> DataFrame:
     return df
 
 
-def silver_projection(df: DataFrame, trim_keys: bool = False, processed_at=None) -> DataFrame:
-    """The Silver column list in order; ``trim_keys`` cuts blanks of title and url, and
-    ``processed_at`` (a timestamp or its text) adds that column."""
+def silver_projection(df: DataFrame, trim_keys: bool = False, processed_at=None, keep=()) -> DataFrame:
+    """The Silver column list in order; ``trim_keys`` cuts blanks of title and url,
+    ``processed_at`` (a timestamp or its text) adds that column, and the columns named
+    in ``keep`` follow."""
     def column(name: str):
         if name == "salary_raw":
             return F.col("salary").alias("salary_raw")
@@ -71,7 +72,7 @@ def silver_projection(df: DataFrame, trim_keys: bool = False, processed_at=None)
         return F.col(name)
 
     stamp = [] if processed_at is None else [F.lit(processed_at).cast("timestamp").alias("processed_at")]
-    return df.select(*[column(c) for c in SILVER_COLUMNS], *stamp)
+    return df.select(*[column(c) for c in SILVER_COLUMNS], *stamp, *keep)
 
 
 def batch_stamp(df: DataFrame, batch_date: str, clock: str | None = None) -> DataFrame:
@@ -94,8 +95,8 @@ def drop_helper_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
-def normalise_listings(df: DataFrame, salary_dialect: str, location_dialect: str, trim_keys: bool = False) -> DataFrame:
-    """Raw listings to Silver columns (not yet deduplicated)."""
+def normalise_listings(df: DataFrame, salary_dialect: str, location_dialect: str, trim_keys: bool = False, keep=()) -> DataFrame:
+    """Raw listings to Silver columns (not yet deduplicated), and those in ``keep``."""
     guarded = tags_to_json(schema_guard(df))
     parsed = with_location(with_salary(guarded, "salary", salary_dialect), "location", location_dialect)
-    return silver_projection(parsed, trim_keys)
+    return silver_projection(parsed, trim_keys, keep=keep)

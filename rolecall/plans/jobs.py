@@ -4,7 +4,8 @@ The ``*_silver`` functions build plans; the ``run_*`` functions also check and
 write. Checks come before the write they guard.
 """
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from rolecall.operators.dedupe import keep_best_listing
@@ -13,10 +14,9 @@ from rolecall.operators.quality import (
     QualityError, bronze_suite, require_columns, require_rows, require_sources, rule_aggregates, rule_results,
 )
 from rolecall.operators.schema import flatten_envelope, normalise_listings
-from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, changed_objects, landing_summary, raw_json_scan
-from rolecall.sources.sinks import append_partitioned, path_exists, publish_nonempty, quarantine, replace_batches, replace_mart, stage, table_at, upsert_into
-
-from rolecall.storage import drop_dir, shared_dir
+from rolecall.sources.readers import batch_partition_scan, catalog_table_scan, landed_contents, landed_metadata, raw_json_scan
+from rolecall.sources.sinks import append_partitioned, path_exists, publish_nonempty, quarantine, replace_batches, replace_mart, stage, table_at, upsert_into, upsert_keyed
+from rolecall.storage import drop_dir, move_into, names_in, shared_dir
 
 from . import marts
 
@@ -59,39 +59,85 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, quarantine_
     return rule_results(spark.createDataFrame([tuple(counts.values())], ddl), rules)
 
 
-def run_landing(spark: SparkSession, landing_path: str, store_path: str, manifest_path: str, suffix: str = ".json") -> DataFrame:
+MANIFEST = "path string, length bigint, modified timestamp, content_hash string"
+
+
+def run_landing(
+    spark: SparkSession, landing_path: str, store_path: str, manifest_path: str, suffix: str = ".json", files_at_once: int = 10_000,
+) -> DataFrame:
     """Copy the landed files that are new or changed into the store and note them in the
     manifest; returns one row: copied, skipped and failed.
 
-    The store keeps one row per version of a file (path, length, content_hash, content),
-    since Spark writes tables, not named objects. Stored content is hashed again; a file
-    whose hash differs counts as failed, is not noted, and is copied by the next run. A
-    job lost before the manifest is written copies its files again; readers of the store
-    take each (path, content_hash) once.
+    Path, length and modification time decide first, so the content of files that the
+    manifest knows is not read. What is left is read and hashed once, in blocks of about
+    ``files_at_once`` files, whose names come to the driver; where only the time is new
+    and the content is not, the file counts as skipped and its new time is noted.
+
+    The store keeps one row per version of a file (path, length, modified, content_hash,
+    content), since Spark writes tables, not named objects. A file that vanishes, grows
+    while it is read, or cannot be read counts as failed, is not noted, and is taken by
+    the next run; it stops no other file. The files of the store are written beside it
+    and moved there before the manifest's: a job lost in between copies its files again,
+    and readers of the store take each (path, content_hash) once.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing_path)
-    found = files.filter(F.lower("path").endswith(suffix)).select("path", "length", F.sha2("content", 256).alias("content_hash"), "content")
-    known = spark.read.schema("path string, content_hash string").parquet(manifest_path) if path_exists(spark, manifest_path) else None
-    seen = spark.createDataFrame([], "path string, content_hash string") if known is None else known
-    summary = landing_summary(found.select("path", "content_hash"), seen)
+    known = spark.read.schema(MANIFEST).parquet(manifest_path) if path_exists(spark, manifest_path) else spark.createDataFrame([], MANIFEST)
+    found = stage(landed_metadata(spark, landing_path, suffix), "landed")
+    fresh = stage(found.join(known.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti"), "fresh")
+    files, candidates = found.count(), fresh.count()
+    blocks = -(-candidates // files_at_once)
+    copied = same = 0
+    for block in range(blocks):
+        names = [r["path"] for r in fresh.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == block).select("path").collect()]
+        new, old = _land(spark, names, known, store_path, manifest_path)
+        copied, same = copied + new, same + old
+    counts = (copied, files - candidates + same, candidates - copied - same)
+    return spark.createDataFrame([counts], "copied bigint, skipped bigint, failed bigint")
+
+
+def _land(spark: SparkSession, names: list[str], known: DataFrame, store_path: str, manifest_path: str) -> tuple[int, int]:
+    """Copies these files; (copied, unchanged). Where the block as a whole fails, its
+    halves are tried, down to the file that cannot be read."""
+    if not names:
+        return 0, 0
     run = shared_dir(spark, "landing")
-    changed_objects(found, seen).write.parquet(run)
-    copied = spark.read.parquet(run)
-    copied.write.mode("append").parquet(store_path)
-    good = copied.filter(F.sha2("content", 256) == F.col("content_hash"))
-    counts = summary.first()
-    written = good.select("path", "content_hash")
-    landed = written.count()
-    written.write.mode("append").parquet(manifest_path)
+    try:
+        own = spark.createDataFrame([(n,) for n in names], "path string")
+        held = known.join(own, "path", "left_semi").select("path", "content_hash").distinct().withColumn("_held", F.lit(True))
+        read = landed_contents(spark, names).join(stage(held, "held"), ["path", "content_hash"], "left")
+        is_new = F.col("_held").isNull()
+        read.drop("_held").withColumns({"is_new": is_new, "content": F.when(is_new, F.col("content"))}).write.partitionBy("is_new").parquet(f"{run}/files")
+        noted = spark.read.schema(f"{MANIFEST}, is_new boolean").parquet(f"{run}/files")
+        noted.select(*[c.split()[0] for c in MANIFEST.split(", ")]).write.parquet(f"{run}/noted")
+        counts = noted.groupBy("is_new").count().collect()
+    except (PySparkException, Py4JJavaError):
+        drop_dir(spark, run)
+        if len(names) == 1:
+            return 0, 0
+        halves = [_land(spark, part, known, store_path, manifest_path) for part in (names[::2], names[1::2])]
+        return halves[0][0] + halves[1][0], halves[0][1] + halves[1][1]
+    for folder, target in (("files/is_new=true", store_path), ("noted", manifest_path)):
+        for name in names_in(spark, f"{run}/{folder}"):
+            if name.startswith("part-"):
+                move_into(spark, f"{run}/{folder}/{name}", target)
     drop_dir(spark, run)
-    return spark.createDataFrame([(landed, counts["skipped"], counts["copied"] - landed)], "copied bigint, skipped bigint, failed bigint")
-
-
-def run_local_silver(spark: SparkSession, bronze_path: str, silver_path: str, processed_at=None) -> bool:
-    """All of Bronze to the Silver table, upserted by url; a listing's source, and
-    with it its partition, stays as first seen. ``processed_at`` stamps the rows."""
-    silver = stamped(local_silver(spark.read.parquet(bronze_path)), "processed_at", processed_at)
-    return upsert_into(silver, silver_path, ["url"], ["source"], keep_columns=["source"])
+    number = {r["is_new"]: r["count"] for r in counts}
+    return number.get(True, 0), number.get(False, 0)
+
+
+def run_local_silver(
+    spark: SparkSession, bronze_path: str, silver_path: str, processed_at=None, crawled_date: str | None = None, buckets: int = 32,
+) -> bool:
+    """All of Bronze, or what one crawl brought, to the Silver table, upserted by url; a
+    listing's source stays as first seen. ``processed_at`` stamps the rows.
+
+    Silver is a keyed table (``sinks.upsert_keyed``): only the buckets that the urls fall
+    into are read and written, and rows that are stored already with equal values (their
+    stamp included) are left out. False when Bronze has no rows."""
+    bronze = spark.read.parquet(bronze_path)
+    if crawled_date is not None:
+        bronze = bronze.filter(F.col("crawled_date") == crawled_date)
+    silver = stamped(local_silver(bronze), "processed_at", processed_at)
+    return upsert_keyed(silver, silver_path, ["url"], ["source"], ["source"], buckets, only_changed=True) is not None
 
 
 def stamped(df: DataFrame, column: str, time) -> DataFrame:

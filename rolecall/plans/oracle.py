@@ -737,6 +737,16 @@ ORACLE = {
     # streaming and whole jobs
     "incremental_silver": ctes(*STREAMED) + "SELECT * FROM late UNION ALL SELECT * FROM early e "
                                             "WHERE NOT EXISTS (SELECT 1 FROM late l WHERE l.source = e.source AND l.url = e.url)",
+    "silver_local_crawls": ctes(
+        DATED, *[part for name, condition in (("early", f"batch_date < '{BATCH}'"), ("late", f"batch_date >= '{BATCH}'")) for part in (
+            (f"{name}_raw", f"SELECT * FROM listings WHERE {condition}"), *posted(f"{name}_raw", f"{name}_p"), best(f"{name}_p", "url", name))]
+    ) + "SELECT url, title, salary_raw, max_salary, location_std FROM (SELECT * FROM late UNION ALL SELECT * FROM early "
+        "WHERE url NOT IN (SELECT url FROM late WHERE url IS NOT NULL)) WHERE url IS NOT NULL",
+    "distinct_sketches": ctes(DATED, ("days", "SELECT DISTINCT batch_date FROM listings")) + (
+        "SELECT d.batch_date, count(*) AS row_count, count(DISTINCT url) AS urls, count(DISTINCT company) AS companies, "
+        "count(DISTINCT (source, url)) FILTER (WHERE url IS NOT NULL) AS jobs, true AS urls_close, true AS companies_close, true AS jobs_close "
+        "FROM days d JOIN listings l ON l.batch_date <= d.batch_date GROUP BY d.batch_date"
+    ),
     "incremental_quarantine": ctes(RAW) + (
         "SELECT source, concat_ws(',', CASE WHEN title IS NULL THEN 'title_missing' END, CASE WHEN url IS NULL THEN 'url_missing' END, "
         "CASE WHEN NOT regexp_matches(url, '^https?://') THEN 'url_not_http' END) AS reasons, count(*) AS n "
@@ -756,3 +766,10 @@ ORACLE = {
     "bronze_validate": ctes(RAW) + f"SELECT CASE WHEN coalesce({CLEAN}, false) THEN 'clean' ELSE 'dirty' END AS verdict, {LISTING} FROM listings",
     "bronze_rule_results": ctes(RAW) + union(*SUITE),
 }
+
+# the same results by other ways: through folders, buckets and footers
+ORACLE |= {
+    "latest_report_partition": ORACLE["latest_report_rows"],
+    "keyed_upsert_buckets": ORACLE["keyed_upsert"],
+    "table_inventory_footers": ORACLE["table_inventory"],
+}

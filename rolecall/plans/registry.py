@@ -7,7 +7,7 @@ folder below the session's shared directory and read it back.
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rolecall.functions import batch as batches
 from rolecall.functions import display, pages, salary, text
@@ -15,9 +15,9 @@ from rolecall.functions.location import with_location
 from rolecall.functions.skills import SKILLS
 from rolecall.operators import dedupe, filters, payload, quality, schema, upsert
 from rolecall.sources import cards, readers, sinks
-from rolecall.storage import shared_dir
+from rolecall.storage import names_in, shared_dir
 
-from . import jobs, marts, serving
+from . import jobs, marts, serving, sketches
 from .listings import listings
 
 REPORT_DATE = "2026-09-30"
@@ -194,17 +194,8 @@ def _card_pages(spark, sf):
 
 @query
 def html_listing_extract(spark, sf):
-    listing_pages = _card_pages(spark, sf)
-    parts = [
-        cards.html_listing_extract(
-            listing_pages.filter(F.col("source") == name).withColumnsRenamed(
-                {"source": "page_source", "crawl_order": "page_order", "crawl_line": "page_line"}
-            ),
-            cards.CARD_PROFILES[name], keep=("page_source", "page_order", "page_line"),
-        )
-        for name in SOURCES
-    ]
-    out = parts[0].unionByName(parts[1])
+    listing_pages = _card_pages(spark, sf).withColumnsRenamed({"source": "page_source", "crawl_order": "page_order", "crawl_line": "page_line"})
+    out = cards.html_listing_extract(listing_pages, cards.CARD_PROFILES, keep=("page_source", "page_order", "page_line"), site="page_source")
     return out.withColumn("tags", F.to_json("tags"))
 
 
@@ -306,6 +297,18 @@ def keyed_upsert_table(spark, sf):
     return spark.read.parquet(path).select(*columns)
 
 
+@query
+def keyed_upsert_buckets(spark, sf):
+    """The same in a keyed table of 16 buckets. What changes nothing writes nothing."""
+    path = shared_dir(spark, "orders")
+    orders, update = _order_update(spark, sf)
+    options = {"keep_columns": ["o_orderstatus"], "buckets": 16, "only_changed": True}
+    sinks.upsert_keyed(orders, path, ["o_orderkey"], **options)
+    sinks.upsert_keyed(update, path, ["o_orderkey"], **options)
+    assert sinks.upsert_keyed(update, path, ["o_orderkey"], **options) == 0
+    return sinks.read_keyed(spark, path)
+
+
 @query
 def insert_only_merge(spark, sf):
     return upsert.insert_only_merge(*_order_update(spark, sf), ["o_orderkey"])
@@ -455,6 +458,15 @@ def latest_report_rows(spark, sf):
     return serving.latest_rows(many_days(spark, sf)).select("title", "url", "salary_raw", "report_date")
 
 
+@query
+def latest_report_partition(spark, sf):
+    """The same from a stored table: the date by its folders, then one folder's scan."""
+    path = shared_dir(spark, "days")
+    rows = many_days(spark, sf).select("title", "url", "salary_raw", "report_date")
+    sinks.replace_batches(rows, path, ("report_date",))
+    return serving.latest_partition(spark, path, schema=rows.schema)
+
+
 def _checksums(spark, sf):
     """Checksums of all event batches; stored ones of an older state of them."""
     events = table(spark, sf, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "props")
@@ -485,6 +497,31 @@ def count_distinct(spark, sf):
     return listings(spark, sf).agg(*[F.count_distinct(c).alias(f"n_{c}") for c in ("url", "company", "source", "location")])
 
 
+@query
+def distinct_sketches(spark, sf):
+    """Distinct counts from the first batch up to each other: exact ones, and whether
+    those of the stored sketches are as close as they must be."""
+    path, rows = shared_dir(spark, "sketches"), dated(spark, sf)
+    wanted = {"urls": ("url",), "companies": ("company",), "jobs": ("source", "url")}
+    for _ in range(2):  # a rerun changes nothing
+        sketches.write_sketches(sketches.batch_sketches(rows, wanted), path)
+    batches_ = sorted(n.split("=")[1] for n in names_in(spark, path) if n.startswith("batch_date="))
+    estimates = union_all([
+        sketches.distinct_in_range(spark, path, list(wanted), batches_[0], last).withColumn("batch_date", F.lit(last)) for last in batches_
+    ]).withColumnsRenamed({n: f"_{n}" for n in wanted})
+    exact = None
+    for name, columns in wanted.items():
+        # a value counts from its first batch on
+        first = rows.select(sketches.key_of(*columns).alias("v"), "batch_date").where("v is not null").groupBy("v").agg(F.min("batch_date").alias("b"))
+        counted = first.groupBy(F.col("b").alias("batch_date")).agg(F.count(F.lit(1)).alias(name))
+        exact = counted if exact is None else exact.join(counted, "batch_date", "full")
+    upto = Window.orderBy("batch_date")  # one row a batch
+    joined = estimates.join(exact, "batch_date", "left")
+    running = joined.select("batch_date", "row_count", *[f"_{n}" for n in wanted], *[F.sum(F.coalesce(n, F.lit(0))).over(upto).alias(n) for n in wanted])
+    close = [(F.abs(F.col(f"_{n}") - F.col(n)) <= sketches.most_off(F.col(n))).alias(f"{n}_close") for n in wanted]
+    return running.select("batch_date", "row_count", *wanted, *close)
+
+
 @query
 def count_distinct_pair(spark, sf):
     return listings(spark, sf).groupBy("keyword").agg(F.count_distinct("source", "url").alias("pairs"))
@@ -682,6 +719,12 @@ def table_inventory(spark, sf):
     return counted.withColumn("table_name", F.replace("table_name", F.lit(prefix), F.lit("")))
 
 
+@query
+def table_inventory_footers(spark, sf):
+    """The given tables, counted from their files' footers."""
+    return readers.footer_counts(spark, {name: f"{sf}/{name}.parquet" for name in TABLES})
+
+
 @query
 def top_lineitems(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
@@ -808,7 +851,7 @@ def ascii_fold(spark, sf):
 
 @query
 def ascii_fold_compat(spark, sf):
-    """Full compatibility folding, through Arrow; on Latin text equal to the default."""
+    """Full compatibility folding of every text."""
     documents = table(spark, sf, "documents")
     folded = documents.withColumn("folded", text.ascii_fold(F.col("text"), compat=True))
     return folded.select("doc_id", F.md5("folded").alias("folded_md5"), F.length("folded").alias("chars"))
@@ -1219,6 +1262,18 @@ def silver_local(spark, sf):
     return jobs.local_silver(listings(spark, sf))
 
 
+@query
+def silver_local_crawls(spark, sf):
+    """The local Silver job by crawls: the rows of each later batch are merged into the
+    table as it stands, into the buckets of their urls."""
+    base = shared_dir(spark, "lake")
+    early = F.col("batch_date") < BATCH
+    for day, part in (("1", dated(spark, sf).filter(early)), ("2", dated(spark, sf).filter(~early))):
+        sinks.append_partitioned(part.drop("batch_date", "crawl_order", "crawl_line"), f"{base}/bronze", crawled_date=day)
+        jobs.run_local_silver(spark, f"{base}/bronze", f"{base}/silver", crawled_date=day, buckets=8)
+    return spark.read.parquet(f"{base}/silver").filter(F.col("url").isNotNull()).select("url", "title", "salary_raw", "max_salary", "location_std")
+
+
 @query
 def silver_local_table(spark, sf):
     """The local Silver job over a stored Bronze, run twice, read back from its table."""

@@ -1,8 +1,11 @@
 """Queries that chat and dashboard clients ask of the marts."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rolecall.operators.quality import one_row
+from rolecall.storage import names_in
 
 
 def latest_rows(df: DataFrame, date: str = "report_date") -> DataFrame:
@@ -12,6 +15,18 @@ def latest_rows(df: DataFrame, date: str = "report_date") -> DataFrame:
     )
 
 
+def latest_partition(spark: SparkSession, path: str, date: str = "report_date", schema=None) -> DataFrame | None:
+    """Rows of the latest date of a table whose folders are ``<date>=...``; None when it
+    has none. The date is the greatest folder name, so no row is read to find it, and the
+    scan is pruned to its folder by a literal filter. Dates must sort as texts (ISO)."""
+    days = [unquote(n.split("=", 1)[1]) for n in names_in(spark, path) if n.startswith(f"{date}=")]
+    known = [d for d in days if d != "__HIVE_DEFAULT_PARTITION__"]
+    if not known:
+        return None
+    rows = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    return rows.filter(F.col(date) == F.lit(max(known)).cast(rows.schema[date].dataType))
+
+
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """First ``n`` rows of a total order: every column breaks remaining ties.
     Planned as take-ordered, so each task sends ``n`` rows."""

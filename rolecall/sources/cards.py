@@ -1,8 +1,12 @@
 """Listings from the cards of crawled HTML pages."""
 
-import pandas as pd
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from rolecall.functions.compute import add_once
 from rolecall.functions.pages import (
@@ -10,10 +14,10 @@ from rolecall.functions.pages import (
 )
 from rolecall.functions.text import BLANK, ordered_unique_tags, strip_blank
 
-from . import html_cards
+from . import card_tags
 
 # The page helper travels to executors inside the task, with no package install.
-cloudpickle.register_pickle_by_value(html_cards)
+cloudpickle.register_pickle_by_value(card_tags)
 
 # Selectors of the known sites' cards. A field lists readings,
 # ``selector`` for the text or ``selector @attribute``; the first non-empty counts.
@@ -51,50 +55,65 @@ _SINGLE = ("title", "url", "company", "location", "salary", "posted")
 _MULTIPLE = ("work_types", "tags")
 
 
-def _reading(text: str):
-    selector, _, attribute = text.partition(" @")
-    return html_cards.compile_selector(selector), attribute or None
-
-
-def read_page_cards(df: DataFrame, profile: dict, html: str = "html", keep=("page_id", "url")) -> DataFrame:
+def read_page_cards(df: DataFrame, profile: dict, html: str = "html", keep=("page_id", "url"), site: str | None = None) -> DataFrame:
     """One row per card with the fields as found; kept page columns get ``page_``
-    in front unless they have it. Pages are parsed where they are read."""
-    cards = [html_cards.compile_selector(c) for c in profile["cards"]]
-    single = {n: [_reading(r) for r in profile.get(n, [])] for n in _SINGLE}
-    multiple = {n: html_cards.compile_selector(profile[n]) for n in _MULTIPLE if n in profile}
-    schema = ", ".join([f"{n} string" for n in _SINGLE] + [f"{n} array<string>" for n in _MULTIPLE])
-    read_cards = html_cards.read_cards
-
-    @F.pandas_udf(f"array<struct<{schema.replace(' ', ':').replace(',:', ',')}>>")
-    def page_cards(pages: pd.Series) -> pd.Series:
-        blank = {"work_types": [], "tags": []}
-        return pages.map(lambda page: [{**blank, **card} for card in read_cards(page, cards, single, multiple)])
+    in front unless they have it.
 
+    With ``site``, ``profile`` is a mapping of sites to profiles, and each page is read by
+    that of the site in this (kept) column; pages of other sites have no cards. All pages
+    are scanned once, in Arrow batches, where they are read.
+    """
+    profiles = {None: profile} if site is None else profile
     names = {c: c if c.startswith("page_") else f"page_{c}" for c in keep}
-    kept = [F.col(c).alias(name) for c, name in names.items()]
-    return df.select(*kept, F.explode(page_cards(F.col(html))).alias("_card")).select(*names.values(), "_card.*")
+    number = F.lit(0) if site is None else reduce(
+        lambda chain, x: chain.when(F.col(site) == x[1], x[0]), list(enumerate(profiles))[1:], F.when(F.col(site) == list(profiles)[0], 0)
+    ).otherwise(-1)
+    source = df.select(*[F.col(c).alias(n) for c, n in names.items()], number.alias("_site"), F.col(html).alias("_html"))
+    compiled = [card_tags.compile_profile(p, _SINGLE, _MULTIPLE) for p in profiles.values()]
+    single, multiple, read_cards, kept = _SINGLE, _MULTIPLE, card_tags.read_cards, list(names.values())
+
+    # Nested, so that executors receive it by value.
+    def cards(batches):
+        for batch in batches:
+            row, _, fields = read_cards(batch["_html"], np.asarray(batch["_site"]), compiled, single, multiple)
+            columns = [batch[c].take(pa.array(row)) for c in kept]
+            columns += [pa.array(fields[n], pa.string()) for n in single] + [pa.array(fields[n], pa.list_(pa.string())) for n in multiple]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *single, *multiple])
+
+    schema = StructType([source.schema[c] for c in kept])
+    for n in _SINGLE:
+        schema = schema.add(n, "string")
+    for n in _MULTIPLE:
+        schema = schema.add(n, ArrayType(StringType()))
+    return source.mapInArrow(cards, schema)
 
 
 def html_listing_extract(
-    df: DataFrame, profile: dict, html: str = "html", keep=("page_id", "url"), keyword: str | None = None
+    df: DataFrame, profile: dict, html: str = "html", keep=("page_id", "url"), keyword: str | None = None, site: str | None = None
 ) -> DataFrame:
-    """Listing records of crawled pages; a card without a title gives none."""
+    """Listing records of crawled pages; a card without a title gives none. ``site`` and
+    ``profile`` are those of ``read_page_cards``."""
+    profiles = {None: profile} if site is None else profile
     collapse = lambda c: strip_blank(F.regexp_replace(F.coalesce(c, F.lit("")), f"{BLANK}+", " "))
-    found = read_page_cards(df, profile, html, keep).filter(strip_blank(F.col("title")) != "")
-    if "work_type" in profile:
-        work_type = F.lit(profile["work_type"])
-    else:
-        work_type = F.coalesce(F.get(F.filter("work_types", lambda t: t.isin(*WORK_TYPES)), F.lit(0)), F.lit(""))
+
+    def by_site(value) -> Column:
+        if site is None:
+            return value(profile)
+        named = site if site.startswith("page_") else f"page_{site}"
+        return F.coalesce(*[F.when(F.col(named) == name, value(p)) for name, p in profiles.items()])
+
+    found = read_page_cards(df, profile, html, keep, site).filter(strip_blank(F.col("title")) != "")
+    listed = F.coalesce(F.get(F.filter("work_types", lambda t: t.isin(*WORK_TYPES)), F.lit(0)), F.lit(""))
     page_columns = [c for c in found.columns if c.startswith("page_")]
     return found.select(
         *page_columns,
-        F.lit(keyword or profile.get("keyword")).alias("keyword"),
+        by_site(lambda p: F.lit(keyword or p.get("keyword")).cast("string")).alias("keyword"),
         strip_blank(F.col("title")).alias("title"),
-        canonical_url(F.coalesce("url", F.lit("")), profile.get("host")).alias("url"),
+        by_site(lambda p: canonical_url(F.coalesce("url", F.lit("")), p.get("host"))).alias("url"),
         collapse(F.col("company")).alias("company"),
         collapse(F.col("location")).alias("location"),
-        work_type.alias("work_type"),
-        salary_placeholder(F.col("salary"), profile["salary_missing"], profile.get("sign_in"), True).alias("salary"),
+        by_site(lambda p: F.lit(p["work_type"]) if "work_type" in p else listed).alias("work_type"),
+        by_site(lambda p: salary_placeholder(F.col("salary"), p["salary_missing"], p.get("sign_in"), True)).alias("salary"),
         ordered_unique_tags(F.col("tags")).alias("tags"),
         collapse(F.col("posted")).alias("posted"),
     )

@@ -1,5 +1,8 @@
 """Scans of raw JSON, Parquet, batches, catalog tables and landed files."""
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -78,6 +81,24 @@ def landed_files(spark: SparkSession, path: str, suffix: str = ".json") -> DataF
     )
 
 
+def landed_metadata(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
+    """Path, length and modification time of the same files; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.filter(F.lower("path").endswith(suffix)).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def landed_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, length, modified, content_hash, content) of these files, read once. Files that
+    vanish or break while they are read, or whose content is not as long as listed, are left
+    out; one that is gone before is an error."""
+    plain = [re.sub(r"([\\{}\[\]*?,])", r"\\\1", p) for p in paths]  # names are not patterns
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    whole = F.octet_length("content") == F.col("length")
+    return reader.load(plain).filter(whole).select(
+        "path", "length", F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("content_hash"), "content"
+    )
+
+
 def changed_objects(current: DataFrame, manifest: DataFrame, key: str = "path", content_hash: str = "content_hash") -> DataFrame:
     """Objects that are new, or whose content differs from the manifest's."""
     seen = manifest.select(key, content_hash)
@@ -94,20 +115,45 @@ def landing_summary(current: DataFrame, manifest: DataFrame, key: str = "path",
     )
 
 
+def footer_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Name and row count of Parquet tables by path. The counts are pushed into the scan
+    and answered by the files' footers; no row group is read.
+
+    Only Spark's newer Parquet source takes aggregates; it is chosen in a session of its
+    own, which shares everything but these settings.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    parts = [
+        own.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, path in sorted(paths.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _parquet_location(spark: SparkSession, table: str) -> str | None:
+    """Where a catalog table's Parquet files are; None for views and other formats."""
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return said.get("Location") if said.get("Provider", "").lower() == "parquet" else None
+
+
 def table_inventory(spark: SparkSession, namespace: str | None = None, prefix: str = "") -> DataFrame:
-    """Name and row count of each table of a namespace; one plan, one pass each."""
+    """Name and row count of each table of a namespace, in one plan. Parquet tables are
+    counted from their footers, views and others in a pass each."""
     names = [
         t.name for t in spark.catalog.listTables(namespace)
         if t.name.startswith(prefix) and not (namespace and t.isTemporary)
     ]
     if not names:
         return spark.createDataFrame([], "table_name string, row_count bigint")
+    full = {n: f"{namespace}.{n}" if namespace else n for n in sorted(names)}
+    places = {n: _parquet_location(spark, table) for n, table in full.items()}
+    stored = {n: path for n, path in places.items() if path is not None}
     parts = [
-        spark.table(f"{namespace}.{n}" if namespace else n)
-        .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n in sorted(names)
+        spark.table(full[n]).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        for n in full if n not in stored
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    if stored:
+        parts.append(footer_counts(spark, stored))
+    return reduce(DataFrame.unionByName, parts)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolecall.operators.quality import require_rows
 from rolecall.operators.upsert import insert_only, upsert
-from rolecall.storage import drop_dir, shared_dir
+from rolecall.storage import drop_dir, has_path, move_into, names_in, put_mark, shared_dir
 
 
 def append_partitioned(df: DataFrame, path: str, partition_by=("source",), crawled_date: str | None = None) -> None:
@@ -95,14 +95,28 @@ def _swap_name(path: str) -> str:
     return f"{path.rstrip('/')}._merged"
 
 
+#: Stands in a folder of merged rows once they are all written.
+MERGED_MARK = "_MERGED"
+
+
+def write_merged(merged: DataFrame, path: str, partition_by: list[str], rebalance: bool = True) -> None:
+    """Merged rows, whole and marked as such, beside the table that they will replace
+    partitions of. What an earlier, unmarked attempt left is no result and goes."""
+    spark, beside = merged.sparkSession, _swap_name(path)
+    rows = merged.hint("rebalance", *partition_by) if rebalance else merged
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(beside)
+    put_mark(spark, f"{beside}/{MERGED_MARK}")
+
+
 def finish_swap(spark: SparkSession, path: str, partition_by: list[str], schema=None) -> bool:
-    """Publish merged partitions that a lost job left complete beside the table. The
-    ``_SUCCESS`` file of the merged rows is the commit marker: with it, replacing is
-    repeated until it is through; without it, the rows are no result and are dropped."""
+    """Publish merged rows that stand complete beside the table, as the last step of an
+    upsert or as what a lost job left to do. Their mark tells that they are: with it,
+    replacing is repeated until it is through; without it, they are dropped. True when
+    rows were published."""
     merged = _swap_name(path)
-    if not path_exists(spark, merged):
+    if not has_path(spark, merged):
         return False
-    whole = path_exists(spark, f"{merged}/_SUCCESS")
+    whole = has_path(spark, f"{merged}/{MERGED_MARK}")
     if whole:
         # with a schema, folder names are not guessed to be numbers or dates
         rows = (spark.read.schema(schema) if schema is not None else spark.read).parquet(merged)
@@ -111,6 +125,12 @@ def finish_swap(spark: SparkSession, path: str, partition_by: list[str], schema=
     return whole
 
 
+def publish_merged(spark: SparkSession, path: str, publish) -> None:
+    """The last step of a write: ``publish()`` must have published the merged rows."""
+    if not publish():
+        raise RuntimeError(f"MERGED_ROWS_NOT_PUBLISHED: {path}")
+
+
 def upsert_into(
     source: DataFrame, path: str, keys: list[str], partition_by: list[str], keep_columns: list[str] = (),
     partitions: list[tuple] | None = None,
@@ -124,7 +144,8 @@ def upsert_into(
     then pruned to them by a literal filter. The source is staged, since the merge reads
     it more than once. Merged rows are written whole beside the table before they
     replace its partitions, so a job lost in between loses nothing: the next run, or
-    ``finish_swap``, publishes them first.
+    ``finish_swap``, publishes them first. Rows that were merged and then not published
+    are an error, never a success.
     """
     stray = [c for c in partition_by if c not in keys and c not in keep_columns]
     if stray:
@@ -153,13 +174,125 @@ def upsert_into(
                 on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_by])
                 target = target.join(touched, on, "left_semi").select(*source.columns)
             merged = upsert(target, source, keys, keep_columns)
-        merged.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(_swap_name(path))
-        finish_swap(spark, path, partition_by, source.schema)
+        write_merged(merged, path, partition_by)
+        publish_merged(spark, path, lambda: finish_swap(spark, path, partition_by, source.schema))
     finally:
         drop_dir(spark, staged)
     return True
 
 
+#: A keyed table has its number of buckets in the name of their column.
+BUCKET = "bucket_of_"
+
+
+def bucket_of(keys: list[str], buckets: int):
+    """The bucket of a row: equal keys share one; rows with a NULL key are dealt by the
+    keys that are there."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def buckets_of(spark: SparkSession, path: str) -> int | None:
+    """How many buckets a keyed table has; None when it is not there."""
+    found = {int(n[len(BUCKET) :].split("=")[0]) for n in names_in(spark, path) if n.startswith(BUCKET)}
+    if len(found) > 1:
+        raise ValueError(f"{path} mixes numbers of buckets: {sorted(found)}")
+    return found.pop() if found else None
+
+
+def finish_buckets(spark: SparkSession, path: str) -> bool:
+    """As ``finish_swap``, for a keyed table: whole bucket folders are moved, so merged
+    rows are written once. A bucket that was moved is gone from the merged rows, so
+    going on after a loss moves the others."""
+    merged = _swap_name(path)
+    if not has_path(spark, merged):
+        return False
+    whole = has_path(spark, f"{merged}/{MERGED_MARK}")
+    if whole:
+        for name in names_in(spark, merged):
+            if name.startswith(BUCKET):
+                move_into(spark, f"{merged}/{name}", path)
+    drop_dir(spark, merged)
+    return whole
+
+
+def read_keyed(spark: SparkSession, path: str, schema=None, buckets: list[int] | None = None) -> DataFrame:
+    """The rows of a keyed table without their bucket column, or those of some buckets: a
+    literal filter on the folders, so others are not opened."""
+    column = f"{BUCKET}{buckets_of(spark, path)}"
+    rows = (spark.read.schema(f"{_ddl(schema)}, {column} int") if schema is not None else spark.read).parquet(path)
+    return (rows if buckets is None else rows.filter(F.col(column).isin(*buckets))).drop(column)
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def upsert_keyed(
+    source: DataFrame, path: str, keys: list[str], keep_columns: list[str] = (), partition_by: list[str] = (),
+    buckets: int = 32, only_changed: bool = False,
+) -> int | None:
+    """Upsert into a keyed table: Parquet folders by a hash of the keys (then by
+    ``partition_by``). Returns how many buckets were written; None for an empty source.
+
+    Only the buckets that the source's keys fall into are read, merged and written: the
+    target's scan is pruned to them by a literal filter, and their folders, written once
+    beside the table, replace those of the table. So ten keys cost ten buckets at most,
+    however large the table is; choose ``buckets`` (fixed when the table is made) so that
+    one holds about as much as a few tasks can sort. Any column but the keys may change,
+    and rows may move between folders of ``partition_by`` within their bucket unless the
+    column is kept.
+
+    ``only_changed`` leaves out source rows that the table holds already with equal
+    values, so a rerun writes nothing. The source is staged; the bucket numbers (at most
+    ``buckets``) come to the driver. A lost job is finished by the next run, as with
+    ``upsert_into``.
+    """
+    spark, schema = source.sparkSession, source.schema
+    folders = []
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        folders.append(shared_dir(spark, name))
+        df.write.parquet(folders[-1])
+        return spark.read.schema(schema).parquet(folders[-1])
+
+    try:
+        source = stored(source, "upsert")
+        finish_buckets(spark, path)
+        known = buckets_of(spark, path)
+        number = known or buckets
+        of_key = bucket_of(keys, number)
+        given = _touched(source, of_key) if only_changed else None
+        if known is not None and given:
+            held = read_keyed(spark, path, schema, given)
+            source = stored(_changed(source, held, keys, keep_columns), "changed")
+        touched = _touched(source, of_key)
+        if not touched:
+            return 0 if given else None
+        merged = source
+        if known is not None:
+            target = read_keyed(spark, path, schema, touched).select(*source.columns)
+            merged = upsert(target, source, keys, keep_columns)
+        column = f"{BUCKET}{number}"
+        write_merged(merged.withColumn(column, of_key), path, [column, *partition_by])
+        publish_merged(spark, path, lambda: finish_buckets(spark, path))
+        return len(touched)
+    finally:
+        for folder in folders:
+            drop_dir(spark, folder)
+
+
+def _touched(source: DataFrame, of_key) -> list[int]:
+    return sorted(r[0] for r in source.select(of_key.alias("b")).distinct().collect())
+
+
+def _changed(source: DataFrame, target: DataFrame, keys: list[str], keep_columns) -> DataFrame:
+    """Source rows without an equal row in the target; kept columns are not compared."""
+    compared = [c for c in source.columns if c not in keep_columns]
+    held = target.select(*[F.col(c).alias(f"_t_{c}") for c in compared])
+    on = [F.col(k) == F.col(f"_t_{k}") for k in keys] + [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in compared if c not in keys]
+    return source.join(held, reduce(lambda a, b: a & b, on), "left_anti")
+
+
 def insert_only_into(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
     """Append the source rows whose key the table does not hold yet."""
     spark = source.sparkSession

@@ -21,7 +21,42 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _at(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def drop_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate files that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    files, where = _at(spark, path)
+    files.delete(where, True)
+
+
+def put_mark(spark: SparkSession, path: str) -> None:
+    """An empty file. Committers may leave out their ``_SUCCESS`` file; a mark of our
+    own says that what stands beside it is whole."""
+    files, where = _at(spark, path)
+    files.create(where, True).close()
+
+
+def has_path(spark: SparkSession, path: str) -> bool:
+    files, where = _at(spark, path)
+    return files.exists(where)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of the entries of a folder; none when it is not there."""
+    files, where = _at(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
+def move_into(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file or folder to ``folder``, in place of an entry of the same name. Run
+    again after a loss, it goes on: the entry to move is only gone once it has moved."""
+    files, where = _at(spark, path)
+    _, base = _at(spark, folder)
+    target = spark._jvm.org.apache.hadoop.fs.Path(base, where.getName())
+    files.mkdirs(base)
+    files.delete(target, True)
+    if not files.rename(where, target):
+        raise OSError(f"cannot move {path} into {folder}")
