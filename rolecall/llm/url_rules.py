@@ -7,6 +7,7 @@ with enough confidence become rules. Each rule is posted under its rarest token;
 meets the rules of its tokens and follows the most confident one that holds.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -88,7 +89,7 @@ def mine_rules(
     total = rows.count()
     if not total:
         return none
-    least = max(least_rows, least_support * total)
+    least = math.ceil(max(least_rows, least_support * total))
     # tokens with the same rows: equal numbers and equal sums of row hashes
     row = F.xxhash64("tokens", "label").cast("decimal(38,0)")
     counted = rows.select(F.explode("tokens").alias("token"), row.alias("row")).groupBy("token").agg(
@@ -100,7 +101,7 @@ def mine_rules(
         return none
     frequent = F.array(*[F.lit(t) for t in sorted(number)])
     baskets = rows.select(F.concat(F.array_intersect("tokens", frequent), F.array(F.concat(F.lit("label:"), F.col("label")))).alias("items"))
-    mined = FPGrowth(itemsCol="items", minSupport=min(1.0, least / total), minConfidence=least_confidence).fit(baskets)
+    mined = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / total), minConfidence=least_confidence).fit(baskets)
     named = [f"label:{x}" for x in labels]
     found = mined.associationRules.where(F.col("consequent")[0].isin(*named) & ~F.arrays_overlap("antecedent", F.array(*[F.lit(x) for x in named])))
     count = F.create_map(*[x for t in sorted(number) for x in (F.lit(t), F.lit(number[t]))])
