@@ -85,16 +85,22 @@ def run_landing(
     fresh = stage(found.join(known.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti"), "fresh")
     files, candidates = found.count(), fresh.count()
     blocks = -(-candidates // files_at_once)
-    copied = same = 0
+    copied, same, failed = 0, 0, []
     for block in range(blocks):
         names = [r["path"] for r in fresh.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == block).select("path").collect()]
-        new, old = _land(spark, names, known, store_path, manifest_path)
+        new, old = _land(spark, names, known, store_path, manifest_path, failed)
         copied, same = copied + new, same + old
     counts = (copied, files - candidates + same, candidates - copied - same)
     return spark.createDataFrame([counts], "copied bigint, skipped bigint, failed bigint")
 
 
-def _land(spark: SparkSession, names: list[str], known: DataFrame, store_path: str, manifest_path: str) -> tuple[int, int]:
+#: Files that fail one by one before a run stops: then it is not the files.
+MOST_UNREADABLE = 100
+
+
+def _land(
+    spark: SparkSession, names: list[str], known: DataFrame, store_path: str, manifest_path: str, failed: list[str],
+) -> tuple[int, int]:
     """Copies these files; (copied, unchanged). Where the block as a whole fails, its
     halves are tried, down to the file that cannot be read."""
     if not names:
@@ -105,15 +111,20 @@ def _land(spark: SparkSession, names: list[str], known: DataFrame, store_path: s
         held = known.join(own, "path", "left_semi").select("path", "content_hash").distinct().withColumn("_held", F.lit(True))
         read = landed_contents(spark, names).join(stage(held, "held"), ["path", "content_hash"], "left")
         is_new = F.col("_held").isNull()
-        read.drop("_held").withColumns({"is_new": is_new, "content": F.when(is_new, F.col("content"))}).write.partitionBy("is_new").parquet(f"{run}/files")
+        read.withColumns({"is_new": is_new, "content": F.when(is_new, F.col("content"))}).drop("_held").write.partitionBy("is_new").parquet(f"{run}/files")
         noted = spark.read.schema(f"{MANIFEST}, is_new boolean").parquet(f"{run}/files")
         noted.select(*[c.split()[0] for c in MANIFEST.split(", ")]).write.parquet(f"{run}/noted")
         counts = noted.groupBy("is_new").count().collect()
-    except (PySparkException, Py4JJavaError):
+    except (PySparkException, Py4JJavaError) as error:
+        if isinstance(error, AnalysisException) and error.getCondition() != "PATH_NOT_FOUND":
+            raise
         drop_dir(spark, run)
         if len(names) == 1:
+            failed += names
+            if len(failed) > MOST_UNREADABLE:
+                raise
             return 0, 0
-        halves = [_land(spark, part, known, store_path, manifest_path) for part in (names[::2], names[1::2])]
+        halves = [_land(spark, part, known, store_path, manifest_path, failed) for part in (names[::2], names[1::2])]
         return halves[0][0] + halves[1][0], halves[0][1] + halves[1][1]
     for folder, target in (("files/is_new=true", store_path), ("noted", manifest_path)):
         for name in names_in(spark, f"{run}/{folder}"):

@@ -26,6 +26,7 @@ UNSEEN = ("script", "style")
 _PART = re.compile(r"^([\w-]+)|\.([\w-]+)|\[([\w-]+)(?:(\*?=)['\"]?([^'\"\]]*)['\"]?)?\]")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _TAG = re.compile(rb"<(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+>")
+_OPEN_VALUE = re.compile(rb"=[^\s\"'>]+/>\Z")  # the slash belongs to a value without quotes
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _NAME_END = np.zeros(256, bool)
@@ -85,11 +86,11 @@ class Tags:
     @staticmethod
     def of(data: np.ndarray, offsets: np.ndarray) -> "Tags":
         raw = data.tobytes()
-        start, stop, opens, closes = _markup(data, raw, offsets)
+        start, stop, own, opens, closes = _markup(data, raw, offsets)
         tag = np.flatnonzero(opens | closes)
         first = start[tag] + 1 + closes[tag]
         stops = np.flatnonzero(_NAME_END[data])
-        name_end = np.minimum(stops[np.minimum(np.searchsorted(stops, first), max(len(stops) - 1, 0))], stop[tag]) if len(tag) else first
+        name_end = np.minimum(stops[np.minimum(np.searchsorted(stops, first), max(len(stops) - 1, 0))], own[tag]) if len(tag) else first
         name = pc.dictionary_encode(_texts(data, first, name_end))
         lowered = [n.decode("utf-8", "replace").lower() for n in name.dictionary.to_pylist()]
         known = {n: i for i, n in enumerate(dict.fromkeys(lowered))}
@@ -97,14 +98,15 @@ class Tags:
         page = np.searchsorted(offsets, start[tag], "right") - 1
         empty = np.isin(name, [known[n] for n in VOID if n in known])
         opening = opens[tag]
-        alone = opening & (empty | (data[np.maximum(stop[tag] - 2, 0)] == 47))  # void, or closed at once
-        alone[alone] = empty[alone] | (stop[tag][alone] - 2 >= name_end[alone])
+        alone = opening & (empty | (data[np.maximum(own[tag] - 2, 0)] == 47))  # void, or closed at once
+        for i in np.flatnonzero(alone & ~empty):
+            alone[i] = not _OPEN_VALUE.search(raw, int(first[i]), int(own[tag[i]]))
         seen = opening | ~empty  # closing tags of void elements say nothing
         close_at = _close(tag, page, name, opening, alone, seen, [known[n] for n in ENDED_BY_NEXT if n in known], start, offsets)
         element = np.flatnonzero(opening)
         begin, end = stop[tag[element]], close_at[element]
         after = np.searchsorted(start[tag[element]], np.maximum(end, begin))
-        texts = pc.dictionary_encode(_texts(data, first[element], stop[tag[element]] - 1))
+        texts = pc.dictionary_encode(_texts(data, first[element], own[tag[element]] - 1))
         attributes, names = [], []
         for text in texts.dictionary.to_pylist():
             text = text.decode("utf-8", "replace")
@@ -167,8 +169,9 @@ class Tags:
 
 
 def _markup(data: np.ndarray, raw: bytes, offsets: np.ndarray):
-    """(start, stop, opens, closes) of tags, comments, declarations, and the content of
-    scripts and styles, which is not shown and holds no tags."""
+    """(start, stop, own, opens, closes) of tags, comments and declarations; ``stop`` of a
+    script or style takes its content along, which is not shown and holds no tags, while
+    ``own`` is where the tag itself ends."""
     less = np.flatnonzero(data == 60)
     after = np.append(data, [0, 0]).astype(np.int64)
     second = after[less + 1]
@@ -187,7 +190,7 @@ def _markup(data: np.ndarray, raw: bytes, offsets: np.ndarray):
         quotes.append(np.searchsorted(at, stop) - np.searchsorted(at, less))
     unsure = opens & ((quotes[0] % 2 == 1) | (quotes[1] % 2 == 1) | (quotes[0] > 0) & (quotes[1] > 0))
     hidden = opens & np.isin((after[less + 1] | 32) * 256 + (after[less + 2] | 32), [ord(n[0]) * 256 + ord(n[1]) for n in UNSEEN])
-    at = 0
+    at, own = 0, stop.copy()
     for i in np.flatnonzero(unsure | hidden | other).tolist():
         first, last = int(less[i]), int(page_end[i])
         if first < at or stop[i] > last:  # inside the one before, or open at the end of its page
@@ -195,7 +198,7 @@ def _markup(data: np.ndarray, raw: bytes, offsets: np.ndarray):
             continue
         if unsure[i]:
             whole = _TAG.match(raw, first, last)
-            stop[i] = whole.end() if whole else last + 1
+            own[i] = stop[i] = whole.end() if whole else last + 1
         if hidden[i] and stop[i] <= last:
             stop[i] = _unseen_to(raw, first, int(stop[i]), last)
         elif other[i] and raw.startswith(b"<!--", first):
@@ -203,7 +206,7 @@ def _markup(data: np.ndarray, raw: bytes, offsets: np.ndarray):
             stop[i] = found + 3 if found >= 0 else last
         at = int(stop[i])
     whole = (stop <= page_end) & (stop > less)  # what is open at the end of a page is text
-    less, stop, opens, closes = less[whole], stop[whole], opens[whole], closes[whole]
+    less, stop, own, opens, closes = less[whole], stop[whole], own[whole], opens[whole], closes[whole]
     # markup that begins inside other markup is none
     reach = np.maximum.accumulate(np.concatenate([[0], stop]))[:-1] if len(stop) else stop
     if (less < reach).any():
@@ -211,8 +214,8 @@ def _markup(data: np.ndarray, raw: bytes, offsets: np.ndarray):
         for i in range(len(less)):
             if less[i] >= at:
                 good[i], at = True, stop[i]
-        less, stop, opens, closes = less[good], stop[good], opens[good], closes[good]
-    return less, stop, opens, closes
+        less, stop, own, opens, closes = less[good], stop[good], own[good], opens[good], closes[good]
+    return less, stop, own, opens, closes
 
 
 def _unseen_to(raw: bytes, first: int, stop: int, last: int) -> int:

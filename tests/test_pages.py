@@ -1,9 +1,17 @@
 """Page outcomes and card extraction."""
 
+import random
+import re
+import time
+
+import numpy as np
+import plain_cards
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from rolecall.functions import pages
-from rolecall.sources import cards
+from rolecall.sources import card_tags, cards
 
 BASE = {"status": 200, "url": "https://jobs.example.test/list", "title": "", "body": "", "cards": 0, "links": 0}
 CASES = [
@@ -95,3 +103,71 @@ def test_classify_pages(spark):
     df = spark.createDataFrame([(1, "u", html), (2, "u", calm)], "page_id int, url string, html string")
     out = cards.classify_pages(df, "class=.job", "<a href").orderBy("page_id").select("card_count", "link_count", "outcome").collect()
     assert [tuple(r) for r in out] == [(0, 1, "anti_bot_challenge"), (0, 1, "selector_drift")]
+
+
+# ---- cards of many pages against a tree of each page -----------------------
+
+MARKUP = [
+    '<div class="job-card">', "</div>", "<p>", "</p>", "<li>", "</li>", "<ul>", "</ul>", '<h3 data-url="/a?b&amp;c">', "</h3>", "<h3 data-url>",
+    "<br>", "<br/>", "</br>", '<img src="x>y">', "<div/>", "text &amp; more", "  \n ", '<span class="ims-2">', '<a href="q">', "</a>", "</span>",
+    "<script>var x=\"<div class='job-card'>\";</script>", "<style>p{}</style>", '<!-- <div class="job-card"> -->', "<!DOCTYPE html>",
+    '<div title="Hà > Nội" class="x text-truncate">', "<div class=salary>", "a < b", "<div title='it\"s' class='text-nowrap'>",
+    '<DIV CLASS="job_content">', "é日本", '<div class="job-item-search-result">', '<h3 class="title">', '<label class="title-salary">', "</label>",
+    '<a title="L\'x" href="/z">', "<td>", "<tr>", "</table>", "<table>", '<a data-responsive-tag-list-target="tag">', "</section>", "<?php x ?>", "<a href=/z/>", "<b/>", "<i x=\"1\"/>",
+]
+
+
+def by_trees(page, profile):
+    def reading(text):
+        css, _, attribute = text.partition(" @")
+        return plain_cards.compile_selector(css), attribute or None
+
+    single = {n: [reading(r) for r in profile.get(n, [])] for n in cards._SINGLE}
+    multiple = {n: plain_cards.compile_selector(profile[n]) for n in cards._MULTIPLE if n in profile}
+    found = plain_cards.read_cards(page, [plain_cards.compile_selector(c) for c in profile["cards"]], single, multiple)
+    return [{"work_types": [], "tags": []} | card for card in found]
+
+
+def by_offsets(pages, sites):
+    profiles = [card_tags.compile_profile(p, cards._SINGLE, cards._MULTIPLE) for p in cards.CARD_PROFILES.values()]
+    row, _, fields = card_tags.read_cards(pa.array(pages, pa.string()), np.array(sites), profiles, cards._SINGLE, cards._MULTIPLE)
+    out = [[] for _ in pages]
+    for k, r in enumerate(row.tolist()):
+        out[r].append({n: values[k] for n, values in fields.items()})
+    return out
+
+
+@pytest.mark.parametrize("step", [200, 1 << 20])
+def test_cards_by_offsets_as_by_trees(monkeypatch, step):
+    monkeypatch.setattr(card_tags, "STEP_BYTES", step)
+    rng, profiles = random.Random(step), list(cards.CARD_PROFILES.values())
+    pages = [FIRST_SITE, SECOND_SITE, None, "", "no markup"]
+    for _ in range(1500):
+        parts = re.split("(<[^>]*>)", rng.choice(["", FIRST_SITE, SECOND_SITE]))
+        for _ in range(rng.randrange(1, 25)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(MARKUP))
+        pages.append("".join(parts))
+    sites = [rng.choice([0, 1, 0, 1, -1]) for _ in pages]
+    found = by_offsets(pages, sites)
+    assert sum(map(len, found)) > 1000
+    for page, site, got in zip(pages, sites, found, strict=True):
+        assert got == (by_trees(page, profiles[site]) if site >= 0 else []), page
+
+
+@pytest.mark.parametrize("piece", ['<a"', "<a ", "<!--", "<script>", "<p>", "<div><p></div>", "<div>", "</span>", '<b c="', "<"])
+def test_odd_pages_take_linear_time(piece):
+    begin = time.perf_counter()
+    by_offsets(["<div>" * 1000 + piece * (400_000 // len(piece)), FIRST_SITE], [0, 0])
+    assert time.perf_counter() - begin < 10
+
+
+def test_both_sites_in_one_scan(spark, tmp_path):
+    rows = [(1, "itviec", FIRST_SITE), (2, "topcv", SECOND_SITE), (3, "other", FIRST_SITE), (4, None, FIRST_SITE), (5, "topcv", None)]
+    spark.createDataFrame(rows, "page_id int, page_source string, html string").write.parquet(f"{tmp_path}/pages")
+    out = cards.html_listing_extract(spark.read.parquet(f"{tmp_path}/pages"), cards.CARD_PROFILES, keep=("page_id", "page_source"), site="page_source")
+    found = sorted((r.page_id, r.title, r.keyword, r.work_type, r.salary) for r in out.collect())
+    assert found == [
+        (1, "Data Engineer", None, "Hybrid", "Login to view"), (1, "Other", None, "", "Negotiable"),
+        (2, "Kỹ sư", "data", "At office", "20 - 30 triệu"), (2, "Plain", "data", "At office", "Thoả thuận"),
+    ]
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -1,6 +1,7 @@
 """Batch dates, payload contracts, key scans and checksums."""
 
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -138,3 +139,57 @@ def test_numbers_out_of_range_differ(spark):
     sums = [payload.batch_checksum(spark.createDataFrame([("b", j)], "b string, j string"), "j", ["b"]).first().checksum
             for j in ('{"a": 1e400}', '{"a": 2e400}', '{"a": "Infinity"}', '{"a":1}', '{ "a": 1 }')]
     assert len(set(sums)) == 4 and sums[3] == sums[4]
+
+
+def first_path_of(text):
+    """Where the first sensitive key stands, from a parsed text walked in order."""
+
+    def walk(path, value):
+        if isinstance(value, tuple):
+            for key, below in value[0]:
+                if any(f in key.lower().replace("-", "_") for f in payload.SENSITIVE_KEY_FRAGMENTS):
+                    return f"{path}.{key}"
+                found = walk(f"{path}.{key}", below)
+                if found:
+                    return found
+        elif isinstance(value, list):
+            for n, below in enumerate(value):
+                found = walk(f"{path}[{n}]", below)
+                if found:
+                    return found
+        return None
+
+    return walk("$", json.loads(text, object_pairs_hook=lambda pairs: (pairs,)))
+
+
+def test_paths_as_walked(spark):
+    rng = random.Random(3)
+    keys = ["a", "b c", "x.y", "Pass-word", "password", "COOKIES", "q\"uote", "Session-Token", "é", "k"]
+
+    def value(depth):
+        kind = rng.randrange(7 if depth else 4)
+        if kind < 4:
+            return rng.choice([1, -2.5, None, True, "", "password", 'say "cookie": {', "[1,{", "\\", "end\\"])
+        if kind == 4:
+            return [value(depth - 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(keys): value(depth - 1) for _ in range(rng.randrange(4))}
+
+    texts = [json.dumps(value(5), indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5) for _ in range(400)]
+    texts += ['{"a":1,"a":{"password":1}}', "[[[[{}]],[[{\"cookie\":[]}]]]]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    hits = payload.sensitive_key_scan(df, "t", with_path=True)
+    assert "Python" not in hits._jdf.queryExecution().executedPlan().toString()
+    found = {r.i: r.key_path for r in hits.collect()}
+    assert found == {i: p for i, p in ((i, first_path_of(t)) for i, t in enumerate(texts)) if p}
+    assert len(found) > 50
+    broken = spark.createDataFrame([(0, '{"cookie": 1'), (1, '{"cookie": 1} x'), (2, '{"cookie": 1}, {"a": 2}'), (3, '1] , ["cookie"')], "i int, t string")
+    assert {r.key_path for r in payload.sensitive_key_scan(broken, "t", with_path=True).collect()} == {None}
+
+
+def test_one_parse_per_record(spark, tmp_path):
+    spark.createDataFrame([('{"a":1}',)], "j string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for one in (payload.payload_contract(df.withColumn("b", F.lit("b")), "j", ["b"]), df.select(payload.record_verdict(F.col("j")))):
+        plan = one._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1
+        assert not any(w in plan for w in ("json_array_length", "lengthOfJsonArray", "json_object_keys", "jsonObjectKeys"))

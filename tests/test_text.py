@@ -84,3 +84,24 @@ def test_display(spark):
     df = spark.createDataFrame([(1000.0, 2000.0, "USD"), (1000.0, None, "USD"), (5.0, 5.0, "VND"), (None, 3e6, None)], "a double, b double, c string")
     shown = [r[0] for r in df.select(display.salary_range_display(F.col("a"), F.col("b"), F.col("c"))).collect()]
     assert shown == ["1,000 - 2,000 USD", "Từ 1,000 USD", "Từ 5 VND", "0 - 3,000,000 VND"]
+
+
+def test_every_character_folds_without_python(spark):
+    every = [chr(c) for c in range(1, 0x110000) if unicodedata.category(chr(c)) not in ("Cs", "Cn", "Co")]
+    values = ["x" + "y".join(every[i : i + 50]) + "x" for i in range(0, len(every), 50)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").orderBy("i")
+    for folded in (df.select("v", text.ascii_fold(F.col("v")).alias("f")), df.select("v", text.ascii_fold(F.col("v"), compat=True).alias("f"))):
+        assert "Python" not in folded._jdf.queryExecution().executedPlan().toString()
+    wrong = [r for r in folded.collect() if r.f != expected_fold(r.v)]
+    # Java knows fewer capitals of recent Unicode versions: a letter may keep its case, nothing else
+    assert all(r.f.lower() == expected_fold(r.v) for r in wrong) and len(wrong) < 40
+    assert apply(spark, ["한국어 각 ﬁ ½ ㍿ ﷺ"], text.ascii_fold) == [expected_fold("한국어 각 ﬁ ½ ㍿ ﷺ")]
+
+
+def test_parsing_and_locations_need_no_python(spark):
+    from rolecall.functions.location import with_location
+    from rolecall.functions.salary import with_salary
+
+    df = spark.createDataFrame([("½ triệu", "Ｈà Nội")], "salary string, location string")
+    plan = with_location(with_salary(df), dialect="folded")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
