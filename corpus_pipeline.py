@@ -42,7 +42,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pieces of the tokenised documents with their place in sequences of 4096 ids."""
     pieces = packing.token_pieces(docs, TOKENIZER)
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack_pieces(stage(digests, "pieces"))
+    return packing.pack_pieces(digests)
 
 
 STAGES = [

@@ -41,7 +41,7 @@ def _shingles(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
 @dataclass
 class Item:
     item_id: int
-    parts: list[tuple[int, np.ndarray]]  # shingle width and shingles of question and answer
+    parts: list[tuple[int, np.ndarray]]  # shingle width and shingles of question and answer, or of the whole
 
 
 @dataclass
@@ -72,8 +72,8 @@ class Index:
             of = hashes[a:z]
             asked = text.encode().rfind(b"?")
             cut = int(np.searchsorted(words.start[a:z], int(offsets[i]) + asked)) if asked >= 0 else 0
-            cut = cut if 0 < cut < len(of) else len(of) - max(1, len(of) // 4)
-            parts = [p for p in (of[:cut], of[cut:]) if len(p)]
+            # without a question before an answer the whole item is one part
+            parts = [of[:cut], of[cut:]] if 0 < cut < len(of) else [of]
             items.append(Item(item_id, [(min(WIDTH, len(p)), _shingles(p)) for p in parts]))
             rows.append(np.unique(of, return_counts=True))
             lengths.append(len(of))
@@ -86,12 +86,12 @@ class Index:
         idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
         length = np.array(lengths, float)
         impact = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * (length / length.mean())[owner]))
-        for i in range(len(items)):
-            own = owner == i
-            missing = int((1 - SHARE) * sum(len(s) for _, s in items[i].parts) + 1e-9) + 1
-            weights = np.sort(impact[own])
+        begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in rows])]).tolist()
+        for item, a, z in zip(items, begin[:-1], begin[1:], strict=True):  # an item's postings stand together here
+            missing = int((1 - SHARE) * sum(len(s) for _, s in item.parts) + 1e-9) + 1
+            weights = np.sort(impact[a:z])
             left = weights[: max(1, len(weights) - missing)].sum() if len(weights) > missing else weights[:1].sum()
-            impact[own] /= left
+            impact[a:z] /= left
         order = np.lexsort([owner, term])
         first = np.concatenate([[0], np.cumsum(df)])
         return Index(items, terms, first, owner[order], impact[order], max(64, int(2.5 * max(lengths)) // 2 * 2))
@@ -242,8 +242,9 @@ def benchmark_hits(
     items that a text contains.
 
     An item counts when one window of the text holds 0.8 of the five-word shingles of
-    its question and 0.8 of those of its answer (what follows its last question mark,
-    else its last quarter); a part of fewer words is one shingle. ``score`` is the
+    its question and 0.8 of those of its answer (what follows its last question mark);
+    an item without both counts by 0.8 of all its shingles, which ``question`` and
+    ``answer`` both show then. A part of fewer words is one shingle. ``score`` is the
     scaled BM25 score, the words are those of the best window. Items without words and
     with a null id are left out; null and empty texts contain none; equal items count each.
 

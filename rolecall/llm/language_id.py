@@ -7,12 +7,14 @@ learnt by expectation maximisation with the same sums, and words are scored many
 time; a Python worker scores a word once and finds it by a 64-bit hash from then on.
 """
 
-import re
+from collections import deque
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -21,12 +23,14 @@ from rolecall.llm import sketches, wordbytes
 from rolecall.llm.tokens import WordTable
 from rolecall.sources.sinks import stage
 
-#: Longer runs of letters are scored in parts of this many letters.
-LONGEST = 48
 #: Probability of a letter that no piece covers.
 STRANGE = 1e-6
+#: Letters after which sums are scaled, so that words of any length stay within floats.
+SCALE = 16
 _START = "▁"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters are the characters of the Unicode category L, in training and prediction alike.
+LETTERS = r"\p{L}+"
+_LETTERS = regex.compile(LETTERS)
 _BREAK = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 _PRIME = 0x9E3779B97F4A7C15
 
@@ -37,13 +41,13 @@ class Vocabulary:
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-        kept = {p.lower() for p in pieces if p.strip(_START).isalpha() or p == _START}
-        self.pieces = sorted((p for p in kept if _START not in p[1:] and len(p) <= LONGEST), key=lambda p: (len(p), p))
+        kept = {p.lower() for p in pieces if _LETTERS.fullmatch(p.strip(_START)) or p == _START}
+        self.pieces = sorted((p for p in kept if _START not in p[1:]), key=lambda p: (len(p), p))
         self.longest = len(self.pieces[-1])
         self.table = WordTable(bits=int(2 * len(self.pieces) + 2).bit_length())
         for length, group in groupby(self.pieces, key=len):
             group = list(group)
-            self.table.add(_hash(_codes(group))[:, 0, length], self.table.size)
+            self.table.add(Spans(group).hashes([0], length)[:, 0], self.table.size)
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -51,75 +55,109 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.array(words, f"<U{len(words[0])}").view(np.uint32).reshape(len(words), -1)
 
 
-def _hash(codes: np.ndarray) -> np.ndarray:
-    """[word, start, end] -> hash of the letters from start to end; not 0."""
-    n, length = codes.shape
-    powers, back = wordbytes.powers(_PRIME, length)
-    sums = np.zeros((n, length + 1), np.uint64)
-    np.cumsum(wordbytes.mix(codes.astype(np.uint64) + np.uint64(_PRIME)) * powers[:-1], axis=1, out=sums[:, 1:])
-    return np.maximum(wordbytes.mix((sums[:, None, :] - sums[:, :, None]) * back[None, :, None]), np.uint64(1))
+class Spans:
+    """Hashes of the letters between two places of words of one length."""
+
+    def __init__(self, words: list[str]):
+        codes = _codes(words)
+        self.powers, self.back = wordbytes.powers(_PRIME, codes.shape[1])
+        self.sums = np.zeros((len(words), codes.shape[1] + 1), np.uint64)
+        np.cumsum(wordbytes.mix(codes.astype(np.uint64) + np.uint64(_PRIME)) * self.powers[:-1], axis=1, out=self.sums[:, 1:])
+
+    def hashes(self, starts, end: int) -> np.ndarray:
+        """(word, start); not 0."""
+        starts = np.asarray(starts)
+        return np.maximum(wordbytes.mix((self.sums[:, [end]] - self.sums[:, starts]) * self.back[starts]), np.uint64(1))
+
+    def hashes_from(self, start: int, ends: np.ndarray) -> np.ndarray:
+        """(word, end); not 0."""
+        return np.maximum(wordbytes.mix((self.sums[:, ends] - self.sums[:, [start]]) * self.back[start]), np.uint64(1))
 
 
-@dataclass
 class Lattice:
-    """All pieces in some words of one length: (start, end) -> words and their pieces."""
-
-    n: int
-    length: int
-    at: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]
-
-    @staticmethod
-    def of(words: list[str], vocabulary: Vocabulary) -> "Lattice":
-        hashes = _hash(_codes(words))
-        length, at = len(words[0]), {}
-        for end in range(1, length + 1):
-            for start in range(max(0, end - vocabulary.longest), end):
-                piece = vocabulary.table.find(hashes[:, start, end])
-                known = np.flatnonzero(piece >= 0)
-                if len(known):
-                    at[start, end] = known, piece[known]
-        return Lattice(len(words), length, at)
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """[end][word, language]: probability of the letters before ``end``."""
-        alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
-        alpha[0] = 1
+    """All segmentations of some words of one length. Pieces are looked up as the sums
+    go on, so nothing grows with the square of a word."""
+
+    def __init__(self, words: list[str], vocabulary: Vocabulary):
+        self.spans, self.vocabulary = Spans(words), vocabulary
+        self.n, self.length = len(words), len(words[0])
+
+    def ending(self, end: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(start, words, their pieces) of the pieces that end at ``end``."""
+        starts = np.arange(max(0, end - self.vocabulary.longest), end)
+        found = self.vocabulary.table.find(self.spans.hashes(starts, end).ravel()).reshape(self.n, -1)
+        for start, piece in zip(starts.tolist(), found.T, strict=True):
+            known = np.flatnonzero(piece >= 0)
+            if len(known):
+                yield start, known, piece[known]
+
+    def log_total(self, p: np.ndarray) -> np.ndarray:
+        """(word, language): log of the sum over all segmentations."""
+        window = deque([np.ones((self.n, p.shape[1]))], maxlen=self.vocabulary.longest + 1)
+        log = np.zeros((self.n, p.shape[1]))
+        for end in range(1, self.length + 1):
+            here = window[-1] * STRANGE
+            for start, rows, piece in self.ending(end):
+                here[rows] += window[start - end][rows] * p[piece]
+            window.append(here)
+            log = log + _rescaled(window, end)
+        return log + np.log(window[-1])
+
+    def starting(self, start: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(end, words, their pieces) of the pieces that start at ``start``."""
+        ends = np.arange(start + 1, min(self.length, start + self.vocabulary.longest) + 1)
+        found = self.vocabulary.table.find(self.spans.hashes_from(start, ends).ravel()).reshape(self.n, -1)
+        for end, piece in zip(ends.tolist(), found.T, strict=True):
+            known = np.flatnonzero(piece >= 0)
+            if len(known):
+                yield end, known, piece[known]
+
+    def expected(self, p: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(words, pieces, expected numbers) of all pieces, each word in its ``own`` language.
+        The sums up to every place are kept with their scales; those from a place on roll."""
+        before, up = np.ones((self.length + 1, self.n)), np.zeros((self.length + 1, self.n))
+        window, scale = deque([before[0].copy()], maxlen=self.vocabulary.longest + 1), np.zeros(self.n)
         for end in range(1, self.length + 1):
-            alpha[end] = alpha[end - 1] * STRANGE
-            for start in range(end):
-                if (start, end) in self.at:
-                    rows, piece = self.at[start, end]
-                    alpha[end, rows] += alpha[start, rows] * p[piece]
-        return alpha
-
-    def backward(self, p: np.ndarray) -> np.ndarray:
-        beta = np.zeros((self.length + 1, self.n, p.shape[1]))
-        beta[-1] = 1
+            here = window[-1] * STRANGE
+            for start, rows, piece in self.ending(end):
+                here[rows] += window[start - end][rows] * p[piece, own[rows]]
+            window.append(here)
+            scale = scale + _rescaled(window, end)
+            before[end], up[end] = here, scale
+        total, top = before[-1], up[-1]
+        window, scale = deque([np.ones(self.n)], maxlen=self.vocabulary.longest + 1), np.zeros(self.n)
         for start in range(self.length - 1, -1, -1):
-            beta[start] = beta[start + 1] * STRANGE
-            for end in range(start + 1, self.length + 1):
-                if (start, end) in self.at:
-                    rows, piece = self.at[start, end]
-                    beta[start, rows] += beta[end, rows] * p[piece]
-        return beta
-
-
-def _by_length(words: list[str], at_once: int = 20_000):
+            here = window[-1] * STRANGE
+            for end, rows, piece in self.starting(start):
+                later = window[start - end][rows] * p[piece, own[rows]]
+                here[rows] += later
+                yield rows, piece, before[start, rows] * later * np.exp(up[start, rows] + scale[rows] - top[rows]) / total[rows]
+            window.append(here)
+            scale = scale + _rescaled(window, self.length - start)
+
+
+def _rescaled(window: deque, step: int):
+    """Every ``SCALE`` steps divides the window's sums by the greatest; the log of that."""
+    if step % SCALE:
+        return 0.0
+    most = np.max(window, axis=0)
+    for sums in window:
+        sums /= most
+    return np.log(most)
+
+
+def _by_length(words: list[str], letters: int = 160_000):
     """(indices, words) of one length each; the word start stands before every word."""
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         groups.setdefault(len(w), []).append(i)
     for length, indices in sorted(groups.items()):
-        step = max(1, at_once * 8 // (length + 1) ** 2 * 8)
+        step = max(1, letters // (length + 1))
         for k in range(0, len(indices), step):
             part = indices[k : k + step]
             yield part, [_START + words[i] for i in part]
 
 
-def _parts(word: str) -> list[str]:
-    return [run[k : k + LONGEST] for run in _LETTERS.findall(word) for k in range(0, len(run), LONGEST)]
-
-
 class Scorer:
     """Log probabilities of words in each language, remembered in a table of bounded size."""
 
@@ -137,11 +175,11 @@ class Scorer:
     def of(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.p.shape[1]))
         for rows, group in _by_length(words):
-            out[rows] = np.log(Lattice.of(group, self.vocabulary).forward(self.p)[-1])
+            out[rows] = Lattice(group, self.vocabulary).log_total(self.p)
         return out
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        parts = [_parts(w.lower()) for w in words]
+        parts = [_LETTERS.findall(w.lower()) for w in words]
         flat = self.of([p for ps in parts for p in ps])
         ends = np.concatenate([[0], np.cumsum([len(ps) for ps in parts])])
         sums = np.concatenate([np.zeros((1, self.p.shape[1])), np.cumsum(flat, axis=0)])
@@ -211,7 +249,7 @@ def train(
         return Model([], np.zeros((len(Vocabulary(vocabulary).pieces), 0)), vocabulary)
     limit = F.create_map(*[x for language in languages for x in (F.lit(language), F.lit(bounds[language]))])[F.col("lang")]
     number = F.create_map(*[x for i, language in enumerate(languages) for x in (F.lit(language), F.lit(i))])[F.col("lang")]
-    runs = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
+    runs = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(LETTERS), F.lit(0))
     words = stage(
         labelled.where(F.col("h") <= limit).select(number.alias("l"), F.explode(runs).alias("word"))
         .groupBy("l", "word").agg(F.count(F.lit(1)).alias("n")), "words",
@@ -223,20 +261,15 @@ def train(
 
         def expect(batch, array):
             voc, p, counts = _vocabulary(vocabulary), shared.value, array[: size * len(languages)].reshape(size, -1)
-            parts = [(x, l, n) for w, l, n in zip(batch["word"].to_pylist(), batch["l"].to_pylist(), batch["n"].to_pylist(), strict=True) for x in _parts(w)]
-            of, many = np.array([l for _, l, _ in parts], np.int64), np.array([n for *_, n in parts], float)
-            for rows, group in _by_length([x for x, _, _ in parts]):
-                lattice, l, n = Lattice.of(group, voc), of[rows], many[rows]
+            of, many = np.asarray(batch["l"]).astype(np.int64), np.asarray(batch["n"]).astype(float)
+            for rows, group in _by_length(batch["word"].to_pylist()):
+                lattice, l, n = Lattice(group, voc), of[rows], many[rows]
                 if p is None:  # at first every piece found in a word counts alike
-                    for found, piece in lattice.at.values():
-                        np.add.at(counts, (piece, l[found]), n[found])
-                    continue
-                alpha, beta = lattice.forward(p), lattice.backward(p)
-                each = np.arange(len(group))
-                alpha, beta = alpha[:, each, l], beta[:, each, l]
-                scale = n / alpha[-1]
-                for (start, end), (found, piece) in lattice.at.items():
-                    np.add.at(counts, (piece, l[found]), alpha[start, found] * beta[end, found] * p[piece, l[found]] * scale[found])
+                    found = ((known, piece, 1.0) for end in range(1, lattice.length + 1) for _, known, piece in lattice.ending(end))
+                else:
+                    found = lattice.expected(p, l)
+                for known, piece, expected in found:
+                    np.add.at(counts, (piece, l[known]), expected * n[known])
 
         return sketches.add_up(words, expect, size * len(languages), np.float64).reshape(size, -1)
 

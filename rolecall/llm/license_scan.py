@@ -1,10 +1,13 @@
-"""License notices: exact phrases, and an exact set-similarity join of lines with templates.
-
-DataFrame functions only. The join keeps every line that holds ``share`` of a template's
-distinct words. Words are ordered by how many lines of the corpus hold them, rarest
-first; a line that holds enough of a template holds one of its first words (prefix
-filter), has enough words (length filter), and from the first word that it holds on
-enough words are left in the template (positional filter). What passes is counted.
+"""License notices: exact phrases, and an exact set-similarity join of text blocks with templates.
+
+DataFrame functions only. A text block is a window of words, wherever lines end: for
+templates of up to n words (n is 8, 32, 128, ...) the windows of 2 n words that begin at
+every n-th word, so any n words in a row stand in one of them. The join keeps every
+block that holds ``share`` of a template's distinct words. Words are ordered by how many
+documents of the corpus hold them, rarest first; a block that holds enough of a template
+holds one of its first words (prefix filter), has enough words (length filter), and from
+the first word that it holds on enough words are left in the template (positional
+filter). What passes is counted.
 """
 
 import math
@@ -33,7 +36,61 @@ TEMPLATES = (
     ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    # whole notices
+    ("apache-2.0", """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
+        required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+        "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+        specific language governing permissions and limitations under the License."""),
+    ("mit", """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation
+        the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
+        to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
+        copyright notice and this permission notice shall be included in all copies or substantial portions of the
+        Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT
+        SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION
+        OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+        DEALINGS IN THE SOFTWARE."""),
+    ("isc", """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE
+        IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+        INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
+        IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE."""),
+    ("bsd", """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+        of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided
+        with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+        OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+        PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY
+        DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+        PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+        CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("gpl-3.0", """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+        even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
+        License for more details. You should have received a copy of the GNU General Public License along with this
+        program. If not, see https://www.gnu.org/licenses/."""),
+    ("mpl-2.0", """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("unlicense", """
+        This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
+        use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
+        purpose, commercial or non-commercial, and by any means."""),
 )
+#: Words of the shortest class of templates; each next class has four times as many.
+SHORTEST = 8
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -62,45 +119,67 @@ def phrase_places(words: str, phrases=PHRASES) -> Column:
     return F.when(second, found).otherwise(F.array().cast("array<struct<at:int,label:string>>"))
 
 
-def template_matches(df: DataFrame, keys: list[str], text: str, templates=TEMPLATES, share: float = 0.8) -> DataFrame:
-    """(keys, line, label, containment) of every line with ``share`` of a template's
-    distinct words or more; lines are split at \\n and numbered from 0.
+def _class_of(words: int) -> int:
+    size = SHORTEST
+    while size < words:
+        size *= 4
+    return size
+
 
-    The texts are read twice: to count the lines of each template word (one number per
-    word comes to the driver), and to join. Templates are a bounded parameter.
+def template_matches(df: DataFrame, keys: list[str], text: str, templates=TEMPLATES, share: float = 0.8) -> DataFrame:
+    """(keys, size, block, label, containment) of every text block with ``share`` of a
+    template's distinct words or more: the window of 2 ``size`` words from word
+    ``block * size`` on, where ``size`` is the least of 8, 32, 128, ... that is no less than
+    the template's words.
+
+    The texts are read twice: to count the documents of each template word (one number
+    per word comes to the driver), and to join; texts without one of the first words
+    are not cut into blocks. Templates are a bounded parameter.
     """
-    sets = [(label, list(dict.fromkeys(_plain_words(body)))) for label, body in templates]
-    sets = [(label, words) for label, words in sets if words]
+    sets = [(label, _plain_words(body)) for label, body in templates]
+    sets = [(label, _class_of(len(words)), list(dict.fromkeys(words))) for label, words in sets if words]
     if not sets:
-        return df.select(*keys, F.lit(0).alias("line"), F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
-    vocabulary = sorted({w for _, words in sets for w in words})
-    literal = lambda words: F.array(*[F.lit(w) for w in words])
-    need = [max(1, math.ceil(share * len(words) - 1e-9)) for _, words in sets]
-    lines = df.select(*keys, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "_text"))
-    known = add_once(lines, {"_known": F.array_intersect(F.array_distinct(words_of(F.col("_text"))), literal(vocabulary))})
-    known = known.select(*keys, "line", "_known")
-
-    counts = known.select(F.explode("_known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
+        return df.select(*keys, F.lit(0).alias("size"), F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("containment")).limit(0)
+    literal = lambda words: F.array(*[F.lit(w) for w in sorted(words)])
+    need = [max(1, math.ceil(share * len(words) - 1e-9)) for *_, words in sets]
+
+    every = literal({w for *_, words in sets for w in words})
+    counts = df.select(F.explode(F.array_intersect(words_of(F.col(text)), every)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
     number = {r["word"]: r["n"] for r in counts}
-    ordered = [sorted(words, key=lambda w: (number.get(w, 0), w)) for _, words in sets]
+    ordered = [sorted(words, key=lambda w: (number.get(w, 0), w)) for *_, words in sets]
     index = [
-        (word, label, place, least, words)
-        for (label, _), words, least in zip(sets, ordered, need, strict=True)
+        (word, size, label, place, least, words)
+        for (label, size, _), words, least in zip(sets, ordered, need, strict=True)
         for place, word in enumerate(words[: len(words) - least + 1])
     ]
-    prefixes = df.sparkSession.createDataFrame(index, "_word string, label string, _place int, _need int, _words array<string>")
-    first = literal(sorted({word for word, *_ in index}))
-    entries = known.where(F.size("_known") >= min(need)).select(
-        *keys, "line", "_known", F.explode(F.array_intersect("_known", first)).alias("_word")
-    )
-    pairs = entries.join(prefixes, "_word").where(
+    sizes = sorted({size for _, size, _ in sets})
+    first = {size: {word for word, of, *_ in index if of == size} for size in sizes}
+    held = {size: {w for _, of, words in sets if of == size for w in words} for size in sizes}
+
+    worded = add_once(df.select(*keys, F.col(text).alias("_text")), {"_w": words_of(F.col("_text"))}).drop("_text")
+    worded = worded.where(F.arrays_overlap("_w", literal(set().union(*first.values()))))
+
+    def blocks(size: int):
+        places = F.filter(F.transform("_w", lambda w, i: F.when(w.isin(*sorted(first[size])), i)), lambda i: i.isNotNull())
+        numbers = F.transform(places, lambda i: F.floor(i / size).cast("int"))
+        numbers = F.array_distinct(F.concat(numbers, F.filter(F.transform(numbers, lambda k: k - 1), lambda k: k >= 0)))
+        return F.transform(numbers, lambda k: F.struct(
+            F.lit(size).alias("size"), k.alias("block"), F.array_intersect(F.slice("_w", k * size + 1, F.lit(2 * size)), literal(held[size])).alias("known")
+        ))
+
+    cut = worded.select(*keys, F.explode(F.concat(*[blocks(size) for size in sizes])).alias("_b"))
+    known = add_once(cut, {"size": F.col("_b.size"), "block": F.col("_b.block"), "_known": F.col("_b.known")}).drop("_b")
+    prefixes = df.sparkSession.createDataFrame(index, "_word string, size int, label string, _place int, _need int, _words array<string>")
+    every_first = literal(set().union(*first.values()))
+    entries = known.select(*keys, "size", "block", "_known", F.explode(F.array_intersect("_known", every_first)).alias("_word"))
+    pairs = entries.join(prefixes, ["_word", "size"]).where(
         (F.size("_known") >= F.col("_need"))
         & (F.size("_words") - F.col("_place") >= F.col("_need"))
-        # a pair is counted at the template's first word that the line holds
+        # a pair is counted at the template's first word that the block holds
         & (F.size(F.array_intersect("_known", F.slice("_words", F.lit(1), F.col("_place")))) == 0)
     )
     same = F.size(F.array_intersect("_known", "_words"))
-    return pairs.where(same >= F.col("_need")).select(*keys, "line", "label", (same / F.size("_words")).alias("containment"))
+    return pairs.where(same >= F.col("_need")).select(*keys, "size", "block", "label", (same / F.size("_words")).alias("containment"))
 
 
 def license_scan(

@@ -192,13 +192,14 @@ def _and_none(items):
 
 
 def _meet_long(named: DataFrame, percent: int) -> DataFrame:
-    """The same for shingles that may be in very many sets: minima are taken map-side,
-    and a join, which can be split within one shingle, takes them back to the sets."""
+    """The same for shingles that may be in very many sets: minima are taken map-side and
+    stored, so that the join which takes them back to the sets can be split within one
+    shingle (an aggregate on the join's own keys would leave nothing to split)."""
     lists = lambda rows, *key: rows.groupBy(*key).agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
     band = F.floor(F.log("n") / _band(percent))
     entries = named.select("node", "n", F.explode("long").alias("token"))
     banded = entries.select("token", "node", F.explode(F.array(band, band + 1)).alias("band"))
-    return banded.join(lists(banded, "token", "band"), ["token", "band"]).select("lead", "node")
+    return banded.join(stage(lists(banded, "token", "band"), "lists"), ["token", "band"]).select("lead", "node")
 
 
 def _search(blocks: DataFrame, width: int, percent: int, lower: bool) -> DataFrame:

@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from rolecall.llm.license_scan import TEMPLATES
+
 ORACLE: dict[str, str] = {}
 
 _LINE_PASSES = r"""(w = 0 OR NOT (
@@ -14,85 +16,76 @@ _LINE_PASSES = r"""(w = 0 OR NOT (
 
 ORACLE["op7_quality_rules"] = rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
-), places AS (
-  SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) >= 3
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), split_words AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d
+), words AS (
+  SELECT r, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM split_words
+), threes AS (
+  SELECT r, i, w || ' ' || lead(w, 1) OVER of_text || ' ' || lead(w, 2) OVER of_text AS three FROM words WINDOW of_text AS (PARTITION BY r ORDER BY i)
 ), windows AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS c FROM places
+  SELECT r, i, count(*) OVER (PARTITION BY r, three) AS c FROM threes WHERE three IS NOT NULL
 ), repeated AS (
-  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE c > 1) GROUP BY doc_id
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE c > 1) GROUP BY r
 ), split_lines AS (
-  SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d
+  SELECT r, unnest(string_split(t, chr(10))) AS line FROM d
 ), lines AS (
-  SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w,
+  SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w,
     length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars FROM split_lines
 ), by_line AS (
-  SELECT doc_id, count(*) FILTER (w > 0) - count(DISTINCT line) FILTER (w > 0) AS n_dup_lines,
+  SELECT r, count(*) FILTER (w > 0) - count(DISTINCT line) FILTER (w > 0) AS n_dup_lines,
     coalesce(sum(chars) FILTER ({_LINE_PASSES}), 0)::BIGINT AS kept_chars
-  FROM lines GROUP BY doc_id
+  FROM lines GROUP BY r
 ), counts AS (
-  SELECT d.doc_id, len(ws)::BIGINT AS n_words,
+  SELECT doc_id, len(ws)::BIGINT AS n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-    n_dup_lines::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, kept_chars
-  FROM d JOIN by_line USING (doc_id) LEFT JOIN repeated r USING (doc_id)
+    n_dup_lines::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, kept_chars
+  FROM split_words JOIN by_line USING (r) LEFT JOIN repeated USING (r)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, kept_chars,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * kept_chars >= word_chars AS kept
 FROM counts"""
 
-_TEMPLATES = ", ".join(f"('{label}', '{body}')" for label, body in (
-    ("all-rights-reserved", "All rights reserved"),
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("apache-2.0", "You may not use this file except in compliance with the License"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("cc-by", "Licensed under CC BY 4.0"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-))
+# the templates are fixed values of the operator
+_TEMPLATES = ", ".join("('{}', '{}')".format(label, body.replace("'", "''")) for label, body in TEMPLATES)
 
 ORACLE["op10_license_scan"] = rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w,
-    string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS lines
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
   FROM documents
-), word_places AS (
-  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), words AS MATERIALIZED (
+  SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM d
+), followed AS (
+  SELECT r, i, word, lead(word, 1) OVER t AS w1, lead(word, 2) OVER t AS w2, lead(word, 3) OVER t AS w3 FROM words WINDOW t AS (PARTITION BY r ORDER BY i)
 ), places AS (
-  SELECT doc_id, i - 1 AS place, CASE
-    WHEN w[i:i + 3] = ['gnu', 'general', 'public', 'license'] THEN 'gpl' WHEN w[i:i + 1] = ['apache', 'license'] THEN 'apache'
-    WHEN w[i:i + 1] = ['cc', 'by'] THEN 'cc-by' WHEN w[i:i + 1] = ['mit', 'license'] THEN 'mit' END AS label
-  FROM word_places
+  SELECT r, i AS place, CASE
+    WHEN word = 'gnu' AND w1 = 'general' AND w2 = 'public' AND w3 = 'license' THEN 'gpl' WHEN word = 'apache' AND w1 = 'license' THEN 'apache'
+    WHEN word = 'cc' AND w1 = 'by' THEN 'cc-by' WHEN word = 'mit' AND w1 = 'license' THEN 'mit' END AS label
+  FROM followed
 ), base AS (
-  SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS z FROM places WHERE label IS NOT NULL GROUP BY doc_id
+  SELECT r, count(*) AS n, min(place) AS a, max(place) AS z FROM places WHERE label IS NOT NULL GROUP BY r
+), bodies AS (
+  SELECT row_number() OVER () AS t, label, regexp_extract_all(lower(body), '[a-z0-9]+') AS ws FROM (VALUES {_TEMPLATES}) AS v(label, body)
 ), templates AS (
-  SELECT row_number() OVER () AS t, label, list_distinct(regexp_extract_all(lower(body), '[a-z0-9]+')) AS words
-  FROM (VALUES {_TEMPLATES}) AS v(label, body)
+  SELECT t, label, list_distinct(ws) AS words, CASE WHEN len(ws) <= 8 THEN 8 WHEN len(ws) <= 32 THEN 32 WHEN len(ws) <= 128 THEN 128 ELSE 512 END AS size FROM bodies
 ), template_words AS (
-  SELECT t, label, len(words) AS size, unnest(words) AS word FROM templates
-), line_words AS (
-  SELECT DISTINCT doc_id, line, unnest(regexp_extract_all(x, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
-  FROM (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS line, unnest(lines) AS x FROM d)
+  SELECT t, label, size, len(words) AS n, unnest(words) AS word FROM templates
+), blocks AS (
+  SELECT DISTINCT r, t, label, n, word, unnest([i // size, i // size - 1]) AS block FROM words JOIN template_words USING (word)
 ), matches AS (
-  SELECT doc_id, label, count(*) / max(size) AS containment
-  FROM line_words JOIN template_words USING (word) GROUP BY doc_id, line, t, label HAVING count(*) >= 0.8 * max(size)
+  SELECT r, label, count(*) / max(n) AS containment FROM blocks WHERE block >= 0 GROUP BY r, t, label, block HAVING 5 * count(*) >= 4 * max(n)
 ), labels AS (
-  SELECT doc_id, string_agg(label, ',' ORDER BY label) FILTER (base) AS base_labels FROM (
-    SELECT DISTINCT doc_id, label, true AS base FROM places WHERE label IS NOT NULL) GROUP BY doc_id
+  SELECT r, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT r, label FROM places WHERE label IS NOT NULL) GROUP BY r
 ), all_labels AS (
-  SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (
-    SELECT doc_id, label FROM places WHERE label IS NOT NULL UNION SELECT doc_id, label FROM matches) GROUP BY doc_id
-), scores AS (SELECT doc_id, max(containment) AS score FROM matches GROUP BY doc_id)
-SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
+  SELECT r, string_agg(label, ',' ORDER BY label) AS labels FROM (
+    SELECT r, label FROM places WHERE label IS NOT NULL UNION SELECT r, label FROM matches) GROUP BY r
+), scores AS (SELECT r, max(containment) AS score FROM matches GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score
-FROM d LEFT JOIN base USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN all_labels USING (doc_id) LEFT JOIN scores USING (doc_id)"""
+FROM d LEFT JOIN base USING (r) LEFT JOIN labels USING (r) LEFT JOIN all_labels USING (r) LEFT JOIN scores USING (r)"""
 
 
 def _vector_codes(parts=8, entries=16, rounds=6):

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rolecall.llm import batches, tokens
+from rolecall.sources.sinks import stage
 
 
 def token_pieces(
@@ -145,22 +146,27 @@ def pack(sizes: np.ndarray, capacity: int, passes: int = 3) -> np.ndarray:
     return np.unique(owner, return_inverse=True)[1]
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 8192) -> DataFrame:
-    """Adds sequence_id and offset to pieces with a ``length`` of 1 to ``capacity``.
+def pack_pieces(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 8192, most_tasks: int = 20_000) -> DataFrame:
+    """Adds sequence_id and offset to pieces with a ``length`` of 1 to ``capacity``;
+    columns of these names are replaced.
 
-    ``pieces`` must be a stored table. Its rows are dealt to groups of about
-    ``group_pieces`` by row number, whatever they hold, and each group is packed in one
+    The rows are stored with a number each and dealt to groups of about
+    ``group_pieces`` by that number, whatever they hold. Each group is packed in one
     task, so the number of groups grows with the rows and each costs at most one
-    underfull sequence more. Offsets are gapless from 0 in every sequence.
+    underfull sequence more; there are as many tasks as groups, up to ``most_tasks``.
+    Offsets are gapless from 0 in every sequence.
     """
-    groups = 1 + pieces.count() // group_pieces
-    columns = pieces.columns
-    numbered = pieces.withColumn("_row", F.monotonically_increasing_id())
-    dealt = numbered.select("_row", "length", F.pmod(F.xxhash64("_row"), F.lit(groups)).alias("_group"))
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    kept = [f"c{i}" for i in range(len(columns))]  # whatever the columns are called
+    named = pieces.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(columns, kept, strict=True)])
+    numbered = stage(named.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    groups = 1 + numbered.count() // group_pieces
+    length = kept[columns.index("length")]
+    dealt = numbered.select("row", F.col(length).alias("length"), F.pmod(F.xxhash64("row"), F.lit(groups)).alias("group"))
 
     def place(arrow):
-        for table in batches.runs(arrow, ["_group"]):
-            sizes, rows = np.asarray(table["length"]), np.asarray(table["_row"])
+        for table in batches.runs(arrow, ["group"]):
+            sizes, rows = np.asarray(table["length"]), np.asarray(table["row"])
             order = np.argsort(rows)  # the same packing whatever the order of arrival
             sizes, rows = sizes[order], rows[order]
             owner = pack(sizes, capacity)
@@ -170,11 +176,13 @@ def pack_pieces(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 819
             before = (ends - sizes[inside])[first]
             offset = np.empty(len(sizes), np.int64)
             offset[inside] = ends - sizes[inside] - before[owner[inside]]
-            group = table["_group"][0].as_py()
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array((group << 32) + owner), pa.array(offset)], ["_row", "sequence_id", "offset"])
+            group = table["group"][0].as_py()
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array((group << 32) + owner), pa.array(offset)], ["row", "sequence_id", "offset"])
 
-    placed = dealt.repartition("_group").sortWithinPartitions("_group").mapInArrow(place, "_row bigint, sequence_id bigint, offset bigint")
-    return numbered.join(placed, "_row").select(*columns, "sequence_id", "offset")
+    tasks = int(min(groups, most_tasks))
+    placed = dealt.repartition(tasks, "group").sortWithinPartitions("group").mapInArrow(place, "row bigint, sequence_id bigint, offset bigint")
+    joined = numbered.join(placed, "row")
+    return joined.select(*[F.col(k).alias(c) for c, k in zip(columns, kept, strict=True)], "sequence_id", "offset")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from rolecall.functions.compute import add_once
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 SEPARATORS = r"[|•·»›]+"
-ENDING = r"[.!?…:;。！？।]+[\"'”’»)\]]*[\x20\x09-\x0D]*\z"
+BLANKS = " \t\n\x0b\x0c\r"
+CLOSERS = "\"'”’»)]"
+SIGNS = tuple(".!?…:;。！？।")
 BOILERPLATE = (
     r"(?i)lorem ipsum|enable javascript|cookie policy|privacy policy|terms of use|terms of service|"
     r"all rights reserved|click here|read more|sign up|log in|subscribe"
@@ -24,6 +26,13 @@ def _chars(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(_without(text, pattern))
 
 
+def ends_in_sign(line: Column) -> Column:
+    """A sentence sign is the last character but for closing quotes, brackets and blanks.
+    Cut from the end, so a line of any length is looked at once."""
+    bare = F.rtrim(F.rtrim(line, F.lit(BLANKS)), F.lit(CLOSERS))
+    return F.right(bare, F.lit(1)).isin(*SIGNS)
+
+
 def line_passes(line: Column) -> Column:
     """The rules of one line; a line without a word passes.
 
@@ -37,7 +46,7 @@ def line_passes(line: Column) -> Column:
     separators, symbols = _chars(line, SEPARATORS), _chars(line, SYMBOLS)
     short = words < 20
     fails = (
-        (short & ~line.rlike(ENDING))
+        (short & ~ends_in_sign(line))
         | ((separators >= 3) & (separators * 4 >= words))
         | ((symbols >= 3) & (symbols * 4 > words))
         | ((words >= 5) & (F.upper(line) == line) & (F.lower(line) != line))

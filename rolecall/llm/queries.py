@@ -9,7 +9,6 @@ from rolecall.llm import (
     decontaminate, language_id, lexical_search, license_scan, ngram_join, packing, quality_rules, secret_scan, sharding,
     substring_dedup, token_store, url_rules, vector_codes,
 )
-from rolecall.sources.sinks import stage
 from rolecall.storage import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,7 +74,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def op5_packing(spark, sf_dir):
     pieces = packing.token_pieces(documents(spark, sf_dir), TOKENIZER)
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack_pieces(stage(digests, "pieces"))
+    return packing.pack_pieces(digests)
 
 
 @query
@@ -104,9 +103,14 @@ def op10_license_scan(spark, sf_dir):
     return found.withColumns(listed | {"score": F.round("score", 6)})
 
 
+#: Passages, not phrases: every later occurrence that stands in a run of so many characters.
+PASSAGE = 80
+
+
 @query
 def op1_substring_dedup(spark, sf_dir):
-    return substring_dedup.repeated_units(documents(spark, sf_dir)).withColumnRenamed("kept_id", "kept_doc_id")
+    found = substring_dedup.repeated_units(documents(spark, sf_dir), least_chars=PASSAGE)
+    return found.withColumnRenamed("kept_id", "kept_doc_id")
 
 
 @query

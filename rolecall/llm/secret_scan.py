@@ -1,15 +1,18 @@
 """Secret scan: one deterministic automaton for all rules, run over the bytes of texts.
 
-The rules' signals (bytes that every match has at its start) are compiled together:
-Thompson construction, subset construction over byte classes, minimisation. Texts are
-cut at bytes that no rule contains, which bring every state back to the start, and the
-pieces run through the transition array side by side. Where a rule's signal ends, its
-whole pattern decides on the bytes around up to the next byte foreign to the rule.
-A private key's span goes on over its body to its last line.
+The rules' whole patterns are compiled together: Thompson construction, subset
+construction over byte classes, minimisation. Texts are cut at bytes that no rule
+contains, which bring every state back to the start, and the pieces run through the
+transition array side by side, in one pass that tells where matches of each rule end.
+Around such ends, up to the next byte foreign to the rule, the starts are read off the
+array of the reversed pattern, and from the leftmost start the rule's own array runs to
+the longest match. A private key's span goes on over its body to its last line.
 """
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 from re import _constants as sre, _parser as parser
 
 import numpy as np
@@ -20,15 +23,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rolecall.llm import wordbytes
 
 
+#: Pieces of text that are stepped through side by side, at least; fewer go one by one.
+FEW = 12
+
+
 @dataclass(frozen=True)
 class Rule:
+    """Matches are ``head`` then ``tail``: the leftmost ones that do not overlap, each as
+    long as it can be. One whose tail has fewer than ``least`` bytes does not count."""
+
     kind: str
-    signal: bytes  # for the automaton: matches some part of every hit
-    pattern: bytes  # the leftmost matches that do not overlap are its candidates
-    group: int = 0  # a candidate counts when this group has ...
-    least: int = 0  # ... this many bytes
+    tail: bytes
+    least: int = 0
+    head: bytes = b""
     body: bool = False  # a match is the first line of a key; the span goes on to the key's end
 
+    @property
+    def pattern(self) -> bytes:
+        return self.head + self.tail
+
 
 def _either_case(word: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -36,23 +49,22 @@ def _either_case(word: str) -> str:
 
 # The rules.
 _KEYS = "|".join(map(_either_case, ("password", "passwd", "secret", "token"))) + f"|{_either_case('api')}_?{_either_case('key')}"
-_ASSIGN = rf"""({_KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]"""
 BASE = (
-    Rule("assign", f"{_ASSIGN}{{12}})".encode(), f"{_ASSIGN}+)".encode(), 2, 12),
-    Rule("access", rb"AKIA[A-Z0-9]{14}", rb"AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", rb"[0-9a-f]{16}", rb"[0-9a-f]+", 0, 16),
+    Rule("assign", rb"[A-Za-z0-9+/_.=-]+", 12, rf"""(?:{_KEYS})["']?\x20*[:=]\x20*["']?""".encode()),
+    Rule("access", rb"AKIA[A-Z0-9]+", 18),
+    Rule("hex", rb"[0-9a-f]{16,}"),
 )
 RULES = (
     *BASE,
-    Rule("private", rb"-----BEGIN\x20[A-Z]", rb"-----BEGIN\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----", body=True),
-    Rule("github", rb"gh[pousr]_[A-Za-z0-9]{4}", rb"gh[pousr]_[A-Za-z0-9]+", 0, 40),
-    Rule("slack", rb"xox[abprs]-[A-Za-z0-9-]{4}", rb"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
-    Rule("google", rb"AIza[A-Za-z0-9_-]{4}", rb"AIza[A-Za-z0-9_-]+", 0, 39),
-    Rule("jwt", rb"eyJ[A-Za-z0-9_-]{4}", rb"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("private", rb"-----BEGIN\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY-----", body=True),
+    Rule("github", rb"gh[pousr]_[A-Za-z0-9]+", 40),
+    Rule("slack", rb"xox[abprs]-[A-Za-z0-9-]+", 20),
+    Rule("google", rb"AIza[A-Za-z0-9_-]+", 39),
+    Rule("jwt", rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 34),
 )
+# The first or last line of any PEM block: where a key's body ends.
+_EDGE = Rule("edge", rb"-----(?:BEGIN|END)\x20[A-Z0-9\x20]+-----")
 
-# The first or last line of any PEM block.
-_EDGE = re.compile(rb"-----(BEGIN|END) ([A-Z0-9 ]+)-----")
 # A key without a last line: its own headers, long runs of base64, then what is left of a last run. Line
 # ends may be escaped, as in JSON, and lines quoted, as in mails and code.
 _GAP = rb"(?:[ \t\r\n>#*|\"',;]|\\+[nrt])*"
@@ -64,13 +76,15 @@ _CUT_OFF = re.compile(
 )
 
 
-def _key_end(text: memoryview, at: int) -> int:
+def _key_end(text: memoryview, at: int, edges: list[tuple[int, int]]) -> int:
     """Where the key ends whose first line ends at ``at``: behind its last line if that is the next
     edge of a block, else behind its base64."""
-    edge = _EDGE.search(text, at)
-    if edge and edge[1] == b"END" and edge[2].endswith(b"PRIVATE KEY"):
-        return edge.end()
-    return _CUT_OFF.match(text, at, edge.start() if edge else len(text)).end()
+    next_ = bisect_left(edges, (at, 0))
+    start, end = edges[next_] if next_ < len(edges) else (len(text), -1)
+    line = bytes(text[start:end]) if end >= 0 else b""
+    if line.startswith(b"-----END ") and line.endswith(b"PRIVATE KEY-----"):
+        return end
+    return _CUT_OFF.match(text, at, start).end()
 
 
 class _Nfa:
@@ -85,9 +99,10 @@ class _Nfa:
         self.step.append(None)
         return len(self.empty) - 1
 
-    def add(self, tree, at: int) -> int:
-        """Adds the tree after state ``at``; returns the state in which it ends."""
-        for kind, value in tree:
+    def add(self, tree, at: int, back: bool = False) -> int:
+        """Adds the tree (or with ``back`` its mirror image) after state ``at``; returns the
+        state in which it ends."""
+        for kind, value in reversed(list(tree)) if back else tree:
             if kind in (sre.LITERAL, sre.IN):
                 end = self.state()
                 here = self.state()
@@ -95,28 +110,28 @@ class _Nfa:
                 self.step[here] = (_bytes_of(kind, value), end)
                 at = end
             elif kind is sre.SUBPATTERN:
-                at = self.add(value[3], at)
+                at = self.add(value[3], at, back)
             elif kind is sre.BRANCH:
                 end = self.state()
                 for way in value[1]:
                     begin = self.state()
                     self.empty[at].append(begin)
-                    self.empty[self.add(way, begin)].append(end)
+                    self.empty[self.add(way, begin, back)].append(end)
                 at = end
             elif kind is sre.MAX_REPEAT:
                 low, high, part = value
                 for _ in range(low):
-                    at = self.add(part, at)
+                    at = self.add(part, at, back)
                 if high is sre.MAXREPEAT:
                     loop = self.state()
                     self.empty[at].append(loop)
-                    self.empty[self.add(part, loop)].append(loop)
+                    self.empty[self.add(part, loop, back)].append(loop)
                     at = loop
                 elif high > low:
                     end = self.state()
                     for _ in range(high - low):
                         self.empty[at].append(end)
-                        at = self.add(part, at)
+                        at = self.add(part, at, back)
                     self.empty[at].append(end)
                     at = end
             else:
@@ -157,24 +172,16 @@ def alphabet(pattern: bytes) -> np.ndarray:
     return out
 
 
-@dataclass(frozen=True)
-class Automaton:
-    table: np.ndarray  # states times byte classes -> state, flat; state numbers are times the number of classes
-    classes: np.ndarray  # byte -> class
-    start: int
-    accepting: int  # from this state on, states accept
-    found: np.ndarray  # (accepting state - accepting) / classes -> bits of the rules whose signal ends here
-    foreign: np.ndarray  # byte -> in no rule
-
-
-def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
-    """The minimal automaton that looks for all signals at once, at every place."""
+def _arrays(patterns: list[bytes], anywhere: bool, back: bool = False):
+    """(table, bits, classes): the minimal automaton of some patterns, that begin at the
+    first byte or (``anywhere``) at each. State 0 is the start; ``table[state, class]`` is
+    the next state, ``bits[state]`` the patterns of which a match ends there."""
     nfa = _Nfa()
     start, ends = nfa.state(), {}
-    for bit, rule in enumerate(rules):
+    for bit, pattern in enumerate(patterns):
         begin = nfa.state()
         nfa.empty[start].append(begin)
-        ends[nfa.add(parser.parse(rule.signal), begin)] = 1 << bit
+        ends[nfa.add(parser.parse(pattern), begin, back)] = 1 << bit
     # bytes that no step tells apart are one class
     sets = sorted({step[0] for step in nfa.step if step}, key=sorted)
     signature = [tuple(b in s for s in sets) for b in range(256)]
@@ -190,7 +197,7 @@ def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
         steps = [nfa.step[s] for s in states if nfa.step[s]]
         row = []
         for byte in example:
-            to = set(first)
+            to = set(first) if anywhere else set()
             for among, end in steps:
                 if byte in among:
                     if end not in closures:
@@ -210,72 +217,160 @@ def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
             break
         block = finer
     _, member = np.unique(block, return_index=True)
-    bits = np.array(found)[member]
+    place = np.argsort(np.argsort(member != member[block[0]], kind="stable"), kind="stable")  # the start comes first
+    order = np.argsort(place)
+    return place[block[table[member[order]]]], np.array(found)[member[order]], classes
+
+
+@dataclass(frozen=True)
+class Automaton:
+    table: np.ndarray  # states times byte classes -> state, flat; state numbers are times the number of classes
+    classes: np.ndarray  # byte -> class
+    start: int
+    accepting: int  # from this state on, states accept
+    found: np.ndarray  # (accepting state - accepting) / classes -> bits of the rules of which a match ends here
+    foreign: np.ndarray  # byte -> in no rule
+
+    @cached_property
+    def steps(self) -> list[int]:
+        return self.table.tolist()
+
+
+def compile_rules(rules: tuple[Rule, ...]) -> Automaton:
+    """The minimal automaton that looks for all rules at once, at every place."""
+    table, bits, classes = _arrays([r.pattern for r in rules], anywhere=True)
     order = np.argsort(bits > 0, kind="stable")  # accepting states last
     place = np.empty_like(order)
     place[order] = np.arange(len(order))
-    small = place[block[table[member[order]]]]
-    n, accepting = len(example), int((bits == 0).sum())
-    allowed = np.any([alphabet(r.pattern) | alphabet(r.signal) for r in rules], axis=0)
+    n, accepting = table.shape[1], int((bits == 0).sum())
+    allowed = np.any([alphabet(r.pattern) for r in rules], axis=0)
     return Automaton(
-        (small * n).astype(np.int32).ravel(), classes, int(place[block[0]]) * n, accepting * n, bits[order][accepting:], ~allowed
+        (place[table[order]] * n).astype(np.int32).ravel(), classes, int(place[0]) * n, accepting * n, bits[order][accepting:], ~allowed
     )
 
 
-def signal_ends(auto: Automaton, data: np.ndarray, offsets: np.ndarray, piece: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Byte positions at which signals end, and the rules' bits there."""
+def match_ends(auto: Automaton, data: np.ndarray, offsets: np.ndarray, piece: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the last bytes of matches, and the rules' bits there."""
     cuts = np.flatnonzero(auto.foreign[data])
     bounds = np.unique(np.concatenate([offsets, cuts[np.unique(np.searchsorted(cuts, np.arange(0, len(data), piece)))[:-1]] if len(cuts) else cuts]))
     begin, length = bounds[:-1], np.diff(bounds)
     order = np.argsort(-length, kind="stable")
     at, length = begin[order], length[order]
     states = np.full(len(at), auto.start, np.int32)
-    symbol = auto.classes[data]
-    places, bits = [], []
+    symbol, classes = auto.classes[data], int(auto.classes.max()) + 1
+    places, ends = [], []
     active = np.searchsorted(-length, -np.arange(1, int(length.max(initial=0)) + 1), "right")
-    for step, n in enumerate(active):
+    together = int(np.searchsorted(-active, -FEW, "right"))  # so many steps; then the few pieces left one by one
+    for step, n in enumerate(active[:together].tolist()):
         if n < len(states):
             states = states[:n]
         states = auto.table[states + symbol[at[:n] + step]]
         if states.max() >= auto.accepting:
             hit = np.flatnonzero(states >= auto.accepting)
             places.append(at[hit] + step)
-            bits.append(auto.found[(states[hit] - auto.accepting) // (int(auto.classes.max()) + 1)])
+            ends.append(states[hit])
+    if together < len(active):
+        table, accepting = auto.steps, auto.accepting
+        for begin, end, state in zip((at + together).tolist(), (at + length).tolist(), states[: active[together]].tolist(), strict=False):
+            here, met = [], []
+            for place, s in enumerate(symbol[begin:end].tolist(), begin):
+                state = table[state + s]
+                if state >= accepting:
+                    here.append(place)
+                    met.append(state)
+            places.append(np.array(here, np.int64))
+            ends.append(np.array(met, np.int64))
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(places), np.concatenate(bits)
+    return np.concatenate(places), auto.found[(np.concatenate(ends) - auto.accepting) // classes]
+
+
+class Reader:
+    """The arrays of one rule, for the few bytes around the ends of its matches."""
+
+    def __init__(self, rule: Rule):
+        self.rule = rule
+        self.foreign = ~alphabet(rule.pattern)
+        self.whole = self._lists(*_arrays([rule.pattern], anywhere=False))
+        self.head = self._lists(*_arrays([rule.head], anywhere=False))
+        self.back = self._lists(*_arrays([rule.pattern], anywhere=True, back=True))
+
+    @staticmethod
+    def _lists(table, bits, classes):
+        dead = [bool(bit == 0 and (row == i).all()) for i, (row, bit) in enumerate(zip(table, bits, strict=True))]
+        return table.tolist(), [bool(b) for b in bits], classes.tolist(), dead
+
+    @staticmethod
+    def _longest(arrays, data: bytes, at: int) -> int:
+        """Where the longest match from ``at`` ends, -1 without one."""
+        table, accepts, classes, dead = arrays
+        state, end = 0, at if accepts[0] else -1
+        for place in range(at, len(data)):
+            state = table[state][classes[data[place]]]
+            if accepts[state]:
+                end = place + 1
+            elif dead[state]:
+                break
+        return end
+
+    def matches(self, data: bytes) -> list[tuple[int, int]]:
+        """(start, end) of the leftmost longest matches that do not overlap, without those
+        whose tail is too short."""
+        table, accepts, classes, _ = self.back
+        starts, state = [], 0
+        for place in range(len(data) - 1, -1, -1):
+            state = table[state][classes[data[place]]]
+            if accepts[state]:
+                starts.append(place)
+        out, done = [], 0
+        for start in reversed(starts):
+            if start >= done:
+                done = self._longest(self.whole, data, start)
+                tail = self._longest(self.head, data, start) if self.rule.head else start
+                if done - tail >= self.rule.least:
+                    out.append((start, done))
+        return out
 
 
 @dataclass(frozen=True)
 class Scanner:
     rules: tuple[Rule, ...]
-    auto: Automaton
+    auto: Automaton  # of the rules and of the edges of keys
+    readers: tuple[Reader, ...]
+
+    @staticmethod
+    @lru_cache(4)
+    def of(rules: tuple[Rule, ...]) -> "Scanner":
+        every = (*rules, *([_EDGE] if any(r.body for r in rules) else []))
+        return Scanner(tuple(rules), compile_rules(every), tuple(Reader(r) for r in every))
 
     def spans(self, column) -> list[list[tuple[int, int, int]]]:
         """For each text its (start, rule, end) in code points, in order."""
         data, offsets = wordbytes.utf8(column)
         out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(offsets) - 1)]
-        foreign = [~alphabet(r.pattern) for r in self.rules]
-        patterns = [re.compile(r.pattern) for r in self.rules]
         for first, last in wordbytes.steps(offsets):
             low = int(offsets[first])
             part, of = data[low : offsets[last]], offsets[first : last + 1] - low
-            places, bits = signal_ends(self.auto, part, of)
-            for k, rule in enumerate(self.rules):
+            places, bits = match_ends(self.auto, part, of)
+            edges: dict[int, list[tuple[int, int]]] = {}
+            for k in range(len(self.readers) - 1, -1, -1):  # the edges first
+                reader = self.readers[k]
                 hits = np.sort(places[bits & (1 << k) > 0])
                 done = -1
                 for hit in hits.tolist():
                     if hit < done:
                         continue
                     row = int(np.searchsorted(of, hit, "right")) - 1
-                    begin, done = _around(foreign[k], part, hit, int(of[row]), int(of[row + 1]))
-                    for match in patterns[k].finditer(part[begin:done].tobytes()):
-                        a, b = match.span(rule.group)
-                        if b - a >= rule.least:
-                            end = begin + match.end() - int(of[row])
-                            if rule.body:
-                                end = _key_end(memoryview(part[of[row] : of[row + 1]]), end)
-                            out[first + row].append((begin + match.start() - int(of[row]), k, end))
+                    base = int(of[row])
+                    begin, done = _around(reader.foreign, part, hit, base, int(of[row + 1]))
+                    for a, b in reader.matches(part[begin:done].tobytes()):
+                        a, b = begin + a - base, begin + b - base
+                        if k == len(self.rules):
+                            edges.setdefault(row, []).append((a, b))
+                            continue
+                        if reader.rule.body:
+                            b = _key_end(memoryview(part[base : of[row + 1]]), b, edges.get(row, []))
+                        out[first + row].append((a, k, b))
             for row in range(first, last):
                 if out[row]:
                     text = data[offsets[row] : offsets[row + 1]]
@@ -315,7 +410,7 @@ def _redacted(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
 
 
 def _scanner(spark: SparkSession, rules: tuple[Rule, ...]):
-    return spark.sparkContext.broadcast(Scanner(tuple(rules), compile_rules(tuple(rules))))
+    return spark.sparkContext.broadcast(Scanner.of(tuple(rules)))
 
 
 def secret_spans(spark: SparkSession, text: Column, rules: tuple[Rule, ...] = RULES) -> Column:

@@ -45,27 +45,27 @@ def with_shards(
 
 
 def with_slots(df: DataFrame, shard: str = "shard", slot: str = "slot", rows_per_group: int = 100_000) -> DataFrame:
-    """Numbers the rows of each shard 0, 1, 2, ... without a gap, over all columns of ``df``.
+    """Numbers the rows of each shard 0, 1, 2, ... without a gap, over all columns of
+    ``df``; a column that is called ``slot`` already is replaced.
 
     Equal rows are counted before the shuffle and numbered together, so no copy group
     is gathered. Distinct rows are hashed to groups of about ``rows_per_group`` rows;
     a row's slot is its place in its group plus the sizes of the groups before. Nulls
     are values like any other. ``df`` is written once and read three times.
     """
-    columns = df.columns
-    rows = stage(df, "slots")
+    columns = [c for c in df.columns if c != slot]
+    kept = [f"c{i}" for i in range(len(columns))]  # whatever the columns are called
+    of = kept[columns.index(shard)]
+    rows = stage(df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(columns, kept, strict=True)]), "slots")
     groups = F.lit(1 + rows.count() // rows_per_group)
-    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_group", F.pmod(F.xxhash64(*columns), groups)
-    )
-    sizes = rows.groupBy(shard, F.pmod(F.xxhash64(*columns), groups).alias("_group")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(shard).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(shard).alias("_shard"), F.col("_group").alias("_of"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
-    )
-    within = Window.partitionBy(shard, "_group").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.withColumn("_first", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-    joined = placed.join(starts, placed[shard].eqNullSafe(starts["_shard"]) & (placed["_group"] == starts["_of"]))
-    first = F.col("_start") + F.col("_first")
-    return joined.select(*columns, F.explode(F.sequence(first, first + F.col("_n") - 1)).alias(slot))
+    group = F.pmod(F.xxhash64(*kept), groups).alias("group")
+    counted = rows.groupBy(*kept).agg(F.count(F.lit(1)).alias("n")).select("*", group)
+    sizes = rows.groupBy(of, group).agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy(of).orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col(of).alias("shard"), F.col("group").alias("in"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy(of, "group").orderBy(*kept).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("first", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    joined = placed.join(starts, F.col(of).eqNullSafe(F.col("shard")) & (F.col("group") == F.col("in")))
+    first = F.col("start") + F.col("first")
+    each = F.explode(F.sequence(first, first + F.col("n") - 1)).alias(slot)
+    return joined.select(*[F.col(k).alias(c) for c, k in zip(columns, kept, strict=True)], each)

@@ -50,9 +50,12 @@ def add_up(df: DataFrame, fill: Callable, size: int, dtype=np.int32, either: boo
     return out[:size]
 
 
-def id_filter(ids: DataFrame, id_column: str, bits: int = 23) -> np.ndarray:
-    """A bitmap of 2**bits bits, of which two are set for each id (a Bloom filter): it
-    knows every id of ``ids`` and a few more, and its size does not grow with them."""
+def id_filter(ids: DataFrame, id_column: str, least_bits: int = 23, most_bits: int = 30) -> np.ndarray:
+    """A bitmap of which two bits are set for each id (a Bloom filter): it knows every id
+    of ``ids`` and a few more. It has 2**least_bits bits, or 16 per id up to
+    2**most_bits (128 MB, the most that is sent to a task); up to 67 million ids it lets
+    less than 2 of 100 others pass, beyond that more, and never an id of ``ids`` get lost."""
+    bits = min(most_bits, max(least_bits, int(16 * ids.count()).bit_length()))
 
     def fill(batch, array):
         keys = np.asarray(batch[id_column].drop_null(), np.int64)

@@ -40,9 +40,9 @@ def brute_force(items, texts):
             window = words[begin : begin + index.window]
             for i, item in enumerate(items):
                 of = "".join(c if c.isalnum() else " " for c in item).split()
-                cut = len(item.split("?")[0].split()) if "?" in item else len(of) - max(1, len(of) // 4)
+                cut = len(item.split("?")[0].split()) if "?" in item else 0
                 shares = []
-                for part in (of[:cut], of[cut:]):
+                for part in (of[:cut], of[cut:]):  # without a question, the whole item
                     k = min(5, len(part))
                     grams = {tuple(part[j : j + k]) for j in range(len(part) - k + 1)}
                     held = {tuple(window[j : j + k]) for j in range(len(window) - k + 1)}
@@ -93,3 +93,46 @@ def test_empty_tables(spark, docs_of, tmp_path):
     docs = docs_of([(1, "some text")])
     empty = spark.read.parquet(f"{tmp_path}/benchmark.parquet")
     assert docs.select(decontaminate.benchmark_hits(docs, empty)).collect()[0][0] == []
+
+
+def test_an_edit_at_every_word(spark, docs_of):
+    """One changed word anywhere leaves 0.8 of an item of 30 words or more."""
+    rng = random.Random(6)
+    items = [" ".join(f"w{rng.randrange(500)}" for _ in range(n)) for n in (30, 41, 60)]
+    texts = []
+    for item in items:
+        for k in range(len(item.split())):
+            words = item.split()
+            words[k] = "changed"
+            texts.append(" ".join(["before", "it", *words, "and", "behind"]))
+    docs = docs_of(list(enumerate(texts)))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    hits = docs.select("doc_id", decontaminate.benchmark_hits(docs, benchmark).alias("h")).collect()
+    wanted = [i for i, item in enumerate(items) for _ in item.split()]
+    assert {r["doc_id"]: [h["item_id"] for h in r["h"]] for r in hits} == {k: [i] for k, i in enumerate(wanted)}
+
+
+def test_question_and_answer_are_both_asked_for(spark, docs_of):
+    question, answer = " ".join(f"q{i}" for i in range(40)), " ".join(f"a{i}" for i in range(10))
+    benchmark = spark.createDataFrame([(1, f"{question}? {answer}"), (2, f"{question}?")], "item_id bigint, text string")
+    docs = docs_of([(1, f"x {question} {answer} y"), (2, f"x {question} another answer y"), (3, f"{answer}")])
+    hits = {r["doc_id"]: [h["item_id"] for h in r["h"]] for r in docs.select("doc_id", decontaminate.benchmark_hits(docs, benchmark).alias("h")).collect()}
+    assert hits == {1: [1, 2], 2: [2], 3: []}
+
+
+def test_many_items_are_indexed_in_seconds():
+    import time
+
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map(str, row)) for row in rng.integers(0, 50_000, (20_000, 12)).tolist()]
+    begin = time.perf_counter()
+    index = decontaminate.Index.of(list(range(len(texts))), texts)
+    assert len(index.items) == 20_000 and time.perf_counter() - begin < 15
+
+
+def test_one_long_text(spark, docs_of):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = docs_of([(1, "common words of a text " * 60_000 + item), (2, "x" * 1_000_000), (3, "w1 " * 300_000)])
+    benchmark = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    hits = {r["doc_id"]: [h["item_id"] for h in r["h"]] for r in docs.select("doc_id", decontaminate.benchmark_hits(docs, benchmark).alias("h")).collect()}
+    assert hits == {1: [7], 2: [], 3: []}

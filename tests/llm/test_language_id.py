@@ -1,6 +1,9 @@
 """The forward algorithm against all segmentations, and accuracy on held-out documents."""
 
+import itertools
+import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +27,10 @@ def segmentations(word):
 
 
 def test_vocabulary_is_found_again(vocabulary):
-    lattice = language_id.Lattice.of(["▁the"], vocabulary)
-    found = {("▁the"[a:b], vocabulary.pieces[p[0]]) for (a, b), (_, p) in lattice.at.items()}
+    lattice = language_id.Lattice(["▁the"], vocabulary)
+    found = {("▁the"[a:b], vocabulary.pieces[p[0]]) for b in range(1, 5) for a, _, p in lattice.ending(b)}
     assert ("▁the", "▁the") in found and all(a == b for a, b in found)
+    assert found == {("▁the"[a:b], vocabulary.pieces[p[0]]) for a in range(4) for b, _, p in lattice.starting(a)}
     wanted = {"▁the"[a:b] for a in range(4) for b in range(a + 1, 5)} & set(vocabulary.pieces)
     assert {a for a, _ in found} == wanted
 
@@ -41,9 +45,85 @@ def test_sum_over_all_segmentations(vocabulary, word):
         # a letter may also be strange
         ways = [[p[number[c]] if c in number else np.zeros(2)] + ([np.full(2, language_id.STRANGE)] if len(c) == 1 else []) for c in cut]
         want += np.prod([sum(w) for w in ways], axis=0)
-    lattice = language_id.Lattice.of([text], vocabulary)
-    np.testing.assert_allclose(lattice.forward(p)[-1, 0], want, rtol=1e-9)
-    np.testing.assert_allclose(lattice.backward(p)[0, 0], want, rtol=1e-9)
+    np.testing.assert_allclose(np.exp(language_id.Lattice([text], vocabulary).log_total(p)[0]), want, rtol=1e-9)
+
+
+def log_sum(text, vocabulary, p):
+    """The same by a plain table of logs, for words of any length."""
+    number = {piece: i for i, piece in enumerate(vocabulary.pieces)}
+    logs = [0.0]
+    for end in range(1, len(text) + 1):
+        ways = [logs[end - 1] + math.log(language_id.STRANGE)]
+        ways += [logs[a] + math.log(p[number[text[a:end]]]) for a in range(max(0, end - vocabulary.longest), end) if text[a:end] in number]
+        most = max(ways)
+        logs.append(most + math.log(sum(math.exp(w - most) for w in ways)))
+    return logs[-1]
+
+
+def test_words_of_any_length(vocabulary):
+    rng = random.Random(4)
+    p = np.random.default_rng(4).random((len(vocabulary.pieces), 2)) / 1000
+    for text in ("▁" + "".join(rng.choices("abcdeéñ日本", k=500)), "▁" + "the" * 3000, "▁" + "ж" * 47, "▁" + "x" * 16, "▁" + "q" * 15):
+        total = language_id.Lattice([text, text], vocabulary).log_total(p)
+        for language in (0, 1):
+            np.testing.assert_allclose(total[:, language], log_sum(text, vocabulary, p[:, language]), rtol=1e-9)
+
+
+@pytest.mark.parametrize("word", ["a", "the", "étreñ", "thing", "ßчaxyz"])
+def test_expected_numbers_of_pieces(vocabulary, word):
+    rng = np.random.default_rng(5)
+    p, text = rng.random((len(vocabulary.pieces), 2)), "▁" + word
+    number = {piece: i for i, piece in enumerate(vocabulary.pieces)}
+    want, total = np.zeros(len(p)), 0.0
+    for cut in segmentations(text):
+        for strange in itertools.product(*[[False] * (c in number) + [True] * (len(c) == 1) for c in cut]):
+            weight = math.prod(language_id.STRANGE if s else p[number[c], 1] for c, s in zip(cut, strange, strict=True))
+            total += weight
+            for c, s in zip(cut, strange, strict=True):
+                if not s:
+                    want[number[c]] += weight
+    found = np.zeros(len(p))
+    for rows, piece, expected in language_id.Lattice([text, text], vocabulary).expected(p, np.array([0, 1])):
+        np.add.at(found, piece[rows == 1], expected[rows == 1])
+    np.testing.assert_allclose(found, want / total, rtol=1e-9, atol=1e-12)
+
+
+def test_expected_numbers_of_long_words(vocabulary):
+    """Each letter is in one piece or strange, whatever the length."""
+    p = np.random.default_rng(6).random((len(vocabulary.pieces), 1)) / 100
+    length = np.array([len(x) for x in vocabulary.pieces])
+    for text in ("▁" + "the" * 400, "▁" + "a" * 33):
+        covered = sum((expected * length[piece]).sum() for _, piece, expected in language_id.Lattice([text], vocabulary).expected(p, np.array([0])))
+        assert covered == pytest.approx(len(text), rel=1e-3)
+
+
+def test_training_as_plain_expectation_maximisation(spark, docs_of, vocabulary):
+    texts = {"en": ["the thing ½ is", "That is The the"], "fr": ["été le la", "la thing"]}
+    docs = docs_of([(i, t) for i, t in enumerate(texts["en"])], "en").unionByName(docs_of([(10 + i, t) for i, t in enumerate(texts["fr"])], "fr"))
+    number = {piece: i for i, piece in enumerate(vocabulary.pieces)}
+    model = language_id.train(docs, PIECES, rounds=2, smooth=0.1)
+    assert model.languages == ["en", "fr"]
+    for column, language in enumerate(model.languages):
+        words = [w for t in texts[language] for w in re.findall(r"[^\W\d_½]+", t.lower())]
+        p = None
+        for _ in range(3):
+            counts = np.full(len(vocabulary.pieces), 0.1)
+            for word in words:
+                text = "▁" + word
+                if p is None:
+                    for a, b in itertools.combinations(range(len(text) + 1), 2):
+                        if text[a:b] in number:
+                            counts[number[text[a:b]]] += 1
+                    continue
+                cuts = [[(c, s) for c, s in zip(cut, strange, strict=True)] for cut in segmentations(text)
+                        for strange in itertools.product(*[[False] * (c in number) + [True] * (len(c) == 1) for c in cut])]
+                weights = [math.prod(language_id.STRANGE if s else p[number[c]] for c, s in cut) for cut in cuts]
+                for cut, weight in zip(cuts, weights, strict=True):
+                    for c, s in cut:
+                        if not s:
+                            counts[number[c]] += weight / sum(weights)
+            p = counts / counts.sum()
+        np.testing.assert_allclose(model.p[:, column], p, rtol=1e-6)
 
 
 def test_texts_are_sums_of_words(vocabulary):
@@ -52,14 +132,15 @@ def test_texts_are_sums_of_words(vocabulary):
     p /= p.sum(axis=0)
     scorer = language_id.Scorer(vocabulary, p)
     long = "x" * 500
-    texts = ["The THE the", "", None, "1 2 — …", "été's", f"{long} a", "the été"]
+    texts = ["The THE the", "", None, "1 2 — … ½ ² ① Ⅷ", "été's", f"{long} a", "the½été"]
     for _ in range(2):
         logs, lettered = scorer.texts(pa.array(texts))
         assert lettered.tolist() == [True, False, False, False, True, True, True]
-        one = scorer.of(["the", "été", "s", "x" * 48, "x" * 20, "a"])
+        one = scorer.of(["the", "été", "s", long, "a"])
         np.testing.assert_allclose(logs[0], 3 * one[0], rtol=1e-5)
         np.testing.assert_allclose(logs[4], one[1] + one[2], rtol=1e-5)
-        np.testing.assert_allclose(logs[5], 10 * one[3] + one[4] + one[5], rtol=1e-5)
+        np.testing.assert_allclose(logs[5], one[3] + one[4], rtol=1e-5)
+        np.testing.assert_allclose(logs[6], one[0] + one[1], rtol=1e-5)
         assert not logs[[1, 2, 3]].any()
 
 
@@ -88,7 +169,7 @@ def test_odd_rows(spark, tmp_path):
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choices(["uno", "dos", "que"], k=9)), "es", "s", 1) for i in range(30)]
     rows += [(100 + i, " ".join(rng.choices(["the", "with", "of"], k=9)), "en", "s", 1) for i in range(30)]
-    rows += [(None, "the with", None, "s", 1), (900, None, "en", "s", 1), (901, "42 ?", "en", "s", 1), (902, "", None, None, None), (7, "que", "es", "s", 1)]
+    rows += [(None, "the with", None, "s", 1), (900, None, "en", "s", 1), (901, "½ ² 42 ?", "en", "s", 1), (902, "", None, None, None), (7, "que", "es", "s", 1)]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
     out = {r["doc_id"]: r for r in queries.QUERIES["op4_language_id"](spark, str(tmp_path)).collect()}

@@ -1,6 +1,9 @@
 """Sharding, quality rules and the license scan: SQL, brute force, edge rows, native plans."""
 
 import math
+import re
+import textwrap
+import time
 import zlib
 
 import duckdb
@@ -9,6 +12,9 @@ import xxhash
 
 from rolecall.llm import license_scan, oracle, quality_rules, queries, sharding
 
+MIT = dict(x for x in license_scan.TEMPLATES if "NONINFRINGEMENT" in x[1])["mit"]
+WRAPPED = textwrap.fill(" ".join(MIT.split()), 70)
+
 TEXTS = [
     None, "", " \n\t ", "one two", "a b c " * 40, "The cat sat on the mat and it was there. " * 3, "x | y | z | w\n" * 20,
     "Home | About | Contact | Help\n" + "Plain words that tell a story which nobody has told before in this town. " * 9 + "\nClick here",
@@ -17,6 +23,9 @@ TEXTS = [
     "#a *b $c %d &e |f <g >h " * 9, "Licensed under the Apache License, Version 2.0.\nthis is gnu general public license gnu general public license",
     "CC-BY cc by, MIT License!\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that",
     "mit\nlicense apache  license", "All rights reserved.", "apache licence; released under mit License", "long " * 30000 + "cc by",
+    f"Copyright (c) Nobody\n\n{WRAPPED}\n", "/*\n" + "\n".join(f" * {x}" for x in WRAPPED.split("\n")) + "\n */ code", WRAPPED[: len(WRAPPED) // 3],
+    "This program is free\nsoftware: you can redistribute it and/or\nmodify it under the terms of the GNU General\nPublic License as you like.",
+    "all words\nof rights\nthat are\nreserved", "all " + "of these words are many " * 9 + "rights reserved", "." * 3000 + "x", " \t" * 3000 + "x.\n" + "word " * 60 + '."  \t\n',
 ]
 
 
@@ -108,3 +117,46 @@ def test_license_rows(docs_of):
     assert out == sorted([(1, 1, ["mit"], 0.0)] * 2 + [(None, 1, ["cc-by"], 0.0), (None, 0, [], 0.0), (2, 0, ["all-rights-reserved"], 1.0)], key=repr)
     assert license_scan.license_scan(docs_of([])).collect() == []
     assert license_scan.license_scan(docs, templates=()).where("score > 0").collect() == []
+
+
+def blocks_by_hand(text, share=0.8):
+    """(size, block, label) of every window that holds the share of a template."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    out = set()
+    for label, body in license_scan.TEMPLATES:
+        of = re.findall("[a-z0-9]+", body.lower())
+        size = next(n for n in (8, 32, 128, 512) if n >= len(of))
+        for block in range(-(-len(words) // size)):
+            held = set(words[block * size : block * size + 2 * size]) & set(of)
+            if len(held) >= share * len(set(of)):
+                out.add((size, block, label, round(len(held) / len(set(of)), 9)))
+    return out
+
+
+def test_blocks_as_by_hand(docs_of):
+    found = license_scan.template_matches(docs_of(list(enumerate(TEXTS))), ["doc_id"], "text").collect()
+    want = {(i, *x) for i, text in enumerate(TEXTS) for x in blocks_by_hand(text)}
+    assert {(r["doc_id"], r["size"], r["block"], r["label"], round(r["containment"], 9)) for r in found} == want
+    labels = {i: {x[3] for x in want if x[0] == i} for i in range(len(TEXTS))}
+    assert "mit" in labels[TEXTS.index(f"Copyright (c) Nobody\n\n{WRAPPED}\n")] and any("gpl-3.0" in x for x in labels.values())
+
+
+def test_endless_lines_take_seconds(docs_of):
+    begin = time.perf_counter()
+    lines = ["." * 200_000 + "x", " " * 200_000 + "x", "\"" * 200_000, "a " * 100_000 + " " * 100_000, "|" * 200_000]
+    rows = quality_rules.quality_rules(docs_of([(i, f"{line}\nA line that ends well.") for i, line in enumerate(lines)])).collect()
+    assert time.perf_counter() - begin < 60
+    assert all(r["clean_text"].endswith("A line that ends well.") for r in rows)
+
+
+@pytest.mark.parametrize("line", ["a.", "a", "a.\"' \t", "a.x\"", "\"", "", ".", "a… »)", "a 。\x0b", "a.\u00a0", "a\n", "a.’”", "!" * 50 + "]", "a.\"b"])
+def test_endings(spark, line):
+    want = bool(re.search(r"[.!?…:;。！？।]+[\"'”’»)\]]*[\x20\x09-\x0D]*\Z", line))
+    df = spark.createDataFrame([(line,)], "x string")
+    assert df.select(quality_rules.ends_in_sign(df["x"])).first()[0] == want
+
+
+def test_names_that_clash(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], "shard int, slot int, n int, first int, `c0` int")
+    placed = sharding.with_slots(df)
+    assert placed.columns == ["shard", "n", "first", "c0", "slot"] and tuple(placed.first()) == (1, 3, 4, 5, 0)

@@ -72,7 +72,7 @@ def test_private_keys_go_to_their_end(docs_of):
 
 
 def test_automaton_is_minimal_and_complete():
-    rules = (secret_scan.Rule("a", rb"a[bc]{2}", rb"a[bc]{2}"), secret_scan.Rule("b", rb"bc", rb"bc"))
+    rules = (secret_scan.Rule("a", rb"a[bc]{2}"), secret_scan.Rule("b", rb"bc"))
     auto = secret_scan.compile_rules(rules)
     n = int(auto.classes.max()) + 1
     told = lambda s: int(auto.found[(s - auto.accepting) // n]) if s >= auto.accepting else 0
@@ -86,7 +86,7 @@ def test_automaton_is_minimal_and_complete():
         equal = still
     assert not equal
     data = np.frombuffer(b"xabcabbcbca", np.uint8)
-    places, bits = secret_scan.signal_ends(auto, data, np.array([0, len(data)]), piece=3)
+    places, bits = secret_scan.match_ends(auto, data, np.array([0, len(data)]), piece=3)
     assert sorted(zip(places.tolist(), bits.tolist(), strict=True)) == [(3, 3), (6, 1), (7, 2), (9, 2)]
 
 
@@ -104,9 +104,59 @@ def test_query(spark, docs_of, tmp_path):
 def test_empty_table(spark, docs_of):
     df = docs_of([])
     assert df.select(secret_scan.secret_spans(spark, df["text"])).collect() == []
-    assert secret_scan.Scanner(secret_scan.BASE, secret_scan.compile_rules(secret_scan.BASE)).spans(pa.array([None, ""], pa.string())) == [[], []]
+    assert secret_scan.Scanner.of(secret_scan.BASE).spans(pa.array([None, ""], pa.string())) == [[], []]
 
 
 def test_unknown_syntax_is_an_error():
     with pytest.raises(ValueError):
-        secret_scan.compile_rules((secret_scan.Rule("x", rb"a(?=b)", rb"a"),))
+        secret_scan.compile_rules((secret_scan.Rule("x", rb"a(?=b)"),))
+
+
+# The added kinds, written again: pattern, group, least length.
+ADDED = (
+    ("github", r"gh[pousr]_[A-Za-z0-9]+", 40), ("slack", r"xox[abprs]-[A-Za-z0-9-]+", 20), ("google", r"AIza[A-Za-z0-9_-]+", 39),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 34),
+)
+
+
+def test_all_rules_as_plain_regexes():
+    """Every rule's matches come from the arrays, and are those of its regex."""
+    rng = random.Random(11)
+    bits = ["eyJ", ".", "a1B2c3D4", "ghp_", "xoxb-", "AIza", "-", "_", "x" * 30, " ", "é", "\n", "token=", "AKIA", "f" * 9, "0", "=", "/", "eyJa1B2c3D4.eyJa1B2c3D4.a1B2c3D4"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 80))) for _ in range(1500)]
+    found = secret_scan.Scanner.of(secret_scan.RULES).spans(pa.array(texts))
+    names = [r.kind for r in secret_scan.RULES]
+    seen = set()
+    for text, spans in zip(texts, found, strict=True):
+        want = [f"{kind}:{m.start()}:{m.end()}" for kind, pattern, least in ADDED for m in re.finditer(pattern, text) if m.end() - m.start() >= least]
+        got = [f"{names[k]}:{a}:{b}" for a, k, b in spans]
+        assert sorted(g for g in got if g.split(":")[0] in [a[0] for a in ADDED]) == sorted(want)
+        assert [g for g in got if g.split(":")[0] in names[:3]] == plain(text)
+        seen |= {g.split(":")[0] for g in got}
+    assert seen >= {"assign", "hex", *(a[0] for a in ADDED)}
+
+
+def test_leftmost_longest_of_any_rule():
+    """Against all substrings, for rules whose matches overlap in all ways."""
+    rng = random.Random(2)
+    for pattern in (rb"a.?b|c".replace(b".", b"[abc]"), rb"(?:ab)+c?", rb"a[ab]*b", rb"(?:a|ab)(?:c|bcd)", rb"b{2,3}a?"):
+        reader, regex = secret_scan.Reader(secret_scan.Rule("x", pattern)), re.compile(pattern)
+        for _ in range(200):
+            data = bytes(rng.choices(b"abcd", k=rng.randrange(25)))
+            want, at = [], 0
+            while at < len(data):
+                ends = [z for z in range(len(data), at, -1) if regex.fullmatch(data, at, z)]
+                if ends:
+                    want.append((at, ends[0]))
+                at = ends[0] if ends else at + 1
+            assert reader.matches(data) == want, (pattern, data)
+
+
+@pytest.mark.parametrize("piece", ["eyJ", "token=", "token: ", "f", "AKIA", "ghp_", "-----BEGIN RSA ", "-----BEGIN RSA PRIVATE KEY-----", "password", "eyJaa."])
+def test_a_megabyte_takes_seconds(piece):
+    import time
+
+    scanner = secret_scan.Scanner.of(secret_scan.RULES)
+    begin = time.perf_counter()
+    scanner.spans(pa.array([piece * (1_000_000 // len(piece))]))
+    assert time.perf_counter() - begin < 15

@@ -157,3 +157,17 @@ def test_store_query_and_empty_tables(spark, docs_of, tmp_path, plain):
     docs_of([]).write.parquet(f"{tmp_path}/empty/documents.parquet")
     for name in ("op5_packing", "op9_token_store"):
         assert queries.QUERIES[name](spark, f"{tmp_path}/empty").collect() == []
+
+
+def test_packing_with_names_that_clash(spark):
+    df = spark.createDataFrame([(i, 1 + i % 4096, 7, 8, 9, "x") for i in range(20_000)], "row int, length int, sequence_id int, offset int, `group` int, `c0` string")
+    placed = packing.pack_pieces(df, group_pieces=1000)
+    assert placed.columns == ["row", "length", "group", "c0", "sequence_id", "offset"]
+    rows = placed.collect()
+    assert sorted(r["row"] for r in rows) == list(range(20_000)) and all(r["length"] == 1 + r["row"] % 4096 and r["group"] == 9 for r in rows)
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by.values():
+        parts.sort()
+        assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:], strict=False)) and sum(parts[-1]) <= 4096
