@@ -49,6 +49,7 @@ def posted_currency(text: Column) -> Column:
     return F.when(contains_any(text, ("usd", "$")), "USD").otherwise("VND")
 
 
+# The words of a million and a thousand, here and in ``folded_multiplier``.
 def posted_multiplier(text: Column, currency: Column) -> Column:
     return (
         F.when(currency == "USD", 1.0)

@@ -98,6 +98,7 @@ def skill_demand(prepared: DataFrame, skills=SKILLS, whole_words: bool = False)
     )
 
 
+# The column lists of the listing marts, here and below.
 def high_salary_alerts(prepared: DataFrame, thresholds: dict = ALERT_THRESHOLDS) -> DataFrame:
     return high_salary(prepared, thresholds).select(
         "title", "company", "url", "source", "location_std", "salary_raw", "min_salary", "max_salary", "currency",
@@ -138,7 +139,7 @@ def daily_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.select("title", "url", "min_salary", "max_salary", "currency", "source", "location_std", "report_date")
 
 
-# name -> (builder over prepared Silver, merge keys); built in this order
+# Name -> (builder over prepared Silver, merge keys), built in this order.
 def gold_marts(prepared: DataFrame, silver: DataFrame, report_date: str, listing_source: str) -> dict:
     alerts = high_salary_alerts(prepared)
     return {

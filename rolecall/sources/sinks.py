@@ -1,5 +1,6 @@
 """Writers that are safe to rerun, plus plain appends."""
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -160,14 +161,17 @@ def upsert_into(
             return False
         if not path_exists(spark, path):
             merged = source
+        elif partitions is not None and _absent(spark, path, partition_by, partitions):
+            # nothing to merge with: the staged source is published as it is
+            replace_batches(_within(source, partition_by, partitions), path, partition_by, rebalance=False)
+            return True
         else:
             target = spark.read.schema(source.schema).parquet(path).select(*source.columns)
             if partitions is not None:
                 if not all(c in keys for c in partition_by):
                     raise ValueError("partitions can be named only where they are keys")
                 target = target.filter(_partition_filter(partition_by, partitions))
-                within = F.coalesce(_partition_filter(partition_by, partitions), F.lit(False))
-                source = source.filter(F.when(within, True).otherwise(F.raise_error(F.lit("UPSERT_OTHER_PARTITION")).cast("boolean")))
+                source = _within(source, partition_by, partitions)
             elif all(c in keys for c in partition_by):
                 # other partitions are not written again, but Spark has to look into them
                 touched = source.select(*partition_by).distinct().withColumnsRenamed({c: f"_p_{c}" for c in partition_by})
@@ -293,6 +297,21 @@ def _changed(source: DataFrame, target: DataFrame, keys: list[str], keep_columns
     return source.join(held, reduce(lambda a, b: a & b, on), "left_anti")
 
 
+def _within(source: DataFrame, partition_by: list[str], partitions: list[tuple]) -> DataFrame:
+    """The source; a row of another partition is an error when it is read."""
+    within = F.coalesce(_partition_filter(partition_by, partitions), F.lit(False))
+    return source.filter(F.when(within, True).otherwise(F.raise_error(F.lit("UPSERT_OTHER_PARTITION")).cast("boolean")))
+
+
+def _absent(spark: SparkSession, path: str, partition_by: list[str], partitions: list[tuple]) -> bool:
+    """The table has no folder for its one named partition. One folder appears as a whole
+    when a write commits; values that folder names would escape are not judged."""
+    if len(partitions) != 1 or len(partition_by) != 1:
+        return False
+    value = str(partitions[0][0])
+    return re.fullmatch("[A-Za-z0-9_-]+", value) is not None and not has_path(spark, f"{path}/{partition_by[0]}={value}")
+
+
 def insert_only_into(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
     """Append the source rows whose key the table does not hold yet."""
     spark = source.sparkSession
