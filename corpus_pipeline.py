@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolecall.llm import decontaminate, ngram_join, packing, quality_rules, secret_scan
 from rolecall.llm.queries import TOKENIZER
-from rolecall.sources.sinks import stage
+from rolecall.storage import drop_dir, shared_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -58,7 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The packed pieces. A stage's table goes once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_dir(spark, f"pipeline-{name}")
+        built = function(spark, docs, sf_dir)
+        built.write.parquet(path)
+        if before is not None:
+            drop_dir(spark, before)
+        docs, before = spark.read.schema(built.schema).parquet(path), path
     return docs

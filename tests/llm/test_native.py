@@ -100,6 +100,9 @@ def test_shard_query(spark, tables):
         raw = (TEXTS[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 1, zlib.crc32(raw), "key")
         assert r["grown_shard"] in (r["shard"], 8)
+    for shard in {r["shard"] for r in rows}:
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
 
 
 def test_quality_cleans_lines(docs_of):
