@@ -1,5 +1,7 @@
 """Line-first cleaning and document rules, DataFrame functions only."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rolecall.functions.compute import add_once
@@ -28,9 +30,11 @@ def _chars(text: Column, pattern: str) -> Column:
 
 def ends_in_sign(line: Column) -> Column:
     """A sentence sign is the last character but for closing quotes, brackets and blanks.
-    Cut from the end, so a line of any length is looked at once."""
+    Read from the end, so a line of any length is looked at once; most lines show it by
+    their last character."""
+    last = lambda signs: reduce(lambda a, b: a | b, [line.endswith(c) for c in signs])
     bare = F.rtrim(F.rtrim(line, F.lit(BLANKS)), F.lit(CLOSERS))
-    return F.right(bare, F.lit(1)).isin(*SIGNS)
+    return F.when(last(SIGNS), True).when(~last(BLANKS + CLOSERS), False).otherwise(F.right(bare, F.lit(1)).isin(*SIGNS))
 
 
 def line_passes(line: Column) -> Column:
