@@ -142,7 +142,7 @@ class Shard:
         return doc, impact
 
 
-def build_index(df: DataFrame, size: tuple[int, int], id_column: str = "doc_id", text: str = "text", shard_bytes: int = 1 << 24) -> DataFrame:
+def build_index(df: DataFrame, size: tuple[int, int], id_column: str = "doc_id", text: str = "text", shard_bytes: int = 1 << 23) -> DataFrame:
     """One row per shard of about ``shard_bytes`` of text (one document at least), over
     all terms of all rows. No shuffle: a shard holds documents of one task."""
 
@@ -331,7 +331,7 @@ def _search_block(index: DataFrame, size: tuple[int, int], rows: list, k: int) -
 
 def ranked_search(
     docs: DataFrame, items: DataFrame, k: int = 10, id_column: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", shard_bytes: int = 1 << 24, block_bytes: int = 1 << 24,
+    item_text: str = "text", shard_bytes: int = 1 << 23, block_bytes: int = 1 << 24,
 ) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` documents of each item with the highest
     score above 0; equal scores by ascending id.
