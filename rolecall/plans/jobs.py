@@ -81,8 +81,15 @@ def run_landing(
     and readers of the store take each (path, content_hash) once.
     """
     known = spark.read.schema(MANIFEST).parquet(manifest_path) if path_exists(spark, manifest_path) else spark.createDataFrame([], MANIFEST)
-    found = stage(landed_metadata(spark, landing_path, suffix), "landed")
-    fresh = stage(found.join(known.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti"), "fresh")
+    run = shared_dir(spark, "landing")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{run}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{run}/{name}")
+
+    # one listing of the source for all that follows
+    found = kept(landed_metadata(spark, landing_path, suffix), "found")
+    fresh = kept(found.join(known.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti"), "fresh")
     files, candidates = found.count(), fresh.count()
     blocks = -(-candidates // files_at_once)
     copied, same, failed = 0, 0, []
@@ -90,6 +97,7 @@ def run_landing(
         names = [r["path"] for r in fresh.where(F.pmod(F.xxhash64("path"), F.lit(blocks)) == block).select("path").collect()]
         new, old = _land(spark, names, known, store_path, manifest_path, failed)
         copied, same = copied + new, same + old
+    drop_dir(spark, run)
     counts = (copied, files - candidates + same, candidates - copied - same)
     return spark.createDataFrame([counts], "copied bigint, skipped bigint, failed bigint")
 
@@ -108,8 +116,9 @@ def _land(
     run = shared_dir(spark, "landing")
     try:
         own = spark.createDataFrame([(n,) for n in names], "path string")
-        held = known.join(own, "path", "left_semi").select("path", "content_hash").distinct().withColumn("_held", F.lit(True))
-        read = landed_contents(spark, names).join(stage(held, "held"), ["path", "content_hash"], "left")
+        known.join(own, "path", "left_semi").select("path", "content_hash").distinct().withColumn("_held", F.lit(True)).write.parquet(f"{run}/held")
+        held = spark.read.schema("path string, content_hash string, _held boolean").parquet(f"{run}/held")
+        read = landed_contents(spark, names).join(held, ["path", "content_hash"], "left")
         is_new = F.col("_held").isNull()
         read.withColumns({"is_new": is_new, "content": F.when(is_new, F.col("content"))}).drop("_held").write.partitionBy("is_new").parquet(f"{run}/files")
         noted = spark.read.schema(f"{MANIFEST}, is_new boolean").parquet(f"{run}/files")

@@ -62,6 +62,21 @@ def test_unmarked_rows_are_dropped(spark, tmp_path):
     assert rows(spark.read.schema(DDL).parquet(path), "k") == [("a",)]
 
 
+def test_an_absent_partition_is_written_once(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    sinks.upsert_into(frame(spark, [("a", "01", 1)]), path, ["k", "d"], ["d"])
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_merged", lambda *_: pytest.fail("nothing to merge with"))
+        assert sinks.upsert_into(frame(spark, [("a", "02", 2), ("b", "02", 3)]), path, ["k", "d"], ["d"], partitions=[("02",)])
+        with pytest.raises(Exception, match="UPSERT_OTHER_PARTITION"):
+            sinks.upsert_into(frame(spark, [("a", "02", 2)]), path, ["k", "d"], ["d"], partitions=[("03",)])
+    assert sinks.upsert_into(frame(spark, [("a", "02", 20)]), path, ["k", "d"], ["d"], partitions=[("02",)])
+    assert sinks.upsert_into(frame(spark, [("a", "a/b", 4)]), path, ["k", "d"], ["d"], partitions=[("a/b",)])  # an escaped folder name
+    assert sinks.upsert_into(frame(spark, [("c", "a/b", 5)]), path, ["k", "d"], ["d"], partitions=[("a/b",)])
+    stored = rows(spark.read.schema(DDL).parquet(path), "k", "d", "v")
+    assert stored == [("a", "01", 1), ("a", "02", 20), ("a", "a/b", 4), ("b", "02", 3), ("c", "a/b", 5)]
+
+
 # ---- keyed tables ---------------------------------------------------------
 
 def test_ten_keys_touch_their_buckets_only(spark, tmp_path, monkeypatch):
