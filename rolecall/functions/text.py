@@ -45,14 +45,22 @@ def _fold_tables() -> tuple[str, str, dict[str, str], str]:
         elif plain != char:
             src.append(char)
             dst.append(plain)
-    ranges: list[list[int]] = [[_HANGUL, 0xD7A3]]
-    for code in map(ord, several):
-        if ranges[-1][1] == code - 1:
+    return "".join(src + gone), "".join(dst), several, _class_of([*map(ord, several), *range(_HANGUL, 0xD7A4)])
+
+
+def _class_of(codes: list[int], width: int = 10) -> str:
+    """A regex class of these characters. Ranges stand in groups behind the span of each
+    group: the engine tries all members of a union in turn, and few spans hold a character."""
+    ranges: list[list[int]] = []
+    for code in sorted(codes):
+        if ranges and ranges[-1][1] == code - 1:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
-    expands = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
-    return "".join(src + gone), "".join(dst), several, f"[{expands}]"
+    span = lambda a, b: f"\\x{{{a:X}}}-\\x{{{b:X}}}"
+    groups = [ranges[i : i + width] for i in range(0, len(ranges), width)]
+    guarded = [f"[{span(g[0][0], g[-1][1])}&&[{''.join(span(a, b) for a, b in g)}]]" for g in groups]
+    return f"[{''.join(guarded)}]"
 
 
 def strip_blank(text: Column) -> Column:
@@ -76,9 +84,12 @@ def ascii_fold(text: Column, compat: bool = False, expand: bool = True) -> Colum
     """
     from_, to, several, expands = _fold_tables()
     text = F.coalesce(text.cast(StringType()), F.lit(""))
+    whole = text
     if expand or compat:
-        text = F.when(text.rlike(expands), _expanded(text, several, expands)).otherwise(text)
-    return strip_blank(F.lower(F.translate(text, from_, to)))
+        whole = F.when(text.rlike(expands), _expanded(text, several, expands)).otherwise(text)
+    # as many bytes as characters: ASCII, which folding leaves as it is
+    plain = F.octet_length(text) == F.length(text)
+    return strip_blank(F.lower(F.when(plain, text).otherwise(F.translate(whole, from_, to))))
 
 
 def _expanded(text: Column, several: dict[str, str], expands: str) -> Column:
