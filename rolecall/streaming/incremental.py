@@ -1,14 +1,14 @@
 """New raw files into a Silver table, resumable and idempotent by key."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.window import Window
 
-from rolecall.operators.filters import with_reject_reasons
+from rolecall.operators.dedupe import keep_best_listing
+from rolecall.operators.filters import nonblank_keys, with_reject_reasons
 from rolecall.operators.schema import SILVER_COLUMNS, flatten_envelope, normalise_listings
 from rolecall.sources.readers import RAW_SCHEMA
 from rolecall.sources.sinks import finish_swap, publish_merged, replace_batches, write_merged
-from rolecall.storage import drop_dir, shared_dir
+from rolecall.storage import drop_dir, names_in, shared_dir
 
 INCREMENT = "increment"
 _KEY = ("source", "url")
@@ -20,101 +20,56 @@ def incremental_silver(
 ):
     """Process all raw files that have landed since the last run, then stop.
 
-    Each micro-batch is validated, normalised and deduplicated by (source, url). The
-    stream's state keeps a hash of the last listing of every key, so a batch emits only
-    listings that are new or differ from the stored ones; they are written as one
-    increment: a partition of its own, which a replay replaces. A landing of known
-    listings writes nothing, and nothing that is stored is read or rewritten.
+    Each micro-batch is validated, normalised and deduplicated by (source, url). Only
+    listings that are new or differ from the last stored ones of their key are emitted;
+    they are written as one increment: a partition of its own, which a replay replaces.
+    A landing of known listings writes nothing, and nothing that is stored is rewritten.
     ``current_silver`` shows the last state of every key, and ``compact_silver`` folds the
     increments together from time to time. Rejected rows go to ``quarantine_path`` with
     their reasons, every time they land. Returns the finished query.
 
-    State and progress are one checkpoint: a lost run resumes with both. The state has as
-    many partitions as ``spark.sql.shuffle.partitions`` says at the first run.
+    The checkpoint holds the progress; the state is Silver itself. A micro-batch reads
+    the increments before its own once, so a replay sees what the lost attempt saw.
     """
     finish_swap(spark, silver_path, [INCREMENT])
     reader = spark.readStream.schema(schema).option("multiLine", multi_line).option("recursiveFileLookup", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     judged = with_reject_reasons(flatten_envelope(reader.json(raw_path)))
-    rejects = judged.schema
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         path = shared_dir(spark, "increment")
-        batch.write.parquet(path)  # the state is asked once
-        rows = spark.read.schema(batch.schema).parquet(path).withColumn(INCREMENT, F.lit(batch_id).cast("bigint"))
-        silver = rows.filter(F.col("_reject").isNull()).select(*SILVER_COLUMNS, INCREMENT)
-        rejected = rows.filter(F.col("_reject").isNotNull()).select(F.from_json("_reject", rejects).alias("r"), INCREMENT)
-        replace_batches(silver, silver_path, (INCREMENT,), rebalance=False)
-        replace_batches(rejected.select("r.*", INCREMENT), quarantine_path, (INCREMENT,), rebalance=False)
+        batch.write.parquet(path)  # raw files are read and judged once
+        rows = spark.read.schema(batch.schema).parquet(path)
+        number = F.lit(batch_id).cast("bigint")
+        clean = F.size("reject_reasons") == 0
+        silver = new_or_changed(spark, rows.filter(clean), silver_path, batch_id)
+        replace_batches(silver.withColumn(INCREMENT, number), silver_path, (INCREMENT,), rebalance=False)
+        replace_batches(rows.filter(~clean).withColumn(INCREMENT, number), quarantine_path, (INCREMENT,), rebalance=False)
         drop_dir(spark, path)
 
     query = (
-        new_or_changed(judged).writeStream.foreachBatch(apply).outputMode("update")
+        judged.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
     return query
 
 
-def new_or_changed(judged: DataFrame) -> DataFrame:
-    """Silver rows of a stream of judged listings, each key's best of a micro-batch where
-    it differs from the last one emitted, and every rejected row as JSON in ``_reject``."""
-    reject = F.when(F.size("reject_reasons") > 0, F.to_json(F.struct(*judged.columns)))
-    rows = normalise_listings(judged.withColumn("_reject", reject), "posted", "accented", trim_keys=True, keep=("_reject",))
-    kept = rows.filter(F.col("_reject").isNotNull() | (F.length(F.trim("title")) > 0) & (F.length(F.trim("url")) > 0))
-    keyed = kept.withColumns({
-        "_hash": F.xxhash64(*SILVER_COLUMNS), "_score": F.coalesce("max_salary", "min_salary", F.lit(0.0)).cast("double"),
-        "_a": F.when(F.col("_reject").isNull(), F.col("source")).otherwise(""),
-        "_b": F.when(F.col("_reject").isNull(), F.col("url")).otherwise(F.xxhash64("_reject").cast("string")),
-        "_bad": F.col("_reject").isNotNull(),
-    })
-    # the order of ``keep_best_listing``: highest salary, then title and all other columns, NULLs first
-    order = ["title", *(c for c in SILVER_COLUMNS if c not in (*_KEY, "title"))]
-    names = keyed.columns
-
-    # Nested, so that executors receive them by value and need no package install.
-    def best_of_part(batches):
-        """One row a key from each Arrow batch, so that a hot key sends few rows on."""
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            yield from table.filter(table["_bad"]).to_batches()
-            good = table.filter(pc.invert(table["_bad"])).combine_chunks()
-            if not good.num_rows:
-                continue
-            by = [("_a", "ascending"), ("_b", "ascending"), ("_score", "descending"), *((c, "ascending") for c in order)]
-            good = good.take(pc.sort_indices(good, sort_keys=by, null_placement="at_start"))
-            first = np.ones(good.num_rows, bool)
-            same = [pc.equal(good[c][1:], good[c][:-1]).to_numpy() for c in ("_a", "_b")]
-            first[1:] = ~(same[0].astype(bool) & same[1].astype(bool))
-            yield from good.filter(pa.array(first)).to_batches()
-
-    def newer(key, frames, state):
-        import pandas as pd
-
-        if key[2]:
-            yield from frames
-            return
-        best = None
-        places = [names.index(c) for c in order]
-        score, content = names.index("_score"), names.index("_hash")
-        for frame in frames:
-            for row in frame.itertuples(index=False, name=None):
-                rank = (-row[score], *((0, "") if pd.isna(row[p]) else (1, row[p]) for p in places))
-                if best is None or rank < best[0]:
-                    best = rank, row
-        now = int(best[1][content])
-        if not state.exists or state.get[0] != now:
-            state.update((now,))
-            yield pd.DataFrame([best[1]], columns=names)
-
-    return keyed.mapInArrow(best_of_part, keyed.schema).groupBy("_a", "_b", "_bad").applyInPandasWithState(
-        newer, keyed.schema, "hash bigint", "update", GroupStateTimeout.NoTimeout
-    )
+def new_or_changed(spark: SparkSession, clean: DataFrame, silver_path: str, batch_id: int) -> DataFrame:
+    """Silver rows of a micro-batch's clean listings: each key's best, where it differs
+    from the last listing of its key in the increments before ``batch_id``."""
+    rows = nonblank_keys(normalise_listings(clean, "posted", "accented", trim_keys=True))
+    best = keep_best_listing(rows, _KEY)
+    before = [n for n in names_in(spark, silver_path) if n.startswith(f"{INCREMENT}=") and int(n.split("=")[1]) < batch_id]
+    if not before:
+        return best
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in best.schema.fields]
+    stored = spark.read.schema(", ".join([*columns, f"{INCREMENT} bigint"])).parquet(silver_path).filter(F.col(INCREMENT) < batch_id)
+    held = stored.select(*[F.col(k).alias(f"_{k}") for k in _KEY], F.xxhash64(*SILVER_COLUMNS).alias("_held"), INCREMENT)
+    last = held.groupBy(*[f"_{k}" for k in _KEY]).agg(F.max_by("_held", INCREMENT).alias("_held"))
+    on = [F.col(k) == F.col(f"_{k}") for k in _KEY] + [F.xxhash64(*SILVER_COLUMNS) == F.col("_held")]
+    return best.join(last, on, "left_anti")
 
 
 def _increments(spark: SparkSession, silver_path: str) -> DataFrame:

@@ -263,6 +263,21 @@ def test_hot_key_keeps_the_best_of_a_batch(spark, tmp_path):
     assert stored() == {0: 2} and (best.title, best.salary_raw) == (expected.title, expected.salary_raw)
 
 
+def test_listings_keep_no_stream_state(spark, tmp_path):
+    """Silver itself tells what is new: no row goes through a state store or Python."""
+    land, run, stored = stream(spark, tmp_path)
+    land("1.json", [("A", "https://a/1", None), (None, "https://a/2", None), (" ", "https://a/3", None), ("F", "ftp://a", None)])
+    run()
+    land("2.json", [("A", " https://a/1 ", None), ("A", "https://a/2", None), ("B", "https://a/2", "1 - 2 USD")])
+    run()
+    assert not (tmp_path / "progress" / "state").exists()
+    assert stored() == {0: 1, 1: 1}
+    rejected = spark.read.parquet(f"{tmp_path}/rejected")
+    assert rows(rejected.selectExpr("array_join(reject_reasons, ',') as r", "increment"), "r", "increment") == [
+        ("title_missing", 0), ("url_not_http", 0), ("url_not_http", 1)
+    ]
+
+
 @pytest.mark.parametrize("step", ["before the swap", "in the swap", "after it"])
 def test_lost_compaction_loses_no_row(spark, tmp_path, monkeypatch, step):
     path = f"{tmp_path}/silver"
