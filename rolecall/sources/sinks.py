@@ -4,7 +4,7 @@ import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rolecall.operators.quality import require_rows
 from rolecall.operators.upsert import insert_only, upsert
@@ -360,35 +360,39 @@ def batch_envelopes(
     listings each; ``total`` counts the listings of the envelope.
 
     A batch of any size is spread over as many envelopes as it needs. Records are
-    assigned by content hash, and equal records by input partition and copy number,
-    so neither a big batch nor a mass of copies ends up in one row or one task, and
-    a retried task assigns every record as before.
+    dealt to chunks by content hash and input partition in one shuffle, and a chunk that
+    a mass of copies makes longer is cut in its content's order. So neither a big batch
+    nor a mass of copies ends up in one row, no task gets more copies of a record than
+    a task has read, and a retried task assigns every record as before.
     """
     batch = list(batch)
     fields = [c for c in df.columns if c not in batch]
-    # copies are counted within their input partition, which bounds each count
-    copies = df.withColumn("_part", F.spark_partition_id()).groupBy(*batch, *fields, "_part").agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
     sizes = df.groupBy(*batch).agg(F.ceil(F.count(F.lit(1)) / F.lit(target_records)).alias("_chunks")).withColumnsRenamed(
         {c: f"_b_{c}" for c in batch}
     )
     on = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in batch]
-    each = copies.join(sizes, on).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-    chunk = F.pmod(F.xxhash64("_part", "_copy", *fields), F.col("_chunks"))
+    content = df.withColumns({"_part": F.spark_partition_id(), "_content": F.xxhash64(*fields)})
+    # one row per batch: without the hint the records would be shuffled to meet them
+    each = content.join(F.broadcast(sizes), on).withColumn("_chunk", F.pmod(F.xxhash64("_part", "_content"), F.col("_chunks")))
+    place = F.row_number().over(Window.partitionBy(*batch, "_chunk").orderBy("_content"))
+    most = max(1, target_records * 3 // 2)
     return (
-        each.withColumn("_chunk", chunk)
-        .groupBy(*batch, "_chunk")
+        each.select(*batch, *fields, "_chunk", F.floor((place - 1) / F.lit(most)).alias("_cut"))
+        .groupBy(*batch, "_chunk", "_cut")
         .agg(F.count(F.lit(1)).alias("total"), F.collect_list(F.struct(*fields)).alias(items))
-        .drop("_chunk")
+        .drop("_chunk", "_cut")
     )
 
 
+#: Raw JSON repeats its field names in every record; readers go by the files' suffix.
+RAW_COMPRESSION = "gzip"
+
+
 def write_envelopes(df: DataFrame, path: str, scraped_at: str | None = None, records: DataFrame | None = None) -> None:
-    """Envelopes as JSON, one object per line, under one folder per batch. Empty
+    """Envelopes as gzipped JSON, one object per line, under one folder per batch. Empty
     input is an error; ``records``, from which the envelopes are built, is cheaper to ask."""
     require_rows(df if records is None else records, "NO_RECORDS")
     stamped = df.withColumn("scraped_at", F.lit(scraped_at)) if scraped_at else df
     # the columns stay in the objects too, as the folders copy them
     folders = stamped.withColumns({"p_source": F.col("source"), "p_batch_date": F.col("batch_date")})
-    folders.hint("rebalance", "p_source", "p_batch_date").write.mode("overwrite").partitionBy("p_source", "p_batch_date").json(path)
+    folders.hint("rebalance", "p_source", "p_batch_date").write.mode("overwrite").partitionBy("p_source", "p_batch_date").json(path, compression=RAW_COMPRESSION)

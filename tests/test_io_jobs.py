@@ -231,6 +231,22 @@ def test_envelopes_split_hot_batches_and_copies(spark, rows_of):
         sinks.write_envelopes(sinks.batch_envelopes(hot.limit(0)), shared_dir(spark, "none"))
 
 
+def test_envelopes_shuffle_their_records_once(spark, tmp_path, rows_of):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 3 > 0, "itviec").alias("source"), F.lit(BATCH).alias("batch_date"), F.lit("same").alias("title"),
+        F.array(F.lit("a")).alias("tags"),
+    )
+    plan = sinks.batch_envelopes(rows, target_records=100)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the batches' sizes, and the records
+    envelopes = sinks.batch_envelopes(rows.coalesce(1), target_records=100)
+    sizes = [r.total for r in envelopes.collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 150
+    sinks.write_envelopes(envelopes, f"{tmp_path}/raw")
+    assert list((tmp_path / "raw").rglob("*.json.gz")) and not list((tmp_path / "raw").rglob("*.json"))
+    back = spark.read.json(f"{tmp_path}/raw").select("source", F.explode("jobs.title").alias("title"))
+    assert rows_of(back) == rows_of(rows.select("source", "title"))
+
+
 def test_quarantine_keeps_rows_without_source(spark, tmp_path):
     df = spark.createDataFrame([(None, "t"), ("itviec", "u")], "source string, title string")
     sinks.quarantine(df, f"{tmp_path}/q")
