@@ -8,9 +8,11 @@ def keep_first(df: DataFrame, keys, order: list, tie_breakers=None) -> DataFrame
     """The first row of each key by ``order``, then by ``tie_breakers`` (default:
     every other orderable column), so that reruns and other partitionings agree.
 
-    ``row_number() = 1`` is planned with a limit below the shuffle: each map task
-    sends one row per key, so a key holding a third of all rows costs no more
-    than any other.
+    ``row_number() = 1`` is planned with a limit below the shuffle, which sorts what a
+    task has read. Rows are rebalanced by key before that: a scan's task may hold more
+    rows than it can sort in memory, and other rows of its keys than other tasks. Parts
+    are small then and hold whole keys, so one row per key goes on; a key with a third
+    of all rows is split over many parts, each of which sends one row.
     """
     if tie_breakers is None:
         tie_breakers = [
@@ -19,7 +21,9 @@ def keep_first(df: DataFrame, keys, order: list, tie_breakers=None) -> DataFrame
         ]
     total = list(order) + [F.col(c).asc_nulls_first() for c in tie_breakers]
     window = Window.partitionBy(*keys).orderBy(*total)
-    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
+    # by a hash of the key, since parts dealt by the key itself are ranked as they lie, unsplit
+    dealt = df.withColumn("_dealt", F.xxhash64(*keys)).hint("rebalance", "_dealt").drop("_dealt")
+    return dealt.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def salary_score() -> Column:

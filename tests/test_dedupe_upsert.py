@@ -55,6 +55,16 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange
 
 
+def test_rows_are_dealt_by_key_before_they_are_sorted(spark, rows_of):
+    """A scan's task sorts nothing: the limit below the shuffle works on rebalanced parts,
+    and parts of a hot key may be split, since the ranking shuffles once more."""
+    plan = keep_best_listing(listings(spark))._jdf.queryExecution().executedPlan().toString()
+    ranked, partial = plan.index("hashpartitioning(url"), plan.index("Partial")
+    assert ranked < partial < plan.index("REBALANCE_PARTITIONS_BY_COL")
+    nulls = listings(spark).withColumn("url", F.lit(None).cast("string"))
+    assert rows_of(keep_best_listing(nulls)) == brute_best(nulls.collect())
+
+
 def test_first_seen_falls_back_to_the_title(spark, rows_of):
     df = spark.createDataFrame(
         [(3, "", "A"), (1, "", "A"), (2, "u", "B"), (4, "u", "C"), (5, None, "A"), (6, None, "u")], "seq int, url string, title string"
