@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from .text import BLANK, contains_any, strip_blank
+from .text import BLANK, contains_any, fold_blanks, strip_blank
 
 # Texts that tell why a page shows no listings, lower case.
 BLOCK_MARKERS = (
@@ -80,8 +80,12 @@ def salary_placeholder(
 ) -> Column:
     """``missing`` for no salary; a text with the sign-in prompt (case ignored)
     reads 'Login to view'. ``collapse`` folds inner blanks to one space."""
-    shown = strip_blank(F.regexp_replace(text, f"{BLANK}+", " ") if collapse else text)
-    label = F.when(text.isNull(), missing)
+    return salary_label(fold_blanks(text) if collapse else strip_blank(text), missing, hidden_prompt)
+
+
+def salary_label(shown: Column, missing: str = "Negotiable", hidden_prompt: str | None = "sign in") -> Column:
+    """As ``salary_placeholder``, over a stripped text (NULL for no salary)."""
+    label = F.when(shown.isNull(), missing)
     if hidden_prompt is not None:
         label = label.when(F.lower(shown).contains(hidden_prompt), "Login to view")
     return label.otherwise(shown)

@@ -68,6 +68,11 @@ def strip_blank(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANK_CHARACTERS))
 
 
+def fold_blanks(text: Column) -> Column:
+    """Runs of blanks to one space, ends cut; then only spaces are left to cut."""
+    return F.trim(F.regexp_replace(text, f"{BLANK}+", " "))
+
+
 def contains_any(text: Column, phrases) -> Column:
     """Any of the phrases occurs (plain searches beat one alternation pattern)."""
     return reduce(lambda a, b: a | b, [text.contains(p) for p in phrases])

@@ -10,9 +10,9 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 
 from rolecall.functions.compute import add_once
 from rolecall.functions.pages import (
-    WORK_TYPES, body_text, canonical_url, outcome_of_text, page_title, pattern_count, salary_placeholder, shown_text,
+    WORK_TYPES, body_text, canonical_url, outcome_of_text, page_title, pattern_count, salary_label, shown_text,
 )
-from rolecall.functions.text import BLANK, ordered_unique_tags, strip_blank
+from rolecall.functions.text import fold_blanks, ordered_unique_tags, strip_blank
 
 from . import card_tags
 
@@ -70,14 +70,14 @@ def read_page_cards(df: DataFrame, profile: dict, html: str = "html", keep=("pag
     ).otherwise(-1)
     source = df.select(*[F.col(c).alias(n) for c, n in names.items()], number.alias("_site"), F.col(html).alias("_html"))
     compiled = [card_tags.compile_profile(p, _SINGLE, _MULTIPLE) for p in profiles.values()]
-    single, multiple, read_cards, kept = _SINGLE, _MULTIPLE, card_tags.read_cards, list(names.values())
+    single, multiple, card_columns, kept = _SINGLE, _MULTIPLE, card_tags.card_columns, list(names.values())
 
     # Nested, so that executors receive it by value.
     def cards(batches):
         for batch in batches:
-            row, _, fields = read_cards(batch["_html"], np.asarray(batch["_site"]), compiled, single, multiple)
+            row, _, fields = card_columns(batch["_html"], np.asarray(batch["_site"]), compiled, single, multiple)
             columns = [batch[c].take(pa.array(row)) for c in kept]
-            columns += [pa.array(fields[n], pa.string()) for n in single] + [pa.array(fields[n], pa.list_(pa.string())) for n in multiple]
+            columns += [fields[n] for n in (*single, *multiple)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *single, *multiple])
 
     schema = StructType([source.schema[c] for c in kept])
@@ -94,7 +94,7 @@ def html_listing_extract(
     """Listing records of crawled pages; a card without a title gives none. ``site`` and
     ``profile`` are those of ``read_page_cards``."""
     profiles = {None: profile} if site is None else profile
-    collapse = lambda c: strip_blank(F.regexp_replace(F.coalesce(c, F.lit("")), f"{BLANK}+", " "))
+    collapse = lambda c: fold_blanks(F.coalesce(c, F.lit("")))
 
     def by_site(value) -> Column:
         if site is None:
@@ -102,18 +102,20 @@ def html_listing_extract(
         named = site if site.startswith("page_") else f"page_{site}"
         return F.coalesce(*[F.when(F.col(named) == name, value(p)) for name, p in profiles.items()])
 
-    found = read_page_cards(df, profile, html, keep, site).filter(strip_blank(F.col("title")) != "")
+    # both are read several times below: columns of their own, so that they are worked out once
+    read = read_page_cards(df, profile, html, keep, site)
+    found = add_once(read, {"_title": strip_blank(F.col("title")), "_salary": fold_blanks(F.col("salary"))}).filter(F.col("_title") != "")
     listed = F.coalesce(F.get(F.filter("work_types", lambda t: t.isin(*WORK_TYPES)), F.lit(0)), F.lit(""))
     page_columns = [c for c in found.columns if c.startswith("page_")]
     return found.select(
         *page_columns,
         by_site(lambda p: F.lit(keyword or p.get("keyword")).cast("string")).alias("keyword"),
-        strip_blank(F.col("title")).alias("title"),
+        F.col("_title").alias("title"),
         by_site(lambda p: canonical_url(F.coalesce("url", F.lit("")), p.get("host"))).alias("url"),
         collapse(F.col("company")).alias("company"),
         collapse(F.col("location")).alias("location"),
         by_site(lambda p: F.lit(p["work_type"]) if "work_type" in p else listed).alias("work_type"),
-        by_site(lambda p: salary_placeholder(F.col("salary"), p["salary_missing"], p.get("sign_in"), True)).alias("salary"),
+        by_site(lambda p: salary_label(F.col("_salary"), p["salary_missing"], p.get("sign_in"))).alias("salary"),
         ordered_unique_tags(F.col("tags")).alias("tags"),
         collapse(F.col("posted")).alias("posted"),
     )

@@ -154,6 +154,23 @@ def test_cards_by_offsets_as_by_trees(monkeypatch, step):
         assert got == (by_trees(page, profiles[site]) if site >= 0 else []), page
 
 
+def test_selectors_are_tried_on_shapes_of_tags():
+    profile = card_tags.compile_profile(cards.CARD_PROFILES["itviec"], cards._SINGLE, cards._MULTIPLE)
+    many = pa.array([FIRST_SITE.replace("x.test/a?lab=1", f"x.test/{i}?a=&#{65 + i % 9};&amp;b") for i in range(500)])
+    (_, tags), *_ = card_tags._steps(many, card_tags._tested(profile))
+    assert len(tags.attributes) > 500 and len(tags.shapes) < 20
+    row, _, fields = card_tags.card_columns(many, np.zeros(500, int), [profile], cards._SINGLE, cards._MULTIPLE)
+    assert all(isinstance(c, pa.Array) and len(c) == len(row) == 1500 for c in fields.values())
+    assert fields["url"][3].as_py() == "https://x.test/1?a=B&b" and fields["tags"][0].as_py() == ["Kafka", "Kafka", "SQL"]
+
+
+def test_salary_is_folded_once(spark):
+    df = spark.createDataFrame([(1, "u", "itviec", FIRST_SITE)], "page_id int, url string, page_site string, html string")
+    out = cards.html_listing_extract(df, cards.CARD_PROFILES, keep=("page_id", "page_site"), site="page_site").select("salary")
+    assert out.first()[0] == "Login to view"
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(salary") == 1
+
+
 @pytest.mark.parametrize("piece", ['<a"', "<a ", "<!--", "<script>", "<p>", "<div><p></div>", "<div>", "</span>", '<b c="', "<"])
 def test_odd_pages_take_linear_time(piece):
     begin = time.perf_counter()
