@@ -1,5 +1,6 @@
-"""Arrow batches that are sorted by a key, group after group."""
+"""Arrow batches that are sorted by a key, group after group, and the memory they leave."""
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,3 +25,12 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
             held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def give_back() -> None:
+    """Unused memory of this Python worker goes back to the system: Arrow and the C library
+    keep it, and a worker lives on from stage to stage beside its executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)

@@ -22,6 +22,7 @@ def token_pieces(
     """
 
     def cut(arrow):
+        batches.give_back()  # what another stage left in this worker
         encoder = tokens.encoder(tokenizer)
         for batch in arrow:
             names = batch["id"]
@@ -45,6 +46,7 @@ def token_pieces(
                     ],
                     ["id", "piece", "start", "length", "ids"],
                 )
+            batches.give_back()
 
     source = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
     return source.mapInArrow(cut, "id bigint, piece int, start bigint, length bigint, ids binary").withColumnRenamed("id", id_column)

@@ -15,12 +15,17 @@ from rolecall.llm import wordbytes
 _SIGN = np.array([chr(b) in ",.!?;:" for b in range(256)])
 _PLAIN = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 
+#: Bytes of text encoded at once, and words given to the tokenizer at once: what it returns takes some
+#: hundred bytes a token until its ids are copied, and a worker keeps the most memory that it once had.
+STEP_BYTES = 1 << 18
+LEARN_WORDS = 4096
+
 
 class WordTable:
     """Hashes to entry numbers: open addressing, all steps on whole arrays. A table that is
     full should be cleared between steps; one step may add any number of hashes."""
 
-    def __init__(self, bits: int = 21):
+    def __init__(self, bits: int = 20):
         self.limit = 1 << bits >> 1
         self.size = 0
         self._make(1 << bits)
@@ -92,7 +97,7 @@ class Encoder:
     def encode(self, column):
         """For each step of the column: (first row, ids, offsets of the rows' ids)."""
         data, offsets = wordbytes.utf8(column)
-        for first, last in wordbytes.steps(offsets):
+        for first, last in wordbytes.steps(offsets, STEP_BYTES):
             part = data[offsets[first] : offsets[last]]
             signs = _SIGN[part]
             signs[1:] &= _PLAIN[part[:-1]]
@@ -107,8 +112,9 @@ class Encoder:
                 unknown, at = np.unique(hashes[new], return_index=True)
                 raw = part.tobytes()
                 begin, end = words.start[new[at]].tolist(), words.end[new[at]].tolist()
-                for k in range(0, len(unknown), 50_000):
-                    self._learn(unknown[k : k + 50_000], [raw[a:b].decode() for a, b in zip(begin[k : k + 50_000], end[k : k + 50_000], strict=True)])
+                for k in range(0, len(unknown), LEARN_WORDS):
+                    some = slice(k, k + LEARN_WORDS)
+                    self._learn(unknown[some], [raw[a:b].decode() for a, b in zip(begin[some], end[some], strict=True)])
                 entry[new] = self.table.find(hashes[new])
             size = self.start[entry + 1] - self.start[entry]
             ends = np.concatenate([[0], np.cumsum(size)])

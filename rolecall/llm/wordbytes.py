@@ -14,6 +14,9 @@ import pyarrow.compute as pc
 #: Bytes handled at once; longer runs of bytes are handled in several steps.
 STEP_BYTES = 1 << 20
 
+#: Bytes whose words are hashed at once, in arrays of 8 bytes for each.
+HASH_BYTES = 1 << 17
+
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -104,8 +107,8 @@ def hash_words(data: np.ndarray, words: Words) -> np.ndarray:
     first = 0
     while first < len(out):
         low = words.start[first]
-        last = max(first + 1, int(np.searchsorted(words.end, low + STEP_BYTES, "right")))
-        up, down = _powers_to(max(STEP_BYTES, int(words.end[last - 1] - low)))
+        last = max(first + 1, int(np.searchsorted(words.end, low + HASH_BYTES, "right")))
+        up, down = _powers_to(max(HASH_BYTES, int(words.end[last - 1] - low)))
         part = data[low : words.end[last - 1]]
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_OF_BYTE[part] * up[: len(part)], out=sums[1:])

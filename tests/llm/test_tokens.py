@@ -1,7 +1,10 @@
 """Word-wise ids against the tokenizer itself, packing, and the store's round trip."""
 
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -171,3 +174,21 @@ def test_packing_with_names_that_clash(spark):
     for parts in by.values():
         parts.sort()
         assert parts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:], strict=False)) and sum(parts[-1]) <= 4096
+
+
+def test_memory_of_a_worker_stays_small():
+    """Arrays of the words' hashes and ids are made for a part of a batch at a time."""
+    words = np.random.default_rng(5).integers(0, 1 << 40, 250_000).astype(str)
+    texts = pa.array([" ".join(words[k : k + 500]) for k in range(0, len(words), 500)])
+    code = (
+        "import sys, tracemalloc, numpy, pyarrow as pa\n"
+        "from rolecall.llm import tokens, wordbytes\n"
+        "texts = pa.array(sys.stdin.read().split('\\n'))\n"
+        f"encoder = tokens.Encoder({TOKENIZER!r})\n"
+        "tracemalloc.start()\n"
+        "for _ in encoder.encode(texts): pass\n"
+        "print(tracemalloc.get_traced_memory()[1] >> 20)\n"
+    )
+    root = Path(tokens.__file__).resolve().parents[2]
+    told = subprocess.run([sys.executable, "-c", code], input="\n".join(texts.to_pylist()), capture_output=True, text=True, check=True, cwd=root)
+    assert int(told.stdout) < 48, told.stdout
