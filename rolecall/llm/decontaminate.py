@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rolecall.llm import sketches, wordbytes
+from rolecall.llm import batches, sketches, wordbytes
 
 #: What parts words here: every ASCII character but letters and digits.
 BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -281,6 +281,8 @@ def _hits_of(docs: DataFrame, text: str, index: Index) -> Column:
 
     @F.arrow_udf(HIT)
     def search(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.search(texts), _HIT)
+        hits = pa.array(shared.value.search(texts), _HIT)
+        batches.give_back()
+        return hits
 
     return search(F.col(text))

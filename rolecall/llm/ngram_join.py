@@ -290,6 +290,7 @@ def ngram_components(
                 [batch["id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), _lists(rare), _lists(long)],
                 ["id", "text_hash", "n", "node", "rare", "long"],
             )
+            batches.give_back()
 
     sets = stage(docs.mapInArrow(describe, "id bigint, text_hash bigint, n bigint, node bigint, rare array<bigint>, long array<bigint>"), "sets")
     named = sets.where("id is not null and n > 0")
@@ -317,6 +318,7 @@ def ngram_components(
             if len(seen) > 1_000_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(texts, pa.binary())], ["node", "packed"])
+            batches.give_back()
 
     # the filter lets other rows pass: other sets join nothing, and of equal sets one text meets the blocks
     texts = docs.select("id", "text").mapInArrow(packed, "node bigint, packed binary").dropDuplicates(["node"])

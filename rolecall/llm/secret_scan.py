@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rolecall.llm import wordbytes
+from rolecall.llm import batches, wordbytes
 
 
 #: Pieces of text that are stepped through side by side, at least; fewer go one by one.
@@ -439,6 +439,7 @@ def redact_secrets(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
         found = shared.value.spans(texts)
+        batches.give_back()
         changed = [i for i, spans in enumerate(found) if spans]
         # the other texts of the batch stay Arrow memory
         new = pa.array([_redacted(texts[i].as_py(), found[i], mark) for i in changed], texts.type)

@@ -192,3 +192,24 @@ def test_memory_of_a_worker_stays_small():
     root = Path(tokens.__file__).resolve().parents[2]
     told = subprocess.run([sys.executable, "-c", code], input="\n".join(texts.to_pylist()), capture_output=True, text=True, check=True, cwd=root)
     assert int(told.stdout) < 48, told.stdout
+
+
+def test_freed_memory_goes_back_to_the_system():
+    code = (
+        "import pyarrow as pa\n"
+        "from rolecall.llm import batches\n"
+        "def held():\n"
+        "    with open('/proc/self/statm') as f: return int(f.read().split()[1]) >> 8\n"
+        "batches.give_back()\n"
+        "before = held()\n"
+        "rows = [str(k) * 20 for k in range(400_000)]\n"
+        "arrays = [pa.array(rows[k : k + 2000]) for k in range(0, len(rows), 2000)]\n"
+        "most = held()\n"
+        "del rows, arrays\n"
+        "batches.give_back()\n"
+        "print(most - before, held() - before)\n"
+    )
+    root = Path(tokens.__file__).resolve().parents[2]
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=root)
+    most, left = map(int, told.stdout.split())
+    assert most > 80 and left < most / 3, told.stdout
