@@ -3,6 +3,10 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import MapType, VariantType
 
+#: A shuffle into so many parts (``spark.shuffle.sort.bypassMergeThreshold``) is written as rows
+#: come. Into more, a task gathers its rows in memory first and spills what does not fit.
+DEALT_PARTS = 200
+
 
 def keep_first(df: DataFrame, keys, order: list, tie_breakers=None) -> DataFrame:
     """The first row of each key by ``order``, then by ``tie_breakers`` (default:
@@ -12,7 +16,9 @@ def keep_first(df: DataFrame, keys, order: list, tie_breakers=None) -> DataFrame
     task has read. Rows are rebalanced by key before that: a scan's task may hold more
     rows than it can sort in memory, and other rows of its keys than other tasks. Parts
     are small then and hold whole keys, so one row per key goes on; a key with a third
-    of all rows is split over many parts, each of which sends one row.
+    of all rows is split over many parts, each of which sends one row. They are no more
+    than ``DEALT_PARTS`` until Spark splits the large ones, so that this shuffle does not
+    spill either, however many rows a scan's task reads.
     """
     if tie_breakers is None:
         tie_breakers = [
@@ -22,7 +28,8 @@ def keep_first(df: DataFrame, keys, order: list, tie_breakers=None) -> DataFrame
     total = list(order) + [F.col(c).asc_nulls_first() for c in tie_breakers]
     window = Window.partitionBy(*keys).orderBy(*total)
     # by a hash of the key, since parts dealt by the key itself are ranked as they lie, unsplit
-    dealt = df.withColumn("_dealt", F.xxhash64(*keys)).hint("rebalance", "_dealt").drop("_dealt")
+    parts = min(DEALT_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = df.withColumn("_dealt", F.xxhash64(*keys)).hint("rebalance", parts, "_dealt").drop("_dealt")
     return dealt.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 

@@ -1,5 +1,7 @@
 """Deterministic dedupe and MERGE semantics, against brute force."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +67,22 @@ def test_rows_are_dealt_by_key_before_they_are_sorted(spark, rows_of):
     assert rows_of(keep_best_listing(nulls)) == brute_best(nulls.collect())
 
 
+def test_dealing_does_not_spill_with_many_shuffle_partitions(spark, rows_of):
+    """Above 200 parts a scan's task gathers its rows in memory before it writes them."""
+    df, before = listings(spark), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "400")
+        once = keep_best_listing(df)
+        plan = once._jdf.queryExecution().executedPlan().toString()
+        assert re.findall(r"hashpartitioning\(_dealt#\d+L?, (\d+)\), REBALANCE_PARTITIONS_BY_COL", plan) == ["200"]
+        assert re.findall(r"hashpartitioning\(url#\d+, (\d+)\)", plan) == ["400"]
+        assert rows_of(once) == brute_best(df.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    plan = keep_best_listing(df)._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\(_dealt#\d+L?, (\d+)\)", plan) == [before]
+
+
 def test_first_seen_falls_back_to_the_title(spark, rows_of):
     df = spark.createDataFrame(
         [(3, "", "A"), (1, "", "A"), (2, "u", "B"), (4, "u", "C"), (5, None, "A"), (6, None, "u")], "seq int, url string, title string"
