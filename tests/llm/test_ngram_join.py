@@ -112,3 +112,81 @@ def test_links_of_block_chain():
     sets = [np.arange(i, i + 40, dtype=np.uint64) for i in range(0, 30, 3)]
     links = list(ngram_join.links_of_block(sets, 85))
     assert len(links) == len(sets) - 1
+
+
+def test_screen_keeps_what_links():
+    """Sets of many sizes: no pair that links is lost, sets that meet by chance are dropped."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    blocks, kinds = [], []
+    for size in (1, 7, 40, 63, 64, 65, 120, 130, 500, 1000, 1030):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        near = [np.append(base[k:], rng.integers(0, 1 << 63, more, dtype=np.uint64)) for k, more in ((0, size // 9), (size // 14, size // 14))]
+        chance = [np.append(base[:2], rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(3)]
+        blocks.append([base, *near, *chance])
+        kinds.append([True] * 3 + [False] * 3)
+    sets = [np.unique(x) for block in blocks for x in block]
+    n = np.array([len(x) for x in sets])
+    parity = pa.array(map(ngram_join.parities, sets), pa.binary())
+    begins = np.arange(0, len(sets), 6)
+    everyone = np.ones(len(sets), bool)
+    may = ngram_join.may_link(begins, n, parity, everyone, 85).tolist()
+    linked = [any(100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y)) for j, y in enumerate(sets) if j != k and j // 6 == k // 6) for k, x in enumerate(sets)]
+    assert all(m for m, there in zip(may, linked, strict=True) if there) and sum(linked) >= 20
+    # of those that share two tokens by chance, hardly one is left
+    assert sum(m for m, k in zip(may, sum(kinds, []), strict=True) if not k) <= 3
+    # with one far set a block (its first one) only pairs with that one count
+    first = np.arange(len(sets)) % 6 == 0
+    with_first = [any(100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y)) for j, y in enumerate(sets) if j != k and j // 6 == k // 6 and 0 in (j % 6, k % 6)) for k, x in enumerate(sets)]
+    some = ngram_join.may_link(begins, n, parity, first, 85).tolist()
+    assert all(m for m, there in zip(some, with_first, strict=True) if there)
+
+
+def test_sets_that_meet_by_chance_bring_no_text(docs_of, monkeypatch):
+    """Only sets that may link have their texts brought to a block, and the result is that of all pairs."""
+    rng = random.Random(8)
+    shared = [f"s{k}" for k in range(5)]
+    rows = [(k, " ".join([*shared, *(f"w{rng.randrange(10**6)}" for _ in range(60))])) for k in range(0, 200, 2)]
+    rows += [(k + 1, f"{text} end") for k, text in rows[:10]]
+    search, met = ngram_join._search, []
+    monkeypatch.setattr(ngram_join, "_search", lambda blocks, *a: met.extend(tuple(r) for r in blocks.select("lead", "part", "node").collect()) or search(blocks, *a))
+    monkeypatch.setattr(ngram_join, "SKETCH", 16)  # no shingle is told to be rare
+    assert found(ngram_join.ngram_components(docs_of(rows))) == brute_force(rows)
+    assert len({node for _, _, node in met}) <= 30  # 20 of 110 are linked
+
+
+@pytest.mark.parametrize("screened", [0, 1e5])
+def test_screened_or_not(docs_of, monkeypatch, screened):
+    """Blocks above the limit are searched as they are, in parts too, with the same result."""
+    monkeypatch.setattr(ngram_join, "SCREENED", screened)
+    rows = corpus(5, groups=3, copies=40)
+    assert found(ngram_join.ngram_components(docs_of(rows), block_tokens=600)) == brute_force(rows)
+
+
+def test_divide_skip_as_counted(monkeypatch):
+    """Sets in enough lists, with every way to look them up."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    for sets, probes in ((12, 1 << 14), (90, 1), (90, 1 << 14)):
+        monkeypatch.setattr(ngram_join, "PROBES", probes)
+        pool = np.sort(rng.choice(1 << 40, 80, replace=False)).astype(np.uint64)
+        mine = [np.unique(rng.choice(pool[: 60 + k % 20], 50)) for k in range(sets)]
+        links = list(ngram_join.links_of_block(mine, 55))
+        parent = list(range(sets))
+
+        def root(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in links:
+            same = len(np.intersect1d(mine[a], mine[b]))
+            assert 100 * same >= 55 * (len(mine[a]) + len(mine[b]) - same)
+            parent[root(a)] = root(b)
+        for a in range(sets):
+            for b in range(a):
+                same = len(np.intersect1d(mine[a], mine[b]))
+                assert 100 * same < 55 * (len(mine[a]) + len(mine[b]) - same) or root(a) == root(b)
