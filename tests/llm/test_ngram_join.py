@@ -147,8 +147,9 @@ def test_screen_keeps_what_links():
 def test_sets_that_meet_by_chance_bring_no_text(docs_of, monkeypatch):
     """Only sets that may link have their texts brought to a block, and the result is that of all pairs."""
     rng = random.Random(8)
-    shared = [f"s{k}" for k in range(5)]
-    rows = [(k, " ".join([*shared, *(f"w{rng.randrange(10**6)}" for _ in range(60))])) for k in range(0, 200, 2)]
+    run = lambda a, b: [f"r{a}x{b}x{k}" for k in range(10)]  # words that two texts share
+    rows = [(2 * k, " ".join(w for d in (1, 2, 3) for w in (*run(k, (k + d) % 100), *run((k - d) % 100, k)))) for k in range(100)]
+    rng.shuffle(rows)
     rows += [(k + 1, f"{text} end") for k, text in rows[:10]]
     search, met = ngram_join._search, []
     monkeypatch.setattr(ngram_join, "_search", lambda blocks, *a: met.extend(tuple(r) for r in blocks.select("lead", "part", "node").collect()) or search(blocks, *a))
